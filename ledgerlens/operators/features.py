@@ -48,15 +48,16 @@ def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec]
     for c in copies:
         u = u.unionByName(c, allowMissingColumns=True)
 
+    # an empty frame sums to NULL: every windowed sum is coalesced to 0
     w_before = Window.partitionBy(key, "_day").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(key, "_day")
     roles = sorted({0} | set(shifts))
     cols = {}
     for s in roles:
         is_s = F.col("_role") == s
-        cols[f"_bc{s}"] = F.sum(F.when(is_s, 1).otherwise(0)).over(w_before)
+        cols[f"_bc{s}"] = F.coalesce(F.sum(F.when(is_s, 1).otherwise(0)).over(w_before), F.lit(0))
         for v in vcols:
-            cols[f"_bs{s}_{v}"] = F.sum(F.when(is_s & F.col(v).isNotNull(), F.col(v)).otherwise(0)).over(w_before)
+            cols[f"_bs{s}_{v}"] = F.coalesce(F.sum(F.when(is_s & F.col(v).isNotNull(), F.col(v)).otherwise(0)).over(w_before), F.lit(0))
         if s in {a for _, a, _ in specs}:
             cols[f"_tc{s}"] = F.sum(F.when(is_s, 1).otherwise(0)).over(w_all)
             for v in vcols:

@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 NEGATIVE = "NEGATIVE"
 
 
+def round_half_up(x: Column, digits: int = 2) -> Column:
+    """Round the decimal reading of a double (``2.675 -> 2.68``), identically in any SQL engine."""
+    return F.round(x.cast("decimal(24,10)"), digits).cast("double")
+
+
+def pct(x: Column) -> Column:
+    """A share in [0, 1] as a whole percent (``round(100·x)``; the original truncated 0.29 to 28)."""
+    return F.round(x.cast("decimal(24,10)") * 100, 0).cast("int")
+
+
 def _day(ts: str = "created_time") -> Column:
     return F.to_date(F.col(ts))
 
@@ -33,12 +43,12 @@ def neg_flag(col: str = "sentiment") -> Column:
 
 def avg_score(rv: DataFrame, as_of: str) -> DataFrame:
     """Mean score of all reviews up to ``as_of`` (inclusive), rounded to 2 places."""
-    return rv.filter(_upto(as_of)).agg(F.round(F.avg("score"), 2).alias("avg_score"))
+    return rv.filter(_upto(as_of)).agg(round_half_up(F.avg("score")).alias("avg_score"))
 
 
 def neg_share(rv: DataFrame, as_of: str) -> DataFrame:
     """Share of negative reviews up to ``as_of``, as a whole percent (``round(100·x)``)."""
-    return rv.filter(_upto(as_of)).agg(F.round(F.avg(neg_flag()) * 100).cast("int").alias("neg_pct"))
+    return rv.filter(_upto(as_of)).agg(pct(F.avg(neg_flag())).alias("neg_pct"))
 
 
 def score_histogram(rv: DataFrame, as_of: str, inclusive: bool = True, stars=(1, 2, 3, 4, 5)) -> DataFrame:
@@ -55,19 +65,19 @@ def _window(as_of: str, days: int) -> Column:
 def daily_rating(rv: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Per day in ``(as_of - days, as_of]``: mean score rounded to 2 places, ordered by day."""
     return (rv.filter(_window(as_of, days)).groupBy(_day().alias("dt"))
-              .agg(F.round(F.avg("score"), 2).alias("avg_score")).orderBy("dt"))
+              .agg(round_half_up(F.avg("score")).alias("avg_score")).orderBy("dt"))
 
 
 def daily_neg(rv: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Per day in ``(as_of - days, as_of]``: negative share as a whole percent."""
     return (rv.filter(_window(as_of, days)).groupBy(_day().alias("dt"))
-              .agg(F.round(F.avg(neg_flag()) * 100).cast("int").alias("neg_pct")).orderBy("dt"))
+              .agg(pct(F.avg(neg_flag())).alias("neg_pct")).orderBy("dt"))
 
 
 def source_score(rt: DataFrame, as_of: str) -> DataFrame:
     """Mean stored rating per source up to ``as_of`` - every source in one pass."""
     return (rt.filter(F.col("dates") <= F.to_date(F.lit(as_of))).groupBy("source")
-              .agg(F.round(F.avg("score"), 2).alias("avg_score")))
+              .agg(round_half_up(F.avg("score")).alias("avg_score")))
 
 
 def star_histogram(rv: DataFrame, by: str = "source") -> DataFrame:
@@ -101,8 +111,8 @@ def day_over_day(daily: DataFrame, name: str, by: list[str] | None = None, digit
     prev = daily.select(*by, F.date_add("dt", 1).alias("dt"), F.col(name).alias("_prev"))
     j = daily.join(prev, [*by, "dt"], "left")
     change = F.col(name) - F.col("_prev")
-    return j.select(*by, "dt", F.round(F.col(name), digits).alias(name),
-                    F.round(change, digits).alias("change"),
+    return j.select(*by, "dt", round_half_up(F.col(name), digits).alias(name),
+                    round_half_up(change, digits).alias("change"),
                     F.when(change < 0, "-").when(change.isNotNull(), "+").alias("sign"))
 
 
@@ -115,8 +125,9 @@ def kpi_change(df: DataFrame, value: Column, as_of: str, ts: str = "created_time
     window = df.filter((day == d) | (day == F.date_sub(d, 1)))
     r = window.agg(t.alias("t"), y.alias("y"))
     ch = F.col("t") - F.col("y")
-    return r.select(F.round("t", digits).alias("today"), F.round("y", digits).alias("yesterday"),
-                    F.round(ch, digits).alias("change"), F.when(ch < 0, "-").when(ch.isNotNull(), "+").alias("sign"))
+    return r.select(round_half_up(F.col("t"), digits).alias("today"),
+                    round_half_up(F.col("y"), digits).alias("yesterday"),
+                    round_half_up(ch, digits).alias("change"), F.when(ch < 0, "-").when(ch.isNotNull(), "+").alias("sign"))
 
 
 def kpi_change_cross_join(df: DataFrame, value: Column, as_of: str, ts: str = "created_time", digits: int = 2) -> DataFrame:
@@ -127,8 +138,8 @@ def kpi_change_cross_join(df: DataFrame, value: Column, as_of: str, ts: str = "c
     yest = df.filter(day == F.date_sub(d, 1)).agg(F.avg(value).alias("y"))
     ch = F.col("t") - F.col("y")
     return today.crossJoin(F.broadcast(yest)).select(
-        F.round("t", digits).alias("today"), F.round("y", digits).alias("yesterday"),
-        F.round(ch, digits).alias("change"), F.when(ch < 0, "-").when(ch.isNotNull(), "+").alias("sign"))
+        round_half_up(F.col("t"), digits).alias("today"), round_half_up(F.col("y"), digits).alias("yesterday"),
+        round_half_up(ch, digits).alias("change"), F.when(ch < 0, "-").when(ch.isNotNull(), "+").alias("sign"))
 
 
 def top_k(df: DataFrame, k: int, order: str = "id", cols: list[str] | None = None) -> DataFrame:

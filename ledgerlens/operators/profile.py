@@ -48,7 +48,7 @@ def _value_kind(text: F.Column) -> F.Column:
     """0 = integer, 1 = float or missing (pandas turns a column with blanks into float), 2 = text."""
     t = F.trim(text)
     return (F.when((t == "") | t.isNull(), 1)
-             .when(t.try_cast("bigint").isNotNull(), 0)
+             .when(t.rlike(r"^[+-]?[0-9]+$"), 0)
              .when(t.try_cast("double").isNotNull(), 1)
              .otherwise(2))
 
