@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 DAY_SECONDS = 86_400
 DAY_MICROS = DAY_SECONDS * 1_000_000
 
-# Fixed layout of the transaction date text: ``Y-m-d H:M:S`` (two blank-separated parts).
-_DT_PATTERN = r"^(\d{1,4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+# Fixed layout of the transaction date text: ``Y-m-d H:M:S`` (two blank-separated parts, 4-digit year).
+_DT_PATTERN = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+_H24_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} 24:\d{1,2}:\d{1,2}$"
 
 
 def _col(c) -> Column:
@@ -44,40 +45,38 @@ def utc_instant(ts) -> Column:
     return F.timestamp_micros(epoch_micros(ts))
 
 
-def datetime_parts(text) -> Column:
-    """``array<int>[Y, m, d, H, M, S]`` of a ``Y-m-d H:M:S`` text, NULL when the layout does not match.
+def _squeeze(text) -> Column:
+    return F.regexp_replace(F.trim(_col(text)), r"\s+", " ")
 
-    Evaluate it once in its own projection (``withColumn``) and feed the result to
-    ``timestamp_from_parts``: the regex then runs once per row.
-    """
-    s = F.regexp_replace(F.trim(_col(text)), r"\s+", " ")
-    return F.when(s.rlike(_DT_PATTERN), F.transform(F.split(s, "[- :]"), lambda x: x.try_cast("int")))
+
+def datetime_parts(text) -> Column:
+    """``array<int>[Y, m, d, H, M, S]`` of a ``Y-m-d H:M:S`` text, NULL when the layout does not match."""
+    s = _squeeze(text)
+    parts = F.split(s, "[- :]")
+    return F.when(s.rlike(_DT_PATTERN), F.array(*[F.get(parts, i).try_cast("int") for i in range(6)]))
 
 
-def timestamp_from_parts(parts, shift_all: bool = False) -> Column:
-    """Parts -> TIMESTAMP_NTZ; hour 24 is 00 of the next day; an impossible date is NULL.
+def fix_datetime(text, shift_all: bool = False) -> Column:
+    """Parse ``Y-m-d H:M:S`` text to TIMESTAMP_NTZ; hour 24 means 00 of the next day; malformed -> NULL.
 
-    ``shift_all=True`` reproduces the original job, which added one hour to every row
-    (after turning hour 24 into 23).
+    The text is checked against the layout once, hour 24 is rewritten, and the string is cast
+    with ``try_cast`` (an impossible date such as Feb 30 or second 60 gives NULL).  The
+    expression refers to the text only a few times, so it stays cheap even where the optimizer
+    inlines it into a pushed-down filter.  ``shift_all=True`` reproduces the original job, which
+    added one hour to every row (after turning hour 24 into 23).
     """
-    p = _col(parts)
-    y, mo, d, h, mi, se = (F.get(p, i) for i in range(6))
-    valid_sec = se < 60  # Python's datetime rejects 60; Spark's make_timestamp would roll it over
+    s = _squeeze(text)
+    ok = s.rlike(_DT_PATTERN)
+    h24 = s.rlike(_H24_PATTERN)
     if shift_all:
-        hour = F.when(h == 24, F.lit(23)).otherwise(h)
-        return F.when(valid_sec, F.try_make_timestamp_ntz(y, mo, d, hour, mi, se) + F.expr("INTERVAL 1 HOUR"))
-    on_24 = F.try_make_timestamp_ntz(y, mo, d, F.lit(0), mi, se) + F.expr("INTERVAL 1 DAY")
-    normal = F.try_make_timestamp_ntz(y, mo, d, F.when(h == 24, F.lit(0)).otherwise(h), mi, se)
-    return F.when(valid_sec, F.when(h == 24, on_24).otherwise(normal))
-
-
-def fix_datetime(text, shift_all: bool = False) -> Column:
-    """Single-expression form of ``timestamp_from_parts(datetime_parts(text))``."""
-    return timestamp_from_parts(datetime_parts(text), shift_all=shift_all)
+        ts = F.regexp_replace(s, " 24:", " 23:").try_cast("timestamp_ntz")
+        return F.when(ok, ts + F.expr("INTERVAL 1 HOUR"))
+    ts = F.when(h24, F.regexp_replace(s, " 24:", " 00:")).otherwise(s).try_cast("timestamp_ntz")
+    return F.when(ok, F.when(h24, ts + F.expr("INTERVAL 1 DAY")).otherwise(ts))
 
 
-def is_hour_24(parts) -> Column:
-    return F.get(_col(parts), 3) == 24
+def is_hour_24(text) -> Column:
+    return _squeeze(text).rlike(_H24_PATTERN)
 
 
 def day_index(micros: Column) -> Column:

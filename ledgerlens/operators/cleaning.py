@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.datetime import datetime_parts, epoch_seconds, is_hour_24, timestamp_from_parts
+from ledgerlens.functions.datetime import epoch_seconds, fix_datetime, is_hour_24
 
 # Fixed value: the amount cap used by the original cleaning job.
 AMOUNT_CAP = 131.45
@@ -113,12 +113,12 @@ def clean_transactions(df: DataFrame, cap: float | Column = AMOUNT_CAP, n: float
 def fix_datetime_report(lines: DataFrame, by: Sequence[str] = ("source_file",)) -> DataFrame:
     """Per file: body rows, unparseable datetimes, hour-24 rows repaired, total defects."""
     body = lines.filter(~F.col("value").startswith("#"))
-    staged = body.select(*by, datetime_parts(F.get(F.split("value", ","), 1)).alias("_dt"))
-    fixed = timestamp_from_parts("_dt")
+    staged = body.select(*by, F.get(F.split("value", ","), 1).alias("_txt"))
+    fixed = fix_datetime("_txt")
     return (staged.groupBy(*by)
                 .agg(F.count(F.lit(1)).alias("n_rows"),
                      F.count_if(fixed.isNull()).alias("n_bad"),
-                     F.count_if(fixed.isNotNull() & F.coalesce(is_hour_24("_dt"), F.lit(False))).alias("n_repaired"))
+                     F.count_if(fixed.isNotNull() & F.coalesce(is_hour_24("_txt"), F.lit(False))).alias("n_repaired"))
                 .withColumn("n_defects", F.col("n_bad") + F.col("n_repaired")))
 
 

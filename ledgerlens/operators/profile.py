@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.functions.datetime import DAY_SECONDS, datetime_parts, epoch_seconds, timestamp_from_parts
+from ledgerlens.functions.datetime import DAY_SECONDS, datetime_parts, epoch_seconds, fix_datetime
 from ledgerlens.sources.files import header_columns
 from ledgerlens.sources.tables import TX_COLUMNS
 
@@ -103,8 +103,7 @@ def datetime_bad_values(lines: DataFrame) -> DataFrame:
     """The unparseable datetime texts, one row per (file, text) with its count (no list on the driver)."""
     body = lines.filter(~F.col("value").startswith("#"))
     staged = body.select("source_file", F.get(F.split("value", ","), 1).alias("text"))
-    staged = staged.withColumn("_dt", datetime_parts("text"))
-    return staged.filter(F.col("_dt").isNull() | timestamp_from_parts("_dt").isNull()) \
+    return staged.filter(fix_datetime("text").isNull()) \
                  .groupBy("source_file", "text").agg(F.count(F.lit(1)).alias("n"))
 
 

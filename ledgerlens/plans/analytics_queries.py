@@ -82,7 +82,7 @@ def q_schema_drift(spark, sf_dir):
     return P.schema_drift(tables.tx_lines(spark, sf_dir))
 
 
-_DT_RE = r"^(\d{1,4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+_DT_RE = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
 _PARTS_SQL = (f"CASE WHEN regexp_matches(s, '{_DT_RE}') THEN "
               "list_transform(string_split_regex(s, '[- :]'), lambda x: TRY_CAST(x AS INTEGER)) END")
 _DOMAIN_SQL = with_views("tx_lines") + f""",

@@ -42,7 +42,7 @@ TX_TYPED = ("tranaction_id, tx_datetime, customer_id, terminal_id, tx_amount, tx
 @register("read_transactions", "2.1", sql=with_views("tx_parsed") + f"\nSELECT {TX_TYPED} FROM tx_parsed")
 def q_read_transactions(spark, sf_dir):
     path = scratch_path(spark, "tx_text")
-    files.write_lines(tables.tx_lines(spark, sf_dir), path)
+    files.write_lines(tables.tx_lines_from_events(spark, sf_dir), path)
     return files.read_transactions(spark, path)
 
 

@@ -57,7 +57,7 @@ SELECT {FILE} AS source_file,
 FROM events
 """
 
-DT_RE = r"^(\d{1,4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+DT_RE = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
 def fix_datetime_sql(text: str) -> str:

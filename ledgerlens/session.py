@@ -60,3 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``DataFrame.checkpoint`` needs the context's directory; point it at the shared root."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark) + f"/{_SCRATCH_SUBDIR}/rdd")
+
+
+def spread(df):
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A small file with a single row group is read by one task; when the per-row work is heavy
+    (regex parsing, long texts, vectors) that leaves every other core idle.  On large inputs
+    the scan already has far more partitions than cores and this is a no-op (no shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

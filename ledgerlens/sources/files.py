@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.datetime import datetime_parts, timestamp_from_parts
+from ledgerlens.functions.datetime import fix_datetime
 from ledgerlens.functions.hashing import unit_hash
 from ledgerlens.sources.tables import TX_COLUMNS
 
@@ -22,18 +22,16 @@ _FILE_FROM_PATH = r"([^/=]+)/[^/]*$"
 def parse_transaction_lines(lines: DataFrame, shift_all: bool = False) -> DataFrame:
     """``(source_file, value)`` text lines -> typed transactions; header/comment lines are dropped.
 
-    Fields are split on commas by position.  A field that does not parse becomes NULL
-    (``try_cast``); the datetime goes through ``fix_datetime``.  The split and the date regex
-    each run once per row: they sit in their own projections, which Catalyst keeps apart
-    because inlining them would repeat the work.
+    Fields are split on commas by position (the split runs once per row, in its own projection).
+    A field that does not parse becomes NULL (``try_cast``); the datetime goes through
+    ``fix_datetime``.  All expressions are built-ins inside whole-stage codegen.
     """
     body = lines.filter(~F.col("value").startswith("#"))
     split = body.select("source_file", F.split(F.col("value"), ",").alias("_f"))
-    staged = split.select("source_file", "_f", datetime_parts(F.get(F.col("_f"), 1)).alias("_dt"))
     f = [F.trim(F.get(F.col("_f"), i)) for i in range(len(TX_COLUMNS))]  # int()/float() ignore blanks
-    return staged.select(
+    return split.select(
         f[0].try_cast("bigint").alias("tranaction_id"),
-        timestamp_from_parts("_dt", shift_all=shift_all).alias("tx_datetime"),
+        fix_datetime(F.get(F.col("_f"), 1), shift_all=shift_all).alias("tx_datetime"),
         f[2].try_cast("bigint").alias("customer_id"),
         f[3].try_cast("bigint").alias("terminal_id"),
         f[4].try_cast("double").alias("tx_amount"),

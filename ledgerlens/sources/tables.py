@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.datetime import DAY_SECONDS
+from ledgerlens.session import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -56,7 +57,7 @@ def source_file_col(event_id="event_id"):
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions (clean) with their source file tag."""
-    ev = load(spark, sf_dir, "events")
+    ev = spread(load(spark, sf_dir, "events"))
     secs = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'{TX_EPOCH}', ts)")
     fraud = (F.col("event_type") == "error").cast("int")
     return ev.select(
@@ -80,9 +81,31 @@ def header_line(drift: bool) -> str:
     return "# " + " | ".join(names)
 
 
+_TEXT_FILES: dict[tuple[str, str], str] = {}
+
+
 def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw transaction text files, as ``(source_file, value)`` lines.
+
+    The text is generated from ``events`` (``tx_lines_from_events``) and written once per
+    application and data folder as one text folder per source file below the shared
+    checkpoint root; later calls read the same files.  Reading real files keeps the parser
+    working on a scanned column, as it does on the production bucket.
+    """
+    from ledgerlens.session import scratch_path
+    from ledgerlens.sources.files import read_lines, write_lines
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _TEXT_FILES.get(key)
+    if path is None:
+        path = scratch_path(spark, "tx_text")
+        write_lines(tx_lines_from_events(spark, sf_dir), path)
+        _TEXT_FILES[key] = path
+    return spread(read_lines(spark, path))
+
+
+def tx_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transaction text: ``(source_file, value)``, one header line per file plus one line per event."""
-    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     secs = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'{TX_EPOCH}', ts)")
     cents = F.round(F.col("value") * 100).cast("bigint")
     amount_txt = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."),
@@ -149,11 +172,11 @@ def rt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = load(spark, sf_dir, "documents")
+    d = spread(load(spark, sf_dir, "documents"))
     return d.select(F.col("doc_id").alias("id"), F.col("text").alias("content"),
                     F.col("lang").alias("country"), "source")
 
 
 def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "embeddings")
+    e = spread(load(spark, sf_dir, "embeddings"))
     return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), "label")
