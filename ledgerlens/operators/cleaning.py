@@ -110,6 +110,24 @@ def clean_transactions(df: DataFrame, cap: float | Column = AMOUNT_CAP, n: float
               .transform(lambda d: time_outliers(d, n=n, two_sided=two_sided, action=action, by=by)))
 
 
+def clean_files(spark, in_path: str, out_path: str, cap: float | Column = AMOUNT_CAP, n: float = 4.0,
+                two_sided: bool = False, action: str = "replace", stage: bool = True) -> DataFrame:
+    """The cleaning job end to end: raw text files -> typed -> cleaned -> one parquet folder per input file.
+
+    With ``stage=True`` the text is parsed once into parquet under the shared checkpoint root;
+    the two statistics passes then read three columns of it and the final pass reads it whole,
+    instead of parsing the text three times.  Returns the written table.
+    """
+    from ledgerlens.session import materialize
+    from ledgerlens.sources.files import read_transactions, write_clean
+
+    typed = read_transactions(spark, in_path)
+    if stage:
+        typed = materialize(typed, "typed_tx")
+    write_clean(clean_transactions(typed, cap=cap, n=n, two_sided=two_sided, action=action), out_path)
+    return spark.read.parquet(out_path)
+
+
 def fix_datetime_report(lines: DataFrame, by: Sequence[str] = ("source_file",)) -> DataFrame:
     """Per file: body rows, unparseable datetimes, hour-24 rows repaired, total defects."""
     body = lines.filter(~F.col("value").startswith("#"))

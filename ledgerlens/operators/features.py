@@ -3,18 +3,19 @@
 A window ``[t - a days, t - b days)`` per key is the textbook
 ``count(*) OVER (PARTITION BY key ORDER BY t RANGE ...)``, but that puts every row of a
 key in one task - and one card or terminal may hold a third of all rows.  We split the
-window exactly by calendar day D of t:
-
-* day ``D - a`` from the time of day of t onwards,
-* the whole days ``D - a + 1 .. D - b - 1``,
-* day ``D - b`` before the time of day of t.
-
-The partial days come from one window partitioned by ``(key, day)``: each row meets
-copies of the rows of days ``D - a`` and ``D - b`` shifted forward by a and b days,
-and counts the copies ordered before it.  The whole days come from a
-``(key, day)`` aggregate (one row per key and day) rolled over a day range.
-A hot key is therefore spread over as many tasks as it has days, and the result is
-exact.  Rows without a timestamp get NULL features.
+window exactly along time buckets (one hour by default; any size that divides a day).
+With B the bucket of t and k buckets per day:
+
+* bucket ``B - a·k`` from the time of t within its bucket onwards,
+* the whole buckets ``B - a·k + 1 .. B - b·k - 1``,
+* bucket ``B - b·k`` before the time of t within its bucket.
+
+The partial buckets come from one window partitioned by ``(key, bucket)``: each row meets
+copies of the rows of buckets ``B - a·k`` and ``B - b·k`` shifted forward by a and b days,
+and counts the copies ordered before it.  The whole buckets come from a
+``(key, bucket)`` aggregate (one row per key and bucket) summed over a bucket range.
+A hot key is therefore spread over as many tasks as it has active buckets, and the result
+is exact.  Rows without a timestamp get NULL features.
 """
 
 from __future__ import annotations
@@ -31,26 +32,30 @@ WindowSpec = tuple[str, int, int]  # (name, a_days, b_days): rows in [t - a days
 
 
 def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec],
-                   values: Sequence[str] = ()) -> DataFrame:
+                   values: Sequence[str] = (), bucket_minutes: int = 60) -> DataFrame:
     """Add ``{name}_cnt`` and ``{name}_sum_{v}`` for every window spec; 0 when the window is empty."""
     for name, a, b in specs:
         if not (a > b >= 0):
             raise ValueError(f"window {name}: need a > b >= 0")
-    base = df.withColumn("_t", epoch_micros(ts)).withColumn("_day", F.floor(F.col("_t") / F.lit(DAY_MICROS)).cast("long"))
+    if (24 * 60) % bucket_minutes:
+        raise ValueError("bucket_minutes must divide one day")
+    k = (24 * 60) // bucket_minutes          # buckets per day
+    bucket_us = bucket_minutes * 60_000_000
+    base = df.withColumn("_t", epoch_micros(ts)).withColumn("_bkt", F.floor(F.col("_t") / F.lit(bucket_us)).cast("long"))
     vcols = list(values)
     shifts = sorted({a for _, a, _ in specs} | {b for _, _, b in specs if b > 0})
 
     orig = base.withColumn("_role", F.lit(0))
-    slim = base.filter(F.col("_t").isNotNull()).select(key, "_day", "_t", *vcols)
-    copies = [slim.select(key, (F.col("_day") + s).alias("_day"), (F.col("_t") + F.lit(s * DAY_MICROS)).alias("_t"),
+    slim = base.filter(F.col("_t").isNotNull()).select(key, "_bkt", "_t", *vcols)
+    copies = [slim.select(key, (F.col("_bkt") + s * k).alias("_bkt"), (F.col("_t") + F.lit(s * DAY_MICROS)).alias("_t"),
                           F.lit(s).alias("_role"), *vcols) for s in shifts]
     u = orig
     for c in copies:
         u = u.unionByName(c, allowMissingColumns=True)
 
     # an empty frame sums to NULL: every windowed sum is coalesced to 0
-    w_before = Window.partitionBy(key, "_day").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(key, "_day")
+    w_before = Window.partitionBy(key, "_bkt").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(key, "_bkt")
     roles = sorted({0} | set(shifts))
     cols = {}
     for s in roles:
@@ -64,30 +69,33 @@ def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec]
                 cols[f"_ts{s}_{v}"] = F.sum(F.when(is_s & F.col(v).isNotNull(), F.col(v)).otherwise(0)).over(w_all)
     u = u.withColumns(cols).filter(F.col("_role") == 0)
 
-    # whole days between the two partial days, from the per-(key, day) table
-    daily = slim.groupBy(key, "_day").agg(F.count(F.lit(1)).alias("_dc"),
+    # whole buckets between the two partial buckets, from the per-(key, bucket) table
+    daily = slim.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_dc"),
                                           *[F.sum(F.coalesce(F.col(v), F.lit(0))).alias(f"_ds_{v}") for v in vcols])
     full_cols = {}
     for name, a, b in specs:
-        if a - b >= 2:
-            wd = Window.partitionBy(key).orderBy("_day").rangeBetween(-(a - 1), -(b + 1))  # rows per key = its days
-            full_cols[f"_fc_{name}"] = F.sum("_dc").over(wd)
-            for v in vcols:
-                full_cols[f"_fs_{name}_{v}"] = F.sum(f"_ds_{v}").over(wd)
+        if (a - b) * k >= 2:
+            # buckets in [B - a·k + 1, B - b·k - 1] = running total up to B - b·k - 1 minus up to B - a·k;
+            # unbounded-preceding frames are evaluated incrementally (a sliding range frame is not)
+            upto_hi = Window.partitionBy(key).orderBy("_bkt").rangeBetween(Window.unboundedPreceding, -(b * k + 1))
+            upto_lo = Window.partitionBy(key).orderBy("_bkt").rangeBetween(Window.unboundedPreceding, -(a * k))
+            for src, dst in [("_dc", f"_fc_{name}")] + [(f"_ds_{v}", f"_fs_{name}_{v}") for v in vcols]:
+                full_cols[dst] = (F.coalesce(F.sum(src).over(upto_hi), F.lit(0))
+                                  - F.coalesce(F.sum(src).over(upto_lo), F.lit(0)))
     if full_cols:
         daily = daily.withColumns(full_cols).drop("_dc", *[f"_ds_{v}" for v in vcols])
-        u = u.join(daily, [key, "_day"], "left")
+        u = u.join(daily, [key, "_bkt"], "left")
 
     out = {}
     has_t = F.col("_t").isNotNull()
     for name, a, b in specs:
         cnt = F.col(f"_tc{a}") - F.col(f"_bc{a}") + F.col(f"_bc{b}")
-        if a - b >= 2:
+        if (a - b) * k >= 2:
             cnt = cnt + F.coalesce(F.col(f"_fc_{name}"), F.lit(0))
         out[f"{name}_cnt"] = F.when(has_t, cnt.cast("long"))
         for v in vcols:
             sm = F.col(f"_ts{a}_{v}") - F.col(f"_bs{a}_{v}") + F.col(f"_bs{b}_{v}")
-            if a - b >= 2:
+            if (a - b) * k >= 2:
                 sm = sm + F.coalesce(F.col(f"_fs_{name}_{v}"), F.lit(0))
             out[f"{name}_sum_{v}"] = F.when(has_t, sm)
     u = u.withColumns(out)

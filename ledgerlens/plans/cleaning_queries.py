@@ -66,9 +66,10 @@ def q_sample_rows(spark, sf_dir):
 @register("write_clean", "2.1", sql=with_views("tx_parsed") + "," + clean_sql("tx_parsed")
           + f"\n{_CLEAN_SELECT} FROM c_out")
 def q_write_clean(spark, sf_dir):
-    path = scratch_path(spark, "clean")
-    files.write_clean(C.clean_transactions(parsed(spark, sf_dir)), path)
-    return _clean_out(files.read_parquet(spark, path))
+    """The whole file job: text files -> staged typed parquet -> cleaned -> one folder per source file."""
+    src = scratch_path(spark, "tx_text")
+    files.write_lines(tables.tx_lines_from_events(spark, sf_dir), src)
+    return _clean_out(C.clean_files(spark, src, scratch_path(spark, "clean")))
 
 
 @register("read_parquet", "2.1", sql=with_views("tx_parsed") + "," + clean_sql("tx_parsed")

@@ -71,3 +71,14 @@ def spread(df):
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet below the shared checkpoint root and return the re-read table.
+
+    Cuts the lineage (a lost executor recomputes from these files, not from the raw input) and lets
+    later passes read only the columns they need instead of re-parsing text.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -38,11 +38,12 @@ def _brute(rows, a, b):
     return out
 
 
-@pytest.mark.parametrize("a,b", [(1, 0), (7, 0), (30, 0), (14, 7), (3, 1), (10, 9)])
-def test_trailing_stats_equals_brute_force(spark, a, b):
+@pytest.mark.parametrize("a,b,bucket", [(1, 0, 60), (7, 0, 60), (30, 0, 1440), (14, 7, 60), (3, 1, 360), (10, 9, 15),
+                                        (1, 0, 1440), (2, 1, 1440)])
+def test_trailing_stats_equals_brute_force(spark, a, b, bucket):
     rows = _fixture()
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v double, y int")
-    got = trailing_stats(df, "k", "ts", [("w", a, b)], ["v"]).collect()
+    got = trailing_stats(df, "k", "ts", [("w", a, b)], ["v"], bucket_minutes=bucket).collect()
     want = _brute(rows, a, b)
     for r in got:
         cnt, sm = want[r.id]
@@ -50,11 +51,11 @@ def test_trailing_stats_equals_brute_force(spark, a, b):
         assert (r.w_sum_v is None and sm is None) or abs(r.w_sum_v - sm) < 1e-6
 
 
-def test_plan_partitions_by_key_and_day(spark):
+def test_plan_partitions_by_key_and_bucket(spark):
     rows = _fixture(n=50)
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v double, y int")
     plan = trailing_stats(df, "k", "ts", [("w", 7, 0)], ["v"])._jdf.queryExecution().executedPlan().toString()
-    assert "_day" in plan  # the window is keyed by (key, day), never by the key alone
+    assert "_bkt" in plan  # the window is keyed by (key, time bucket), never by the key alone
 
 
 def test_customer_and_terminal_wrappers(spark):
