@@ -30,18 +30,20 @@ def _missing(c: str, dtype: str) -> F.Column:
 
 
 def column_profile(df: DataFrame, by: str = "source_file", columns: Sequence[str] | None = None) -> DataFrame:
-    """Per file and column: rows, missing values, share missing; plus an ``*`` row per column for all files."""
+    """Per file and column: rows, missing values, share missing; plus an ``*`` row per column for all files.
+
+    One ``rollup`` pass computes both levels (the map side aggregates each row into its file and
+    into the total before the shuffle); ``grouping_id`` tells the total from a NULL file name.
+    """
     types = dict(df.dtypes)
     cols = [c for c in (columns or df.columns) if c != by]
-    per_file = df.groupBy(by).agg(F.count(F.lit(1)).alias("nrows"),
-                                  *[F.count_if(_missing(c, types[c])).alias(f"na__{c}") for c in cols])
-    long = per_file.select(by, "nrows", F.explode(F.array(*[
+    g = df.rollup(by).agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("nrows"),
+                          *[F.count_if(_missing(c, types[c])).alias(f"na__{c}") for c in cols])
+    g = g.withColumn(by, F.when(F.col("_gid") == 1, F.lit("*")).otherwise(F.col(by)))
+    long = g.select(by, "nrows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"na__{c}").alias("na")) for c in cols])).alias("_p"))
-    long = long.select(by, F.col("_p.column_name").alias("column_name"), "nrows", F.col("_p.na").alias("na"))
-    total = long.groupBy("column_name").agg(F.sum("nrows").alias("nrows"), F.sum("na").alias("na")) \
-                .withColumn(by, F.lit("*"))
-    out = long.unionByName(total)
-    return out.withColumn("pct_na", F.col("na") / F.col("nrows"))
+    return long.select(by, F.col("_p.column_name").alias("column_name"), "nrows", F.col("_p.na").alias("na"),
+                       (F.col("_p.na") / F.col("nrows")).alias("pct_na"))
 
 
 def _value_kind(text: F.Column) -> F.Column:
