@@ -114,17 +114,20 @@ def clean_files(spark, in_path: str, out_path: str, cap: float | Column = AMOUNT
                 two_sided: bool = False, action: str = "replace", stage: bool = True) -> DataFrame:
     """The cleaning job end to end: raw text files -> typed -> cleaned -> one parquet folder per input file.
 
-    With ``stage=True`` the text is parsed once into parquet under the shared checkpoint root;
-    the two statistics passes then read three columns of it and the final pass reads it whole,
-    instead of parsing the text three times.  Returns the written table.
+    With ``stage=True`` the text is parsed, filtered (incomplete rows) and capped once, and written
+    as parquet under the shared checkpoint root; the two regression passes then read three of its
+    columns and the final pass reads it whole - instead of parsing the text three times.
+    Returns the written table.
     """
     from ledgerlens.session import materialize
     from ledgerlens.sources.files import read_transactions, write_clean
 
     typed = read_transactions(spark, in_path)
+    cols = [c for c in typed.columns if c != "source_file"]
+    ready = cap_amount(drop_incomplete(typed, 2, cols), cap)
     if stage:
-        typed = materialize(typed, "typed_tx")
-    write_clean(clean_transactions(typed, cap=cap, n=n, two_sided=two_sided, action=action), out_path)
+        ready = materialize(ready, "typed_tx")
+    write_clean(time_outliers(ready, n=n, two_sided=two_sided, action=action), out_path)
     return spark.read.parquet(out_path)
 
 
