@@ -253,7 +253,7 @@ def q_parse_json(spark, sf_dir):
                     *[F.get(F.col("raw_data.X"), i).alias(f"X{i + 1}") for i in range(3)])
 
 
-@register("format_json", "2.2")
+@register("format_json", "2.2", sql="SELECT to_json({'y': value, 'prediction': value * 2}) AS value FROM events")
 def q_format_json(spark, sf_dir):
     ev = tables.load(spark, sf_dir, "events").select(F.col("value").alias("y"), (F.col("value") * 2).alias("prediction"))
     return C.format_json(ev, ["y", "prediction"])

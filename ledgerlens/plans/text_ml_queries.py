@@ -124,10 +124,14 @@ def _parsed(spark, sf_dir):
     return files.parse_transaction_lines(tables.tx_lines(spark, sf_dir))
 
 
-@register("assemble_features", "2.8")
+@register("assemble_features", "2.8", sql=with_views("tx_parsed") + """
+SELECT tranaction_id, tx_amount AS f1, tx_time_seconds AS f2, CAST(tx_time_days AS DOUBLE) AS f3 FROM tx_parsed
+WHERE tx_amount IS NOT NULL AND tx_time_seconds IS NOT NULL AND tx_time_days IS NOT NULL""")
 def q_assemble_features(spark, sf_dir):
+    """Rows with a missing input are skipped (``handleInvalid='skip'``); the vector shown as f1..f3."""
     d = ML.assemble_features(_parsed(spark, sf_dir), ["tx_amount", "tx_time_seconds", "tx_time_days"])
-    return d.select("tranaction_id", F.size(vector_to_array("features")).alias("n_features"))
+    v = vector_to_array("features")
+    return d.select("tranaction_id", *[F.get(v, i).alias(f"f{i + 1}") for i in range(3)])
 
 
 @register("linear_fit", "2.8", sql=with_views("tx_parsed") + f""",
@@ -285,10 +289,14 @@ SELECT event_id, CAST(CAST(value AS FLOAT) AS DOUBLE) AS y, value AS X1,
        CAST(json_extract_string(props, '$.k') AS DOUBLE) AS X2, CAST(hour(ts) AS DOUBLE) AS X3 FROM events"""
 
 
-@register("stream_source", "2.1")
+@register("stream_source", "2.1", sql="""
+SELECT event_id, CAST(event_id % 2 AS VARCHAR) AS key,
+       to_json({'X': [value, CAST(json_extract_string(props, '$.k') AS DOUBLE), CAST(hour(ts) AS DOUBLE)], 'y': value}) AS value
+FROM events""")
 def q_stream_source(spark, sf_dir):
     """Raw train messages (key, JSON value) landed from the stream source."""
-    return spark.read.parquet(S.land_stream(spark, S.stream_source(spark, sf_dir), "raw")).drop("batch_id")
+    landed = spark.read.parquet(S.land_stream(spark, S.stream_source(spark, sf_dir), "raw"))
+    return landed.select("event_id", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 @register("stream_sink_append", "2.1", sql=_STREAM_SQL)
@@ -297,19 +305,27 @@ def q_stream_sink_append(spark, sf_dir):
     return S.stream_sink_append(spark, sf_dir).select("event_id", F.col("y").cast("double").alias("y"), "X1", "X2", "X3")
 
 
-@register("stream_features", "2.9")
+@register("stream_features", "2.9", sql="""
+SELECT event_id, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 2) AS y, value AS f1,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS f2, CAST(hour(ts) AS DOUBLE) AS f3 FROM events""")
 def q_stream_features(spark, sf_dir):
+    """Stream rows -> feature vectors (shown as f1..f3), landed and read back."""
     feats = S.stream_features(S.stream_source(spark, sf_dir))
-    landed = S.land_stream(spark, feats.withColumn("features", vector_to_array("features")), "features")
-    return spark.read.parquet(landed).drop("batch_id")
+    v = vector_to_array("features")
+    flat = feats.select("event_id", F.round(F.col("y").cast("double"), 2).alias("y"),
+                        *[F.get(v, i).alias(f"f{i + 1}") for i in range(3)])
+    return spark.read.parquet(S.land_stream(spark, flat, "features")).drop("batch_id")
 
 
-@register("stream_sink_json", "2.1")
+@register("stream_sink_json", "2.1", sql="""
+SELECT round(CAST(CAST(value AS FLOAT) AS DOUBLE), 2) AS y, value AS prediction FROM events""")
 def q_stream_sink_json(spark, sf_dir):
-    """``{"y", "prediction"}`` JSON messages written by a streaming sink and read back."""
+    """``{"y", "prediction"}`` JSON messages written by a streaming sink, read back and parsed
+    (y is a float in the message; amounts have cents, so 2 places recover it exactly)."""
     feats = S.stream_features(S.stream_source(spark, sf_dir)).withColumn("prediction", F.col("X1").cast("double"))
     out = S.json_sink(spark, feats, "json_sink")
-    return spark.read.text(out)
+    p = spark.read.text(out).select(F.from_json("value", "y double, prediction double").alias("p"))
+    return p.select(F.round("p.y", 2).alias("y"), F.col("p.prediction").alias("prediction"))
 
 
 @register("stream_train_then_score", "2.9")
