@@ -102,12 +102,20 @@ def outlier_flags(df: DataFrame, n: float = 4.0, by: Sequence[str] = ("source_fi
 
 
 def clean_transactions(df: DataFrame, cap: float | Column = AMOUNT_CAP, n: float = 4.0, two_sided: bool = False,
-                       action: str = "replace", by: Sequence[str] = ("source_file",)) -> DataFrame:
-    """incomplete rows -> amount cap -> time outliers, as one plan."""
-    cols = [c for c in df.columns if c != "source_file"]
-    return (df.transform(lambda d: drop_incomplete(d, 2, cols))
-              .transform(lambda d: cap_amount(d, cap))
-              .transform(lambda d: time_outliers(d, n=n, two_sided=two_sided, action=action, by=by)))
+                       action: str = "replace", by: Sequence[str] = ("source_file",), stage: bool = False) -> DataFrame:
+    """incomplete rows -> amount cap -> time outliers.
+
+    The outlier step reads its input three times (fit, residual σ, output).  With ``stage=True``
+    the filtered, capped rows are written once as parquet under the shared checkpoint root, so
+    an expensive input (text parsing) is computed once and the two statistics passes read only
+    the three columns they use.
+    """
+    cols = [c for c in df.columns if c not in by]
+    ready = df.transform(lambda d: drop_incomplete(d, 2, cols)).transform(lambda d: cap_amount(d, cap))
+    if stage:
+        from ledgerlens.session import materialize
+        ready = materialize(ready, "clean_input")
+    return time_outliers(ready, n=n, two_sided=two_sided, action=action, by=by)
 
 
 def clean_files(spark, in_path: str, out_path: str, cap: float | Column = AMOUNT_CAP, n: float = 4.0,
@@ -119,15 +127,11 @@ def clean_files(spark, in_path: str, out_path: str, cap: float | Column = AMOUNT
     columns and the final pass reads it whole - instead of parsing the text three times.
     Returns the written table.
     """
-    from ledgerlens.session import materialize
     from ledgerlens.sources.files import read_transactions, write_clean
 
     typed = read_transactions(spark, in_path)
-    cols = [c for c in typed.columns if c != "source_file"]
-    ready = cap_amount(drop_incomplete(typed, 2, cols), cap)
-    if stage:
-        ready = materialize(ready, "typed_tx")
-    write_clean(time_outliers(ready, n=n, two_sided=two_sided, action=action), out_path)
+    cleaned = clean_transactions(typed, cap=cap, n=n, two_sided=two_sided, action=action, stage=stage)
+    write_clean(cleaned, out_path)
     return spark.read.parquet(out_path)
 
 

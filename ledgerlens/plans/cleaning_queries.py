@@ -30,7 +30,8 @@ _CLEAN_SELECT = ("SELECT tranaction_id, tx_datetime, customer_id, terminal_id, t
 @register("clean_transactions", "2.2", sql=with_views("tx_parsed") + "," + clean_sql("tx_parsed")
           + f"\n{_CLEAN_SELECT} FROM c_out")
 def q_clean_transactions(spark, sf_dir):
-    return _clean_out(C.clean_transactions(parsed(spark, sf_dir)))
+    """Flagship: raw text -> typed -> incomplete rows -> cap -> per-file outlier repair (input staged once)."""
+    return _clean_out(C.clean_transactions(parsed(spark, sf_dir), stage=True))
 
 
 # ------------------------------------------------------------------ 2.1 sources and sinks
