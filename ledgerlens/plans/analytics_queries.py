@@ -10,7 +10,7 @@ from ledgerlens.operators import features as FE
 from ledgerlens.operators import kpi as K
 from ledgerlens.operators import profile as P
 from ledgerlens.plans.registry import register
-from ledgerlens.plans.sqlfixtures import clean_sql, with_views
+from ledgerlens.plans.sqlfixtures import clean_sql, fix_datetime_sql, with_views
 from ledgerlens.sources import files, tables
 from ledgerlens.sources.tables import TX_COLUMNS
 
@@ -101,6 +101,15 @@ def q_datetime_domain(spark, sf_dir):
     return P.datetime_domain(tables.tx_lines(spark, sf_dir))
 
 
+@register("datetime_bad_values", "2.4", sql=with_views("tx_lines") + f"""
+SELECT source_file, f[2] AS text, count(*) AS n
+FROM (SELECT source_file, string_split(value, ',') AS f FROM tx_lines WHERE NOT starts_with(value, '#'))
+WHERE ({fix_datetime_sql('f[2]')}) IS NULL GROUP BY 1, 2""")
+def q_datetime_bad_values(spark, sf_dir):
+    """The unparseable datetime texts per file with their counts (rows, not a list on the driver)."""
+    return P.datetime_bad_values(tables.tx_lines(spark, sf_dir))
+
+
 @register("box_stats", "2.4", sql=with_views("tx") + """,
 q AS (SELECT source_file, quantile_cont(tx_amount, [0.25, 0.5, 0.75]) AS qs FROM tx GROUP BY source_file),
 q2 AS (SELECT source_file, qs[1] AS q1, qs[2] AS median, qs[3] AS q3,
