@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.functions.datetime import DAY_SECONDS, datetime_parts, epoch_seconds, fix_datetime
-from ledgerlens.sources.files import header_columns
 from ledgerlens.sources.tables import TX_COLUMNS
 
 # Pandas dtype names reported per column, ordered from narrowest to widest.
@@ -59,24 +58,25 @@ def schema_drift(lines: DataFrame, n_fields: int = len(TX_COLUMNS)) -> DataFrame
     """Per column name: the dtypes it took across files, how many files have it, and the files lacking it.
 
     A column's dtype in one file is the widest kind of any of its values (int64 < float64 < object);
-    values are attributed to the header name at the same position in that file.
+    values are attributed to the header name at the same position in that file.  One aggregation
+    over the text per file picks up the header line and the value kinds together (one scan).
     """
-    body = lines.filter(~F.col("value").startswith("#")).select("source_file", F.split("value", ",").alias("_f"))
-    kinds = body.groupBy("source_file").agg(
-        *[F.max(_value_kind(F.get(F.col("_f"), i))).alias(f"k{i + 1}") for i in range(n_fields)])
+    is_hdr = F.col("value").startswith("#")
+    staged = lines.select("source_file", "value", is_hdr.alias("_h"), F.split("value", ",").alias("_f"))
+    per_file = staged.groupBy("source_file").agg(
+        F.max(F.when(F.col("_h"), F.col("value"))).alias("_hdr"),
+        *[F.max(F.when(~F.col("_h"), _value_kind(F.get(F.col("_f"), i)))).alias(f"k{i + 1}") for i in range(n_fields)])
     dt = F.array(*[F.lit(x) for x in DTYPES])
-    kinds_long = kinds.select("source_file", F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("position"), F.col(f"k{i + 1}").alias("k")) for i in range(n_fields)])).alias("_p"))
-    kinds_long = kinds_long.select("source_file", F.col("_p.position").alias("position"),
-                                   F.element_at(dt, F.col("_p.k") + 1).alias("dtype"))
-    hdr = header_columns(lines)
-    typed = hdr.join(kinds_long, ["source_file", "position"], "left")
-    files = hdr.select("source_file").distinct()
+    names = F.transform(F.split(F.regexp_replace("_hdr", "#", ""), r"\|"), lambda x: F.trim(x))
+    kinds = F.array(*[F.col(f"k{i + 1}") for i in range(n_fields)])
+    pairs = per_file.filter(F.col("_hdr").isNotNull()).select(
+        "source_file", F.posexplode(names).alias("pos", "column_name"), kinds.alias("_k"))
+    typed = pairs.select("source_file", "column_name", F.element_at(dt, F.get("_k", F.col("pos")) + 1).alias("dtype"))
     per_col = typed.groupBy("column_name").agg(
         F.array_join(F.array_sort(F.collect_set("dtype")), ",").alias("dtypes"),
         F.count(F.lit(1)).alias("n_files"),
         F.collect_set("source_file").alias("_present"))
-    all_files = files.agg(F.collect_set("source_file").alias("_all"))  # one row: the file list
+    all_files = per_file.filter(F.col("_hdr").isNotNull()).agg(F.collect_set("source_file").alias("_all"))  # one row
     return (per_col.crossJoin(F.broadcast(all_files))
                    .select("column_name", "dtypes", "n_files",
                            F.array_join(F.array_sort(F.array_except("_all", "_present")), ",").alias("absent_in")))
