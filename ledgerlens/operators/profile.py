@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.functions.datetime import DAY_SECONDS, datetime_parts, epoch_seconds, fix_datetime
+from ledgerlens.functions.datetime import datetime_parts, epoch_seconds, fix_datetime
 from ledgerlens.sources.tables import TX_COLUMNS
 
 # Pandas dtype names reported per column, ordered from narrowest to widest.
@@ -163,4 +163,4 @@ def residual_std(df: DataFrame, col: str) -> DataFrame:
 
 
 __all__ = ["column_profile", "schema_drift", "datetime_domain", "datetime_bad_values", "box_stats", "value_share",
-           "histogram", "daily_percentiles", "robust_cap", "residual_std", "DAY_SECONDS"]
+           "histogram", "daily_percentiles", "robust_cap", "residual_std"]

@@ -24,7 +24,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # The transaction columns in file order (the id keeps the original spelling).
 TX_COLUMNS = ("tranaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount",
               "tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario")
-TX_TYPES = ("bigint", "timestamp_ntz", "bigint", "bigint", "double", "double", "int", "int", "int")
 
 # Fixture rules (shared with the DuckDB oracle): which event ids get which defect.
 N_FILES = 4
@@ -142,8 +141,7 @@ def tx_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers.unionByName(body)
 
 
-# Review view mappings.
-SENTIMENT_BY_STATUS = {"F": "NEGATIVE", "O": "POSITIVE", "P": "NEUTRAL"}
+# Review view mappings (order status F -> NEGATIVE, O -> POSITIVE, else NEUTRAL).
 COUNTRIES = ("ru", "kz", "by")
 SOURCES = ("GooglePlay", "AppStore")  # o_custkey % 2 == 0 -> GooglePlay
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.datetime import epoch_micros, utc_instant
+from ledgerlens.functions.datetime import utc_instant
 from ledgerlens.functions.hashing import unit_hash
 from ledgerlens.operators.cleaning import TRAIN_SCHEMA, array_to_columns, parse_json
 from ledgerlens.operators.ml import assemble_features, linear_fit
@@ -170,4 +170,4 @@ def stream_daily_kpi(spark: SparkSession, sf_dir: str, delay: str = "1 day") ->
 
 
 __all__ = ["train_records", "stream_source", "stream_features", "idempotent_append", "land_stream", "json_sink",
-           "stream_sink_append", "stream_train_then_score", "stream_daily_kpi", "epoch_micros"]
+           "stream_sink_append", "stream_train_then_score", "stream_daily_kpi"]
