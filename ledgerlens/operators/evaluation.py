@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerlens.functions.hashing import poisson1, unit_hash
 
@@ -67,10 +66,13 @@ def best_run(runs: DataFrame, metric: str = "metric", started: str = "started")
     """``best_model = 1`` for exactly one run: the earliest to reach the highest metric.
 
     A run only takes the title by beating the holder, so among equal metrics the earliest wins.
-    The run table has one row per training run - small by nature.
+    The holder is found by ``orderBy(metric desc, started).limit(1)`` (each task keeps its best
+    row; no single-partition window) and that one row is broadcast back as the flag.
     """
-    w = Window.orderBy(F.col(metric).desc_nulls_last(), F.col(started))
-    return runs.withColumn("best_model", F.when(F.row_number().over(w) == 1, 1).otherwise(0))
+    holder = (runs.filter(F.col(metric).isNotNull()).orderBy(F.col(metric).desc(), F.col(started))
+                  .limit(1).select(F.col(started).alias("_holder")))
+    j = runs.join(F.broadcast(holder), F.col(started) == F.col("_holder"), "left")
+    return j.withColumn("best_model", F.when(F.col("_holder").isNotNull(), 1).otherwise(0)).drop("_holder")
 
 
 def class_balance(df: DataFrame, label: str = "tx_fraud") -> DataFrame:
@@ -84,8 +86,11 @@ def class_balance(df: DataFrame, label: str = "tx_fraud") -> DataFrame:
 
 
 def upsample(df: DataFrame, balance: DataFrame, label: str = "tx_fraud") -> DataFrame:
-    """Repeat each minority row ``factor`` times (``explode(sequence)``); the factor table has one row per class."""
-    j = df.join(F.broadcast(balance.select(label, "factor")), label)
+    """Repeat each minority row ``factor`` times (``explode(sequence)``).
+
+    The factor table has one row per class; AQE broadcasts it once its size is measured.
+    """
+    j = df.join(balance.select(label, "factor"), label)
     return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("factor")))).drop("_copy", "factor")
 
 
