@@ -76,6 +76,12 @@ def sample_rows(df: DataFrame, key: str, fraction: float, *strata: str) -> DataF
     return df.filter(unit_hash(key, *strata) < F.lit(fraction)) if strata else df.filter(unit_hash(key) < F.lit(fraction))
 
 
+def random_sample(df: DataFrame, fraction: float, seed: int = 7) -> DataFrame:
+    """Random Bernoulli sample (the notebook's ``sample(frac=...)``): each row is kept independently,
+    so every day keeps about ``fraction`` of its rows; no list of strata is built on the driver."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 def write_clean(df: DataFrame, path: str, by: str = "source_file") -> None:
     """Overwrite ``path`` with one parquet folder per value of ``by`` in one distributed write.
 

@@ -98,3 +98,14 @@ def test_map_labels_and_array_columns(spark):
     out = C.array_to_columns(C.map_labels(df, "c"), "X", 3).orderBy("c").collect()
     assert [r.sentiment for r in out] == ["NEUTRAL", "NEGATIVE"]
     assert out[1].X2 is None and out[0].X3 is None
+
+
+def test_samples_keep_about_the_fraction_per_day(spark):
+    from ledgerlens.sources.files import random_sample, sample_rows
+    df = spark.range(20000).withColumn("day", (F.col("id") % 10).cast("int"))
+    for s in (sample_rows(df, "id", 0.1), random_sample(df, 0.1)):
+        per_day = {r.day: r["count"] for r in s.groupBy("day").count().collect()}
+        assert all(120 <= n <= 280 for n in per_day.values()) and len(per_day) == 10
+    a = {r.id for r in sample_rows(df, "id", 0.1).collect()}
+    b = {r.id for r in sample_rows(df, "id", 0.1).collect()}
+    assert a == b  # deterministic
