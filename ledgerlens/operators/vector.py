@@ -36,7 +36,7 @@ def similar_rows(df: DataFrame, target_id, k: int = 100, key: str = "id", vec: s
                  cols: list[str] | None = None) -> DataFrame:
     """The k rows nearest to the target row (the target itself first, at distance 0)."""
     d = scalar_subquery(df, target_id, key, vec)
-    return d.select(key, *(cols or []), "distance").orderBy("distance", key).limit(k)
+    return d.select(key, *(cols or []), "distance").orderBy(F.col("distance").asc_nulls_last(), key).limit(k)
 
 
 _QUERY_CHUNK = 512
@@ -55,7 +55,7 @@ def _local_topk_fn(bq, k: int, key: str, vec: str):
             if b.num_rows == 0:
                 continue
             ids = b.column(key).to_numpy(zero_copy_only=False).astype(np.int64)
-            x = b.column(vec).values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            x = b.column(vec).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
             xn = (x * x).sum(axis=1)
             new_d, new_i = [], []
             for s0 in range(0, n_q, _QUERY_CHUNK):
@@ -99,7 +99,7 @@ def similar_rows_batch(df: DataFrame, queries: DataFrame, k: int = 10, key: str
     # hash buckets with 2x headroom: no global ordering of the query set is needed
     n_blocks = 1 if n_q <= block else (2 * n_q + block - 1) // block
     qb = queries.withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
-    data = df.select(key, vec)
+    data = df.select(key, vec).filter(F.col(vec).isNotNull())
     outs = []
     for bi in range(n_blocks):
         rows = qb.filter(F.col("_blk") == bi).select("query_id", vec).collect()  # <= block rows: size checked

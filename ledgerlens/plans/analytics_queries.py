@@ -283,10 +283,8 @@ def _win_sql(key: str, a: int, b: int, agg: str) -> str:
 def _cust_sql() -> str:
     cols = []
     for d in (1, 7, 30):
-        cnt = f"count(*) FILTER (WHERE tx_datetime IS NOT NULL)"
         cols.append(f"CASE WHEN tx_datetime IS NOT NULL THEN coalesce({_win_sql('customer_id', d, 0, 'count(tx_datetime)')}, 0) END AS c{d}d_cnt")
         cols.append(f"CASE WHEN tx_datetime IS NOT NULL THEN round(coalesce({_win_sql('customer_id', d, 0, 'sum(tx_amount)')}, 0), 6) END AS c{d}d_sum_tx_amount")
-        del cnt
     return ", ".join(cols)
 
 
