@@ -16,7 +16,8 @@ from ledgerlens.functions.datetime import fix_datetime
 from ledgerlens.functions.hashing import unit_hash
 from ledgerlens.sources.tables import TX_COLUMNS
 
-_FILE_FROM_PATH = r"([^/=]+)/[^/]*$"
+_PARTITION_VALUE = r"=([^/]+)/[^/]*$"   # .../source_file=<tag>/part-000.txt
+_FILE_NAME = r"([^/]+)$"                  # .../<tag>.txt
 
 
 def parse_transaction_lines(lines: DataFrame, shift_all: bool = False) -> DataFrame:
@@ -44,10 +45,15 @@ def parse_transaction_lines(lines: DataFrame, shift_all: bool = False) -> DataFr
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All text files below ``path`` as ``(source_file, value)``; the file tag is the leaf folder or file name."""
+    """All text files below ``path`` as ``(source_file, value)``.
+
+    The file tag is the file name, or the value of a ``source_file=<tag>`` folder when the files
+    were written partitioned (several part files then make up one logical file).
+    """
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), _FILE_FROM_PATH, 1).alias("source_file"),
-                      "value")
+    fp = F.col("_metadata.file_path")
+    tag = F.coalesce(F.nullif(F.regexp_extract(fp, _PARTITION_VALUE, 1), F.lit("")), F.regexp_extract(fp, _FILE_NAME, 1))
+    return raw.select(tag.alias("source_file"), "value")
 
 
 def read_transactions(spark: SparkSession, path: str, shift_all: bool = False) -> DataFrame:

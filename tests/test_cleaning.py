@@ -109,3 +109,18 @@ def test_samples_keep_about_the_fraction_per_day(spark):
     a = {r.id for r in sample_rows(df, "id", 0.1).collect()}
     b = {r.id for r in sample_rows(df, "id", 0.1).collect()}
     assert a == b  # deterministic
+
+
+def test_read_transactions_plain_files_tagged_by_name(spark):
+    import os
+    from ledgerlens.session import scratch_path
+    from ledgerlens.sources.files import read_transactions
+    root = scratch_path(spark, "plain_files").replace("file:", "")
+    os.makedirs(root, exist_ok=True)
+    for name, body in (("2019-08-22.txt", "1,2019-08-22 10:00:00,5,6,7.5,100,0,0,0"),
+                       ("2019-08-23.txt", "2,2019-08-23 24:00:00,5,6,1.25,200,1,1,2")):
+        with open(os.path.join(root, name), "w") as fh:
+            fh.write("# tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount | tx_time_seconds | "
+                     "tx_time_days | tx_fraud | tx_fraud_scenario\n" + body + "\n")
+    got = {r.source_file: (r.tranaction_id, r.tx_datetime) for r in read_transactions(spark, root).collect()}
+    assert got == {"2019-08-22.txt": (1, dt.datetime(2019, 8, 22, 10)), "2019-08-23.txt": (2, dt.datetime(2019, 8, 24, 0))}
