@@ -165,12 +165,13 @@ def q_robust_cap(spark, sf_dir):
 
 
 @register("residual_std", "2.4", sql=with_views("tx_parsed") + "," + clean_sql("tx_parsed", cap=1e300).split("c_res2 AS")[0].rstrip().rstrip(",") + """
-SELECT source_file, round(_sd, 6) AS sigma FROM c_sd""")
+SELECT source_file, round(_sd, 0) AS sigma FROM c_sd""")
 def q_residual_std(spark, sf_dir):
     p = parsed(spark, sf_dir)
     p = C.drop_incomplete(p, 2, [c for c in p.columns if c != "source_file"])
     f = C.outlier_flags(p)
-    return f.groupBy("source_file").agg(F.round(F.stddev_samp("residual"), 6).alias("sigma"))
+    # σ of residual seconds, in whole seconds (see cleaning_queries._clean_out)
+    return f.groupBy("source_file").agg(F.round(F.stddev_samp("residual"), 0).alias("sigma"))
 
 
 # ------------------------------------------------------------------ 2.4 review KPIs

@@ -20,11 +20,13 @@ def parsed(spark, sf_dir):
 
 
 def _clean_out(df):
-    return df.select(*[F.round("tx_time_seconds", 3).alias(c) if c == "tx_time_seconds" else F.col(c) for c in OUT_COLS])
+    """Seconds are reported in whole seconds: the counter counts seconds, and a fitted value differs
+    between two correct summation orders in its last bits (the original stored it as float32)."""
+    return df.select(*[F.round("tx_time_seconds", 0).alias(c) if c == "tx_time_seconds" else F.col(c) for c in OUT_COLS])
 
 
 _CLEAN_SELECT = ("SELECT tranaction_id, tx_datetime, customer_id, terminal_id, tx_amount, "
-                 "round(tx_time_seconds, 3) AS tx_time_seconds, tx_time_days, tx_fraud, tx_fraud_scenario, source_file")
+                 "round(tx_time_seconds, 0) AS tx_time_seconds, tx_time_days, tx_fraud, tx_fraud_scenario, source_file")
 
 
 @register("clean_transactions", "2.2", sql=with_views("tx_parsed") + "," + clean_sql("tx_parsed")
