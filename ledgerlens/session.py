@@ -56,12 +56,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """``DataFrame.checkpoint`` needs the context's directory; point it at the shared root."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark) + f"/{_SCRATCH_SUBDIR}/rdd")
-
-
 def spread(df):
     """Round-robin a scan that yields fewer partitions than the cluster has cores.
 
