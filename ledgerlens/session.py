@@ -15,8 +15,37 @@ from pyspark.sql import SparkSession
 _SCRATCH_SUBDIR = "ledgerlens"
 
 
+_MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings that keep every task's input and shuffle block near ``target_partition_mb``.
+
+    * scan splits of that size (``maxPartitionBytes``), so a 100 TB input is ~400k tasks;
+    * an initial shuffle width of input / target (never below 2x the cores), which AQE then
+      coalesces toward the advisory size - a stage after a selective filter shrinks by itself;
+    * skew handling: a shuffle partition over 4x the median and over 1 GB is split;
+    * broadcast joins only for sides measured under 64 MB at run time.
+    """
+    width = max(2 * cores, input_bytes // (target_partition_mb * _MB) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def get_session(master: str | None = None, app: str = "ledgerlens", shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
+    """Build (or reuse) a session.  With ``input_bytes`` and ``cores`` the partition sizing of
+    ``cluster_conf`` is applied (cluster runs); tests pass a small ``shuffle_partitions`` instead."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -29,6 +58,8 @@ def get_session(master: str | None = None, app: str = "ledgerlens", shuffle_part
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if input_bytes is not None and cores:
+        conf.update(cluster_conf(input_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
