@@ -181,6 +181,19 @@ def q_train_fraud(spark, sf_dir):
     return model.transform(f.filter(F.col("split") == "test")).select("tranaction_id", "tx_fraud", "prediction")
 
 
+@register("fraud_model_report", "2.8")
+def q_fraud_model_report(spark, sf_dir):
+    """The second model version end to end: window features -> hash split -> logistic regression ->
+    FNR/FPR on the hold-out with their targets, and a bootstrap interval for both."""
+    f = EV.train_test_split(_fraud_features(spark, sf_dir), "tranaction_id")
+    model = ML.train_fraud(f.filter(F.col("split") == "train"), FRAUD_FEATURES, kind="lr")
+    pred = (model.transform(f.filter(F.col("split") == "test"))
+                 .withColumn("prediction", F.col("prediction").cast("int")))
+    from ledgerlens.session import materialize
+    pred = materialize(pred.select("tranaction_id", "tx_fraud", "prediction"), "fraud_predictions")
+    return EV.fraud_metrics(pred).crossJoin(F.broadcast(EV.bootstrap_ci(pred, "tranaction_id", replicates=100)))
+
+
 # ------------------------------------------------------------------ 2.8 evaluation
 
 _RULE = "CAST(tx_amount >= 100 AS INTEGER)"
