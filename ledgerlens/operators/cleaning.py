@@ -59,7 +59,8 @@ def time_outliers(df: DataFrame, n: float = 4.0, two_sided: bool = False, action
                   y: str = "tx_time_seconds") -> DataFrame:
     """Regress ``y`` on the epoch seconds of ``x`` per group; repair or drop rows whose residual exceeds n·σ.
 
-    One-sided (``residual > nσ``) is the original job; ``two_sided`` uses ``|residual|``.
+    One-sided (``residual > nσ``) is the original job; ``two_sided`` (``|residual| >= nσ``) is the
+    notebook's rule.
     ``action='replace'`` puts the fitted value in ``y``; ``'drop'`` removes the row.
     σ is the sample standard deviation of the residuals; σ = 0 or unknown changes nothing,
     and a row without ``x`` or ``y`` is never an outlier.
@@ -77,8 +78,10 @@ def time_outliers(df: DataFrame, n: float = 4.0, two_sided: bool = False, action
     d = d.withColumn("_res", F.col(y) - F.col("_pred"))
     sd = d.groupBy(*by).agg(F.stddev_samp("_res").alias("_sd"))
     d = _stats_join(d, sd, by)
-    dev = F.abs(F.col("_res")) if two_sided else F.col("_res")
-    outlier = F.coalesce((F.col("_sd") > 0) & (dev > F.lit(n) * F.col("_sd")), F.lit(False))
+    border = F.lit(n) * F.col("_sd")
+    # one-sided as the job (residual > border); two-sided as the notebook, which kept |residual| < border
+    beyond = (F.abs(F.col("_res")) >= border) if two_sided else (F.col("_res") > border)
+    outlier = F.coalesce((F.col("_sd") > 0) & beyond, F.lit(False))
     if action == "replace":
         d = d.withColumn(y, F.when(outlier, F.col("_pred")).otherwise(F.col(y)))
     else:

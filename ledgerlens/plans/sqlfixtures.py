@@ -97,8 +97,8 @@ _PRESENT = " + ".join(
 
 def clean_sql(src: str, cap: float = 131.45, n: float = 4.0, two_sided: bool = False, action: str = "replace") -> str:
     """CTE chain (as text) for incomplete -> cap -> time outliers over the CTE named ``src``."""
-    dev = "abs(_res)" if two_sided else "_res"
-    outl = f"coalesce(_sd > 0 AND {dev} > {n} * _sd, FALSE)"
+    beyond = f"abs(_res) >= {n} * _sd" if two_sided else f"_res > {n} * _sd"
+    outl = f"coalesce(_sd > 0 AND {beyond}, FALSE)"
     cols = "tranaction_id, tx_datetime, customer_id, terminal_id, tx_amount, tx_time_days, tx_fraud, tx_fraud_scenario, source_file"
     final = (f"SELECT {cols}, CASE WHEN {outl} THEN _pred ELSE tx_time_seconds END AS tx_time_seconds FROM c_res2"
              if action == "replace" else
