@@ -73,3 +73,20 @@ def test_customer_and_terminal_wrappers(spark):
     assert all(r.t7d_risk is None or 0.0 <= r.t7d_risk <= 1.0 for r in t)
     filled = impute(customer_windows(df, days=(7,)), ["c7d_avg"], "mean").filter("tx_datetime is not null")
     assert filled.filter("c7d_avg is null").count() == 0
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """One card holds a third of all rows: partitions of the (key, hour) window stay balanced,
+    while partitioning by the card alone would put that third in one task."""
+    from pyspark.sql import functions as F
+    n = 30000
+    df = (spark.range(n)
+          .withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1))
+          .withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 97 % (20 * 86400)).cast("timestamp_ntz"))
+          .withColumn("v", F.lit(1.0)))
+    out = trailing_stats(df, "k", "ts", [("w", 7, 0)], ["v"])
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    by_key = [r["count"] for r in df.repartition(8, "k").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(by_key) >= n / 3                      # by card: the hot third lands in one partition
+    assert max(sizes) < n / 3                        # by (card, hour): it does not
+    assert max(sizes) <= 1.5 * n / len(sizes)        # and the partitions AQE settles on are balanced
