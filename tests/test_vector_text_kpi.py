@@ -76,3 +76,22 @@ def test_weighted_rating_from_star_map(spark):
 def test_round_half_up_on_decimal_reading(spark):
     r = spark.range(1).select(K.round_half_up(F.lit(2.675)).alias("a"), K.pct(F.lit(0.285)).alias("b")).first()
     assert r.a == 2.68 and r.b == 29
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_dedup_combines_copies_before_the_shuffle(spark):
+    rows = [(i, "hot text" if i % 3 == 0 else f"t{i}", i % 5, "s") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, content string, source_rank int, source string").repartition(8)
+    plan = _plan(dedup_content(df))
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_profile_scans_once(spark):
+    from ledgerlens.operators.profile import column_profile
+    df = spark.range(1000).selectExpr("cast(id % 4 as string) as source_file", "id", "cast(null as double) as x")
+    plan = _plan(column_profile(df))
+    assert plan.count("Range (") == 1 and "Expand" in plan
