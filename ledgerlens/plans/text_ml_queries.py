@@ -31,27 +31,46 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _has(text: str) -> str:
+    return f"content ILIKE '%{text}%' ESCAPE '\\'"
+
+
+# Hand-written SQL for the fixed queries (independent of the query parser): NOT binds tighter
+# than AND, AND tighter than OR, adjacent terms mean AND, quotes keep a phrase, % and _ are literal.
+QUERY_SQL = f"(({_has('the')} OR {_has('le')}) AND NOT {_has('de la')} AND {_has('eau')})"
+SAVED_SQL = {
+    "the": _has("the"),
+    "le OR la": f"({_has('le')} OR {_has('la')})",
+    "NOT the": f"NOT {_has('the')}",
+    '"de la"': _has("de la"),
+    "(ent OR oui) AND NOT eau": f"(({_has('ent')} OR {_has('oui')}) AND NOT {_has('eau')})",
+    "des_": _has("des\\_"),
+    "100%": _has("100\\%"),
+    "": "TRUE",
+}
+
+
 # ------------------------------------------------------------------ 2.7 text
 
-@register("contains_ci", "2.7", sql=with_views("docs") + f"\nSELECT id FROM docs WHERE {TX.search_sql('content', '\"' + TERM + '\"')}")
+@register("contains_ci", "2.7", sql=with_views("docs") + f"\nSELECT id FROM docs WHERE {_has(TERM.lower())}")
 def q_contains_ci(spark, sf_dir):
     return T.contains(tables.docs(spark, sf_dir), TERM).select("id")
 
 
-@register("boolean_search", "2.7", sql=with_views("docs") + f"\nSELECT id FROM docs WHERE {TX.search_sql('content', QUERY)}")
+@register("boolean_search", "2.7", sql=with_views("docs") + f"\nSELECT id FROM docs WHERE {QUERY_SQL}")
 def q_boolean_search(spark, sf_dir):
     return T.boolean_search(tables.docs(spark, sf_dir), QUERY).select("id")
 
 
 @register("boolean_search_batch", "2.7", sql=with_views("docs") + "\n" + "\nUNION ALL\n".join(
-    f"SELECT {_sql_str(q)} AS query, count(*) FILTER (WHERE {TX.search_sql('content', q)}) AS n_rows FROM docs"
+    f"SELECT {_sql_str(q)} AS query, count(*) FILTER (WHERE {SAVED_SQL[q]}) AS n_rows FROM docs"
     for q in SAVED_QUERIES))
 def q_boolean_search_batch(spark, sf_dir):
     return T.boolean_search_batch(tables.docs(spark, sf_dir), SAVED_QUERIES)
 
 
 @register("top_k", "2.6", sql=with_views("docs") + f"""
-SELECT id, length(content) AS n_chars FROM docs WHERE {TX.search_sql('content', 'the OR le')} ORDER BY id LIMIT 200""")
+SELECT id, length(content) AS n_chars FROM docs WHERE ({_has('the')} OR {_has('le')}) ORDER BY id LIMIT 200""")
 def q_top_k(spark, sf_dir):
     """Second page of the comment table for a search (the view grows by 100 rows per page)."""
     hits = T.boolean_search(tables.docs(spark, sf_dir), "the OR le")
