@@ -196,6 +196,13 @@ def q_score_histogram(spark, sf_dir):
     return K.score_histogram(tables.rv(spark, sf_dir), AS_OF)
 
 
+@register("score_histogram_midnight", "2.4", sql=with_views("rv") + "\nSELECT " + ", ".join(
+    f"count(*) FILTER (WHERE score = {s}) AS n_{s}" for s in range(1, 6)) + f" FROM rv WHERE created_time <= TIMESTAMP '{AS_OF} 00:00:00'")
+def q_score_histogram_midnight(spark, sf_dir):
+    """The original histogram filter, ``created_time <= midnight of the date``."""
+    return K.score_histogram(tables.rv(spark, sf_dir), AS_OF, inclusive=False)
+
+
 _LAST30 = f"CAST(created_time AS DATE) <= DATE '{AS_OF}' AND CAST(created_time AS DATE) > DATE '{AS_OF}' - 30"
 
 

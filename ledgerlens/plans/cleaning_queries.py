@@ -153,6 +153,25 @@ def q_fix_datetime(spark, sf_dir):
     return raw.withColumn("tx_datetime", fix_datetime("raw_datetime"))
 
 
+def _shift_all_sql(text: str) -> str:
+    """The original job's rule written out: hour 24 -> 23, then one hour added to every row."""
+    s = f"regexp_replace(trim({text}), '\\s+', ' ', 'g')"
+    rx = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+    y, mo, d, h, mi, se = [f"TRY_CAST(regexp_extract({s}, '{rx}', {i}) AS INTEGER)" for i in range(1, 7)]
+    return (f"CASE WHEN {se} < 60 THEN try(make_timestamp({y}, {mo}, {d}, CASE WHEN {h} = 24 THEN 23 ELSE {h} END, "
+            f"{mi}, {se})) + INTERVAL 1 HOUR END")
+
+
+@register("fix_datetime_shift_all", "2.2", sql=with_views("tx_lines") + f"""
+SELECT source_file, f[1] AS raw_id, {_shift_all_sql('f[2]')} AS tx_datetime
+FROM (SELECT source_file, string_split(value, ',') AS f FROM tx_lines WHERE NOT starts_with(value, '#'))""")
+def q_fix_datetime_shift_all(spark, sf_dir):
+    """The original job's behaviour, kept as an option: every row moves one hour."""
+    lines = tables.tx_lines(spark, sf_dir).filter(~F.col("value").startswith("#"))
+    f = lines.select("source_file", F.split("value", ",").alias("f"))
+    return f.select("source_file", F.get("f", 0).alias("raw_id"), fix_datetime(F.get("f", 1), shift_all=True).alias("tx_datetime"))
+
+
 @register("fix_datetime_report", "2.2", sql=with_views("tx_lines") + f"""
 SELECT source_file, count(*) AS n_rows, count(*) FILTER (WHERE fixed IS NULL) AS n_bad,
        count(*) FILTER (WHERE fixed IS NOT NULL AND coalesce(h24, FALSE)) AS n_repaired,
