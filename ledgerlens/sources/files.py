@@ -89,12 +89,15 @@ def random_sample(df: DataFrame, fraction: float, seed: int = 7) -> DataFrame:
 
 
 def write_clean(df: DataFrame, path: str, by: str = "source_file") -> None:
-    """Overwrite ``path`` with one parquet folder per value of ``by`` in one distributed write.
+    """One parquet folder per value of ``by``, written in one distributed job.
 
-    No shuffle before the write: every task writes its own part file into each folder it
-    touches, so a file holding a third of all rows is still written by many tasks.
+    Only the folders this run writes are replaced (dynamic partition overwrite), as the original
+    replaced each input file's output on its own: a run over today's files leaves earlier outputs
+    alone, and a re-run of the same files replaces them.  No shuffle before the write: every task
+    writes its own part file into each folder it touches, so a file holding a third of all rows is
+    still written by many tasks.
     """
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -124,3 +124,14 @@ def test_read_transactions_plain_files_tagged_by_name(spark):
                      "tx_time_days | tx_fraud | tx_fraud_scenario\n" + body + "\n")
     got = {r.source_file: (r.tranaction_id, r.tx_datetime) for r in read_transactions(spark, root).collect()}
     assert got == {"2019-08-22.txt": (1, dt.datetime(2019, 8, 22, 10)), "2019-08-23.txt": (2, dt.datetime(2019, 8, 24, 0))}
+
+
+def test_write_clean_replaces_only_the_files_it_writes(spark):
+    from ledgerlens.session import scratch_path
+    from ledgerlens.sources.files import write_clean
+    path = scratch_path(spark, "clean_out")
+    day1 = spark.createDataFrame([(1, "a.txt"), (2, "b.txt")], "id int, source_file string")
+    write_clean(day1, path)
+    write_clean(spark.createDataFrame([(3, "b.txt")], "id int, source_file string"), path)
+    got = sorted((r.source_file, r.id) for r in spark.read.parquet(path).collect())
+    assert got == [("a.txt", 1), ("b.txt", 3)]
