@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import HashingTF, IDF, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +47,12 @@ def linear_predict(model, df: DataFrame) -> DataFrame:
 
 def sentiment_pipeline(text_col: str = "content", label_col: str = "label", num_features: int = 1 << 18) -> Pipeline:
     """Normalised tokens -> hashed term frequencies -> IDF -> multinomial logistic regression."""
-    from pyspark.ml.feature import SQLTransformer
+    def lit(pattern: str) -> str:  # a regex as a SQL string literal: backslashes are escapes there
+        return "'" + pattern.replace("\\", "\\\\") + "'"
+
     tok = SQLTransformer(statement=(
-        f"SELECT *, filter(split(regexp_replace(regexp_replace(lower({text_col}), '{T.NON_WORD}', ' '), "
-        f"'\\\\s{{2,}}', ' '), ' '), w -> w != '') AS _tokens FROM __THIS__"))
+        f"SELECT *, filter(split(regexp_replace(regexp_replace(lower({text_col}), {lit(T.NON_WORD)}, ' '), "
+        f"{lit(r'\s{2,}')}, ' '), ' '), w -> w != '') AS _tokens FROM __THIS__"))
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="_tfidf")
     lr = LogisticRegression(featuresCol="_tfidf", labelCol=label_col, family="multinomial", maxIter=50, regParam=0.01)

@@ -95,3 +95,13 @@ def test_profile_scans_once(spark):
     df = spark.range(1000).selectExpr("cast(id % 4 as string) as source_file", "id", "cast(null as double) as x")
     plan = _plan(column_profile(df))
     assert plan.count("Range (") == 1 and "Expand" in plan
+
+
+def test_sentiment_tokens_match_the_dataframe_normalisation(spark):
+    from ledgerlens.functions.text import tokens
+    from ledgerlens.operators.ml import sentiment_pipeline
+    df = spark.createDataFrame([("Hello, World! Товар — супер_1  ok", 1.0)], "content string, label double")
+    tok = sentiment_pipeline().getStages()[0]
+    got = tok.transform(df).first()["_tokens"]
+    want = df.select(tokens(normalize_text("content")).alias("t")).first().t
+    assert got == want == ["hello", "world", "товар", "супер_1", "ok"]
