@@ -81,8 +81,9 @@ def source_score(rt: DataFrame, as_of: str) -> DataFrame:
 
 
 def star_histogram(rv: DataFrame, by: str = "source") -> DataFrame:
-    """Per source: ``map<star, count>`` (the shape the store APIs return)."""
-    per_star = rv.groupBy(by, "score").agg(F.count(F.lit(1)).alias("n"))
+    """Per source: ``map<star, count>`` (the shape the store APIs return); reviews without a score are skipped
+    (a map cannot have a NULL key)."""
+    per_star = rv.filter(F.col("score").isNotNull()).groupBy(by, "score").agg(F.count(F.lit(1)).alias("n"))
     return per_star.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("score", "n"))).alias("stars"))
 
 

@@ -105,3 +105,9 @@ def test_sentiment_tokens_match_the_dataframe_normalisation(spark):
     got = tok.transform(df).first()["_tokens"]
     want = df.select(tokens(normalize_text("content")).alias("t")).first().t
     assert got == want == ["hello", "world", "товар", "супер_1", "ok"]
+
+
+def test_star_histogram_skips_missing_scores(spark):
+    rv = spark.createDataFrame([("s", 5), ("s", None), ("s", 3)], "source string, score int")
+    r = K.weighted_rating(K.star_histogram(rv)).first()
+    assert r["score"] == 4.0 and r["count"] == 2
