@@ -135,3 +135,23 @@ def test_write_clean_replaces_only_the_files_it_writes(spark):
     write_clean(spark.createDataFrame([(3, "b.txt")], "id int, source_file string"), path)
     got = sorted((r.source_file, r.id) for r in spark.read.parquet(path).collect())
     assert got == [("a.txt", 1), ("b.txt", 3)]
+
+
+def test_load_table_csv_rating_and_vector_files(spark):
+    import os
+    from ledgerlens.session import scratch_path
+    from ledgerlens.sources.files import RATING_SCHEMA, REVIEWS_SCHEMA, load_table_csv
+    root = scratch_path(spark, "csv_in").replace("file:", "")
+    os.makedirs(root + "/rating", exist_ok=True)
+    os.makedirs(root + "/reviews", exist_ok=True)
+    with open(root + "/rating/rating.csv", "w") as fh:   # header names differ from the table: columns are positional
+        fh.write("score,source,dates,ratings\n,AppStore,2022-09-05,\n4.75,GooglePlay,2022-09-06,1200\n")
+    with open(root + "/reviews/reviews.csv", "w") as fh:
+        fh.write("content|score|created_time|country|source|sentiment|embeddings\n"
+                 "good app|5|2023-01-02 10:00:00|ru|AppStore  |POSITIVE  |[0.5,-1.25,2.0]\n")
+    r = {x.source: x for x in load_table_csv(spark, root + "/rating", RATING_SCHEMA).collect()}
+    assert r["AppStore"].score is None and r["AppStore"]["count"] is None
+    assert r["GooglePlay"].score == 4.75 and r["GooglePlay"]["count"] == 1200 and str(r["GooglePlay"].dates) == "2022-09-06"
+    v = load_table_csv(spark, root + "/reviews", REVIEWS_SCHEMA, sep="|", vector_cols=("embeddings",)).first()
+    assert v.embeddings == [0.5, -1.25, 2.0] and v.source == "AppStore" and v.sentiment == "POSITIVE"
+    assert v.created_time == dt.datetime(2023, 1, 2, 10)
