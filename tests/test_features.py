@@ -90,3 +90,22 @@ def test_hot_key_is_spread_over_partitions(spark):
     assert max(by_key) >= n / 3                      # by card: the hot third lands in one partition
     assert max(sizes) < n / 3                        # by (card, hour): it does not
     assert max(sizes) <= 1.5 * n / len(sizes)        # and the partitions AQE settles on are balanced
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(a=st.integers(1, 12), gap=st.integers(1, 12), bucket=st.sampled_from([15, 60, 180, 720, 1440]),
+       seed=st.integers(0, 10_000))
+def test_trailing_stats_property(spark, a, gap, bucket, seed):
+    b = max(0, a - gap)
+    rows = _fixture(seed=seed, n=150)
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v double, y int")
+    got = trailing_stats(df, "k", "ts", [("w", a, b)], ["v"], bucket_minutes=bucket).collect()
+    want = _brute(rows, a, b)
+    for r in got:
+        cnt, sm = want[r.id]
+        assert r.w_cnt == cnt
+        assert (r.w_sum_v is None and sm is None) or abs(r.w_sum_v - sm) < 1e-6
