@@ -318,7 +318,7 @@ def q_customer_windows(spark, sf_dir):
 @register("terminal_risk", "2.5", sql=with_views("tx") + f"""
 SELECT tranaction_id, terminal_id,
        coalesce({_win_sql('terminal_id', 14, 7, 'count(*)')}, 0) AS t7d_cnt,
-       coalesce({_win_sql('terminal_id', 14, 7, 'sum(tx_fraud)')}, 0) AS t7d_sum_tx_fraud,
+       CAST(coalesce({_win_sql('terminal_id', 14, 7, 'sum(tx_fraud)')}, 0) AS BIGINT) AS t7d_sum_tx_fraud,
        round(CASE WHEN coalesce({_win_sql('terminal_id', 14, 7, 'count(*)')}, 0) > 0
              THEN {_win_sql('terminal_id', 14, 7, 'sum(tx_fraud)')} / {_win_sql('terminal_id', 14, 7, 'count(*)')}
              ELSE 0.0 END, 6) AS t7d_risk
@@ -353,7 +353,7 @@ LANGS = ("en", "fr", "de", "es")
 
 
 @register("union_sources", "2.6", sql=with_views("docs") + """
-SELECT id, country, 'store_' || country AS store, length(content) AS n_chars FROM docs WHERE country IN ('en', 'fr', 'de', 'es')""")
+SELECT id, country, 'store_' || country AS store, CAST(length(content) AS INTEGER) AS n_chars FROM docs WHERE country IN ('en', 'fr', 'de', 'es')""")
 def q_union_sources(spark, sf_dir):
     from ledgerlens.operators.text import union_sources
     d = tables.docs(spark, sf_dir).select("id", "content", "country")
@@ -366,7 +366,7 @@ def q_union_sources(spark, sf_dir):
 r AS (SELECT *, CAST(substr(source, 4) AS INTEGER) AS source_rank FROM docs),
 w AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY source_rank, id) AS rn,
              count(*) OVER (PARTITION BY content) AS n_copies FROM r)
-SELECT id, source_rank, country, source, n_copies, length(content) AS n_chars FROM w WHERE rn = 1""")
+SELECT id, source_rank, country, source, n_copies, CAST(length(content) AS INTEGER) AS n_chars FROM w WHERE rn = 1""")
 def q_dedup_content(spark, sf_dir):
     from ledgerlens.operators.text import dedup_content
     d = tables.docs(spark, sf_dir).withColumn("source_rank", F.substring("source", 4, 10).cast("int"))

@@ -101,7 +101,7 @@ def vec_sum(col):
 
 
 @register("load_vectors_csv", "2.1", sql=with_views("emb") + f"""
-SELECT id, label, len(embeddings) AS dims, {VEC_SUM_SQL} AS vec_sum FROM emb""")
+SELECT id, label, CAST(len(embeddings) AS INTEGER) AS dims, {VEC_SUM_SQL} AS vec_sum FROM emb""")
 def q_load_vectors_csv(spark, sf_dir):
     """'|'-separated file with a ``[x,y,..]`` vector literal column, loaded back as ``array<float>``."""
     from pyspark.sql import types as T
@@ -275,7 +275,7 @@ def q_parse_json(spark, sf_dir):
                     *[F.get(F.col("raw_data.X"), i).alias(f"X{i + 1}") for i in range(3)])
 
 
-@register("format_json", "2.2", sql="SELECT to_json({'y': value, 'prediction': value * 2}) AS value FROM events")
+@register("format_json", "2.2", sql="SELECT CAST(to_json({'y': value, 'prediction': value * 2}) AS VARCHAR) AS value FROM events")
 def q_format_json(spark, sf_dir):
     ev = tables.load(spark, sf_dir, "events").select(F.col("value").alias("y"), (F.col("value") * 2).alias("prediction"))
     return C.format_json(ev, ["y", "prediction"])

@@ -1,4 +1,4 @@
-"""Compare a Spark result with a DuckDB oracle result: row count, column names, and an
+"""Compare a Spark result with a DuckDB oracle result: column names and types, row count, and an
 order-insensitive digest of the values (floats rounded to 6 places)."""
 
 from __future__ import annotations
@@ -30,6 +30,21 @@ def digest(rows, cols):
     return hashlib.sha1("\n".join(keyed).encode()).hexdigest(), keyed
 
 
+# Spark type -> the DuckDB type an equivalent SQL result must have.
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                   "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def type_mismatches(df, description) -> list[str]:
+    duck = {d[0]: str(d[1]) for d in description}
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if SPARK_TO_DUCKDB.get(t, t) != duck.get(f.name):
+            out.append(f"{f.name}: spark {t} vs sql {duck.get(f.name)}")
+    return out
+
+
 def duckdb_connection(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -46,6 +61,9 @@ def compare(df, con, sql: str) -> tuple[bool, str]:
     ocols = [d[0] for d in cur.description]
     if sorted(cols) != sorted(ocols):
         return False, f"columns differ: {sorted(cols)} vs {sorted(ocols)}"
+    bad_types = type_mismatches(df, cur.description)
+    if bad_types:
+        return False, "types differ: " + "; ".join(bad_types)
     if len(rows) != len(orows):
         return False, f"row counts differ: {len(rows)} vs {len(orows)}"
     h1, k1 = digest(rows, cols)

@@ -70,7 +70,7 @@ def q_boolean_search_batch(spark, sf_dir):
 
 
 @register("top_k", "2.6", sql=with_views("docs") + f"""
-SELECT id, length(content) AS n_chars FROM docs WHERE ({_has('the')} OR {_has('le')}) ORDER BY id LIMIT 200""")
+SELECT id, CAST(length(content) AS INTEGER) AS n_chars FROM docs WHERE ({_has('the')} OR {_has('le')}) ORDER BY id LIMIT 200""")
 def q_top_k(spark, sf_dir):
     """Second page of the comment table for a search (the view grows by 100 rows per page)."""
     hits = T.boolean_search(tables.docs(spark, sf_dir), "the OR le")
@@ -323,7 +323,7 @@ SELECT event_id, CAST(CAST(value AS FLOAT) AS DOUBLE) AS y, value AS X1,
 
 @register("stream_source", "2.1", sql="""
 SELECT event_id, CAST(event_id % 2 AS VARCHAR) AS key,
-       to_json({'X': [value, CAST(json_extract_string(props, '$.k') AS DOUBLE), CAST(hour(ts) AS DOUBLE)], 'y': value}) AS value
+       CAST(to_json({'X': [value, CAST(json_extract_string(props, '$.k') AS DOUBLE), CAST(hour(ts) AS DOUBLE)], 'y': value}) AS VARCHAR) AS value
 FROM events""")
 def q_stream_source(spark, sf_dir):
     """Raw train messages (key, JSON value) landed from the stream source."""
