@@ -164,11 +164,17 @@ def q_linear_fit(spark, sf_dir):
     return c.select(F.round("intercept", 4).alias("intercept"), F.round("coef_x", 4).alias("coef_x"))
 
 
-@register("linear_predict", "2.8")
+@register("linear_predict", "2.8", sql=with_views("tx_parsed") + f""",
+x AS (SELECT tranaction_id, (epoch_us(tx_datetime) // 1000000 - epoch_us(TIMESTAMP '{TX_EPOCH}') // 1000000) / 86400.0 AS x,
+             tx_time_seconds AS y FROM tx_parsed),
+c AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM x)
+SELECT tranaction_id, round(a + b * x, 0) AS prediction FROM x, c WHERE x IS NOT NULL""")
 def q_linear_predict(spark, sf_dir):
+    """Every row with a feature scored by the fitted OLS line; predicted seconds in whole seconds."""
     d = _parsed(spark, sf_dir).withColumn("x", _days_x())
     model = ML.linear_fit(d, ["x"], "tx_time_seconds")
-    return ML.linear_predict(model, ML.assemble_features(d, ["x"])).select("tranaction_id", "prediction")
+    pred = ML.linear_predict(model, ML.assemble_features(d, ["x"]))
+    return pred.select("tranaction_id", F.round("prediction", 0).alias("prediction"))
 
 
 @register("score_sentiment", "2.8")
