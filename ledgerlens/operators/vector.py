@@ -43,12 +43,16 @@ _QUERY_CHUNK = 512
 
 
 def _local_topk_fn(bq, k: int, key: str, vec: str):
-    """Per partition: for each query keep the k rows smallest by (distance, id), exact distances."""
+    """Per partition: for each query keep the k rows smallest by (exact distance, id).
+
+    Candidates are pre-selected on the cheap expansion |q|^2 - 2 q.x + |x|^2, keeping every row
+    within a floating-point error bound of the query's k-th value - so rows tied with the k-th
+    are never cut - and only those get exact distances.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qv, qids = bq.value
         n_q, dim = qv.shape
-        margin = 2 * k
         best_d = np.full((n_q, 0), np.inf)
         best_i = np.zeros((n_q, 0), dtype=np.int64)
         for b in batches:
@@ -56,28 +60,37 @@ def _local_topk_fn(bq, k: int, key: str, vec: str):
                 continue
             ids = b.column(key).to_numpy(zero_copy_only=False).astype(np.int64)
             x = b.column(vec).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            n = x.shape[0]
             xn = (x * x).sum(axis=1)
             new_d, new_i = [], []
             for s0 in range(0, n_q, _QUERY_CHUNK):
                 q = qv[s0:s0 + _QUERY_CHUNK]
-                # cheap expansion to pick candidates, then exact distances for the survivors only
-                d2 = (q * q).sum(axis=1)[:, None] - 2.0 * (q @ x.T) + xn[None, :]
-                m = min(margin, x.shape[0])
-                cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < x.shape[0] else \
-                    np.tile(np.arange(x.shape[0]), (q.shape[0], 1))
+                qn = (q * q).sum(axis=1)
+                d2 = qn[:, None] - 2.0 * (q @ x.T) + xn[None, :]
+                m = min(k, n)
+                kth = np.partition(d2, m - 1, axis=1)[:, m - 1]
+                tol = 1e-9 * (qn + xn.max()) + 1e-12          # far above the expansion's rounding error
+                width = int((d2 <= (kth + tol)[:, None]).sum(axis=1).max())
+                cand = np.argpartition(d2, width - 1, axis=1)[:, :width] if width < n else \
+                    np.tile(np.arange(n), (q.shape[0], 1))
                 diff = x[cand] - q[:, None, :]
                 new_d.append(np.sqrt((diff * diff).sum(axis=2)))
                 new_i.append(ids[cand])
-            cd = np.concatenate([best_d, np.concatenate(new_d)], axis=1)
-            ci = np.concatenate([best_i, np.concatenate(new_i)], axis=1)
+            width = max(d.shape[1] for d in new_d)
+            pad_d = [np.pad(d, ((0, 0), (0, width - d.shape[1])), constant_values=np.inf) for d in new_d]
+            pad_i = [np.pad(i, ((0, 0), (0, width - i.shape[1])), constant_values=np.iinfo(np.int64).max) for i in new_i]
+            cd = np.concatenate([best_d, np.concatenate(pad_d)], axis=1)
+            ci = np.concatenate([best_i, np.concatenate(pad_i)], axis=1)
             order = np.lexsort((ci, cd), axis=1)[:, :k]
             best_d = np.take_along_axis(cd, order, axis=1)
             best_i = np.take_along_axis(ci, order, axis=1)
         if best_d.shape[1] == 0:
             return
+        keep = np.isfinite(best_d)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(qids, best_d.shape[1]), pa.int64()), pa.array(best_i.ravel(), pa.int64()),
-             pa.array(best_d.ravel(), pa.float64())], names=["query_id", key, "distance"])
+            [pa.array(np.repeat(qids, best_d.shape[1])[keep.ravel()], pa.int64()),
+             pa.array(best_i.ravel()[keep.ravel()], pa.int64()),
+             pa.array(best_d.ravel()[keep.ravel()], pa.float64())], names=["query_id", key, "distance"])
     return run
 
 

@@ -111,3 +111,15 @@ def test_star_histogram_skips_missing_scores(spark):
     rv = spark.createDataFrame([("s", 5), ("s", None), ("s", 3)], "source string, score int")
     r = K.weighted_rating(K.star_histogram(rv)).first()
     assert r["score"] == 4.0 and r["count"] == 2
+
+
+def test_similar_rows_batch_exact_with_many_ties(spark):
+    """Far more than 2k rows share the k-th distance: the k smallest ids among them must win."""
+    x = np.zeros((400, 4), dtype=np.float32)
+    x[:, 0] = 1.0
+    x[0] = 0.0                       # the query row itself; every other row is at distance 1
+    rows = [(i, [float(v) for v in x[i]]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, embeddings array<float>").repartition(3)
+    qs = df.filter(F.col("id") == 0).select(F.col("id").alias("query_id"), "embeddings")
+    got = [r.id for r in sorted(similar_rows_batch(df, qs, k=5).collect(), key=lambda r: r.rank)]
+    assert got == [0, 1, 2, 3, 4]
