@@ -31,12 +31,34 @@ from ledgerlens.functions.datetime import DAY_MICROS, epoch_micros
 WindowSpec = tuple[str, int, int]  # (name, a_days, b_days): rows in [t - a days, t - b days)
 
 
+# Largest number of rows one (key, bucket) window task should hold when the bucket is chosen automatically.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def choose_bucket_minutes(df: DataFrame, key: str, ts: str, max_group_rows: int = MAX_GROUP_ROWS) -> int:
+    """Coarsest bucket in {60, 30, 15, 5, 1} minutes whose largest (key, bucket) group should stay
+    under ``max_group_rows``, from the measured largest (key, hour) group (one partial aggregate;
+    a single number reaches the driver)."""
+    hour = F.floor(epoch_micros(ts) / F.lit(3_600_000_000))
+    worst = (df.filter(F.col(ts).isNotNull()).groupBy(key, hour.alias("_h")).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.max("n")).first()[0]) or 0
+    for minutes in (60, 30, 15, 5, 1):
+        if worst * minutes / 60 <= max_group_rows:
+            return minutes
+    return 1
+
+
 def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec],
-                   values: Sequence[str] = (), bucket_minutes: int = 60) -> DataFrame:
-    """Add ``{name}_cnt`` and ``{name}_sum_{v}`` for every window spec; 0 when the window is empty."""
+                   values: Sequence[str] = (), bucket_minutes: int | str = 60) -> DataFrame:
+    """Add ``{name}_cnt`` and ``{name}_sum_{v}`` for every window spec; 0 when the window is empty.
+
+    ``bucket_minutes="auto"`` measures the data first (``choose_bucket_minutes``).
+    """
     for name, a, b in specs:
         if not (a > b >= 0):
             raise ValueError(f"window {name}: need a > b >= 0")
+    if bucket_minutes == "auto":
+        bucket_minutes = choose_bucket_minutes(df, key, ts)
     if (24 * 60) % bucket_minutes:
         raise ValueError("bucket_minutes must divide one day")
     k = (24 * 60) // bucket_minutes          # buckets per day
@@ -104,11 +126,11 @@ def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec]
 
 
 def customer_windows(tx: DataFrame, days: Sequence[int] = (1, 7, 30), key: str = "customer_id",
-                     ts: str = "tx_datetime", amount: str = "tx_amount") -> DataFrame:
+                     ts: str = "tx_datetime", amount: str = "tx_amount", bucket_minutes: int | str = "auto") -> DataFrame:
     """Per card: number and total amount of its earlier transactions in the last 1, 7 and 30 days (0 if none),
     and the mean amount (NULL if none - see ``impute``)."""
     specs = [(f"c{d}d", d, 0) for d in days]
-    out = trailing_stats(tx, key, ts, specs, [amount])
+    out = trailing_stats(tx, key, ts, specs, [amount], bucket_minutes)
     for name, _, _ in specs:
         out = out.withColumn(f"{name}_avg", F.col(f"{name}_sum_{amount}") / F.when(F.col(f"{name}_cnt") > 0,
                                                                                  F.col(f"{name}_cnt")))
@@ -116,14 +138,14 @@ def customer_windows(tx: DataFrame, days: Sequence[int] = (1, 7, 30), key: str =
 
 
 def terminal_risk(tx: DataFrame, window_days: int = 7, delay_days: int = 7, key: str = "terminal_id",
-                  ts: str = "tx_datetime", label: str = "tx_fraud") -> DataFrame:
+                  ts: str = "tx_datetime", label: str = "tx_fraud", bucket_minutes: int | str = "auto") -> DataFrame:
     """Per terminal: transactions and frauds in ``[t - delay - window, t - delay)`` and their ratio.
 
     The delay leaves out the days whose fraud labels would not be known yet at time t
     (without it the feature leaks the target).
     """
     name = f"t{window_days}d"
-    out = trailing_stats(tx, key, ts, [(name, delay_days + window_days, delay_days)], [label])
+    out = trailing_stats(tx, key, ts, [(name, delay_days + window_days, delay_days)], [label], bucket_minutes)
     cnt, fr = F.col(f"{name}_cnt"), F.col(f"{name}_sum_{label}")
     return out.withColumn(f"{name}_risk", F.when(cnt > 0, fr / cnt).otherwise(F.when(cnt.isNotNull(), F.lit(0.0))))
 

@@ -109,3 +109,13 @@ def test_trailing_stats_property(spark, a, gap, bucket, seed):
         cnt, sm = want[r.id]
         assert r.w_cnt == cnt
         assert (r.w_sum_v is None and sm is None) or abs(r.w_sum_v - sm) < 1e-6
+
+
+def test_auto_bucket_shrinks_for_a_hot_hour(spark):
+    from pyspark.sql import functions as F
+    from ledgerlens.operators.features import choose_bucket_minutes
+    df = (spark.range(6000).withColumn("k", F.lit(1))
+          .withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3600).cast("timestamp_ntz")))
+    assert choose_bucket_minutes(df, "k", "ts", max_group_rows=10_000) == 60
+    assert choose_bucket_minutes(df, "k", "ts", max_group_rows=1_000) == 5
+    assert choose_bucket_minutes(df, "k", "ts", max_group_rows=10) == 1
