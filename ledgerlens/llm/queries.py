@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontam, token_codes, warc
+from ledgerlens.llm import decontam, lm_score, quality, token_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,3 +93,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives with segmented records and read back."""
     found = warc.roundtrip(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_lm_score")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the backoff automaton learned from four fifths of them."""
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and decision of every document under the model of trusted text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).drop("text")
