@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontam, lm_score, quality, token_codes, warc
+from ledgerlens.llm import decontam, langid, lm_score, quality, secret_scan, token_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -106,3 +106,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and decision of every document under the model of trusted text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return quality.classify(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query("op7_langid")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from its text, learned from three quarters of them."""
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
+@query("op5_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole document: base rules and the network's findings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.digest(secret_scan.scan(docs).drop("text"))

@@ -169,3 +169,24 @@ def code_points(buf: np.ndarray) -> np.ndarray:
     out = np.zeros(len(buf) + 1, np.int64)
     np.cumsum((buf & 0xC0) != 0x80, out=out[1:])
     return out
+
+
+def gram_blocks(buf: np.ndarray, offs: np.ndarray, order: int, pad: int, block: int = BLOCK):
+    """(code, row) of the ``order``-gram of bytes that ends at every byte, in blocks of the buffer.
+
+    The last byte is the lowest of the code; texts read as if ``pad`` bytes stood before them.
+    """
+    for lo in range(0, len(buf), block):
+        hi = min(lo + block, len(buf))
+        first = int(np.searchsorted(offs, lo, "right")) - 1
+        last = int(np.searchsorted(offs, hi, "left"))
+        rows = np.repeat(np.arange(first, last), np.diff(np.clip(offs[first:last + 1], lo, hi)))
+        at = np.arange(lo, hi) - offs[rows]
+        code = buf[lo:hi].astype(U64)
+        for j in range(1, order):
+            past = np.full(hi - lo, pad, U64)
+            skip = max(0, j - lo)
+            past[skip:] = buf[lo - j + skip:hi - j]
+            past[at < j] = pad
+            code |= past << U64(8 * j)
+        yield code, rows
