@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontam, langid, lm_score, quality, secret_scan, token_codes, warc
+from ledgerlens.llm import decontam, langid, lm_score, near_embed, ngram_join, quality, secret_scan, token_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +119,38 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole document: base rules and the network's findings."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.digest(secret_scan.scan(docs).drop("text"))
+
+
+@query("op6_near_embed", sql="""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.vec_id, CAST((SELECT count(*) FROM pairs WHERE pairs.a = c.vec_id) AS BIGINT) AS n_links, c.component_id,
+       c.vec_id = c.component_id AS kept FROM comp c
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label."""
+    return near_embed.link(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_ngram_join", sql=r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM words WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT c.a, c.b FROM common c JOIN size x ON x.doc_id = c.a JOIN size y ON y.doc_id = c.b
+          WHERE c.n * 10 >= 8 * (x.n + y.n - c.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
+degree AS (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a)
+SELECT c.doc_id, c.class_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, c.doc_id = c.class_id AS kept
+FROM comp c LEFT JOIN degree d ON d.doc_id = c.doc_id
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy groups and link counts of all documents."""
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
