@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontam, langid, lm_score, near_embed, ngram_join, quality, secret_scan, token_codes, warc
+from ledgerlens.llm import decontam, langid, lm_score, near_embed, ngram_join, quality, secret_scan, sp_sample, token_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -154,3 +154,10 @@ FROM comp c LEFT JOIN degree d ON d.doc_id = c.doc_id
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy groups and link counts of all documents."""
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_sp_sample")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every whole document, with ids and inclusion scores."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sp_sample.sample(docs, tokenizer_path("piece_bpe_32k.model"))

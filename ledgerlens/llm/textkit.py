@@ -84,8 +84,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["p"], _POW["i"]
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every byte span ``[start, end)``; spans are sorted by start and may overlap."""
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, code=None) -> np.ndarray:
+    """64-bit hash of every span ``[start, end)``; spans are sorted by start and may overlap.
+
+    ``buf`` holds bytes, or larger codes that ``code`` maps to 64 bits.
+    """
     out = np.empty(len(starts), U64)
     lo = 0
     while lo < len(starts):
@@ -94,7 +97,8 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         b = int(ends[lo:hi].max())
         power, inverse = _powers(b - a)
         sums = np.zeros(b - a + 1, U64)
-        np.cumsum(_BYTE[buf[a:b]] * power[:b - a], out=sums[1:])
+        values = _BYTE[buf[a:b]] if code is None else code(buf[a:b].astype(U64) + U64(1))
+        np.cumsum(values * power[:b - a], out=sums[1:])
         s, e = starts[lo:hi] - a, ends[lo:hi] - a
         out[lo:hi] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(U64)
         lo = hi
