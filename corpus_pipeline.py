@@ -14,6 +14,8 @@ recomputes at most one stage.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import decontam, ngram_join, quality, secret_scan, sp_sample
@@ -43,12 +45,20 @@ def sample_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return sp_sample.sample(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
-STAGES = [("quality", keep_good), ("near_copies", drop_near_copies), ("benchmark", cut_benchmark),
-          ("secrets", mask_secrets), ("tokens", sample_tokens)]
+def _stage(fn):
+    """Python workers import the package from where the driver does."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return fn(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, _stage(fn)) for name, fn in (("quality", keep_good), ("near_copies", drop_near_copies), ("benchmark", cut_benchmark),
+                                              ("secrets", mask_secrets), ("tokens", sample_tokens))]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)  # Python workers import the package too
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline_{name}")
