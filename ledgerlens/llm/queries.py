@@ -79,7 +79,7 @@ def tokenizer_path(name: str) -> str:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as directly addressable codes and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_codes.roundtrip(docs, tokenizer_path("word_bpe_49k.json")).drop("ids_le32")
+    return token_codes.roundtrip(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
 @query("op9_warc", sql="""

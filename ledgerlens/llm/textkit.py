@@ -105,14 +105,19 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, code=None
     return mix64(out)
 
 
-def word_spans(buf: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of bytes with ``table`` set, never across rows: starts, ends, row numbers."""
+def word_spans(buf: np.ndarray, offs: np.ndarray, table: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes with ``table`` set, never across rows: starts, ends, row numbers.
+
+    Runs also end before the bytes where ``cut`` is set.
+    """
     m = table[buf]
     if not len(m):
         z = np.zeros(0, np.int64)
         return z, z, z
     edge = np.zeros(len(m) + 1, bool)
     edge[offs] = True
+    if cut is not None:
+        edge[:-1] |= cut
     before = np.empty_like(m)
     before[0], before[1:] = False, m[:-1]
     after = np.empty_like(m)

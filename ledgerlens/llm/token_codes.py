@@ -13,9 +13,8 @@ level: chunks (u8), continuation bitmap (u64 words), rank directory (u64 per 512
 
 Scale: texts are range-partitioned by doc id (one shuffle of the texts), each task encodes its
 sorted run and emits segments of about ``segment_tokens`` tokens, and Spark's text writer stores
-them (``TRAILER`` is its line separator), so commits are atomic and any store works.  Word pieces
-are looked up per distinct white-space-separated word; the tokenizer sees each distinct word of a
-batch once (its pre-tokenizer never crosses white space).  Global starts come from one row of
+them (``TRAILER`` is its line separator), so commits are atomic and any store works.  The tokenizer
+sees each distinct unit of text (a word without the signs after it) once per cache.  Global starts come from one row of
 totals per file.
 
 Defined results: null text is empty (only the end id); null doc ids come first; repeated doc ids
@@ -63,16 +62,21 @@ def encode_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndar
             return out
 
 
+def header(view: memoryview) -> tuple[dict, int]:
+    """Header of a segment and where its sections begin."""
+    if bytes(view[:8]) != MAGIC:
+        raise ValueError("not a DAC segment")
+    size = int.from_bytes(view[8:16], "little")
+    return json.loads(bytes(view[16:16 + size])), 16 + size
+
+
 class Segment:
     """A parsed segment; ``access`` reads single tokens, ``slice`` a run of them."""
 
     def __init__(self, blob):
         view = memoryview(blob)
-        if bytes(view[:8]) != MAGIC:
-            raise ValueError("not a DAC segment")
-        size = int.from_bytes(view[8:16], "little")
-        head = json.loads(bytes(view[16:16 + size]))
-        body = view[16 + size:]
+        head, at = header(view)
+        body = view[at:]
         if len(body) != sum(head["sections"]) or zlib.crc32(body) != head["crc32"]:
             raise ValueError("damaged DAC segment")
         parts, at = [], 0
@@ -141,51 +145,122 @@ def split_segments(data) -> list[memoryview]:
     """Segments of a file, by their own lengths."""
     view, at, out, end = memoryview(data), 0, [], len(TRAILER.encode())
     while at < len(view):
-        size = int.from_bytes(view[at + 8:at + 16], "little")
-        head = json.loads(bytes(view[at + 16:at + 16 + size]))
-        stop = at + 16 + size + sum(head["sections"])
+        head, begin = header(view[at:])
+        stop = at + begin + sum(head["sections"])
         out.append(view[at:stop])
         at = stop + end
     return out
 
 
 # ------------------------------------------------------------------ tokens of texts
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_OTHER = tk.NOT_SPACE & ~_LETTER
+_OTHER[0x80:] = False
+
+
+def units(buf: np.ndarray, offs: np.ndarray):
+    """Runs of text whose ids do not depend on their surroundings: starts, ends, rows, bytes.
+
+    The tokenizer lowers case, drops white space, and its pieces never go from a letter to a sign
+    or digit, so words end there too and A-Z are lowered.  Where ``<|`` occurs (a special token may
+    follow) texts are only split at white space.
+    """
+    if b"<|" in buf.tobytes():
+        return *tk.word_spans(buf, offs, tk.NOT_SPACE), buf
+    cut = np.zeros(len(buf), bool)
+    cut[1:] = _LETTER[buf[:-1]] & _OTHER[buf[1:]]
+    buf = tk.LOWER[buf]
+    return *tk.word_spans(buf, offs, tk.NOT_SPACE, cut), buf
+
+
 class WordTokenizer:
-    """Ids of whole texts; each distinct white-space-separated word is encoded once per cache."""
+    """Ids of whole texts; each distinct unit of text is encoded once per cache.
+
+    The cache holds sorted runs of word hashes, merged as they grow; beyond ``limit`` words it
+    starts anew.
+    """
 
-    def __init__(self, path: str, cache: int = 1 << 20):
+    MARK = "<|endoftext|>"  # a special token: words on its two sides are encoded apart
+
+    def __init__(self, path: str, limit: int = 1 << 20):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tok, self.limit = Tokenizer.from_file(path), cache
+        self.tok, self.limit = Tokenizer.from_file(path), limit
+        self.mark = self.tok.token_to_id(self.MARK)
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)  # tokens that end a piece
+        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.place = np.zeros(0, tk.U64), np.zeros(0, np.int64)
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
         self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _words(self, words: list[bytes]) -> None:
+        """Encode new units, some hundreds at a time.
+
+        Units of letters alone are one piece of the tokenizer each: joined by spaces, every one ends
+        with its first word-end token.  Others have marks between them, or go alone.
+        """
+        texts = [w.decode() for w in words]
+        plain = np.array([t.lower().isalpha() for t in texts], bool)
+        odd = np.array(["<|" in t for t in texts], bool)
+        ids, sizes = [], np.zeros(len(words), np.int64)
+        for group, glue in ((np.flatnonzero(plain), " "), (np.flatnonzero(~plain & ~odd), self.MARK)):
+            for lo in range(0, len(group), 500):
+                some = group[lo:lo + 500]
+                joined = glue.join([texts[i] for i in some]) + (glue if glue != " " else "")
+                flat = np.array(self.tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+                stops = np.flatnonzero(self.ends[flat] if glue == " " else flat == self.mark)
+                if len(stops) != len(some):
+                    odd[some] = True
+                    continue
+                n = np.diff(stops, prepend=-1) - (glue != " ")
+                ids.append((some, n, flat if glue == " " else flat[flat != self.mark]))
+        for i in np.flatnonzero(odd):
+            got = np.array(self.tok.encode(texts[i], add_special_tokens=False).ids, np.int64)
+            ids.append((np.array([i]), np.array([len(got)]), got))
+        for some, n, _ in ids:
+            sizes[some] = n
+        first = np.cumsum(sizes) - sizes
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        for some, n, flat in ids:
+            out[np.repeat(first[some] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
+        self.ids = np.concatenate([self.ids, out])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), -1, np.int64)
+        for known, place in self.runs:
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[at] == keys
+            out[hit] = place[at[hit]]
+        return out
+
+    def _add(self, keys: np.ndarray, place: np.ndarray) -> None:
+        self.runs.append((keys, place))
+        while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
+            (a, x), (b, y) = self.runs[-2:]
+            k, v = np.concatenate([a, b]), np.concatenate([x, y])
+            o = np.argsort(k, kind="stable")
+            self.runs[-2:] = [(k[o], v[o])]
+
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each text."""
-        starts, ends, rows, h = tk.word_hashes(buf, offs, tk.NOT_SPACE, lower=False)
+        starts, ends, rows, buf = units(buf, offs)
+        h = tk.span_hashes(buf, starts, ends)
         uniq, where, inv = np.unique(h, return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, uniq), max(len(self.keys) - 1, 0))
-        new = self.keys[at] != uniq if len(self.keys) else np.ones(len(uniq), bool)
-        if new.any():
-            if len(self.keys) + new.sum() > self.limit:
-                self.clear()
-                new = np.ones(len(uniq), bool)
+        if len(self.first) + len(uniq) > self.limit:
+            self.clear()
+        place = self._places(uniq)
+        new = np.flatnonzero(place < 0)
+        if len(new):
             data = buf.tobytes()
-            words = [data[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
-            got = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-            n = np.array([len(g) for g in got], np.int64)
-            place = len(self.first) - 1 + np.arange(len(got))
-            self.ids = np.concatenate([self.ids, np.array([x for g in got for x in g], np.uint32)])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
-            keys, place = np.concatenate([self.keys, uniq[new]]), np.concatenate([self.place, place])
-            o = np.argsort(keys)
-            self.keys, self.place = keys[o], place[o]
-            at = np.searchsorted(self.keys, uniq)
-        place = self.place[at][inv] if len(uniq) else np.zeros(0, np.int64)
+            place[new] = len(self.first) - 1 + np.arange(len(new))
+            self._words([data[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())])
+            self._add(uniq[new], place[new])
+        place = place[inv]
         n = self.first[place + 1] - self.first[place]
         total = int(n.sum())
         begin = np.cumsum(n) - n
@@ -193,6 +268,16 @@ class WordTokenizer:
         return ids, np.bincount(rows, weights=n, minlength=len(offs) - 1).astype(np.int64)
 
 
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker; its cache serves all tasks the worker runs."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """``end_id`` after the ids of every text."""
     out = np.full(len(ids) + len(lengths), end_id, np.uint32)
@@ -213,7 +298,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, segment_t
                    .drop("_h"))
 
     def encode(batches):
-        tok = WordTokenizer(tokenizer)
+        tok = word_tokenizer(tokenizer)
         doc_ids, lengths, ids, held = [], [], [], 0
         for batch in batches:
             names = batch.column(0).to_pylist()
@@ -241,8 +326,8 @@ def _width(docs: DataFrame) -> int:
     return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def read(spark, path: str) -> DataFrame:
-    """Documents of the files below ``path``: doc_id, start, n_tokens, ids (array of int), ids_crc32."""
+def read(spark, path: str, with_ids: bool = True) -> DataFrame:
+    """Documents of the files below ``path``: doc_id, start, n_tokens, ids_crc32, ids_le32 (ids as 32-bit little-endian)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
                   .where("length > 0").select("path", "content"))
 
@@ -252,24 +337,21 @@ def read(spark, path: str) -> DataFrame:
                 at = 0
                 for blob in split_segments(data.as_buffer()):
                     seg = Segment(blob)
-                    runs = [seg.slice(int(a), int(b)) for a, b in zip(seg.starts[:-1], seg.starts[1:])]
-                    n = np.diff(seg.starts)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([name] * seg.n_docs, pa.string()),
-                        pa.array(np.ma.masked_array(seg.doc_ids, seg.null)) if seg.null.any() else pa.array(seg.doc_ids),
-                        pa.array(at + seg.starts[:-1]), pa.array(n),
-                        pa.array([zlib.crc32(r.astype("<u4").tobytes()) for r in runs], pa.int64()),
-                        pa.array([r.astype("<u4").tobytes() for r in runs], pa.binary())],
-                        ["file", "doc_id", "local_start", "n_tokens", "ids_crc32", "ids_le32"])
+                    ids = memoryview(seg.slice(0, seg.n).astype("<u4").view(np.uint8))
+                    runs = [ids[4 * a:4 * b] for a, b in zip(seg.starts[:-1].tolist(), seg.starts[1:].tolist())]
+                    cols = {"file": pa.array([name] * seg.n_docs, pa.string()), "doc_id": pa.array(seg.doc_ids, mask=seg.null),
+                            "local_start": pa.array(at + seg.starts[:-1]), "n_tokens": pa.array(np.diff(seg.starts)),
+                            "ids_crc32": pa.array([zlib.crc32(r) for r in runs], pa.int64())}
+                    if with_ids:
+                        cols["ids_le32"] = pa.array([bytes(r) for r in runs], pa.binary())
+                    yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
                     at += seg.n
 
-    docs = files.mapInArrow(decode, "file string, doc_id long, local_start long, n_tokens long, ids_crc32 long, ids_le32 binary")
+    docs = files.mapInArrow(decode, "file string, doc_id long, local_start long, n_tokens long, ids_crc32 long" + ", ids_le32 binary" * with_ids)
 
     def totals(batches):
         for batch in batches:
-            n = []
-            for data in batch.column(1):
-                n.append(sum(Segment(blob).n for blob in split_segments(data.as_buffer())))
+            n = [sum(header(blob)[0]["n"] for blob in split_segments(data.as_buffer())) for data in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["file", "total"])
 
     # one row per file; the writer numbers files as the doc id ranges they hold
@@ -277,11 +359,11 @@ def read(spark, path: str) -> DataFrame:
     per_file = (files.mapInArrow(totals, "file string, total long")
                      .select("file", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("before")))
     return (docs.join(F.broadcast(per_file), "file")
-                .select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", "ids_le32"))
+                .select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", *["ids_le32"] * with_ids))
 
 
-def roundtrip(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
+def roundtrip(docs: DataFrame, tokenizer: str, end_id: int = 2, with_ids: bool = True) -> DataFrame:
     """Write ``docs`` under the shared checkpoint folder and read the files back."""
     path = scratch_path(docs.sparkSession, "token_codes")
     write(docs, path, tokenizer, end_id)
-    return read(docs.sparkSession, path)
+    return read(docs.sparkSession, path, with_ids)
