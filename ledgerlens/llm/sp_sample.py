@@ -70,12 +70,13 @@ class Vocabulary:
         for (i, p), w in zip(normal, weight):
             h = 0
             for c in p:
-                h = (h * int(_K) + int(_CODE(np.array([ord(c)]))[0])) & (2 ** 64 - 1)
+                h = (h * int(_K) + int(_code(np.array([ord(c)]))[0])) & (2 ** 64 - 1)
                 entries.setdefault(h, (-1, 0.0))
             entries[h] = (i, float(w))
             if len(p) > 1:
                 inside |= set(p)
-        self.joins = np.array(sorted(ord(c) for c in inside), np.uint32)  # characters of longer pieces
+        self.alone = np.ones(LITERAL + 1, bool)  # characters that are no part of a longer piece
+        self.alone[[ord(c) for c in inside]] = False
         self.bits = 20
         slot = np.full(1 << self.bits, -1, np.int32)
         self.keys = np.array(list(entries), np.uint64)
@@ -105,8 +106,11 @@ class Vocabulary:
         return out
 
 
-def _CODE(chars: np.ndarray) -> np.ndarray:  # noqa: N802
-    return tk.mix64(chars.astype(np.uint64) + U(1))
+_HASH = tk.mix64(np.arange(1, LITERAL + 2, dtype=np.uint64))  # of every character
+
+
+def _code(chars: np.ndarray) -> np.ndarray:
+    return _HASH[chars]
 
 
 _K = U(0x9E3779B97F4A7C15)
@@ -126,125 +130,147 @@ def decode_batch(vocab: Vocabulary, ids: np.ndarray, offs: np.ndarray) -> tuple[
 
 
 # ------------------------------------------------------------------ lattices of distinct words
+LONG, SCALE = 48, 2.5  # words beyond LONG characters are summed in logs; SCALE: nats a character, against underflow
+
+
 class Lattices:
-    """Arcs of the lattices of words (character codes with spans), all in flat arrays.
+    """Arcs of the lattices of words (character codes with spans), in flat arrays.
 
-    Node numbers: word w has nodes ``first[w] .. first[w] + len``.  Arcs are sorted by source node;
-    likely ones first, and ``top[arc]`` is the cumulative probability within the node.
+    Words are sorted by length, and nodes numbered by their distance to the word's end, so the
+    backward sums of one distance are one slice.  Arcs are sorted by source node (``begin``); arc a
+    has probability ``way[a] / beta[source]`` given its source, ``way`` being its weight times the
+    sum of its target.
     """
 
     def __init__(self, vocab: Vocabulary, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         size = ends - starts
-        self.first = np.cumsum(size + 1) - (size + 1)
-        flat = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        place = np.repeat(starts, size) + flat            # character positions of all words
-        node = np.repeat(self.first, size) + flat
-        left = np.repeat(size, size) - flat               # characters up to the word's end
-        codes = _CODE(chars)
-        src, length, piece, weight = [], [], [], []
-        single = np.zeros(len(place), bool)
-        live, h = np.arange(len(place)), np.zeros(len(place), np.uint64)
-        nodes = int((size + 1).sum())
-        filled = np.zeros(nodes, np.int64)                # arcs of every node so far
-        rank: list = []
+        self.first = np.zeros(len(size), np.int64)
+        parts, nodes, arcs = [], 0, 0
+        for logs in (False, True):
+            some = np.flatnonzero((size > LONG) == logs)
+            if not len(some):
+                continue
+            first, begin, dst, piece, weight, beta, distance = self._build(vocab, chars, ends[some], size[some], logs)
+            self.first[some] = first + nodes
+            parts.append((begin[:-1] + arcs, dst + np.int32(nodes), piece, weight, beta, distance))
+            nodes, arcs = nodes + len(beta), arcs + len(dst)
+        if not parts:
+            parts = [tuple(np.zeros(0, t) for t in (np.int64, np.int32, np.int32, np.float64, np.float64, np.int32))]
+        begin, self.dst, self.piece, self.way, self.beta, self.distance = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts))
+        self.begin = np.append(begin, arcs)
+
+    @staticmethod
+    def _build(vocab: Vocabulary, chars: np.ndarray, ends: np.ndarray, size: np.ndarray, logs: bool):
+        order = np.argsort(-size, kind="stable")
+        most = int(size[order[0]])
+        have = len(size) - np.searchsorted(np.sort(size), np.arange(most + 1))  # words with that distance
+        off = _offsets(have)
+        nodes = int(off[-1])
+        distance = np.repeat(np.arange(most + 1, dtype=np.int32), have)
+        rank_of = (np.arange(nodes) - off[distance]).astype(np.int32)
+        place = ends[order][rank_of] - distance
+        live = np.arange(int(off[1]), nodes)
+        h = np.zeros(len(live), np.uint64)
+        single = np.zeros(nodes, bool)
+        filled = np.zeros(nodes, np.int64)
+        src, rank, length, piece, weight = [], [], [], [], []
+
+        def add(at, n, ids, w):
+            src.append(at)
+            rank.append(filled[at])
+            filled[at] += 1
+            length.append(np.full(len(at), n, np.int32))
+            piece.append(ids)
+            weight.append(w + SCALE * n if logs else np.exp(w + SCALE * n))
+
         for n in range(1, vocab.longest + 1):
-            keep = left[live] >= n
-            live, h = live[keep], h[keep]
+            if n > 1:
+                keep = distance[live] >= n
+                live, h = live[keep], h[keep]
             if not len(live):
                 break
-            h = h * _K + codes[place[live] + n - 1]
+            where = place[live] + (n - 1)
+            h = h * _K + _code(chars[where])
             entry = vocab.find(h)
             keep = entry >= 0                             # no piece begins like the others
             live, h, entry = live[keep], h[keep], entry[keep]
             hit = vocab.ids[entry] >= 0
-            at = node[live[hit]]
-            src.append(at)
-            rank.append(filled[at])
-            filled[at] += 1
-            length.append(np.full(len(at), n))
-            piece.append(vocab.ids[entry[hit]])
-            weight.append(vocab.weights[entry[hit]])
+            add(live[hit], n, vocab.ids[entry[hit]].astype(np.int32), vocab.weights[entry[hit]])
             if n == 1:
                 single[live[hit]] = True
-        bare = np.flatnonzero(~single)                    # characters spelled in bytes
-        code = chars[place[bare]]
+        bare = np.flatnonzero(~single[int(off[1]):]) + int(off[1])  # characters spelled in bytes
+        code = chars[place[bare]].astype(np.int64)
         n_bytes = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + ((code > 0xFFFF) & (code != LITERAL))
-        src.append(node[bare])
-        rank.append(filled[node[bare]])
-        filled[node[bare]] += 1
-        length.append(np.ones(len(bare), np.int64))
-        piece.append(-1 - code.astype(np.int64))
-        weight.append(n_bytes * vocab.byte_weight)
-        # arcs sorted by source node, by counting
-        self.begin = _offsets(filled)
-        src, length, piece, weight, rank = (np.concatenate(x) for x in (src, length, piece, weight, rank))
-        at = self.begin[src] + rank
-        self.src, self.dst, self.piece, arc_weight = (np.empty(len(src), t) for t in (np.int32, np.int32, np.int32, np.float64))
-        self.src[at], self.dst[at], self.piece[at], arc_weight[at] = src, src + length, piece, weight
-        weight = arc_weight
-        # backward sums, by distance to the end of the word
+        add(bare, 1, (-1 - code).astype(np.int32), n_bytes * vocab.byte_weight)
+        begin = _offsets(filled)
+        src, rank, length, piece, weight = (np.concatenate(x) for x in (src, rank, length, piece, weight))
+        at = begin[src] + rank
+        dst, own, w = np.empty(len(src), np.int32), np.empty(len(src), np.int32), np.empty(len(src))
+        dst[at] = off[distance[src] - length] + rank_of[src]
+        own[at], w[at] = piece, weight
         beta = np.zeros(nodes)
-        distance = np.zeros(nodes, np.int64)
-        distance[node] = left
-        arc_distance = distance[self.src]
-        by = np.argsort(arc_distance.astype(np.uint16) if len(left) and left.max() < 1 << 16 else arc_distance, kind="stable")
-        cut = np.flatnonzero(np.diff(arc_distance[by])) + 1
-        for a, b in zip(np.concatenate([[0], cut]).tolist(), np.concatenate([cut, [len(by)]]).tolist()):
-            if b > a:
-                arcs = by[a:b]
-                s = self.src[arcs]
-                new = np.concatenate([[0], np.flatnonzero(np.diff(s)) + 1])
-                beta[s[new]] = np.logaddexp.reduceat(weight[arcs] + beta[self.dst[arcs]], new)
-        self.log_q = np.minimum(weight + beta[self.dst] - beta[self.src], 0.0)
-        # the likeliest arc of a node comes first
-        count = np.diff(self.begin)
-        some = np.flatnonzero(count > 1)
-        if len(some):
-            many = np.repeat(count > 1, count)
-            where = np.flatnonzero(many)
-            cuts = _offsets(count[some])
-            _, best = _first_in_row(self.log_q[where], cuts)
-            a, b = self.begin[some], where[best]
-            for x in (self.dst, self.piece, self.log_q):
-                x[a], x[b] = x[b], x[a]
-        q = np.exp(self.log_q)
-        total = np.concatenate([[0.0], np.cumsum(q)])
-        self.top = total[1:] - total[self.begin[self.src]]  # cumulative probability within the node
-        last = self.begin[1:][count > 0] - 1
-        self.top[last] = 2.0
-        self.end = np.zeros(nodes, bool)
-        self.end[self.first + size] = True
-
-
-def uniform(key: np.ndarray, stream, place: np.ndarray) -> np.ndarray:
-    """Uniform numbers in (0, 1) from row keys, a stream number and a place."""
-    h = tk.mix64(tk.mix64(key + U(0x632BE59BD9B4E019 * stream % 2 ** 64)) + place.astype(np.uint64) * _K)
+        beta[:have[0]] = 0.0 if logs else 1.0
+        total = np.logaddexp if logs else np.add
+        for d in range(1, most + 1):
+            lo, hi = int(off[d]), int(off[d + 1])
+            a, b = int(begin[lo]), int(begin[hi])
+            w[a:b] = w[a:b] + beta[dst[a:b]] if logs else w[a:b] * beta[dst[a:b]]
+            beta[lo:hi] = total.reduceat(w[a:b], begin[lo:hi] - a)
+        if logs:  # conditional probabilities, with all sums 1
+            w = np.exp(w - np.repeat(beta, filled))
+            beta = np.ones(nodes)
+        first = np.empty(len(size), np.int64)
+        first[order] = off[size[order]] + np.arange(len(size))
+        return first, begin, dst, own, w, beta, distance
+
+    def source(self, arc: int) -> int:
+        return int(np.searchsorted(self.begin, arc, "right")) - 1
+
+
+def streams(key: np.ndarray, number: int) -> np.ndarray:
+    """Seeds of one stream of random numbers from row keys."""
+    return tk.mix64(key + U(0x632BE59BD9B4E019 * number % 2 ** 64))
+
+
+def uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Uniform numbers in (0, 1) from stream seeds and places."""
+    h = tk.mix64(seed + place.astype(np.uint64) * _K)
     return ((h >> U(11)).astype(np.float64) + 0.5) / 2.0 ** 53
 
 
-def walk(lat: Lattices, node: np.ndarray, place: np.ndarray, key: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sample on from each node to its word's end: (index of the start, arc), in order."""
-    who = np.arange(len(node))
-    live = np.flatnonzero(~lat.end[node])
-    node, at = node.copy(), place.copy()
-    owner, arcs = [], []
+def walk(lat: Lattices, node: np.ndarray, place: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sample on from each node to its word's end: (index of the start, arc, its probability), in order."""
+    live = np.flatnonzero(lat.distance[node] > 0) if len(node) else np.zeros(0, np.int64)
+    at, now = place[live], node[live]
+    owner, arcs, probs = [], [], []
     while len(live):
-        u = uniform(key[live], stream, at[live])
-        arc = lat.begin[node[live]]
-        on = np.flatnonzero(u >= lat.top[arc])
-        while len(on):                                    # a step or two: likely arcs come first
-            arc[on] += 1
-            on = on[u[on] >= lat.top[arc[on]]]
-        owner.append(who[live])
+        beta = lat.beta[now]
+        rest = uniform(seed[live], at) * beta
+        first, arc = lat.begin[now], lat.begin[now + 1] - 1
+        way = lat.way[arc]
+        on = np.flatnonzero((arc > first) & (rest >= way))
+        while len(on):                                    # long pieces first: they are likely
+            rest[on] -= way[on]
+            arc[on] -= 1
+            way[on] = lat.way[arc[on]]
+            on = on[(arc[on] > first[on]) & (rest[on] >= way[on])]
+        owner.append(live)
         arcs.append(arc)
-        at[live] += lat.dst[arc] - lat.src[arc]
-        node[live] = lat.dst[arc]
-        live = live[~lat.end[node[live]]]
+        probs.append(way / beta)
+        nxt = lat.dst[arc]
+        left = lat.distance[nxt]
+        keep = left > 0
+        at = (at + (lat.distance[now] - left))[keep]
+        live, now = live[keep], nxt[keep]
     if not owner:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    owner, arcs = np.concatenate(owner), np.concatenate(arcs)
-    order = np.argsort(owner, kind="stable")
-    return owner[order], arcs[order]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    steps = np.repeat(np.arange(len(owner)), [len(x) for x in owner])
+    owner, arcs, probs = np.concatenate(owner), np.concatenate(arcs), np.concatenate(probs)
+    to = (_offsets(np.bincount(owner, minlength=len(node)))[owner] + steps)  # an owner is there until its word ends
+    out = np.empty(len(owner), np.int64), np.empty(len(owner), np.int64), np.empty(len(owner))
+    for x, y in zip(out, (owner, arcs, probs)):
+        x[to] = y
+    return out
 
 
 def _offsets(n: np.ndarray) -> np.ndarray:
@@ -265,8 +291,8 @@ def _first_in_row(values: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.
     return best, where
 
 
-def region_values(before: np.ndarray, left: np.ndarray, key: np.ndarray, row: np.ndarray, position: np.ndarray,
-                  value: np.ndarray, stream: int) -> np.ndarray:
+def region_values(before: np.ndarray, left: np.ndarray, seed: np.ndarray, row: np.ndarray, position: np.ndarray,
+                  value: np.ndarray) -> np.ndarray:
     """Gumbels of log-mass ``before + log(left)``, truncated at the path's ``value``; -inf without mass.
 
     A value exceeds its log-mass by 37 at most (uniforms have 53 bits), so regions under -200 are
@@ -277,7 +303,7 @@ def region_values(before: np.ndarray, left: np.ndarray, key: np.ndarray, row: np
 
     def work(some: np.ndarray) -> None:
         with np.errstate(over="ignore"):
-            noise = -np.log(uniform(key[row[some]], stream, position[some]))
+            noise = -np.log(uniform(seed[row[some]], position[some]))
             mass = before[some] + np.log(left[some])
             region[some] = -np.log(np.exp(-value[row[some]]) + np.exp(-mass) * noise)
 
@@ -303,31 +329,32 @@ def top_k(lat: Lattices, word: np.ndarray, doc_words: np.ndarray, word_place: np
     doc_of = np.repeat(np.arange(n), np.diff(doc_words))
     start = lat.first[word]
     zero = np.zeros(n, np.int64)
-    value = -np.log(-np.log(uniform(key, 0, zero)))                       # Gumbel(0) of the root regions
-    owner, arcs = walk(lat, start, word_place, key[doc_of], 1)
+    value = -np.log(-np.log(uniform(streams(key, 0), zero)))                       # Gumbel(0) of the root regions
+    owner, arcs, prob = walk(lat, start, word_place, streams(key, 1)[doc_of])
     arc_doc = doc_of[owner]
     out: list[dict] = []
     fixed, banned = np.full(n, -1), [()] * n                              # the arc number with banned arcs, and those
+    open_mass = np.zeros(n)                                               # what is left beside them
     offs = _offsets(np.bincount(arc_doc, minlength=n))
     occurrence = owner
     for r in range(1, k + 1):
-        log_q = lat.log_q[arcs]
+        prob = np.minimum(prob, 1.0)
+        log_q = np.log(prob)
         total = np.cumsum(log_q)
         base = np.concatenate([[0.0], total])
         before = base[:-1] - np.repeat(base[offs[:-1]], np.diff(offs))
         log_prob = base[offs[1:]] - base[offs[:-1]]
-        left = -np.expm1(log_q)                                           # mass of the other arcs there; 0 for an only arc
+        left = 1.0 - prob                                                 # mass of the other arcs there; 0 for an only arc
         position = np.arange(len(arcs)) - np.repeat(offs[:-1], np.diff(offs))
         row = np.repeat(np.arange(n), np.diff(offs))
         if r > 1:
             left[position < fixed[row]] = 0.0                             # these regions stay with the earlier path
             for d in np.flatnonzero(fixed >= 0):
                 i = offs[d] + fixed[d]
-                lo, hi = lat.begin[lat.src[arcs[i]]], lat.begin[lat.src[arcs[i]] + 1]
-                left[i] = sum(float(np.exp(lat.log_q[a])) for a in range(lo, hi) if a not in banned[d])
-        region = region_values(before, left, key, row, position, value, 1000 + r)
+                left[i] = open_mass[d]
+        region = region_values(before, left, streams(key, 1000 + r), row, position, value)
         out.append({"arcs": arcs, "offs": offs, "log_prob": log_prob, "perturbed": value, "region": region, "before": before,
-                    "fixed": fixed, "banned": banned, "occurrence": occurrence})
+                    "prob": prob, "fixed": fixed, "banned": banned, "occurrence": occurrence})
         # the best region of every document, over the paths so far
         best, path, where = np.full(n, -np.inf), zero.copy(), zero.copy()
         for j, o in enumerate(out):
@@ -338,27 +365,34 @@ def top_k(lat: Lattices, word: np.ndarray, doc_words: np.ndarray, word_place: np
             out[-1]["kappa"] = best
             break
         value = best
-        new_arcs, new_occ, lens = [], [], np.zeros(n, np.int64)
+        new_arcs, new_occ, new_prob, lens = [], [], [], np.zeros(n, np.int64)
         fixed, banned = np.full(n, -1), [()] * n
         node, at, cur = np.zeros(n, np.int64), zero.copy(), np.full(n, -1)
         heads: list = [None] * n
+        draw = uniform(streams(key, 2000 + r), where - np.concatenate([o["offs"][:-1] for o in out]).reshape(len(out), n)[path, np.arange(n)])
+        open_mass, pick_prob = np.zeros(n), np.zeros(n)
         for d in np.flatnonzero(np.isfinite(best)):
             o, i = out[path[d]], int(where[d])
             o["region"][i] = -np.inf
             t = i - int(o["offs"][d])
             arc = int(o["arcs"][i])
             no = o["banned"][d] if o["fixed"][d] == t else (arc,)
-            lo, hi = int(lat.begin[lat.src[arc]]), int(lat.begin[lat.src[arc] + 1])
+            src = lat.source(arc)
+            lo, hi = int(lat.begin[src]), int(lat.begin[src + 1])
             open_ = [a for a in range(lo, hi) if a not in no]
-            p = np.exp(lat.log_q[open_])
-            u = float(uniform(key[d:d + 1], 2000 + r, np.array([t]))[0]) * float(p.sum())
-            pick = open_[min(int(np.searchsorted(np.cumsum(p), u, side="right")), len(open_) - 1)]
+            p = (lat.way[open_] / lat.beta[src]).tolist()
+            u = float(draw[d]) * sum(p)
+            j = 0
+            while j < len(p) - 1 and u >= p[j]:
+                u, j = u - p[j], j + 1
+            pick = open_[j]
+            open_mass[d], pick_prob[d] = sum(p) - p[j] if len(p) > 1 else 0.0, p[j]
             fixed[d], banned[d] = t, (*no, pick)
             occ = int(o["occurrence"][i])
             s = int(o["offs"][d])
-            heads[d] = (o["arcs"][s:i], o["occurrence"][s:i], pick, occ)
+            heads[d] = (o["arcs"][s:i], o["occurrence"][s:i], o["prob"][s:i], pick, occ)
             cur[d], node[d] = occ, lat.dst[pick]
-            at[d] = word_place[occ] + (lat.dst[pick] - lat.first[word[occ]])
+            at[d] = word_place[occ] + (lat.distance[start[occ]] - lat.distance[lat.dst[pick]])
         # the rest of the current word, and all words after it, are sampled anew
         live = np.flatnonzero(cur >= 0)
         after = np.arange(len(word)) > cur[doc_of]
@@ -368,18 +402,20 @@ def top_k(lat: Lattices, word: np.ndarray, doc_words: np.ndarray, word_place: np
         places = np.concatenate([at[live], word_place[after]])
         order = np.argsort(ids, kind="stable")
         ids, nodes, places = ids[order], nodes[order], places[order]
-        owner, tail = walk(lat, nodes, places, key[doc_of[ids]], r + 1)
+        owner, tail, tail_prob = walk(lat, nodes, places, streams(key, r + 1)[doc_of[ids]])
         tail_occ = ids[owner]
         cut = np.searchsorted(doc_of[tail_occ], np.arange(n + 1))
         for d in range(n):
             if heads[d] is None:
                 continue
-            a, o, pick, occ = heads[d]
+            a, o, p, pick, occ = heads[d]
             new_arcs += [a, [pick], tail[cut[d]:cut[d + 1]]]
             new_occ += [o, [occ], tail_occ[cut[d]:cut[d + 1]]]
+            new_prob += [p, [pick_prob[d]], tail_prob[cut[d]:cut[d + 1]]]
             lens[d] = len(a) + 1 + cut[d + 1] - cut[d]
         arcs = np.concatenate(new_arcs).astype(np.int64) if new_arcs else np.zeros(0, np.int64)
         occurrence = np.concatenate(new_occ).astype(np.int64) if new_occ else np.zeros(0, np.int64)
+        prob = np.concatenate(new_prob) if new_prob else np.zeros(0)
         offs = _offsets(lens)
     return out
 
@@ -404,8 +440,7 @@ def characters(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def word_cuts(vocab: Vocabulary, chars: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words no piece spans, and their offsets per document."""
     mark = chars == SPACE
-    at = np.minimum(np.searchsorted(vocab.joins, chars), len(vocab.joins) - 1)
-    alone = vocab.joins[at] != chars
+    alone = vocab.alone[chars]
     cut = np.zeros(len(chars) + 1, bool)
     cut[1:-1] = (mark[1:] & ~mark[:-1]) | alone[1:] | alone[:-1]
     cut[offs] = True
@@ -443,7 +478,7 @@ def sample_texts(vocab: Vocabulary, buf: np.ndarray, offs: np.ndarray, key: np.n
     """Per sample number: ids, offsets, log_prob, perturbed, log_inclusion of a batch of texts."""
     chars, at = characters(buf, offs)
     starts, ends, doc_words = word_cuts(vocab, chars, at)
-    h = tk.span_hashes(chars, starts, ends, tk.mix64)
+    h = tk.span_hashes(chars, starts, ends, _code)
     _, where, word = np.unique(h, return_index=True, return_inverse=True)
     lat = Lattices(vocab, chars, starts[where], ends[where])
     place = starts - np.repeat(at[:-1], np.diff(doc_words))
@@ -480,7 +515,7 @@ def sample(docs: DataFrame, model: str, k: int = 2, alpha: float = 1.0, key: str
         for batch in batches:
             buf, offs = tk.utf8(batch.column(1))
             keys = row_keys(batch.column(0).to_pylist())
-            for lo, hi in tk.row_chunks(offs, 4 << 20):
+            for lo, hi in tk.row_chunks(offs, 2 << 20):
                 part, cut = buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
                 for number, f in enumerate(sample_texts(vocab, part, cut, keys[lo:hi], k), 1):
                     use = np.flatnonzero(~np.isneginf(f["perturbed"]))

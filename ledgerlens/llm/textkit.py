@@ -97,7 +97,7 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, code=None
         b = int(ends[lo:hi].max())
         power, inverse = _powers(b - a)
         sums = np.zeros(b - a + 1, U64)
-        values = _BYTE[buf[a:b]] if code is None else code(buf[a:b].astype(U64) + U64(1))
+        values = _BYTE[buf[a:b]] if code is None else code(buf[a:b])
         np.cumsum(values * power[:b - a], out=sums[1:])
         s, e = starts[lo:hi] - a, ends[lo:hi] - a
         out[lo:hi] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(U64)
