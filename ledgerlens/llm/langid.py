@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import textkit as tk
+from ledgerlens.llm.sampling import smallest
 
 DIMS = 4096
 _CLASS = np.full(256, 32, np.uint8)
@@ -105,12 +106,10 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 600, reject: float =
     """idf, centroids, their languages, and the smallest cosine each language accepts."""
     df, n = document_frequencies(train)
     idf = np.log((1 + n) / (1 + df)) + 1
-    # the documents with the smallest id hashes of each language; the language set is learned
-    h = F.xxhash64("doc_id", "text")
-    langs = sorted(r["lang"] for r in train.select("lang").distinct().collect())
+    sizes = sorted((r["lang"], r["count"]) for r in train.groupBy("lang").count().collect())  # a row per language
     names, centres, floors = [], [], []
-    for lang in langs:
-        some = train.where(F.col("lang") == lang).select("doc_id", "text", h.alias("h")).orderBy("h").limit(sample)
+    for lang, size in sizes:
+        some = smallest(train.where(F.col("lang") == lang).select("doc_id", "text"), sample, F.xxhash64("doc_id", F.lit("langid")), size)
 
         def featurise(batches):
             for batch in batches:

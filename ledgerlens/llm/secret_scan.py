@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import textkit as tk
+from ledgerlens.llm.sampling import smallest
 
 KINDS = ("assign", "access", "hex", "cnn")
 # The base rules, as bytes (all their characters are ASCII).
@@ -179,8 +180,7 @@ def made_findings(n: int = 1500, seed: int = 11) -> list[tuple[bytes, int, int,
 
 def fit(docs: DataFrame, sample: int = 4000, recall: float = 0.99) -> dict:
     """Network, calibration and threshold from a bounded sample of documents and made findings."""
-    h = F.xxhash64("doc_id")
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id", h.alias("h")).distinct().orderBy("h", "doc_id").limit(sample).select("doc_id")
+    ids = smallest(docs.where("doc_id IS NOT NULL").select("doc_id"), sample, F.xxhash64("doc_id"), docs.count()).distinct()
 
     def label(batches):
         for batch in batches:
