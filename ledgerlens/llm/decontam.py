@@ -198,6 +198,7 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byt
     for rows in _blocks(benchmark, block_bytes):
         block = spark.sparkContext.broadcast(build_block(rows, window))
 
+        @tk.tidy
         def step(batches, block=block):
             b = block.value
             for batch in batches:
@@ -223,6 +224,7 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byt
 
         out = out.mapInArrow(step, schema)
 
+    @tk.tidy
     def expand(batches):
         for batch in batches:
             st = batch.column(batch.schema.get_field_index("_state")).to_pylist()
@@ -267,6 +269,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     found = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
     schema = T.StructType([f for f in found.schema.fields if f.name in names])
 
+    @tk.tidy
     def cut(batches):
         for batch in batches:
             t, spans = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "hit_words"))

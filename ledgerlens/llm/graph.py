@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm import textkit as tk
 from ledgerlens.llm.shards import runs
 from ledgerlens.session import materialize
 
@@ -29,6 +30,7 @@ def in_units(df: DataFrame, group: str, member: str, block: int, fn, schema: str
                .withColumn("_lo", F.least("_b", "_o")).withColumn("_hi", F.greatest("_b", "_o"))
                .withColumn("_unit", F.xxhash64(group, "_lo", "_hi")).drop("_o", "_n"))
 
+    @tk.tidy
     def step(batches):
         held: list = []
 

@@ -70,6 +70,7 @@ def _chunks(batch, limit: int = 1 << 20, rows: int = 256):
 
 def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     """In how many training documents each column occurs, and their number."""
+    @tk.tidy
     def step(batches):
         df, n = np.zeros(DIMS, np.int64), 0
         for batch in batches:
@@ -111,6 +112,7 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 600, reject: float =
     for lang, size in sizes:
         some = smallest(train.where(F.col("lang") == lang).select("doc_id", "text"), sample, F.xxhash64("doc_id", F.lit("langid")), size)
 
+        @tk.tidy
         def featurise(batches):
             for batch in batches:
                 use = has_letter(batch.column(batch.schema.get_field_index("text")).to_pylist())
@@ -137,6 +139,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     schema = T.StructType([*plain.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
+    @tk.tidy
     def step(batches):
         m = held.value
         for batch in batches:

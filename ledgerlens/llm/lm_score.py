@@ -77,6 +77,7 @@ def distinct(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def ask(docs: DataFrame, shards: int, parts: int, held: int) -> DataFrame:
     """Distinct words and bigrams of every bucket, with training counts, dealt to shards."""
+    @tk.tidy
     def step(batches):
         for bucket, got in sh.bucket_chunks(batches):
             buf, offs = sh.text_of(got)
@@ -168,6 +169,7 @@ def score(docs: DataFrame, parts: int = 5, held: int = 1, mu: float = MU) -> Dat
         got = traverse(texts, [(s, b) for s, b in zip(shard, blobs) if s >= 0], n, v, mu)
         ids = texts["doc_id"].to_pylist()
         rows = len(ids)
+        tk.release()
         return pa.table({"doc_id": texts["doc_id"].cast(pa.int64()), "held_out": pa.array(~in_training(ids, parts, held)),
                          "n_tokens": pa.array(got["n_tokens"].astype(np.int64)), "n_known": pa.array(got["n_known"]),
                          "train_tokens": pa.array([n] * rows, pa.int64()), "train_types": pa.array([v] * rows, pa.int64()),

@@ -138,6 +138,7 @@ def link(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
                                .agg(F.min("vec_id").alias("first"), F.count_distinct("vec_id").alias("w"), F.first("embedding").alias("embedding"),
                                     F.first("label").alias("label")), "vec_classes")
 
+    @tk.tidy
     def hashed(batches):
         for batch in batches:
             cid, group, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))

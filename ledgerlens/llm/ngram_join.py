@@ -55,16 +55,12 @@ def runs_for(recall: float, threshold: float = THRESHOLD, depth: int = DEPTH) ->
 
 
 # ------------------------------------------------------------------ sets and sketches
-def batch_sets(texts) -> tuple[np.ndarray, np.ndarray, int]:
-    """(row, shingle) of a column of texts, sorted."""
+def batch_sets(texts):
+    """(first row, row count, row, shingle) of a column of texts, a few megabytes at a time; rows count from the first."""
     buf, offs = tk.utf8(texts)
-    rows, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for lo, hi in tk.row_chunks(offs):
+    for lo, hi in tk.row_chunks(offs, 2 << 20):
         _, _, r, h = tk.word_hashes(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], tk.ALNUM)
-        a, g = tk.shingles(r, h, hi - lo, WORDS)
-        rows.append(a + lo)
-        grams.append(g)
-    return np.concatenate(rows), np.concatenate(grams), len(offs) - 1
+        yield lo, hi - lo, *tk.shingles(r, h, hi - lo, WORDS)
 
 
 def sketch(g: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -78,20 +74,21 @@ def sketch(g: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, cid and cid2 (128-bit hash of the shingle set), sketch; null where there is no word."""
+    @tk.tidy
     def step(batches):
         for batch in batches:
-            rows, g, n = batch_sets(batch.column(1))
-            own, first = np.unique(rows, return_index=True)
-            cid, cid2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            blobs: list = [None] * n
-            if len(own):
-                cid[own], cid2[own] = np.add.reduceat(tk.mix64(g), first), np.add.reduceat(tk.mix64(g ^ np.uint64(0x3C6EF372FE94F82B)), first)
-                for i, s in zip(own.tolist(), sketch(g, first)):
-                    blobs[i] = s.tobytes()
-            none = np.ones(n, bool)
-            none[own] = False
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cid.view(np.int64), mask=none), pa.array(cid2.view(np.int64), mask=none),
-                                              pa.array(blobs, pa.binary())], ["doc_id", "cid", "cid2", "sketch"])
+            for lo, n, rows, g in batch_sets(batch.column(1)):
+                own, first = np.unique(rows, return_index=True)
+                cid, cid2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+                blobs: list = [None] * n
+                if len(own):
+                    cid[own], cid2[own] = np.add.reduceat(tk.mix64(g), first), np.add.reduceat(tk.mix64(g ^ np.uint64(0x3C6EF372FE94F82B)), first)
+                    for i, s in zip(own.tolist(), sketch(g, first)):
+                        blobs[i] = s.tobytes()
+                none = np.ones(n, bool)
+                none[own] = False
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(cid.view(np.int64), mask=none),
+                                                  pa.array(cid2.view(np.int64), mask=none), pa.array(blobs, pa.binary())], ["doc_id", "cid", "cid2", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(step, "doc_id long, cid long, cid2 long, sketch binary")
 
@@ -118,6 +115,7 @@ def tokens_of(blobs: list) -> np.ndarray:
 
 def start_paths(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
     """(path, cid) of every class after ``DEPTH`` levels of every run."""
+    @tk.tidy
     def step(batches):
         for batch in batches:
             cid, tokens = batch.column(0).to_numpy(), tokens_of(batch.column(1).to_pylist())
@@ -133,6 +131,7 @@ def start_paths(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
 
 def split_paths(held: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """One more level for the classes of large buckets."""
+    @tk.tidy
     def step(batches):
         for batch in batches:
             cid, path = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
@@ -217,18 +216,19 @@ def _exact(threshold: float):
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """cid, grp, w, grams of one document of every wanted class (first, cid, grp, w)."""
+    @tk.tidy
     def step(batches):
         for batch in batches:
-            rows, g, n = batch_sets(batch.column(0))
-            own, first = np.unique(rows, return_index=True)
-            if not len(own):
-                continue
-            key = np.add.reduceat(tk.mix64(g), first).view(np.int64)
-            ok = key == batch.column(1).to_numpy()[own]
-            ends = np.append(first[1:], len(g))
-            keep = own[ok]
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(keep)), batch.column(2).take(pa.array(keep)), batch.column(3).take(pa.array(keep)),
-                                              pa.array([g[a:b].tobytes() for a, b in zip(first[ok], ends[ok])], pa.binary())], ["cid", "grp", "w", "grams"])
+            for lo, _, rows, g in batch_sets(batch.column(0)):
+                own, first = np.unique(rows, return_index=True)
+                if not len(own):
+                    continue
+                key = np.add.reduceat(tk.mix64(g), first).view(np.int64)
+                ok = key == batch.column(1).to_numpy()[lo + own]
+                ends = np.append(first[1:], len(g))
+                keep = pa.array(lo + own[ok])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(keep) for i in (1, 2, 3)),
+                                                  pa.array([g[a:b].tobytes() for a, b in zip(first[ok], ends[ok])], pa.binary())], ["cid", "grp", "w", "grams"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
     return (text.join(wanted, F.col("_id").eqNullSafe(F.col("first"))).select("text", "cid", "grp", "w")

@@ -182,6 +182,7 @@ def fit(docs: DataFrame, sample: int = 4000, recall: float = 0.99) -> dict:
     """Network, calibration and threshold from a bounded sample of documents and made findings."""
     ids = smallest(docs.where("doc_id IS NOT NULL").select("doc_id"), sample, F.xxhash64("doc_id"), docs.count()).distinct()
 
+    @tk.tidy
     def label(batches):
         for batch in batches:
             buf, offs = tk.utf8(batch.column(0))
@@ -257,6 +258,7 @@ def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model or fit(plain))  # a few thousand weights
     schema = T.StructType([*plain.schema.fields, T.StructField("secret_spans", SPAN)])
 
+    @tk.tidy
     def step(batches):
         for batch in batches:
             buf, offs = tk.utf8(batch.column(batch.schema.get_field_index("text")))
@@ -287,6 +289,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     found = scan(docs)
     schema = T.StructType([f for f in found.schema.fields if f.name in names])
 
+    @tk.tidy
     def cut(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()

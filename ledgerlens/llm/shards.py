@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import textkit as tk
 from ledgerlens.session import materialize
 
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 2048
 
 
 def bucketed(docs: DataFrame) -> DataFrame:
@@ -133,6 +133,7 @@ def pack_texts(docs: DataFrame, names: list[str]) -> DataFrame:
     """(bucket, shard -1, blob) rows: the named columns and the text of a bucket's rows, compressed."""
     keep = docs.select("_bucket", *names, "text")
 
+    @tk.tidy
     def pack(batches):
         z = zstandard.ZstdCompressor(level=3)
         for bucket, parts in bucket_chunks(batches):

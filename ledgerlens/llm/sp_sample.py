@@ -510,12 +510,13 @@ def same_texts(vocab: Vocabulary, ids: np.ndarray, offs: np.ndarray, buf: np.nda
 
 def sample(docs: DataFrame, model: str, k: int = 2, alpha: float = 1.0, key: str = "doc_id") -> DataFrame:
     """doc_id, sample (1..k), ids, n_ids, log_prob, perturbed, log_inclusion, and whether decoding the ids gives the text."""
+    @tk.tidy
     def step(batches):
         vocab = Vocabulary(model, alpha)
         for batch in batches:
             buf, offs = tk.utf8(batch.column(1))
             keys = row_keys(batch.column(0).to_pylist())
-            for lo, hi in tk.row_chunks(offs, 2 << 20):
+            for lo, hi in tk.row_chunks(offs, 1 << 19):
                 part, cut = buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
                 for number, f in enumerate(sample_texts(vocab, part, cut, keys[lo:hi], k), 1):
                     use = np.flatnonzero(~np.isneginf(f["perturbed"]))

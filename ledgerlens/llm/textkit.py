@@ -11,6 +11,8 @@ of ``BLOCK`` bytes (or one word, if a single word is longer).
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +47,26 @@ ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
 
+def release() -> None:
+    """Give memory freed in this process back to the system (Python workers outlive their tasks)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps its own policy
+
+
+def tidy(fn):
+    """A task function over record batches that releases memory when it ends."""
+    @functools.wraps(fn)
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release()
+    return run
+
+
 def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (int64, n + 1) of an Arrow string column; null is empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -297,6 +297,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, segment_t
                    .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h", "text")
                    .drop("_h"))
 
+    @tk.tidy
     def encode(batches):
         tok = word_tokenizer(tokenizer)
         doc_ids, lengths, ids, held = [], [], [], 0
@@ -331,6 +332,7 @@ def read(spark, path: str, with_ids: bool = True) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
                   .where("length > 0").select("path", "content"))
 
+    @tk.tidy
     def decode(batches):
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -349,6 +351,7 @@ def read(spark, path: str, with_ids: bool = True) -> DataFrame:
 
     docs = files.mapInArrow(decode, "file string, doc_id long, local_start long, n_tokens long, ids_crc32 long" + ", ids_le32 binary" * with_ids)
 
+    @tk.tidy
     def totals(batches):
         for batch in batches:
             n = [sum(header(blob)[0]["n"] for blob in split_segments(data.as_buffer())) for data in batch.column(1)]

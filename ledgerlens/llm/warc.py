@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm import textkit as tk
 from ledgerlens.session import scratch_path
 
 END = "\r\n\r\n"
@@ -121,6 +122,7 @@ def write(pages: DataFrame, path: str, min_dedup: int = 100, segment_bytes: int
     rows = classify(pages, min_dedup).select("page_id", "uri", "kind", "refers_to",
                                              F.when(F.col("kind") == "response", F.col("html")).alias("html"), "digest", "n_bytes")
 
+    @tk.tidy
     def frame(batches):
         for batch in batches:
             out, held = [], 0
@@ -169,6 +171,7 @@ def read(spark, path: str) -> DataFrame:
                   .where("length > 0").select("content"))
     num = lambda f, k: int(f[k]) if f.get(k, "None") not in ("None", "null") else None
 
+    @tk.tidy
     def records(batches):
         for batch in batches:
             for data in batch.column(0):
@@ -195,6 +198,7 @@ def read(spark, path: str) -> DataFrame:
     parts = (every.where("origin IS NOT NULL").groupBy("origin")
                   .agg(F.sort_array(F.collect_list(F.struct("number", "block", "total", "page_id"))).alias("parts")))
 
+    @tk.tidy
     def join(batches):
         for batch in batches:
             found = []
