@@ -43,10 +43,10 @@ def fraud_metrics(df: DataFrame, label: str = "tx_fraud", pred: str = "predictio
 
 def monthly_damage(df: DataFrame, label: str = "tx_fraud", pred: str = "prediction", amount: str = "tx_amount",
                    ts: str = "tx_datetime", limit: float = MONTHLY_DAMAGE_LIMIT) -> DataFrame:
-    """Per month: total amount of missed frauds, and whether it stays under the limit."""
-    missed = df.filter((F.col(label) == 1) & (F.col(pred) == 0) & F.col(ts).isNotNull())
-    g = missed.groupBy(F.trunc(F.to_date(ts), "month").alias("month")).agg(F.sum(amount).alias("damage"),
-                                                                           F.count(F.lit(1)).alias("n_missed"))
+    """Per month with transactions: total amount of missed frauds (0 without any), and whether it stays under the limit."""
+    missed = (F.col(label) == 1) & (F.col(pred) == 0)
+    g = df.filter(F.col(ts).isNotNull()).groupBy(F.trunc(F.to_date(ts), "month").alias("month")).agg(
+        F.coalesce(F.sum(F.when(missed, F.col(amount))), F.lit(0.0)).alias("damage"), F.count_if(missed).alias("n_missed"))
     return g.withColumn("within_limit", F.col("damage") <= F.lit(limit))
 
 
@@ -62,26 +62,29 @@ def bootstrap_ci(df: DataFrame, key: str, replicates: int = 200, label: str = "t
         F.col("_p")[0].alias("fpr_lo"), F.col("_p")[1].alias("fpr_hi"))
 
 
-def best_run(runs: DataFrame, metric: str = "metric", started: str = "started") -> DataFrame:
+def best_run(runs: DataFrame, metric: str = "metric", started: str = "started", run: str | None = None) -> DataFrame:
     """``best_model = 1`` for exactly one run: the earliest to reach the highest metric.
 
+    ``run`` names the run id (default: ``started``, then unique); among runs with equal metric and
+    start the smallest id wins.
+
     A run only takes the title by beating the holder, so among equal metrics the earliest wins.
     The holder is found by ``orderBy(metric desc, started).limit(1)`` (each task keeps its best
     row; no single-partition window) and that one row is broadcast back as the flag.
     """
-    holder = (runs.filter(F.col(metric).isNotNull()).orderBy(F.col(metric).desc(), F.col(started))
-                  .limit(1).select(F.col(started).alias("_holder")))
-    j = runs.join(F.broadcast(holder), F.col(started) == F.col("_holder"), "left")
+    run = run or started
+    holder = (runs.filter(F.col(metric).isNotNull()).orderBy(F.col(metric).desc(), F.col(started), F.col(run))
+                  .limit(1).select(F.col(run).alias("_holder")))
+    j = runs.join(F.broadcast(holder), F.col(run) == F.col("_holder"), "left")
     return j.withColumn("best_model", F.when(F.col("_holder").isNotNull(), 1).otherwise(0)).drop("_holder")
 
 
 def class_balance(df: DataFrame, label: str = "tx_fraud") -> DataFrame:
-    """Class counts, the majority:minority ratio, and the counts after upsampling the minority to about 1:1."""
+    """Class counts, the ratio of the largest to each class, and the counts after upsampling each to about 1:1."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    tot = counts.agg(F.max("n").alias("_max"), F.min("n").alias("_min"))  # one row
-    j = counts.crossJoin(F.broadcast(tot))
-    factor = F.when(F.col("n") == F.col("_max"), 1).otherwise(F.round(F.col("_max") / F.col("_min")).cast("int"))
-    return j.select(label, "n", (F.col("_max") / F.col("_min")).alias("ratio"), factor.alias("factor"),
+    j = counts.crossJoin(F.broadcast(counts.agg(F.max("n").alias("_max"))))  # one row
+    factor = F.round(F.col("_max") / F.col("n")).cast("int")
+    return j.select(label, "n", (F.col("_max") / F.col("n")).alias("ratio"), factor.alias("factor"),
                     (F.col("n") * factor).alias("n_upsampled"))
 
 

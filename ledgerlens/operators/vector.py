@@ -27,8 +27,13 @@ MAX_BROADCAST_FLOATS = 8_000_000
 
 
 def scalar_subquery(df: DataFrame, target_id, key: str = "id", vec: str = "embeddings") -> DataFrame:
-    """Every row with its distance to the row ``key == target_id`` (the target vector is one broadcast row)."""
-    target = df.filter(F.col(key) == F.lit(target_id)).select(F.col(vec).alias("_t")).limit(1)
+    """Every row with its distance to the row ``key == target_id`` (the target vector is one broadcast row).
+
+    A missing target gives NULL distances; a target id on two rows is an error, as in SQL.
+    """
+    same = df.filter(F.col(key) == F.lit(target_id))
+    target = same.agg(F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("more than one row for the target id")).cast(df.schema[vec].dataType))
+                       .otherwise(F.min(vec)).alias("_t"))
     return df.crossJoin(F.broadcast(target)).withColumn("distance", l2_distance(vec, "_t")).drop("_t")
 
 
@@ -112,7 +117,9 @@ def similar_rows_batch(df: DataFrame, queries: DataFrame, k: int = 10, key: str
     # hash buckets with 2x headroom: no global ordering of the query set is needed
     n_blocks = 1 if n_q <= block else (2 * n_q + block - 1) // block
     qb = queries.withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
-    data = df.select(key, vec).filter(F.col(vec).isNotNull())
+    # rows without a finite distance to anything never rank
+    finite = F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    data = df.select(key, vec).filter(F.col(vec).isNotNull() & finite)
     outs = []
     for bi in range(n_blocks):
         rows = qb.filter(F.col("_blk") == bi).select("query_id", vec).collect()  # <= block rows: size checked

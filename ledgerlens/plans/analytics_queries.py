@@ -349,17 +349,15 @@ def q_order_by(spark, sf_dir):
     return r.groupBy(F.to_date("created_time").alias("dt")).agg(F.count(F.lit(1)).alias("n_reviews")).orderBy("dt")
 
 
-LANGS = ("en", "fr", "de", "es")
-
-
 @register("union_sources", "2.6", sql=with_views("docs") + """
-SELECT id, country, 'store_' || country AS store, CAST(length(content) AS INTEGER) AS n_chars FROM docs WHERE country IN ('en', 'fr', 'de', 'es')""")
+SELECT id, country, 'store_' || coalesce(country, 'none') AS store, content FROM docs""")
 def q_union_sources(spark, sf_dir):
     from ledgerlens.operators.text import union_sources
     d = tables.docs(spark, sf_dir).select("id", "content", "country")
-    frames = [(d.filter(F.col("country") == lang).drop("country"), {"country": lang, "store": f"store_{lang}"})
-              for lang in LANGS]
-    return union_sources(frames).select("id", "country", "store", F.length("content").alias("n_chars"))
+    countries = [r["country"] for r in d.select("country").distinct().collect()]  # one frame per country of the table
+    frames = [(d.filter(F.col("country").eqNullSafe(c)).drop("country"), {"country": c, "store": f"store_{c or 'none'}"})
+              for c in countries]
+    return union_sources(frames).select("id", "country", "store", "content")
 
 
 @register("dedup_content", "2.6", sql=with_views("docs") + """,

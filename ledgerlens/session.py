@@ -3,7 +3,8 @@
 Intermediate tables (written CSV/text fixtures, stream sinks, checkpoints) go
 under the folder named by ``spark.checkpoint.dir``: on a cluster that is a
 shared file system every executor can reach.  Only when it is unset (unit
-tests, a laptop) do we set one ourselves, below the warehouse directory.
+tests, a laptop) do we set one ourselves, below the warehouse directory; on any other master that
+is an error.
 """
 
 from __future__ import annotations
@@ -76,6 +77,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         root = warehouse.rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(root)
@@ -87,17 +90,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df):
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A small file with a single row group is read by one task; when the per-row work is heavy
-    (regex parsing, long texts, vectors) that leaves every other core idle.  On large inputs
-    the scan already has far more partitions than cores and this is a no-op (no shuffle).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def materialize(df, name: str):
     """Write ``df`` as parquet below the shared checkpoint root and return the re-read table.
 

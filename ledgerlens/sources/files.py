@@ -104,8 +104,9 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
+def append_table(df: DataFrame, path: str | None, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
+    """Append to a folder, or (``path=None``) to what ``options`` name, such as a JDBC url and table."""
+    df.write.mode("append").format(fmt).options(**(options or {})).save(path)
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -137,9 +138,11 @@ def load_table_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
                    vector_cols: tuple[str, ...] = ()) -> DataFrame:
     """``COPY table FROM file DELIMITER sep HEADER CSV``: positional columns; ``[..]`` vector text -> array<float>.
 
-    Fixed-width ``char(n)`` columns are trimmed on load (they compare without trailing blanks).
+    Quoted fields may hold the separator, doubled quotes and line breaks (so a file is read by one
+    task: keep files of a size a task can read).  Fixed-width ``char(n)`` columns are trimmed on load (they compare without trailing blanks).
     """
     df = (spark.read.option("header", "true").option("sep", sep).option("mode", "PERMISSIVE")
+          .option("quote", '"').option("escape", '"').option("multiLine", "true")
           .option("enforceSchema", "true").schema(schema).csv(path))
     for c in vector_cols:
         df = df.withColumn(c, F.from_json(F.col(c), "array<float>"))
@@ -152,5 +155,5 @@ def load_table_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
 def write_table_csv(df: DataFrame, path: str, sep: str = ",", vector_cols: tuple[str, ...] = ()) -> None:
     for c in vector_cols:
         df = df.withColumn(c, F.to_json(F.col(c)))
-    (df.write.mode("overwrite").option("header", "true").option("sep", sep)
+    (df.write.mode("overwrite").option("header", "true").option("sep", sep).option("quote", '"').option("escape", '"')
        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.datetime import DAY_SECONDS
-from ledgerlens.session import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -56,7 +55,7 @@ def source_file_col(event_id="event_id"):
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions (clean) with their source file tag."""
-    ev = spread(load(spark, sf_dir, "events"))
+    ev = load(spark, sf_dir, "events")
     secs = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'{TX_EPOCH}', ts)")
     fraud = (F.col("event_type") == "error").cast("int")
     return ev.select(
@@ -99,12 +98,12 @@ def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "tx_text")
         write_lines(tx_lines_from_events(spark, sf_dir), path)
         _TEXT_FILES[key] = path
-    return spread(read_lines(spark, path))
+    return read_lines(spark, path)
 
 
 def tx_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transaction text: ``(source_file, value)``, one header line per file plus one line per event."""
-    ev = spread(load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     secs = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'{TX_EPOCH}', ts)")
     cents = F.round(F.col("value") * 100).cast("bigint")
     amount_txt = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."),
@@ -170,11 +169,11 @@ def rt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(load(spark, sf_dir, "documents"))
+    d = load(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").alias("id"), F.col("text").alias("content"),
                     F.col("lang").alias("country"), "source")
 
 
 def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spread(load(spark, sf_dir, "embeddings"))
+    e = load(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), "label")

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.datetime import utc_instant
 from ledgerlens.functions.hashing import unit_hash
 from ledgerlens.operators.cleaning import TRAIN_SCHEMA, array_to_columns, parse_json
 from ledgerlens.operators.ml import assemble_features, linear_fit
@@ -52,8 +51,9 @@ def train_records(events: DataFrame, parsed_only: bool = False) -> DataFrame:
                          body.cast("binary").alias("value"))
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
+                 options: dict[str, str] | None = None) -> DataFrame:
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).options(**(options or {}))
             .option("subscribe", topic).option("startingOffsets", starting).load())
 
 
@@ -69,7 +69,7 @@ def file_source(spark: SparkSession, folder: str, glob: str = "events.parquet",
 def stream_source(spark: SparkSession, sf_dir: str, kafka: dict | None = None) -> DataFrame:
     """Train messages as a stream: from Kafka when configured, else built from the events files."""
     if kafka:
-        return kafka_source(spark, kafka["servers"], kafka["topic"])
+        return kafka_source(spark, kafka["servers"], kafka["topic"], options=kafka.get("options"))
     return train_records(file_source(spark, sf_dir))
 
 
@@ -104,9 +104,12 @@ def run_to_end(stream: DataFrame, name: str, checkpoint: str, sink=None, fmt: st
         raise q.exception()
 
 
-def land_stream(spark: SparkSession, stream: DataFrame, tag: str = "land") -> str:
-    """Append every micro-batch of ``stream`` to parquet; return the folder."""
-    root = scratch_path(spark, tag)
+def land_stream(spark: SparkSession, stream: DataFrame, tag: str = "land", root: str | None = None) -> str:
+    """Append every micro-batch of ``stream`` to parquet; return the folder.
+
+    ``root`` holds the data and the checkpoint: a later call with it goes on where this one ended.
+    """
+    root = root or scratch_path(spark, tag)
     out = f"{root}/data"
     run_to_end(stream, f"{tag}_{root[-12:]}", f"{root}/_checkpoint", sink=idempotent_append(out))
     return out
@@ -117,12 +120,17 @@ def stream_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(land_stream(spark, feats, "landing"))
 
 
-def json_sink(spark: SparkSession, scored: DataFrame, tag: str = "predict", kafka: dict | None = None) -> str | None:
-    """``to_json(struct(y, prediction)) AS value`` appended to a topic, or to text files without a broker."""
+def json_sink(spark: SparkSession, scored: DataFrame, tag: str = "predict", kafka: dict | None = None,
+              root: str | None = None) -> str | None:
+    """``to_json(struct(y, prediction)) AS value`` appended to a topic, or to text files without a broker.
+
+    ``root`` holds the checkpoint (and the files), so that a restart does not publish again;
+    ``kafka["options"]`` go to the writer as they are (security, SASL).
+    """
     out = scored.select(F.to_json(F.struct(F.col("y"), F.col("prediction"))).alias("value"))
-    root = scratch_path(spark, tag)
+    root = root or scratch_path(spark, tag)
     if kafka:
-        q = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", kafka["servers"])
+        q = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", kafka["servers"]).options(**kafka.get("options", {}))
              .option("topic", kafka["topic"]).option("checkpointLocation", f"{root}/_checkpoint")
              .trigger(availableNow=True).start())
         q.awaitTermination()
@@ -148,25 +156,32 @@ def stream_train_then_score(spark: SparkSession, sf_dir: str, test_fraction: flo
     return model, json_sink(spark, scored, "predict", kafka_out)
 
 
-def stream_daily_kpi(spark: SparkSession, sf_dir: str, delay: str = "1 day") -> DataFrame:
-    """Daily mean score and negative share kept up to date over a review stream.
+def daily_sums(path: str):
+    """``foreachBatch`` writer of mergeable per-day sums; batch n overwrites ``path/batch_id=n``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy("dt").agg(F.sum("score").alias("score"), F.count("score").alias("n_scores"), F.sum("neg").alias("neg"),
+                                 F.count(F.lit(1)).alias("n_reviews"))
+              .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+    return write
+
+
+def stream_daily_kpi(spark: SparkSession, sf_dir: str, max_files: int | None = None, glob: str = "orders.parquet",
+                     root: str | None = None) -> DataFrame:
+    """Daily mean score and negative share of a review stream, every day included.
 
-    Event time is the NTZ review time read as a UTC instant; windows close ``delay`` after
-    their end, and only closed windows are emitted (append mode).
+    Each micro-batch leaves one row of sums per day; reading adds them up.  Late reviews and the
+    newest day count, and the result does not depend on how the stream is cut into batches.
+    ``root`` holds sums and checkpoint; a later call with it adds what is new.
     """
-    o = file_source(spark, sf_dir, "orders.parquet", ORDERS_SCHEMA)
+    o = file_source(spark, sf_dir, glob, ORDERS_SCHEMA, max_files)
     rv = o.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("score"),
                   F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("neg"),
-                  utc_instant("o_orderdate").alias("event_time"))
-    agg = (rv.withWatermark("event_time", delay).groupBy(F.window("event_time", "1 day"))
-             .agg(F.avg("score").alias("avg_score"), F.avg("neg").alias("neg_share"),
-                  F.count(F.lit(1)).alias("n_reviews")))
-    out = agg.select(F.date_from_unix_date(F.floor(F.unix_micros(F.col("window.start")) / F.lit(86_400_000_000))
-                                           .cast("int")).alias("dt"),
-                     "avg_score", "neg_share", "n_reviews")
-    root = scratch_path(spark, "daily_kpi")
-    run_to_end(out, f"daily_kpi_{root[-12:]}", f"{root}/_checkpoint", fmt="parquet", path=f"{root}/data")
-    return spark.read.parquet(f"{root}/data")
+                  F.to_date("o_orderdate").alias("dt"))
+    root = root or scratch_path(spark, "daily_kpi")
+    run_to_end(rv, f"daily_kpi_{root[-12:]}", f"{root}/_checkpoint", sink=daily_sums(f"{root}/data"))
+    return (spark.read.parquet(f"{root}/data").groupBy("dt")
+                 .agg((F.sum("score") / F.sum("n_scores")).alias("avg_score"), (F.sum("neg") / F.sum("n_reviews")).alias("neg_share"),
+                      F.sum("n_reviews").alias("n_reviews")))
 
 
 __all__ = ["train_records", "stream_source", "stream_features", "idempotent_append", "land_stream", "json_sink",

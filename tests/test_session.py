@@ -1,6 +1,6 @@
-"""Session helpers: shared scratch folders, partition sizing, spread()."""
+"""Session helpers: shared scratch folders, partition sizing."""
 
-from ledgerlens.session import checkpoint_root, cluster_conf, scratch_path, spread
+from ledgerlens.session import checkpoint_root, cluster_conf, scratch_path
 
 
 def test_scratch_is_under_the_checkpoint_root_and_fresh(spark):
@@ -15,11 +15,3 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 128            # floor of 2x cores
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20) + 1
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
-
-
-def test_spread_only_widens_narrow_scans(spark):
-    target = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    assert spread(narrow).rdd.getNumPartitions() == target
-    wide = spark.range(1000).repartition(target + 3)
-    assert spread(wide).rdd.getNumPartitions() == target + 3
