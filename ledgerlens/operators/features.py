@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerlens.functions.datetime import DAY_MICROS, epoch_micros
@@ -31,40 +32,32 @@ from ledgerlens.functions.datetime import DAY_MICROS, epoch_micros
 WindowSpec = tuple[str, int, int]  # (name, a_days, b_days): rows in [t - a days, t - b days)
 
 
-# Largest number of rows one (key, bucket) window task should hold when the bucket is chosen automatically.
-MAX_GROUP_ROWS = 2_000_000
-
-
-def choose_bucket_minutes(df: DataFrame, key: str, ts: str, max_group_rows: int = MAX_GROUP_ROWS) -> int:
-    """Coarsest bucket in {60, 30, 15, 5, 1} minutes whose largest (key, bucket) group should stay
-    under ``max_group_rows``, from the measured largest (key, hour) group (one partial aggregate;
-    a single number reaches the driver)."""
-    hour = F.floor(epoch_micros(ts) / F.lit(3_600_000_000))
-    worst = (df.filter(F.col(ts).isNotNull()).groupBy(key, hour.alias("_h")).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n")).first()[0]) or 0
-    for minutes in (60, 30, 15, 5, 1):
-        if worst * minutes / 60 <= max_group_rows:
-            return minutes
-    return 1
-
-
 def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec],
-                   values: Sequence[str] = (), bucket_minutes: int | str = 60) -> DataFrame:
-    """Add ``{name}_cnt`` and ``{name}_sum_{v}`` for every window spec; 0 when the window is empty.
+                   values: Sequence[str] = (), bucket_minutes: int = 60) -> DataFrame:
+    """Add ``{name}_cnt`` and ``{name}_sum_{v}`` for every window spec; exactly 0 when the window is empty.
 
-    ``bucket_minutes="auto"`` measures the data first (``choose_bucket_minutes``).
+    Rows without a key or a time take part in no window and get NULL features.  A window that holds
+    a NaN or infinite value sums to NaN, and only that window: such values are counted beside the
+    running totals, not added to them.
     """
     for name, a, b in specs:
         if not (a > b >= 0):
             raise ValueError(f"window {name}: need a > b >= 0")
-    if bucket_minutes == "auto":
-        bucket_minutes = choose_bucket_minutes(df, key, ts)
     if (24 * 60) % bucket_minutes:
         raise ValueError("bucket_minutes must divide one day")
     k = (24 * 60) // bucket_minutes          # buckets per day
     bucket_us = bucket_minutes * 60_000_000
     base = df.withColumn("_t", epoch_micros(ts)).withColumn("_bkt", F.floor(F.col("_t") / F.lit(bucket_us)).cast("long"))
-    vcols = list(values)
+    # rows without key or time would share one window: they go around it
+    placed = F.col(key).isNotNull() & F.col("_t").isNotNull()
+    aside, base = base.filter(~placed).drop("_t", "_bkt"), base.filter(placed)
+    floating = [v for v in values if isinstance(df.schema[v].dataType, (T.DoubleType, T.FloatType))]
+    kept = {v: f"_keep_{v}" for v in floating}
+    for v in floating:
+        odd = F.isnan(v) | (F.abs(v) == float("inf"))
+        base = (base.withColumn(f"_odd_{v}", F.when(odd, 1).otherwise(0).cast("long"))
+                    .withColumn(kept[v], F.col(v)).withColumn(v, F.when(~odd, F.col(v))))
+    vcols = [*values, *(f"_odd_{v}" for v in floating)]
     shifts = sorted({a for _, a, _ in specs} | {b for _, _, b in specs if b > 0})
 
     orig = base.withColumn("_role", F.lit(0))
@@ -109,24 +102,29 @@ def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec]
         u = u.join(daily, [key, "_bkt"], "left")
 
     out = {}
-    has_t = F.col("_t").isNotNull()
     for name, a, b in specs:
         cnt = F.col(f"_tc{a}") - F.col(f"_bc{a}") + F.col(f"_bc{b}")
         if (a - b) * k >= 2:
             cnt = cnt + F.coalesce(F.col(f"_fc_{name}"), F.lit(0))
-        out[f"{name}_cnt"] = F.when(has_t, cnt.cast("long"))
+        out[f"{name}_cnt"] = cnt.cast("long")
         for v in vcols:
             sm = F.col(f"_ts{a}_{v}") - F.col(f"_bs{a}_{v}") + F.col(f"_bs{b}_{v}")
             if (a - b) * k >= 2:
                 sm = sm + F.coalesce(F.col(f"_fs_{name}_{v}"), F.lit(0))
-            out[f"{name}_sum_{v}"] = F.when(has_t, sm)
+            out[f"{name}_sum_{v}"] = F.when(cnt > 0, sm).otherwise(F.lit(0).cast(df.schema[v].dataType) if v in values else F.lit(0))
     u = u.withColumns(out)
-    drop = [c for c in u.columns if c.startswith("_")]
-    return u.drop(*drop)
+    for name, _, _ in specs:
+        for v in floating:
+            u = u.withColumn(f"{name}_sum_{v}", F.when(F.col(f"{name}_sum__odd_{v}") > 0, F.lit(float("nan"))).otherwise(F.col(f"{name}_sum_{v}")))
+            u = u.drop(f"{name}_sum__odd_{v}")
+    for v in floating:
+        u = u.withColumn(v, F.col(kept[v]))
+    drop = [c for c in u.columns if c.startswith("_") and c not in df.columns]
+    return u.drop(*drop).unionByName(aside, allowMissingColumns=True)
 
 
 def customer_windows(tx: DataFrame, days: Sequence[int] = (1, 7, 30), key: str = "customer_id",
-                     ts: str = "tx_datetime", amount: str = "tx_amount", bucket_minutes: int | str = "auto") -> DataFrame:
+                     ts: str = "tx_datetime", amount: str = "tx_amount", bucket_minutes: int = 60) -> DataFrame:
     """Per card: number and total amount of its earlier transactions in the last 1, 7 and 30 days (0 if none),
     and the mean amount (NULL if none - see ``impute``)."""
     specs = [(f"c{d}d", d, 0) for d in days]
@@ -138,7 +136,7 @@ def customer_windows(tx: DataFrame, days: Sequence[int] = (1, 7, 30), key: str =
 
 
 def terminal_risk(tx: DataFrame, window_days: int = 7, delay_days: int = 7, key: str = "terminal_id",
-                  ts: str = "tx_datetime", label: str = "tx_fraud", bucket_minutes: int | str = "auto") -> DataFrame:
+                  ts: str = "tx_datetime", label: str = "tx_fraud", bucket_minutes: int = 60) -> DataFrame:
     """Per terminal: transactions and frauds in ``[t - delay - window, t - delay)`` and their ratio.
 
     The delay leaves out the days whose fraud labels would not be known yet at time t

@@ -111,11 +111,20 @@ def test_trailing_stats_property(spark, a, gap, bucket, seed):
         assert (r.w_sum_v is None and sm is None) or abs(r.w_sum_v - sm) < 1e-6
 
 
-def test_auto_bucket_shrinks_for_a_hot_hour(spark):
-    from pyspark.sql import functions as F
-    from ledgerlens.operators.features import choose_bucket_minutes
-    df = (spark.range(6000).withColumn("k", F.lit(1))
-          .withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3600).cast("timestamp_ntz")))
-    assert choose_bucket_minutes(df, "k", "ts", max_group_rows=10_000) == 60
-    assert choose_bucket_minutes(df, "k", "ts", max_group_rows=1_000) == 5
-    assert choose_bucket_minutes(df, "k", "ts", max_group_rows=10) == 1
+def test_missing_keys_times_and_non_finite_values(spark):
+    import datetime as dt
+    import math
+    day = lambda d: dt.datetime(2024, 1, d, 12)
+    rows = [("a", day(d), float("nan") if d == 1 else 1.5) for d in range(1, 21)]
+    rows += [(None, day(3), 7.0), (None, None, 7.0), ("a", None, 7.0), ("b", day(5), float("inf")), ("b", day(6), 1.0), ("b", day(20), 1.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    got = {(r["k"], r["ts"]): r for r in trailing_stats(df, "k", "ts", [("w", 3, 0)], ["v"]).collect()}
+    assert len(got) == len(rows)
+    for d in range(1, 21):
+        r = got["a", day(d)]
+        assert r["w_cnt"] == min(d - 1, 3)
+        assert math.isnan(r["w_sum_v"]) if 2 <= d <= 4 else r["w_sum_v"] == (0 if d == 1 else 4.5)
+        assert math.isnan(r["v"]) == (d == 1)
+    assert got["b", day(20)]["w_sum_v"] == 0 and got["b", day(20)]["w_cnt"] == 0 and math.isnan(got["b", day(6)]["w_sum_v"])
+    for k in ((None, day(3)), (None, None), ("a", None)):
+        assert got[k]["w_cnt"] is None and got[k]["w_sum_v"] is None and got[k]["v"] == 7.0
