@@ -36,10 +36,6 @@ def _sql(ts) -> str:
     raise TypeError("pass a column name")
 
 
-def to_ntz(ts) -> Column:
-    return _col(ts).cast("timestamp_ntz")
-
-
 def utc_instant(ts) -> Column:
     """NTZ wall clock -> TIMESTAMP instant with the same UTC reading (for watermarks/windows)."""
     return F.timestamp_micros(epoch_micros(ts))
@@ -77,7 +73,3 @@ def fix_datetime(text, shift_all: bool = False) -> Column:
 
 def is_hour_24(text) -> Column:
     return _squeeze(text).rlike(_H24_PATTERN)
-
-
-def day_index(micros: Column) -> Column:
-    return F.floor(micros / F.lit(DAY_MICROS)).cast("long")

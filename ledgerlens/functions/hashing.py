@@ -27,9 +27,10 @@ def _poisson1_cdf(k_max: int = 12) -> list[float]:
 POISSON1_CDF = _poisson1_cdf()
 
 
-def unit_hash(*keys) -> Column:
+def unit_hash(*keys, part: int = 0) -> Column:
+    """``part`` picks which 32 bits of the md5 (0 to 3) make the number."""
     key = F.concat_ws("|", *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
+    return F.conv(F.substring(F.md5(key), 1 + 8 * part, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
 
 
 def poisson1(u: Column) -> Column:

@@ -11,10 +11,6 @@ def _c(c) -> Column:
 
 
 def l2_distance(a, b) -> Column:
-    """Euclidean distance, computed in double precision, element by element in codegen."""
+    """Euclidean distance, computed in double precision, element by element in the JVM."""
     sq = F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
     return F.sqrt(F.aggregate(sq, F.lit(0.0).cast("double"), lambda acc, v: acc + v))
-
-
-def squared_norm(a) -> Column:
-    return F.aggregate(_c(a), F.lit(0.0).cast("double"), lambda acc, v: acc + v.cast("double") * v.cast("double"))

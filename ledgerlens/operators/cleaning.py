@@ -4,7 +4,7 @@ The original job looped over files on the driver and fitted a regression on the
 10 000 rows of each.  Here one plan covers every file: the regression statistics are a
 grouped aggregate keyed by ``source_file`` (partial aggregation on the map side, so a
 file holding a third of all rows is still spread over every task), and the per-file
-statistics - one row per file - are joined back, broadcast by AQE once measured small.
+statistics - one row per file - are joined back without shuffling the rows (``statsjoin``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.datetime import epoch_seconds, fix_datetime, is_hour_24
+from ledgerlens.operators.statsjoin import join_stats
+from ledgerlens.session import materialize, remove_path, scratch_path
 
 # Fixed value: the amount cap used by the original cleaning job.
 AMOUNT_CAP = 131.45
@@ -47,11 +49,16 @@ def cap_amount(df: DataFrame, cap: float | Column = AMOUNT_CAP, col: str = "tx_a
     return df.withColumn(col, F.when(F.col(col) > capv, capv).otherwise(F.col(col)))
 
 
-def _stats_join(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    if by:
-        # one row per group: AQE turns this into a broadcast join once the stats are measured
-        return df.join(stats, list(by), "left")
-    return df.crossJoin(F.broadcast(stats))  # exactly one row
+def _residuals(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """``df`` with the fitted value, the residual and its sample standard deviation per group."""
+    d = df.withColumn("_x", epoch_seconds(x).cast("double"))
+    fit = d.groupBy(*by).agg(F.regr_slope(y, "_x").alias("_b"), F.regr_avgx(y, "_x").alias("_ax"),
+                             F.regr_avgy(y, "_x").alias("_ay"))
+    d = join_stats(d, fit, by)
+    # prediction around the means: no large intercept to cancel against
+    d = d.withColumn("_pred", F.col("_ay") + F.col("_b") * (F.col("_x") - F.col("_ax")))
+    d = d.withColumn("_res", F.col(y) - F.col("_pred"))
+    return join_stats(d, d.groupBy(*by).agg(F.stddev_samp("_res").alias("_sd")), by)
 
 
 def time_outliers(df: DataFrame, n: float = 4.0, two_sided: bool = False, action: str = "replace",
@@ -67,17 +74,7 @@ def time_outliers(df: DataFrame, n: float = 4.0, two_sided: bool = False, action
     """
     if action not in ("replace", "drop"):
         raise ValueError("action must be 'replace' or 'drop'")
-    by = list(by)
-    xd = epoch_seconds(x).cast("double")
-    d = df.withColumn("_x", xd)
-    fit = d.groupBy(*by).agg(F.regr_slope(y, "_x").alias("_b"), F.regr_avgx(y, "_x").alias("_ax"),
-                             F.regr_avgy(y, "_x").alias("_ay"))
-    d = _stats_join(d, fit, by)
-    # prediction around the means: no large intercept to cancel against
-    d = d.withColumn("_pred", F.col("_ay") + F.col("_b") * (F.col("_x") - F.col("_ax")))
-    d = d.withColumn("_res", F.col(y) - F.col("_pred"))
-    sd = d.groupBy(*by).agg(F.stddev_samp("_res").alias("_sd"))
-    d = _stats_join(d, sd, by)
+    d = _residuals(df, list(by), x, y)
     border = F.lit(n) * F.col("_sd")
     # one-sided as the job (residual > border); two-sided as the notebook, which kept |residual| < border
     beyond = (F.abs(F.col("_res")) >= border) if two_sided else (F.col("_res") > border)
@@ -92,31 +89,27 @@ def time_outliers(df: DataFrame, n: float = 4.0, two_sided: bool = False, action
 def outlier_flags(df: DataFrame, n: float = 4.0, by: Sequence[str] = ("source_file",), x: str = "tx_datetime",
                   y: str = "tx_time_seconds") -> DataFrame:
     """Residual, σ and the two-sided flag per row (the notebook's view of the same fit)."""
-    by = list(by)
-    d = df.withColumn("_x", epoch_seconds(x).cast("double"))
-    fit = d.groupBy(*by).agg(F.regr_slope(y, "_x").alias("slope"), F.regr_avgx(y, "_x").alias("_ax"),
-                             F.regr_avgy(y, "_x").alias("_ay"))
-    d = _stats_join(d, fit, by)
-    d = d.withColumn("residual", F.col(y) - (F.col("_ay") + F.col("slope") * (F.col("_x") - F.col("_ax"))))
-    sd = d.groupBy(*by).agg(F.stddev_samp("residual").alias("sigma"))
-    d = _stats_join(d, sd, by)
-    return d.withColumn("is_outlier", F.coalesce((F.col("sigma") > 0) & (F.abs("residual") >= F.lit(n) * F.col("sigma")),
-                                                 F.lit(False))).drop("_x", "_ax", "_ay")
+    d = _residuals(df, list(by), x, y).withColumnsRenamed({"_b": "slope", "_res": "residual", "_sd": "sigma"})
+    beyond = F.abs("residual") >= F.lit(n) * F.col("sigma")
+    return (d.withColumn("is_outlier", F.coalesce((F.col("sigma") > 0) & beyond, F.lit(False)))
+             .drop("_x", "_ax", "_ay", "_pred"))
+
+
+def _capped(df: DataFrame, cap: float | Column, by: Sequence[str] = ("source_file",)) -> DataFrame:
+    return cap_amount(drop_incomplete(df, 2, [c for c in df.columns if c not in by]), cap)
 
 
 def clean_transactions(df: DataFrame, cap: float | Column = AMOUNT_CAP, n: float = 4.0, two_sided: bool = False,
-                       action: str = "replace", by: Sequence[str] = ("source_file",), stage: bool = False) -> DataFrame:
+                       action: str = "replace", by: Sequence[str] = ("source_file",), stage: bool = True) -> DataFrame:
     """incomplete rows -> amount cap -> time outliers.
 
-    The outlier step reads its input three times (fit, residual σ, output).  With ``stage=True``
-    the filtered, capped rows are written once as parquet under the shared checkpoint root, so
+    The outlier step reads its input three times (fit, residual σ, output).  With ``stage`` (the
+    default) the filtered, capped rows are written once as parquet under the shared checkpoint root, so
     an expensive input (text parsing) is computed once and the two statistics passes read only
     the three columns they use.
     """
-    cols = [c for c in df.columns if c not in by]
-    ready = df.transform(lambda d: drop_incomplete(d, 2, cols)).transform(lambda d: cap_amount(d, cap))
+    ready = _capped(df, cap, by)
     if stage:
-        from ledgerlens.session import materialize
         ready = materialize(ready, "clean_input")
     return time_outliers(ready, n=n, two_sided=two_sided, action=action, by=by)
 
@@ -133,8 +126,13 @@ def clean_files(spark, in_path: str, out_path: str, cap: float | Column = AMOUNT
     from ledgerlens.sources.files import read_transactions, write_clean
 
     typed = read_transactions(spark, in_path)
-    cleaned = clean_transactions(typed, cap=cap, n=n, two_sided=two_sided, action=action, stage=stage)
-    write_clean(cleaned, out_path)
+    if not stage:
+        write_clean(clean_transactions(typed, cap=cap, n=n, two_sided=two_sided, action=action, stage=False), out_path)
+        return spark.read.parquet(out_path)
+    staged = scratch_path(spark, "clean_input")
+    _capped(typed, cap).write.parquet(staged)
+    write_clean(time_outliers(spark.read.parquet(staged), n=n, two_sided=two_sided, action=action), out_path)
+    remove_path(spark, staged)
     return spark.read.parquet(out_path)
 
 

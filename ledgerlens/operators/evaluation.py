@@ -2,17 +2,19 @@
 intervals, best-run selection, class balance and hold-out split.
 
 Randomness comes from md5 of row keys (``functions.hashing``), so every number here is
-reproducible and checkable in SQL.  The bootstrap never materialises rows x replicates:
-each row's Poisson(1) weights are summed into per-replicate confusion cells by a
-partial aggregate in the same stage, so the shuffle carries replicates x 4 numbers per task.
+reproducible and checkable in SQL.  The bootstrap draws four replicates from one md5 and
+sums the Poisson(1) weights into confusion cells by a partial aggregate in the same stage, so
+the shuffle carries replicates x 4 numbers per task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens.functions.hashing import poisson1, unit_hash
+from ledgerlens.operators.statsjoin import join_stats
 
 # The business targets of the fraud project.
 FNR_TARGET = 0.02
@@ -53,10 +55,14 @@ def monthly_damage(df: DataFrame, label: str = "tx_fraud", pred: str = "predicti
 def bootstrap_ci(df: DataFrame, key: str, replicates: int = 200, label: str = "tx_fraud", pred: str = "prediction",
                  lo: float = 0.025, hi: float = 0.975) -> DataFrame:
     """Percentile interval of FNR and FPR over Poisson(1) bootstrap replicates keyed by md5(key, replicate)."""
-    reps = F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep")
-    d = df.select(key, label, pred, reps)
-    d = d.withColumn("_w", poisson1(unit_hash(key, "rep")))
-    per_rep = _rates(d.groupBy("rep").agg(*_cells(label, pred, F.col("_w"))))
+    n_blocks = (replicates + 3) // 4
+    d = df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull()).select(
+        key, F.col(label).alias("_y"), F.col(pred).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_blk"))
+    cells = d.groupBy("_blk", "_y", "_p").agg(*[F.sum(poisson1(unit_hash(key, "_blk", part=j))).alias(f"_w{j}") for j in range(4)])
+    reps = cells.select("_y", "_p", F.explode(F.array(*[
+        F.struct((F.col("_blk") * 4 + j).alias("rep"), F.col(f"_w{j}").alias("w")) for j in range(4)])).alias("_r"))
+    reps = reps.select("_y", "_p", "_r.rep", "_r.w").filter(F.col("rep") < replicates)
+    per_rep = _rates(reps.groupBy("rep").agg(*_cells("_y", "_p", F.col("w"))))
     return per_rep.agg(F.percentile("fnr", [lo, hi]).alias("_f"), F.percentile("fpr", [lo, hi]).alias("_p")).select(
         F.col("_f")[0].alias("fnr_lo"), F.col("_f")[1].alias("fnr_hi"),
         F.col("_p")[0].alias("fpr_lo"), F.col("_p")[1].alias("fpr_hi"))
@@ -91,12 +97,25 @@ def class_balance(df: DataFrame, label: str = "tx_fraud") -> DataFrame:
 def upsample(df: DataFrame, balance: DataFrame, label: str = "tx_fraud") -> DataFrame:
     """Repeat each minority row ``factor`` times (``explode(sequence)``).
 
-    The factor table has one row per class; AQE broadcasts it once its size is measured.
+    The factor table has one row per class.
     """
-    j = df.join(balance.select(label, "factor"), label)
+    j = join_stats(df.filter(F.col(label).isNotNull()), balance.select(label, "factor"), [label], "inner")
     return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("factor")))).drop("_copy", "factor")
 
 
+def time_split(df: DataFrame, day: str = "tx_time_days", test_fraction: float = 0.2) -> DataFrame:
+    """Hold-out of the newest days: the smallest share of whole days with at least ``test_fraction`` of the rows.
+
+    A model that looks back must not be tested on days it was trained on.  Rows without a day are training rows.
+    """
+    per_day = df.filter(F.col(day).isNotNull()).groupBy(F.col(day).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    newest = Window.orderBy(F.col("_d").desc())  # one row per day
+    cum = per_day.select("_d", F.sum("_n").over(newest).alias("_cum"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    first = cum.filter(F.col("_cum") >= F.col("_all") * F.lit(test_fraction)).agg(F.max("_d").alias("_first"))
+    return df.crossJoin(F.broadcast(first)).withColumn(
+        "split", F.when(F.col(day) >= F.col("_first"), "test").otherwise("train")).drop("_first")
+
+
 def train_test_split(df: DataFrame, key: str, test_fraction: float = 0.2) -> DataFrame:
     """Hold-out by md5 of the key: the same row is always in the same part."""
     return df.withColumn("split", F.when(unit_hash(key) < F.lit(test_fraction), "test").otherwise("train"))

@@ -105,12 +105,17 @@ def daily_values(df: DataFrame, value: Column, name: str, ts: str = "created_tim
 def day_over_day(daily: DataFrame, name: str, by: list[str] | None = None, digits: int = 2) -> DataFrame:
     """value(d) - value(d - 1 calendar day) for every day; NULL when the day before has no rows.
 
-    An equi-join on ``(by.., dt)`` against the same table keyed by ``dt + 1``: distributed,
-    no single-partition window, and gaps in the calendar are honoured.
+    Each day's row is sent to its own day and to the next one and regrouped, so the daily table is
+    computed once; no single-partition window, and gaps in the calendar are honoured.
     """
     by = by or []
-    prev = daily.select(*by, F.date_add("dt", 1).alias("dt"), F.col(name).alias("_prev"))
-    j = daily.join(prev, [*by, "dt"], "left")
+    own = F.struct(F.col("dt").alias("dt"), F.lit(True).alias("own"))
+    both = F.when(F.col("dt").isNull(), F.array(own)).otherwise(
+        F.array(own, F.struct(F.date_add("dt", 1).alias("dt"), F.lit(False).alias("own"))))
+    sent = daily.select(*by, F.col(name).alias("_v"), F.explode(both).alias("_to")).select(*by, "_v", "_to.dt", "_to.own")
+    j = sent.groupBy(*by, "dt").agg(F.max(F.when(F.col("own"), F.col("_v"))).alias(name),
+                                    F.max(F.when(~F.col("own"), F.col("_v"))).alias("_prev"),
+                                    F.max("own").alias("_has")).filter("_has")
     change = F.col(name) - F.col("_prev")
     return j.select(*by, "dt", round_half_up(F.col(name), digits).alias(name),
                     round_half_up(change, digits).alias("change"),

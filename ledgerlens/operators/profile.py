@@ -3,8 +3,9 @@
 The notebook read the first megabytes of each file into pandas, one file at a time.
 Here every statistic is one grouped aggregate over all files: each is partially
 aggregated on the map side, so a file holding a third of the rows costs no more
-than its share of scan time.  Exact percentiles use ``percentile`` (linear
-interpolation, as numpy), whose buffer holds one counter per distinct value.
+than its share of scan time.  Per-day percentiles use ``percentile`` (linear
+interpolation, as numpy), whose buffer holds one counter per distinct value; per-file
+quartiles are ranks over a table of value counts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.functions.datetime import datetime_parts, epoch_seconds, fix_datetime
+from ledgerlens.operators.statsjoin import join_stats
+from ledgerlens.session import materialize
 from ledgerlens.sources.tables import TX_COLUMNS
 
 # Pandas dtype names reported per column, ordered from narrowest to widest.
@@ -31,14 +34,17 @@ def _missing(c: str, dtype: str) -> F.Column:
 def column_profile(df: DataFrame, by: str = "source_file", columns: Sequence[str] | None = None) -> DataFrame:
     """Per file and column: rows, missing values, share missing; plus an ``*`` row per column for all files.
 
-    One ``rollup`` pass computes both levels (the map side aggregates each row into its file and
-    into the total before the shuffle); ``grouping_id`` tells the total from a NULL file name.
+    Rows are aggregated once, per file; the totals are sums of those few rows.  A flag tells the total
+    from a NULL file name.
     """
     types = dict(df.dtypes)
     cols = [c for c in (columns or df.columns) if c != by]
-    g = df.rollup(by).agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("nrows"),
-                          *[F.count_if(_missing(c, types[c])).alias(f"na__{c}") for c in cols])
-    g = g.withColumn(by, F.when(F.col("_gid") == 1, F.lit("*")).otherwise(F.col(by)))
+    per_file = df.groupBy(by).agg(F.count(F.lit(1)).alias("nrows"),
+                                  *[F.count_if(_missing(c, types[c])).alias(f"na__{c}") for c in cols])
+    levels = per_file.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("_total"))
+    key = F.when(F.col("_total"), F.lit("*")).otherwise(F.col(by))
+    sums = ["nrows", *[f"na__{c}" for c in cols]]
+    g = levels.groupBy("_total", key.alias(by)).agg(*[F.sum(c).alias(c) for c in sums])
     long = g.select(by, "nrows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"na__{c}").alias("na")) for c in cols])).alias("_p"))
     return long.select(by, F.col("_p.column_name").alias("column_name"), "nrows", F.col("_p.na").alias("na"),
@@ -58,28 +64,30 @@ def schema_drift(lines: DataFrame, n_fields: int = len(TX_COLUMNS)) -> DataFrame
     """Per column name: the dtypes it took across files, how many files have it, and the files lacking it.
 
     A column's dtype in one file is the widest kind of any of its values (int64 < float64 < object);
-    values are attributed to the header name at the same position in that file.  One aggregation
-    over the text per file picks up the header line and the value kinds together (one scan).
+    values are attributed to the header name at the same position in that file.  The text is read
+    once: header line and value kinds per file are written, and the rest works on that table.  Only
+    the set of column names is one broadcast row; which file lacks which of them are rows.
     """
     is_hdr = F.col("value").startswith("#")
-    staged = lines.select("source_file", "value", is_hdr.alias("_h"), F.split("value", ",").alias("_f"))
-    per_file = staged.groupBy("source_file").agg(
+    split = lines.select("source_file", "value", is_hdr.alias("_h"), F.split("value", ",").alias("_f"))
+    per_file = split.groupBy("source_file").agg(
         F.max(F.when(F.col("_h"), F.col("value"))).alias("_hdr"),
         *[F.max(F.when(~F.col("_h"), _value_kind(F.get(F.col("_f"), i)))).alias(f"k{i + 1}") for i in range(n_fields)])
-    dt = F.array(*[F.lit(x) for x in DTYPES])
     names = F.transform(F.split(F.regexp_replace("_hdr", "#", ""), r"\|"), lambda x: F.trim(x))
     kinds = F.array(*[F.col(f"k{i + 1}") for i in range(n_fields)])
-    pairs = per_file.filter(F.col("_hdr").isNotNull()).select(
-        "source_file", F.posexplode(names).alias("pos", "column_name"), kinds.alias("_k"))
-    typed = pairs.select("source_file", "column_name", F.element_at(dt, F.get("_k", F.col("pos")) + 1).alias("dtype"))
-    per_col = typed.groupBy("column_name").agg(
-        F.array_join(F.array_sort(F.collect_set("dtype")), ",").alias("dtypes"),
-        F.count(F.lit(1)).alias("n_files"),
-        F.collect_set("source_file").alias("_present"))
-    all_files = per_file.filter(F.col("_hdr").isNotNull()).agg(F.collect_set("source_file").alias("_all"))  # one row
-    return (per_col.crossJoin(F.broadcast(all_files))
-                   .select("column_name", "dtypes", "n_files",
-                           F.array_join(F.array_sort(F.array_except("_all", "_present")), ",").alias("absent_in")))
+    headed = materialize(per_file.filter(F.col("_hdr").isNotNull())
+                                 .select("source_file", names.alias("_names"), kinds.alias("_k")), "per_file")
+    dt = F.array(*[F.lit(x) for x in DTYPES])
+    pairs = headed.select("source_file", "_k", F.posexplode("_names").alias("pos", "column_name"))
+    per_col = pairs.groupBy("column_name").agg(
+        F.array_join(F.array_sort(F.collect_set(F.element_at(dt, F.get("_k", F.col("pos")) + 1))), ",").alias("dtypes"),
+        F.count(F.lit(1)).alias("n_files"))
+    every = per_col.agg(F.collect_set("column_name").alias("_every"))  # one row: the distinct column names
+    absent = (headed.crossJoin(F.broadcast(every))
+                    .select("source_file", F.explode(F.array_except("_every", "_names")).alias("column_name"))
+                    .groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_set("source_file")), ",").alias("absent_in")))
+    return (per_col.join(absent, "column_name", "left")
+                   .select("column_name", "dtypes", "n_files", F.coalesce("absent_in", F.lit("")).alias("absent_in")))
 
 
 def datetime_domain(lines: DataFrame) -> DataFrame:
@@ -109,18 +117,52 @@ def datetime_bad_values(lines: DataFrame) -> DataFrame:
                  .groupBy("source_file", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
+BINS = 1024
+
+
+def _quartiles(counts: DataFrame, col: str, by: str) -> DataFrame:
+    """Exact quartiles (linear interpolation) of each group of a ``(by, value, n)`` table.
+
+    Ranks are running totals in two steps, within ``BINS`` equal parts of the group's range and over the parts,
+    so that a group with very many distinct values is many tasks.
+    """
+    finite = ~F.isnan(col) & (F.abs(col) < float("inf"))
+    rng = counts.groupBy(by).agg(F.min(F.when(finite, F.col(col))).alias("_lo"), F.max(F.when(finite, F.col(col))).alias("_hi"),
+                                 F.sum("n").alias("_all"))
+    part = F.floor(F.least(F.try_divide(F.col(col) - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(1.0)) * (BINS - 1))
+    placed = join_stats(counts, rng, [by]).withColumn(
+        "_part", F.when(finite, F.coalesce(part, F.lit(0))).when(F.col(col) < 0, F.lit(-1)).otherwise(F.lit(BINS)))
+    parts = placed.groupBy(by, "_part").agg(F.sum("n").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(by).orderBy("_part")) - F.col("_n")  # at most BINS + 2 rows a group
+    parts = parts.select(by, "_part", before.alias("_before"))
+    run = Window.partitionBy(by, "_part").orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.join(parts, [by, "_part"]).withColumn("_to", F.col("_before") + F.sum("n").over(run))
+    at = {}
+    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        at[name] = (F.col("_all") - 1) * F.lit(share)
+    value = []
+    for name, pos in at.items():  # the value at rank r (from 0) is the smallest with more than r rows up to it
+        value += [F.min(F.when(F.col("_to") > F.floor(pos), F.col(col))).alias(f"_f_{name}"),
+                  F.min(F.when(F.col("_to") > F.ceil(pos), F.col(col))).alias(f"_c_{name}"),
+                  F.first(pos - F.floor(pos)).alias(f"_w_{name}")]
+    g = ranked.groupBy(by).agg(*value)
+    return g.select(by, *[((1 - F.col(f"_w_{name}")) * F.col(f"_f_{name}") + F.col(f"_w_{name}") * F.col(f"_c_{name}")).alias(name)
+                          for name in at])
+
+
 def box_stats(df: DataFrame, col: str = "tx_amount", by: str = "source_file") -> DataFrame:
-    """Data behind a box plot: quartiles, 1.5·IQR whiskers (most extreme values inside), outlier count."""
-    q = df.groupBy(by).agg(F.percentile(col, [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    d = df.select(by, col).filter(F.col(col).isNotNull()).join(q, by)  # q: one row per file, broadcast by AQE
-    inside = (F.col(col) >= F.col("lo_fence")) & (F.col(col) <= F.col("hi_fence"))
-    agg = d.groupBy(by).agg(F.min(F.when(inside, F.col(col))).alias("whisker_low"),
-                            F.max(F.when(inside, F.col(col))).alias("whisker_high"),
-                            F.count_if(~inside).alias("n_outliers"))
-    return q.join(agg, by).drop("lo_fence", "hi_fence")
+    """Data behind a box plot: quartiles, 1.5·IQR whiskers (most extreme values inside), outlier count.
+
+    Everything after the first aggregate works on counts per (file, value).
+    """
+    counts = materialize(df.filter(F.col(col).isNotNull() & F.col(by).isNotNull()).groupBy(by, F.col(col).cast("double").alias(col))
+                           .agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    q = materialize(_quartiles(counts, col, by), "quartiles")
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (F.col(col) >= F.col("q1") - reach) & (F.col(col) <= F.col("q3") + reach)
+    return join_stats(counts, q, [by]).groupBy(by, "q1", "median", "q3").agg(
+        F.min(F.when(inside, F.col(col))).alias("whisker_low"), F.max(F.when(inside, F.col(col))).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"))
 
 
 def value_share(df: DataFrame, col: str, by: str = "source_file") -> DataFrame:
@@ -134,7 +176,7 @@ def histogram(df: DataFrame, ts: str = "tx_datetime", bins: int = 99, by: str =
     """Equal-width bins of the epoch seconds between each file's min and max (the last bin holds the max)."""
     d = df.select(by, epoch_seconds(ts).alias("_s")).filter(F.col("_s").isNotNull())
     rng = d.groupBy(by).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    d = d.join(rng, by)
+    d = join_stats(d.filter(F.col(by).isNotNull()), rng, [by])
     span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1))
     b = F.least(F.floor((F.col("_s") - F.col("_lo")) * bins / span) + 1, F.lit(bins)).cast("int")
     h = d.groupBy(by, b.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))

@@ -4,10 +4,10 @@
 the k nearest come out of ``orderBy(dist, id).limit(k)`` - Spark plans it as a
 TakeOrderedAndProject: each task keeps its k best, the driver merges k per task.
 
-``similar_rows_batch``: many query vectors at once.  Queries are broadcast in blocks of
-a checked size; each data partition keeps only its k nearest rows per query (numpy
-inside ``mapInArrow``), and a shuffle by query id merges at most ``k x partitions``
-candidates per query.  No query x row pair is ever materialised as a row.
+``similar_rows_batch``: many query vectors at once, block by block.  One block of a checked size is
+broadcast, answered, written and dropped before the next; each data partition keeps only its k
+nearest rows per query (numpy inside ``mapInArrow``), and a shuffle by query id merges at most
+``k x partitions`` candidates per query.  No query x row pair is ever materialised as a row.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.functions.vector import l2_distance
+from ledgerlens.session import scratch_path
 
 # Largest query block broadcast at once: block rows x dimensions x 8 bytes stays ~64 MB.
 MAX_BROADCAST_FLOATS = 8_000_000
@@ -45,6 +46,8 @@ def similar_rows(df: DataFrame, target_id, k: int = 100, key: str = "id", vec: s
 
 
 _QUERY_CHUNK = 512
+# Exact distances are taken for so many numbers at once (32 MB), however many rows tie.
+_EXACT_FLOATS = 4_000_000
 
 
 def _local_topk_fn(bq, k: int, key: str, vec: str):
@@ -78,9 +81,15 @@ def _local_topk_fn(bq, k: int, key: str, vec: str):
                 width = int((d2 <= (kth + tol)[:, None]).sum(axis=1).max())
                 cand = np.argpartition(d2, width - 1, axis=1)[:, :width] if width < n else \
                     np.tile(np.arange(n), (q.shape[0], 1))
-                diff = x[cand] - q[:, None, :]
-                new_d.append(np.sqrt((diff * diff).sum(axis=2)))
-                new_i.append(ids[cand])
+                exact = np.empty(cand.shape)
+                step = max(1, _EXACT_FLOATS // (cand.shape[1] * dim))
+                for q0 in range(0, len(q), step):
+                    diff = x[cand[q0:q0 + step]] - q[q0:q0 + step, None, :]
+                    exact[q0:q0 + step] = np.sqrt((diff * diff).sum(axis=2))
+                # of the ties, only the k first by (distance, id) can stay
+                order = np.lexsort((ids[cand], exact), axis=1)[:, :k]
+                new_d.append(np.take_along_axis(exact, order, axis=1))
+                new_i.append(np.take_along_axis(ids[cand], order, axis=1))
             width = max(d.shape[1] for d in new_d)
             pad_d = [np.pad(d, ((0, 0), (0, width - d.shape[1])), constant_values=np.inf) for d in new_d]
             pad_i = [np.pad(i, ((0, 0), (0, width - i.shape[1])), constant_values=np.iinfo(np.int64).max) for i in new_i]
@@ -103,32 +112,36 @@ def similar_rows_batch(df: DataFrame, queries: DataFrame, k: int = 10, key: str
                        vec: str = "embeddings") -> DataFrame:
     """k nearest rows for every query row: ``(query_id, id, distance, rank)``, ties broken by id.
 
-    ``queries`` has ``(query_id, embeddings)``.  The query set is measured first and broadcast in
-    blocks of at most ``MAX_BROADCAST_FLOATS`` numbers (one pass over the data per block), so the
-    broadcast never grows with the data.  Each partition returns its k best per query; the merge
-    ranks at most ``k x partitions`` rows per query.
+    ``queries`` has ``(query_id, embeddings)``.  The query set may have any size: it is written in blocks
+    of at most ``MAX_BROADCAST_FLOATS`` numbers, and only one block at a time is on the driver and in a
+    broadcast (one pass over the data per block).  Each partition returns its k best per query; the
+    merge ranks at most ``k x partitions`` rows per query.  Vectors that are null or hold null or
+    non-finite numbers, as rows or as queries, are near to nothing.
     """
     spark = df.sparkSession
-    n_q = queries.count()
-    if n_q == 0:
+    finite = F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    usable = F.col(vec).isNotNull() & finite
+    data = df.select(key, vec).filter(usable)
+    asked = queries.select(F.col("query_id").cast("long").alias("query_id"), vec).filter(usable)
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("dim")).first()
+    if not size["n"]:
         return spark.createDataFrame([], f"query_id bigint, {key} bigint, distance double, rank int")
-    dim = len(queries.select(vec).first()[0])
+    dim = size["dim"]
     block = max(1, MAX_BROADCAST_FLOATS // max(dim, 1))
-    # hash buckets with 2x headroom: no global ordering of the query set is needed
-    n_blocks = 1 if n_q <= block else (2 * n_q + block - 1) // block
-    qb = queries.withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
-    # rows without a finite distance to anything never rank
-    finite = F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    data = df.select(key, vec).filter(F.col(vec).isNotNull() & finite)
-    outs = []
-    for bi in range(n_blocks):
-        rows = qb.filter(F.col("_blk") == bi).select("query_id", vec).collect()  # <= block rows: size checked
-        qv = np.array([r[vec] for r in rows], dtype=np.float64).reshape(len(rows), dim)
-        qid = np.array([r["query_id"] for r in rows], dtype=np.int64)
-        bq = spark.sparkContext.broadcast((qv, qid))
-        outs.append(data.mapInArrow(_local_topk_fn(bq, k, key, vec), f"query_id bigint, {key} bigint, distance double"))
-    cand = outs[0]
-    for o in outs[1:]:
-        cand = cand.unionByName(o)
+    n_blocks = -(-size["n"] // block) if size["n"] <= block else -(-2 * size["n"] // block)
+    queries_at, found_at = scratch_path(spark, "queries"), scratch_path(spark, "nearest")
+    (asked.withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))).repartition("_blk")
+          .write.partitionBy("_blk").parquet(queries_at))
+    qb = spark.read.parquet(queries_at)
     w = Window.partitionBy("query_id").orderBy("distance", key)  # <= k x partitions rows per query
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    for bi in range(n_blocks):
+        t = qb.filter(F.col("_blk") == bi).select("query_id", vec).toArrow()  # about half a block
+        for at in range(0, t.num_rows, block):
+            part = t.slice(at, block).combine_chunks()
+            qv = part[vec].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, dim)
+            bq = spark.sparkContext.broadcast((qv, part["query_id"].to_numpy().astype(np.int64)))
+            cand = data.mapInArrow(_local_topk_fn(bq, k, key, vec), f"query_id bigint, {key} bigint, distance double")
+            best = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            best.write.mode("append").parquet(found_at)
+            bq.destroy()
+    return spark.read.schema(f"query_id bigint, {key} bigint, distance double, rank int").parquet(found_at)

@@ -10,6 +10,7 @@ from ledgerlens.operators import features as FE
 from ledgerlens.operators import kpi as K
 from ledgerlens.operators import profile as P
 from ledgerlens.plans.registry import register
+from ledgerlens.session import materialize
 from ledgerlens.plans.sqlfixtures import clean_sql, fix_datetime_sql, with_views
 from ledgerlens.sources import files, tables
 from ledgerlens.sources.tables import TX_COLUMNS
@@ -169,7 +170,7 @@ SELECT source_file, round(_sd, 0) AS sigma FROM c_sd""")
 def q_residual_std(spark, sf_dir):
     p = parsed(spark, sf_dir)
     p = C.drop_incomplete(p, 2, [c for c in p.columns if c != "source_file"])
-    f = C.outlier_flags(p)
+    f = C.outlier_flags(materialize(p, "residual_input"))
     # σ of residual seconds, in whole seconds (see cleaning_queries._clean_out)
     return f.groupBy("source_file").agg(F.round(F.stddev_samp("residual"), 0).alias("sigma"))
 
@@ -364,9 +365,9 @@ def q_union_sources(spark, sf_dir):
 r AS (SELECT *, CAST(substr(source, 4) AS INTEGER) AS source_rank FROM docs),
 w AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY source_rank, id) AS rn,
              count(*) OVER (PARTITION BY content) AS n_copies FROM r)
-SELECT id, source_rank, country, source, n_copies, CAST(length(content) AS INTEGER) AS n_chars FROM w WHERE rn = 1""")
+SELECT id, source_rank, country, source, n_copies, content FROM w WHERE rn = 1""")
 def q_dedup_content(spark, sf_dir):
     from ledgerlens.operators.text import dedup_content
     d = tables.docs(spark, sf_dir).withColumn("source_rank", F.substring("source", 4, 10).cast("int"))
     out = dedup_content(d)
-    return out.select("id", "source_rank", "country", "source", "n_copies", F.length("content").alias("n_chars"))
+    return out.select("id", "source_rank", "country", "source", "n_copies", "content")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import cleaning as C
 from ledgerlens.functions.datetime import fix_datetime
 from ledgerlens.plans.registry import register
-from ledgerlens.session import scratch_path
+from ledgerlens.session import materialize, scratch_path
 from ledgerlens.plans.sqlfixtures import clean_sql, fix_datetime_sql, hour24_sql, with_views
 from ledgerlens.sources import files, tables
 
@@ -111,6 +111,21 @@ def q_load_vectors_csv(spark, sf_dir):
     return df.select("id", "label", F.size("embeddings").alias("dims"), vec_sum(F.col("embeddings")).alias("vec_sum"))
 
 
+@register("load_reviews_csv", "2.1", sql=with_views("docs") + """
+SELECT nullif(content, '') AS content, CAST(id % 5 + 1 AS INTEGER) AS score, country, source FROM docs""")
+def q_load_reviews_csv(spark, sf_dir):
+    """Whole reviews written as '|'-separated text and loaded back: quotes, separators and line breaks in the
+    content survive, and the fixed-width columns lose their padding.  The format does not tell an empty text from none."""
+    path = scratch_path(spark, "reviews_csv")
+    d = tables.docs(spark, sf_dir).select(
+        "content", (F.col("id") % 5 + 1).cast("int").alias("score"), F.lit(None).cast("timestamp_ntz").alias("created_time"),
+        "country", F.rpad("source", 20, " ").alias("source"), F.lit(None).cast("string").alias("sentiment"),
+        F.lit(None).cast("string").alias("embeddings"))
+    files.write_table_csv(d, path, sep="|")
+    r = files.load_table_csv(spark, path, files.REVIEWS_SCHEMA, sep="|", vector_cols=("embeddings",))
+    return r.select("content", "score", "country", "source")
+
+
 @register("append_table", "2.1", sql=with_views("rt") + "\nSELECT score, source, dates, count FROM rt")
 def q_append_table(spark, sf_dir):
     path = scratch_path(spark, "rating_table")
@@ -208,7 +223,7 @@ def q_time_outliers(spark, sf_dir):
     """One-sided replace (the original job) after dropping incomplete rows, without the amount cap."""
     p = parsed(spark, sf_dir)
     p = C.drop_incomplete(p, 2, [c for c in p.columns if c != "source_file"])
-    return _clean_out(C.time_outliers(p))
+    return _clean_out(C.time_outliers(materialize(p, "outlier_input")))
 
 
 @register("time_outliers_drop", "2.2", sql=with_views("tx_parsed") + "," +

@@ -16,6 +16,7 @@ from ledgerlens.operators import text as T
 from ledgerlens.operators import vector as V
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sqlfixtures import with_views
+from ledgerlens.session import materialize
 from ledgerlens.sources import files, tables
 from ledgerlens.sources.tables import TX_EPOCH
 from ledgerlens.streaming import jobs as S
@@ -70,11 +71,11 @@ def q_boolean_search_batch(spark, sf_dir):
 
 
 @register("top_k", "2.6", sql=with_views("docs") + f"""
-SELECT id, CAST(length(content) AS INTEGER) AS n_chars FROM docs WHERE ({_has('the')} OR {_has('le')}) ORDER BY id LIMIT 200""")
+SELECT id, content FROM docs WHERE ({_has('the')} OR {_has('le')}) ORDER BY id LIMIT 200""")
 def q_top_k(spark, sf_dir):
     """Second page of the comment table for a search (the view grows by 100 rows per page)."""
     hits = T.boolean_search(tables.docs(spark, sf_dir), "the OR le")
-    return K.top_k(hits.select("id", F.length("content").alias("n_chars")), 200)
+    return K.top_k(hits.select("id", "content"), 200)
 
 
 _NORM_SQL = "regexp_replace(regexp_replace(lower(content), '[^\\p{L}\\p{N}_]', ' ', 'g'), '\\s{2,}', ' ', 'g')"
@@ -93,11 +94,26 @@ def q_remove_stopwords(spark, sf_dir):
     return T.strip_stopwords(T.normalize(tables.docs(spark, sf_dir))).select("id", "clean_text")
 
 
-@register("embed_text", "2.7")
+_WORDS_SQL = (f"list_filter(string_split({_NORM_SQL}, ' '), lambda w: w <> '' AND NOT list_contains({_STOP_SQL}, w))")
+
+
+@register("embed_text", "2.7", sql=with_views("docs") + f""",
+t AS (SELECT id, content, {_WORDS_SQL} AS words FROM docs),
+known AS (SELECT w FROM (SELECT unnest(words) AS w FROM t) GROUP BY w HAVING count(*) >= 5),
+hit AS (SELECT DISTINCT id FROM (SELECT id, unnest(words) AS w FROM t) JOIN known USING (w))
+SELECT t.id, content, 100 AS dims, hit.id IS NULL AS is_zero, TRUE AS same_as_equal_text
+FROM t LEFT JOIN hit USING (id)""")
 def q_embed_text(spark, sf_dir):
-    """Skip-gram vectors (100 dims) trained on the review corpus; one mean vector per review."""
+    """Skip-gram vectors (100 dims) trained on the review corpus, one mean vector per review, by what is certain
+    of them: equal texts have equal vectors, and only a text without a known word has the zero vector."""
     out, _ = T.embed_text(tables.docs(spark, sf_dir))
-    return out.select("id", F.size("embeddings").alias("dims"))
+    out = materialize(out.select("id", "content", "embeddings"), "embedded")
+    digest = F.sha2(F.coalesce("content", F.lit("")), 256)
+    vec = F.xxhash64("embeddings")
+    spread = out.groupBy(digest.alias("_sha")).agg((F.min(vec) == F.max(vec)).alias("same_as_equal_text"))
+    return (out.withColumn("_sha", digest).join(spread, "_sha")
+               .select("id", "content", F.size("embeddings").alias("dims"),
+                       F.forall("embeddings", lambda v: v == 0).alias("is_zero"), "same_as_equal_text"))
 
 
 _DIST_SQL = ("sqrt(list_sum(list_transform(list_zip(e.embeddings, t.embeddings), "
@@ -177,22 +193,63 @@ def q_linear_predict(spark, sf_dir):
     return pred.select("tranaction_id", F.round("prediction", 0).alias("prediction"))
 
 
+def _labelled(spark, sf_dir):
+    """Reviews with a class: toxic 2 (NEGATIVE), else good quality 1 (POSITIVE), else 0 (NEUTRAL)."""
+    lab = tables.load(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"), F.when(F.col("toxic") == 1, 2.0).when(F.col("quality") == 1, 1.0).otherwise(0.0).alias("label"))
+    return EV.train_test_split(tables.docs(spark, sf_dir).join(lab, "id"), "id")
+
+
 @register("score_sentiment", "2.8")
 def q_score_sentiment(spark, sf_dir):
     """TF-IDF + logistic regression trained on labelled reviews, scoring every review, ids mapped to names."""
     from ledgerlens.operators.cleaning import map_labels
-    d = tables.docs(spark, sf_dir)
-    lab = tables.load(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"),
-                                                      (F.col("quality") + F.col("toxic")).cast("double").alias("label"))
-    model = ML.sentiment_pipeline().fit(d.join(lab, "id"))
-    return map_labels(ML.score_sentiment(model, d), "sentiment_id").select("id", "sentiment_id", "sentiment")
+    model = ML.sentiment_pipeline().fit(_labelled(spark, sf_dir).filter(F.col("split") == "train"))
+    return map_labels(ML.score_sentiment(model, tables.docs(spark, sf_dir)), "sentiment_id").select("id", "sentiment_id", "sentiment")
+
+
+@register("sentiment_holdout", "2.8", sql="""
+WITH l AS (SELECT d.doc_id, CASE WHEN toxic = 1 THEN 2 WHEN quality = 1 THEN 1 ELSE 0 END AS label
+           FROM documents d JOIN labels USING (doc_id)),
+t AS (SELECT label FROM l WHERE (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0) < 0.2)
+SELECT CAST(label AS INTEGER) AS label, count(*) AS n_held_out, TRUE AS chance_or_better FROM t GROUP BY label""")
+def q_sentiment_holdout(spark, sf_dir):
+    """Labelled reviews the sentiment model was not trained on, per class, and whether its predictions of all of them
+    agree with the labels at least as often as chance would (Cohen's kappa not negative)."""
+    return _sentiment_recall(spark, sf_dir).groupBy("label").agg(
+        F.first("n_held_out").alias("n_held_out"), F.first("chance_or_better").alias("chance_or_better"))
+
+
+@register("sentiment_recall", "2.8")
+def q_sentiment_recall(spark, sf_dir):
+    """Held-out reviews and correct predictions per class."""
+    return _sentiment_recall(spark, sf_dir).select("label", "n_held_out", "n_right")
+
+
+def _sentiment_recall(spark, sf_dir):
+    d = _labelled(spark, sf_dir)
+    model = ML.sentiment_pipeline().fit(d.filter(F.col("split") == "train"))
+    pred = materialize(ML.score_sentiment(model, d.filter(F.col("split") == "test")).select(
+        F.col("label").cast("int").alias("label"), "sentiment_id"), "held_out")
+    said = pred.groupBy(F.col("sentiment_id").alias("label")).agg(F.count(F.lit(1)).alias("_said"))  # one row per class
+    per = pred.groupBy("label").agg(F.count(F.lit(1)).alias("n_held_out"),
+                                    F.count_if(F.col("label") == F.col("sentiment_id")).alias("n_right"))
+    per = per.join(F.broadcast(said), "label", "left")
+    total = per.agg((F.sum("n_right") * F.sum("n_held_out") >= F.sum(F.col("n_held_out") * F.coalesce("_said", F.lit(0))))
+                    .alias("chance_or_better"))  # one row
+    return per.crossJoin(F.broadcast(total))
 
 
 def _fraud_features(spark, sf_dir):
+    """Window features, computed once and written: fit and scoring pass over them many times."""
     t = tables.tx(spark, sf_dir)
     f = FE.customer_windows(t, days=(1, 7))
     f = FE.terminal_risk(f)
-    return FE.impute(f, ["c1d_avg", "c7d_avg"], "zero")
+    return EV.time_split(materialize(FE.impute(f, ["c1d_avg", "c7d_avg"], "zero"), "fraud_features"))
+
+
+def _upsampled(train):
+    return EV.upsample(train, EV.class_balance(train))
 
 
 FRAUD_FEATURES = ["tx_amount", "c1d_cnt", "c1d_avg", "c7d_cnt", "c7d_avg", "t7d_cnt", "t7d_risk"]
@@ -200,25 +257,58 @@ FRAUD_FEATURES = ["tx_amount", "c1d_cnt", "c1d_avg", "c7d_cnt", "c7d_avg", "t7d_
 
 @register("train_fraud", "2.8")
 def q_train_fraud(spark, sf_dir):
-    """Random forest on card and terminal window features; predictions for the hash hold-out."""
-    f = EV.train_test_split(_fraud_features(spark, sf_dir), "tranaction_id")
-    model = ML.train_fraud(f.filter(F.col("split") == "train"), FRAUD_FEATURES, kind="rf")
+    """Random forest on card and terminal window features, trained on the older days with the rare class
+    upsampled; predictions for the newest days."""
+    f = _fraud_features(spark, sf_dir)
+    model = ML.train_fraud(_upsampled(f.filter(F.col("split") == "train")), FRAUD_FEATURES, kind="rf")
     return model.transform(f.filter(F.col("split") == "test")).select("tranaction_id", "tx_fraud", "prediction")
 
 
-@register("fraud_model_report", "2.8")
+_TIME_SPLIT_SQL = """
+d AS (SELECT tx_time_days AS day, count(*) AS n FROM tx WHERE tx_time_days IS NOT NULL GROUP BY 1),
+cum AS (SELECT day, sum(n) OVER (ORDER BY day DESC) AS cum, sum(n) OVER () AS total FROM d),
+first_day AS (SELECT max(day) AS day FROM cum WHERE cum >= total * 0.2),
+s AS (SELECT tx.*, CASE WHEN tx_time_days >= first_day.day THEN 'test' ELSE 'train' END AS split FROM tx, first_day)"""
+
+
+@register("time_split", "2.8", sql=with_views("tx") + "," + _TIME_SPLIT_SQL + """
+SELECT split, tx_fraud, count(*) AS n, min(tx_time_days) AS first_day, max(tx_time_days) AS last_day FROM s GROUP BY 1, 2""")
+def q_time_split(spark, sf_dir):
+    """Training and hold-out days of the fraud model."""
+    return EV.time_split(tables.tx(spark, sf_dir)).groupBy("split", "tx_fraud").agg(
+        F.count(F.lit(1)).alias("n"), F.min("tx_time_days").alias("first_day"), F.max("tx_time_days").alias("last_day"))
+
+
+@register("fraud_model_report", "2.8", sql=with_views("tx") + "," + _TIME_SPLIT_SQL + """
+SELECT count(*) AS n_scored, count(*) FILTER (WHERE tx_fraud = 1) AS n_fraud, TRUE AS interval_holds_fnr, TRUE AS interval_holds_fpr
+FROM s WHERE split = 'test'""")
 def q_fraud_model_report(spark, sf_dir):
-    """The second model version end to end: window features -> hash split -> logistic regression ->
-    FNR/FPR on the hold-out with their targets, and a bootstrap interval for both."""
-    f = EV.train_test_split(_fraud_features(spark, sf_dir), "tranaction_id")
-    model = ML.train_fraud(f.filter(F.col("split") == "train"), FRAUD_FEATURES, kind="lr")
+    """The second model version end to end, by what is certain of it: every hold-out row is in one confusion cell,
+    and the bootstrap intervals hold the measured rates."""
+    r = _fraud_report(spark, sf_dir)
+    return r.select((F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).cast("long").alias("n_scored"),
+                    (F.col("tp") + F.col("fn")).cast("long").alias("n_fraud"),
+                    F.col("fnr").between(F.col("fnr_lo"), F.col("fnr_hi")).alias("interval_holds_fnr"),
+                    F.col("fpr").between(F.col("fpr_lo"), F.col("fpr_hi")).alias("interval_holds_fpr"))
+
+
+def _fraud_report(spark, sf_dir):
+    """Window features -> split by time -> upsampled logistic regression -> FNR/FPR on the newest days with their
+    targets, and a bootstrap interval for both."""
+    f = _fraud_features(spark, sf_dir)
+    model = ML.train_fraud(_upsampled(f.filter(F.col("split") == "train")), FRAUD_FEATURES, kind="lr")
     pred = (model.transform(f.filter(F.col("split") == "test"))
                  .withColumn("prediction", F.col("prediction").cast("int")))
-    from ledgerlens.session import materialize
     pred = materialize(pred.select("tranaction_id", "tx_fraud", "prediction"), "fraud_predictions")
     return EV.fraud_metrics(pred).crossJoin(F.broadcast(EV.bootstrap_ci(pred, "tranaction_id", replicates=100)))
 
 
+@register("fraud_model_rates", "2.8")
+def q_fraud_model_rates(spark, sf_dir):
+    """The rates themselves: confusion cells, FNR, FPR, targets and intervals of the second model version."""
+    return _fraud_report(spark, sf_dir)
+
+
 # ------------------------------------------------------------------ 2.8 evaluation
 
 _RULE = "CAST(tx_amount >= 100 AS INTEGER)"
@@ -259,13 +349,14 @@ def _poisson_sql(u: str) -> str:
     return " + ".join(f"CAST({u} >= {p!r} AS INTEGER)" for p in POISSON1_CDF)
 
 
-_U_SQL = "(CAST(('0x' || substr(md5(CAST(tranaction_id AS VARCHAR) || '|' || CAST(rep AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0)"
+_U_SQL = "(CAST(('0x' || substr(md5(CAST(tranaction_id AS VARCHAR) || '|' || CAST(blk AS VARCHAR)), CAST(1 + 8 * j AS INTEGER), 8)) AS BIGINT) / 4294967296.0)"
 REPLICATES = 50
 
 
 @register("bootstrap_ci", "2.8", sql=with_views("tx") + f""",
 p AS (SELECT *, {_RULE} AS prediction FROM tx),
-w AS (SELECT tx_fraud, prediction, {_poisson_sql(_U_SQL)} AS w, rep FROM p, range(1, {REPLICATES + 1}) r(rep)),
+w AS (SELECT tx_fraud, prediction, {_poisson_sql(_U_SQL)} AS w, blk * 4 + j AS rep FROM p, range(0, {(REPLICATES + 3) // 4}) b(blk), range(0, 4) r(j)
+      WHERE blk * 4 + j < {REPLICATES}),
 c AS (SELECT rep, {_CELLS_SQL.format(w='w')} FROM w GROUP BY rep),
 r AS (SELECT fn / CASE WHEN fn + tp > 0 THEN fn + tp END AS fnr, fp / CASE WHEN fp + tn > 0 THEN fp + tn END AS fpr FROM c)
 SELECT round(quantile_cont(fnr, 0.025), 6) AS fnr_lo, round(quantile_cont(fnr, 0.975), 6) AS fnr_hi,
@@ -368,13 +459,14 @@ def q_stream_sink_json(spark, sf_dir):
 
 
 @register("stream_train_then_score", "2.9", sql="""
-SELECT round(CAST(CAST(value AS FLOAT) AS DOUBLE), 2) AS y, round(value, 2) AS prediction FROM events
+SELECT round(CAST(CAST(value + CAST(json_extract_string(props, '$.k') AS DOUBLE) + hour(ts) AS FLOAT) AS DOUBLE), 2) AS y,
+       round(value + CAST(json_extract_string(props, '$.k') AS DOUBLE) + hour(ts), 2) AS prediction FROM events
 WHERE (CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0) < 0.2""")
 def q_stream_train_then_score(spark, sf_dir):
     """Land the stream, fit OLS on the training part, score the held-out part, emit JSON, read it back.
 
-    In these records y is the amount and X1 the same amount, so the fitted line reproduces it: the
-    held-out predictions, in cents, equal the amounts - which the oracle checks for the same hold-out.
+    The messages hold the sum of three numbers and the numbers scaled by 2, 3 and 1: a right fit undoes the
+    scales, so the held-out predictions, in cents, equal the sums.
     """
     _, out = S.stream_train_then_score(spark, sf_dir)
     p = spark.read.text(out).select(F.from_json("value", "y double, prediction double").alias("p"))

@@ -19,16 +19,17 @@ _SCRATCH_SUBDIR = "ledgerlens"
 _MB = 1 << 20
 
 
-def cluster_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) -> dict[str, str]:
-    """Settings that keep every task's input and shuffle block near ``target_partition_mb``.
-
-    * scan splits of that size (``maxPartitionBytes``), so a 100 TB input is ~400k tasks;
-    * an initial shuffle width of input / target (never below 2x the cores), which AQE then
-      coalesces toward the advisory size - a stage after a selective filter shrinks by itself;
-    * skew handling: a shuffle partition over 4x the median and over 1 GB is split;
+def cluster_conf(input_bytes: int, cores: int, target_partition_mb: int = 256, shuffle_partition_mb: int = 1536) -> dict[str, str]:
+    """Scan and shuffle sizes for an input of ``input_bytes`` on ``cores`` cores.
+
+    * scan splits of ``target_partition_mb`` (``maxPartitionBytes``), so a 100 TB input is ~400k tasks;
+    * an initial shuffle width of input / ``shuffle_partition_mb`` (never below 2x the cores): a shuffle keeps one
+      entry per map task and reducer, so reducers are larger than scans and spill where they must (100 TB: ~68k).
+      AQE coalesces after a selective filter;
+    * skew handling: a shuffle partition over 4x the median and over 3 GB is split;
     * broadcast joins only for sides measured under 64 MB at run time.
     """
-    width = max(2 * cores, input_bytes // (target_partition_mb * _MB) + 1)
+    width = max(2 * cores, input_bytes // (shuffle_partition_mb * _MB) + 1)
     return {
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
         "spark.sql.shuffle.partitions": str(width),
@@ -37,7 +38,7 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) -
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * shuffle_partition_mb}m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
     }
@@ -85,9 +86,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/{_SCRATCH_SUBDIR}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint root, unique per call."""
-    return f"{checkpoint_root(spark)}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared checkpoint root and this application's own folder, unique per call."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this application, in any store; anything else is refused."""
+    if not path.startswith(_scratch_root(spark) + "/"):
+        raise ValueError(f"not a scratch folder of this application: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df, name: str):

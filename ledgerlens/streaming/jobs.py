@@ -41,12 +41,17 @@ ORDERS_SCHEMA = T.StructType([
 ])
 
 
-def train_records(events: DataFrame, parsed_only: bool = False) -> DataFrame:
-    """Events as train messages: key ``"0"``/``"1"``, value JSON ``{"X": [value, k, hour], "y": value}``."""
-    x = F.array(F.col("value"), F.get_json_object("props", "$.k").cast("double"), F.hour("ts").cast("double"))
+def train_records(events: DataFrame, parsed_only: bool = False, relation: bool = False) -> DataFrame:
+    """Events as train messages: key ``"0"``/``"1"``, value JSON ``{"X": [value, k, hour], "y": value}``.
+
+    ``relation``: the producer's relation instead, ``y = x1 + x2 + x3`` over scaled inputs
+    ``X = [2 x1, 3 x2, x3]``, so that a right fit has the coefficients 1/2, 1/3 and 1.
+    """
+    x1, x2, x3 = F.col("value"), F.get_json_object("props", "$.k").cast("double"), F.hour("ts").cast("double")
+    x = F.array(x1 * 2, x2 * 3, x3) if relation else F.array(x1, x2, x3)
     if parsed_only:
         return events.select("event_id", x.alias("X"))
-    body = F.to_json(F.struct(x.alias("X"), F.col("value").alias("y")))
+    body = F.to_json(F.struct(x.alias("X"), (x1 + x2 + x3 if relation else x1).alias("y")))
     return events.select("event_id", (F.col("event_id") % 2).cast("string").cast("binary").alias("key"),
                          body.cast("binary").alias("value"))
 
@@ -66,20 +71,23 @@ def file_source(spark: SparkSession, folder: str, glob: str = "events.parquet",
     return r.parquet(folder)
 
 
-def stream_source(spark: SparkSession, sf_dir: str, kafka: dict | None = None) -> DataFrame:
+def stream_source(spark: SparkSession, sf_dir: str, kafka: dict | None = None, relation: bool = False) -> DataFrame:
     """Train messages as a stream: from Kafka when configured, else built from the events files."""
     if kafka:
         return kafka_source(spark, kafka["servers"], kafka["topic"], options=kafka.get("options"))
-    return train_records(file_source(spark, sf_dir))
+    return train_records(file_source(spark, sf_dir), relation=relation)
 
 
 def stream_features(stream: DataFrame) -> DataFrame:
-    """bytes -> JSON struct -> X1..X3 -> feature vector (stateless, so it works on a stream)."""
+    """bytes -> JSON struct -> X1..X3 -> feature vector (stateless, so it works on a stream).
+
+    A malformed message keeps its row, with NULL where a value is missing (NaN in the vector).
+    """
     p = parse_json(stream, "value", TRAIN_SCHEMA, "raw_data")
     keep = ["event_id"] if "event_id" in stream.columns else []
     cols = p.select(*keep, F.col("raw_data.y").alias("y"), F.col("raw_data.X").alias("X"))
     cols = array_to_columns(cols, "X", 3).drop("X")
-    return assemble_features(cols, FEATURES, "features")
+    return assemble_features(cols, FEATURES, "features", handle_invalid="keep")
 
 
 def idempotent_append(path: str, fmt: str = "parquet"):
@@ -140,20 +148,27 @@ def json_sink(spark: SparkSession, scored: DataFrame, tag: str = "predict", kafk
 
 
 def stream_train_then_score(spark: SparkSession, sf_dir: str, test_fraction: float = 0.2,
-                            kafka_in: dict | None = None, kafka_out: dict | None = None):
+                            kafka_in: dict | None = None, kafka_out: dict | None = None, root: str | None = None,
+                            source: DataFrame | None = None):
     """Land the train stream, fit OLS on the training part, score the held-out part of the stream.
 
+    Malformed messages are landed with NULLs, and neither trained on nor scored.  ``root`` names a folder
+    that keeps landed data, predictions and checkpoints: a restart goes on there and repeats nothing.
     Returns ``(model, folder_of_json_predictions)``.
     """
-    src = stream_source(spark, sf_dir, kafka_in)
+    src = source if source is not None else stream_source(spark, sf_dir, kafka_in, relation=True)
     if "event_id" not in src.columns:  # Kafka: hold out by the message offset instead
         src = src.withColumn("event_id", F.col("offset"))
     feats = stream_features(src).withColumn("_test", unit_hash("event_id") < F.lit(test_fraction))
-    landed = land_stream(spark, feats.drop("features"), "train")
-    train = spark.read.parquet(landed).filter(~F.col("_test"))
+    whole = F.col("y").isNotNull()
+    for c in FEATURES:
+        whole = whole & F.col(c).isNotNull()
+    root = root or scratch_path(spark, "train_score")
+    landed = land_stream(spark, feats.drop("features"), "train", f"{root}/train")
+    train = spark.read.parquet(landed).filter(~F.col("_test") & whole)
     model = linear_fit(train, FEATURES, "y")
-    scored = model.transform(feats.filter(F.col("_test")))
-    return model, json_sink(spark, scored, "predict", kafka_out)
+    scored = model.transform(feats.filter(F.col("_test") & whole))
+    return model, json_sink(spark, scored, "predict", kafka_out, f"{root}/predict")
 
 
 def daily_sums(path: str):

@@ -155,3 +155,13 @@ def test_load_table_csv_rating_and_vector_files(spark):
     v = load_table_csv(spark, root + "/reviews", REVIEWS_SCHEMA, sep="|", vector_cols=("embeddings",)).first()
     assert v.embeddings == [0.5, -1.25, 2.0] and v.source == "AppStore" and v.sentiment == "POSITIVE"
     assert v.created_time == dt.datetime(2023, 1, 2, 10)
+
+
+def test_many_groups_are_joined_by_salt_with_the_same_result(spark):
+    from ledgerlens.operators.statsjoin import join_stats
+    df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 40 as string)) AS g", "cast(id as double) AS v")
+    stats = df.groupBy("g").agg(F.avg("v").alias("m"))
+    few = join_stats(df, stats, ["g"])
+    many = join_stats(df, stats, ["g"], broadcast_groups=3)
+    assert many.count() == 3000 and few.exceptAll(many.select(few.columns)).count() == 0
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()

@@ -28,14 +28,20 @@ def test_sentiment_labels_are_the_fixed_names(spark):
 def test_fraud_model_scores_exactly_the_hold_out(spark):
     import __spark_entry__ as E
     pred = E.queries()["train_fraud"](spark, SMOKE)
-    held = EV.train_test_split(tables.tx(spark, SMOKE), "tranaction_id").filter(F.col("split") == "test")
+    held = EV.time_split(tables.tx(spark, SMOKE)).filter(F.col("split") == "test")
     assert pred.count() == held.count()
     assert {r.prediction for r in pred.select("prediction").distinct().collect()} <= {0.0, 1.0}
 
 
 def test_fraud_model_report_is_consistent(spark):
     import __spark_entry__ as E
-    r = E.queries()["fraud_model_report"](spark, SMOKE).first()
+    r = E.queries()["fraud_model_rates"](spark, SMOKE).first()
     assert r.tp + r.fn + r.fp + r.tn > 0
     for lo, hi in ((r.fnr_lo, r.fnr_hi), (r.fpr_lo, r.fpr_hi)):
         assert lo is None or (0.0 <= lo <= hi <= 1.0)
+
+
+def test_sentiment_recalls_held_out_classes(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["sentiment_recall"](spark, "/root/testdata/sf0.01").collect()
+    assert sum(r["n_right"] for r in rows) > 0.6 * sum(r["n_held_out"] for r in rows)

@@ -62,3 +62,19 @@ def test_schema_drift_reports_renamed_column(spark):
         "source_file string, value string")
     got = {r.column_name: (r.dtypes, r.n_files, r.absent_in) for r in P.schema_drift(lines, 2).collect()}
     assert got == {"id": ("int64", 1, "f2"), "ident": ("object", 1, "f1"), "amount": ("float64,int64", 2, "")}
+
+
+def test_box_stats_equals_numpy_on_odd_shapes(spark):
+    rng = np.random.default_rng(5)
+    shapes = {"one": [7.0], "two": [1.0, 2.0], "same": [3.0] * 9, "wide": list(rng.lognormal(3, 3, 4001)), "neg": list(rng.normal(0, 1e6, 1000)),
+              "inf": [float("-inf"), 1.0, 2.0, 3.0, float("inf")]}
+    rows = [(k, float(v)) for k, vs in shapes.items() for v in vs] + [("none", None)]
+    got = {r.source_file: r for r in P.box_stats(spark.createDataFrame(rows, "source_file string, tx_amount double")).collect()}
+    assert set(got) == set(shapes)
+    for k, vs in shapes.items():
+        # by rank; numpy multiplies infinity by a weight of 0
+        q = np.array([1.0, 2.0, 3.0]) if k == "inf" else np.percentile(vs, [25, 50, 75])
+        assert np.allclose([got[k].q1, got[k].median, got[k].q3], q, rtol=1e-12)
+        lo, hi = q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0])
+        inside = [v for v in vs if lo <= v <= hi]
+        assert (got[k].whisker_low, got[k].whisker_high, got[k].n_outliers) == (min(inside), max(inside), len(vs) - len(inside))

@@ -1,6 +1,8 @@
 """Session helpers: shared scratch folders, partition sizing."""
 
-from ledgerlens.session import checkpoint_root, cluster_conf, scratch_path
+import pytest
+
+from ledgerlens.session import checkpoint_root, cluster_conf, remove_path, scratch_path
 
 
 def test_scratch_is_under_the_checkpoint_root_and_fresh(spark):
@@ -13,5 +15,15 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 << 30, cores=64)
     big = cluster_conf(100 << 40, cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128            # floor of 2x cores
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20) + 1
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (1536 << 20) + 1
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_only_own_scratch_is_removed(spark, tmp_path):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_path(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        remove_path(spark, str(tmp_path))

@@ -47,4 +47,23 @@ def test_train_then_score_holds_out(spark):
     model, out = S.stream_train_then_score(spark, SMOKE)
     preds = spark.read.text(out)
     assert preds.count() > 0 and os.path.basename(out) == "data"
-    assert len(model.coefficients) == 3
+    assert [round(c, 4) for c in model.coefficients] == [0.5, 0.3333, 1.0]
+
+
+def test_malformed_messages_are_landed_and_a_restart_repeats_nothing(spark):
+    folder, root = scratch_path(spark, "messages"), scratch_path(spark, "restart")
+    good = S.train_records(spark.read.parquet(f"{SMOKE}/events.parquet"), relation=True)
+    bad = spark.createDataFrame([(10**9, "0", "{not json"), (10**9 + 1, "1", '{"X": [1.0], "y": 2.0}')],
+                                "event_id long, key string, value string").selectExpr("event_id", "cast(key as binary) key", "cast(value as binary) value")
+    def run(**kw):
+        stream = spark.readStream.schema(good.schema).parquet(f"{folder}/*")
+        return S.stream_train_then_score(spark, SMOKE, root=root, source=stream)
+    good.filter("event_id % 2 = 0").union(bad).write.parquet(f"{folder}/a")
+    run()
+    good.filter("event_id % 2 = 1").write.parquet(f"{folder}/b")
+    run()
+    _, out = run()
+    landed = spark.read.parquet(f"{root}/train/data")
+    assert landed.count() == good.count() + 2 and landed.select("event_id").distinct().count() == good.count() + 2
+    from ledgerlens.functions.hashing import unit_hash
+    assert spark.read.text(out).count() == good.filter(unit_hash("event_id") < 0.2).count()
