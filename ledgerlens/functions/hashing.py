@@ -27,15 +27,23 @@ def _poisson1_cdf(k_max: int = 12) -> list[float]:
 POISSON1_CDF = _poisson1_cdf()
 
 
-def unit_hash(*keys, part: int = 0) -> Column:
-    """``part`` picks which 32 bits of the md5 (0 to 3) make the number."""
-    key = F.concat_ws("|", *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(key), 1 + 8 * part, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
+def key_hash(*keys) -> Column:
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]))
 
 
-def poisson1(u: Column) -> Column:
-    """Inverse CDF of Poisson(1) at u: the bootstrap weight of one row in one replicate."""
+def unit_hash(*keys) -> Column:
+    return F.conv(F.substring(key_hash(*keys), 1, 8), 16, 10).cast("bigint") / F.lit(_TWO_32)
+
+
+def poisson1_of(digest, part: int = 0) -> Column:
+    """Inverse CDF of Poisson(1) at 32 bits of an md5 (``part`` 0 to 3): the weight of a row in a bootstrap replicate.
+
+    Hex digits of equal length compare as the numbers do, so no number is parsed.
+    """
+    bits = F.substring(digest, 1 + 8 * part, 8)
+    bounds = [math.ceil(p * _TWO_32) for p in POISSON1_CDF]
     w = F.lit(0)
-    for p in POISSON1_CDF:
-        w = w + F.when(u >= F.lit(p), 1).otherwise(0)
+    for b in bounds:
+        if b < _TWO_32:
+            w = w + (bits >= F.lit(f"{b:08x}")).cast("int")
     return w

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.functions.hashing import poisson1, unit_hash
+from ledgerlens.functions.hashing import key_hash, poisson1_of, unit_hash
 from ledgerlens.operators.statsjoin import join_stats
 
 # The business targets of the fraud project.
@@ -56,9 +56,11 @@ def bootstrap_ci(df: DataFrame, key: str, replicates: int = 200, label: str = "t
                  lo: float = 0.025, hi: float = 0.975) -> DataFrame:
     """Percentile interval of FNR and FPR over Poisson(1) bootstrap replicates keyed by md5(key, replicate)."""
     n_blocks = (replicates + 3) // 4
-    d = df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull()).select(
-        key, F.col(label).alias("_y"), F.col(pred).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_blk"))
-    cells = d.groupBy("_blk", "_y", "_p").agg(*[F.sum(poisson1(unit_hash(key, "_blk", part=j))).alias(f"_w{j}") for j in range(4)])
+    # the md5 comes out of the generator as a column of its own, so the four sums do not compute it again
+    digests = F.transform(F.sequence(F.lit(0), F.lit(n_blocks - 1)), lambda b: key_hash(key, b))
+    drawn = df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull()).select(
+        F.col(label).alias("_y"), F.col(pred).alias("_p"), F.posexplode(digests).alias("_blk", "_h"))
+    cells = drawn.groupBy("_blk", "_y", "_p").agg(*[F.sum(poisson1_of("_h", j)).alias(f"_w{j}") for j in range(4)])
     reps = cells.select("_y", "_p", F.explode(F.array(*[
         F.struct((F.col("_blk") * 4 + j).alias("rep"), F.col(f"_w{j}").alias("w")) for j in range(4)])).alias("_r"))
     reps = reps.select("_y", "_p", "_r.rep", "_r.w").filter(F.col("rep") < replicates)

@@ -160,7 +160,7 @@ def box_stats(df: DataFrame, col: str = "tx_amount", by: str = "source_file") ->
     q = materialize(_quartiles(counts, col, by), "quartiles")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col(col) >= F.col("q1") - reach) & (F.col(col) <= F.col("q3") + reach)
-    return join_stats(counts, q, [by]).groupBy(by, "q1", "median", "q3").agg(
+    return join_stats(counts, q, [by], written=True).groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_low"), F.max(F.when(inside, F.col(col))).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"))
 

@@ -20,12 +20,15 @@ SALT = 32
 
 
 def join_stats(df: DataFrame, stats: DataFrame, by: Sequence[str], how: str = "left",
-               broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
-    """``df`` with the statistics of its group; without ``by`` the statistics are exactly one row."""
+               broadcast_groups: int = BROADCAST_GROUPS, written: bool = False) -> DataFrame:
+    """``df`` with the statistics of its group; without ``by`` the statistics are exactly one row.
+
+    ``written``: ``stats`` is a written table already.
+    """
     by = list(by)
     if not by:
         return df.crossJoin(F.broadcast(stats))
-    stats = materialize(stats, "stats")
+    stats = stats if written else materialize(stats, "stats")
     if stats.count() <= broadcast_groups:  # the row count of a parquet table comes from its footers
         return df.join(F.broadcast(stats), by, how)
     salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
