@@ -338,6 +338,7 @@ SELECT tranaction_id, round(coalesce(c1d_avg, avg(c1d_avg) OVER ()), 6) AS c1d_a
 def q_impute(spark, sf_dir):
     """Mean amount of a card's last-day transactions; cards without any get the column mean."""
     out = FE.customer_windows(tables.tx(spark, sf_dir), days=(1,))
+    out = materialize(out.select("tranaction_id", "c1d_avg"), "window_features")  # read twice: the mean, then the rows
     return FE.impute(out, ["c1d_avg"], "mean").select("tranaction_id", F.round("c1d_avg", 6).alias("c1d_avg"))
 
 
