@@ -46,12 +46,15 @@ def main():
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--out", default=os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"))
     a = ap.parse_args()
-    import __spark_entry__ as E
+    from ledgerlens.plans import REGISTRY
     from ledgerlens.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=16)
+    # joins as on large inputs: nothing is broadcast for being small, only where the code says so; whole metadata
+    spark = get_session("local[8]", shuffle_partitions=16, extra={
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.maxMetadataStringLength": "100000", "spark.sql.debug.maxToStringFields": "1000"})
     rows = []
-    for name, fn in E.queries().items():
-        df = fn(spark, a.sf)
+    for name, e in REGISTRY.items():
+        df = e.fn(spark, a.sf)
         qe = df._jdf.queryExecution()
         df.collect()  # after running, the adaptive plan is the final one
         plan = qe.executedPlan().toString()
@@ -59,11 +62,11 @@ def main():
     spark.stop()
     with open(a.out, "w") as fh:
         fh.write("# Executed plans\n\nGenerated by `scripts/plan_report.py` at "
-                 f"`{os.path.basename(a.sf)}` (local[8], AQE on).  Per registered query: shuffles by kind, "
+                 f"`{os.path.basename(a.sf)}` (local[8], AQE on, no broadcast for being "
+                 "small).  Per registered query: shuffles by kind, "
                  "broadcast exchanges, reused exchanges, joins, window operators, Python stages, and each "
-                 "file scan with the columns it reads and the filters pushed into it.  Round-robin "
-                 "exchanges are `spread()` on single-row-group test files (none on large inputs).  "
-                 "Streaming and file-writing queries are shown as the batch read of their output.\n\n")
+                 "file scan with the columns it reads and the filters pushed into it.  Queries that "
+                 "stage a table, write or stream are shown from the last written table on.\n\n")
         fh.write("| query | hash | range | single | rr | bcast | reused | BHJ/BNLJ | SMJ | window | python | scans (columns; pushed filters) |\n")
         fh.write("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |\n")
         for name, s in rows:
