@@ -128,6 +128,42 @@ def test_quality_keeps_clean_and_rejects_shouting(spark):
     assert share[1] > 0.97 and share[0] < 0.4
 
 
+def bad_kind(text):
+    w = text.split()
+    if sum(a == b for a, b in zip(w, w[1:])) > 0.3 * len(w):
+        return "repeated words"
+    marks = {"shouting": ("!!",), "symbols": ("%%%", "&&&", "$$$", "###", "***"), "lists": (" | ",)}
+    return next((k for k, m in marks.items() if sum(map(text.count, m)) > 0.2 * len(w)), None)
+
+
+def test_quality_rejects_every_kind_of_bad_document(spark):
+    at = SMOKE.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{at}/labels.parquet")
+    got = quality.classify(spark.read.parquet(f"{at}/documents.parquet"), labels).join(labels, "doc_id").select("text", "quality", "toxic", "accepted").collect()
+    clean = [r["accepted"] for r in got if r["quality"] == 1 and not r["toxic"]]
+    assert sum(clean) >= 0.97 * len(clean)
+    kept = {}
+    for r in got:
+        if r["quality"] == 0 and (kind := bad_kind(r["text"])):
+            kept.setdefault(kind, []).append(r["accepted"])
+    assert len(kept) == 4
+    for kind, accepted in kept.items():
+        assert sum(accepted) <= 0.1 * len(accepted), kind
+
+
+def test_recurring_matches_brute_force(monkeypatch):
+    texts = ["Te Te Te Te Te", "", "né à l'été", "x" * 300, " ".join(WORDS) * 3]
+    buf, offs = tk.utf8(pa.array(texts))
+    def brute(t):
+        b = bytes([quality.PAD]) * 3 + t.encode()
+        g = [b[i:i + 4] for i in range(len(b) - 3)]
+        return sum(x in g[max(0, i - quality.NEAR):i] for i, x in enumerate(g)) / max(len(g), 1)
+    whole = tk.gram_blocks
+    for block in (1 << 20, 70):  # blocks end inside texts
+        monkeypatch.setattr(tk, "gram_blocks", lambda *a: whole(*a[:4], block))
+        assert quality.recurring(buf, offs) == pytest.approx([brute(t) for t in texts])
+
+
 def test_quality_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality.keep_good(edge(spark).withColumnRenamed("source", "perplexity"), none)
