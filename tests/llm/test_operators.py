@@ -151,6 +151,17 @@ def test_quality_rejects_every_kind_of_bad_document(spark):
         assert sum(accepted) <= 0.1 * len(accepted), kind
 
 
+def test_trusted_documents_of_rare_languages(spark):
+    rows = [(i, f"text {i}", "en" if i % 100 else "xx" if i % 200 else None) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    held = {r["lang"]: r["count"] for r in quality._trusted(docs, labels, "calibrate").groupBy("lang").count().collect()}
+    assert all(held[x] >= 3 for x in ("xx", None))
+    got = {r["lang"]: r["count"] for r in quality._trusted(docs, labels, "train", 60).groupBy("lang").count().collect()}
+    assert {x: got[x] + held[x] for x in ("xx", None)} == {"xx": 40, None: 40} and 20 < got["en"] < 120
+    assert held["en"] > 1500  # all of the fold
+
+
 def test_recurring_matches_brute_force(monkeypatch):
     texts = ["Te Te Te Te Te", "", "né à l'été", "x" * 300, " ".join(WORDS) * 3]
     buf, offs = tk.utf8(pa.array(texts))
