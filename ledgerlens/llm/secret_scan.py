@@ -2,16 +2,16 @@
 
 Base rules (always reported): ``assign`` (a key word, ``:`` or ``=``, a value of 12 or more
 characters), ``access`` (``AKIA`` and 14 or more capitals and digits), ``hex`` (16 or more of
-0-9a-f).  Candidates are runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters with at least two
-digits.  The network reads a candidate and the text around it as character classes: one
+0-9a-f).  Candidates are all runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters.  The network reads a candidate and the text around it as character classes: one
 convolution, ReLU, maxima over the candidate and over its context, one logistic unit.  It is
 trained in numpy on labelled findings: rule findings of a bounded sample of documents (positive),
-the sample's other candidates (negative), and findings of both kinds made by rule from a fixed
-seed, so that it is defined for any table.  Half of them calibrate it (Platt scaling) and set the
+the sample's other candidates (negative, but for those like made secrets), and findings of both kinds made by rule from
+a fixed seed, so that it is defined for any table.  Half of them calibrate it (Platt scaling) and set the
 threshold: the largest one that keeps ``recall`` of the held-out positives.  Candidates at or above
 it that touch no base finding are added as ``cnn`` spans.
 
-Scale: one scan, no shuffle; training reads at most ``sample`` documents (smallest id hash).
+Scale: one scan, no shuffle; training reads at most ``sample`` documents (smallest id hash) and at most
+``most`` different findings of them (smallest hash).
 
 Defined results: null or empty text: no spans.  Repeated rows: the same spans each.  Spans are code
 point offsets, end exclusive, ordered by start, then kind.  Extra columns pass through.
@@ -38,19 +38,18 @@ KEY_STARTS = (b"passw", b"secret", b"token", b"api")
 
 HEX = np.zeros(256, bool)
 HEX[0x30:0x3A] = HEX[0x61:0x67] = True
-DIGIT = np.zeros(256, bool)
-DIGIT[0x30:0x3A] = True
 RUN = np.zeros(256, bool)
 RUN[[*b"+/_.=-"]] = RUN[0x30:0x3A] = RUN[0x41:0x5B] = RUN[0x61:0x7B] = True
 
-# character classes the network reads; 0 is outside the text
+# character classes the network reads (vowels apart, as words have them everywhere); 0 is outside the text
 CLASS = np.full(256, 1, np.uint8)
-for _i, _chars in enumerate((b"0123456789", b"abcdef", b"ghijklmnopqrstuvwxyz", b"ABCDEF", b"GHIJKLMNOPQRSTUVWXYZ", b"+/", b"_", b".",
-                             b"=", b"-", b":", b"\"'", b" ", b"\n\r\t", b"@", b",;"), 2):
+for _i, _chars in enumerate((b"0123456789", b"ae", b"bcdf", b"iouy", b"ghjklmnpqrstvwxz", b"AE", b"BCDF", b"IOUY", b"GHJKLMNPQRSTVWXZ",
+                             b"+/", b"_", b".", b"=", b"-", b":", b"\"'", b" ", b"\n\r\t", b"@", b",;"), 2):
     CLASS[[*_chars]] = _i
-N_CLASSES = 18
+N_CLASSES = 22
 BEFORE, INSIDE, AFTER, WIDTH, FILTERS = 20, 44, 8, 5, 16
 LENGTH = BEFORE + INSIDE + AFTER
+SURE = 0.99
 
 
 # ------------------------------------------------------------------ rules and candidates
@@ -71,12 +70,8 @@ def long_runs(buf: np.ndarray, offs: np.ndarray, table: np.ndarray, least: int):
 
 
 def candidates(buf: np.ndarray, offs: np.ndarray):
-    """Runs of secret-like characters with at least two digits."""
-    starts, ends, rows = long_runs(buf, offs, RUN, 12)
-    digits = np.zeros(len(buf) + 1, np.int64)
-    np.cumsum(DIGIT[buf], out=digits[1:])
-    keep = digits[ends] - digits[starts] >= 2
-    return starts[keep], ends[keep], rows[keep]
+    """Runs of secret-like characters, of the scan, the training and the calibration alike."""
+    return long_runs(buf, offs, RUN, 12)
 
 
 def windows(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -146,21 +141,30 @@ def calibrate(logit: np.ndarray, y: np.ndarray, recall: float) -> tuple[float, f
     return a, b, float(prob[int((1 - recall) * len(prob))])
 
 
-def made_findings(n: int = 1500, seed: int = 11) -> list[tuple[bytes, int, int, int]]:
+SYLLABLES = ("con", "ter", "na", "tion", "al", "in", "ver", "ment", "schaft", "ung", "pre", "able", "lich", "de", "ra", "stra", "ness", "mente", "ble", "per",
+             "ge", "heit", "or", "ism", "re", "com", "mu", "ni", "que", "ence", "zu", "sam", "ar", "beit", "ci", "dad", "est", "wick", "lung", "ity")
+
+
+def made_findings(n: int = 3000, seed: int = 11) -> list[tuple[bytes, int, int, int]]:
     """(text, start, end, label): findings of common shapes, made from a fixed seed."""
     rng = np.random.default_rng(seed)
     pick = lambda chars, k: "".join(rng.choice(list(chars), k))
     low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
     word = lambda: pick(low, int(rng.integers(2, 9)))
+    said = lambda k: ["".join(rng.choice(SYLLABLES, int(rng.integers(1, 4)))) for _ in range(k)]
+    long_word = lambda: "".join(rng.choice(SYLLABLES, int(rng.integers(4, 8))))
     out = []
     for i in range(n):
         size = int(rng.integers(16, 44))
         secret = (lambda: pick(low + up + dig, size), lambda: pick("abcdef" + dig, size), lambda: pick(low + up + dig + "+/", size) + "=",
-                  lambda: pick(low, 3) + "_" + pick(low + up + dig, size), lambda: pick(up + dig, size), lambda: pick(low + up + dig + "-_", size))
+                  lambda: pick(low, 3) + "_" + pick(low + up + dig, size), lambda: pick(up + dig, size), lambda: pick(low + up + dig + "-_", size),
+                  lambda: pick(low + up, size), lambda: pick(low + dig, size), lambda: pick(low, size + 8), lambda: pick(up, size + 8))
         plain = (lambda: ".".join(str(rng.integers(0, 256)) for _ in range(4)), lambda: f"{word()}.{rng.integers(10, 99)}@{word()}{rng.integers(1, 9)}.{word()}.com",
                  lambda: f"20{rng.integers(10, 30)}-{rng.integers(10, 13)}-{rng.integers(10, 29)}T{rng.integers(10, 24)}", lambda: f"{word()}-{word()}-{rng.integers(10, 9999)}-{word()}",
                  lambda: f"+{rng.integers(1, 99)}-{rng.integers(100, 999)}-{rng.integers(100, 999)}-{rng.integers(1000, 9999)}", lambda: f"{word()}/{word()}/{rng.integers(10, 999)}.{word()}",
-                 lambda: f"{word()}_{rng.integers(10, 99)}.{word()}.{rng.integers(0, 99)}", lambda: f"{word()}.{word()}.{rng.integers(100, 9999)}")
+                 lambda: f"{word()}_{rng.integers(10, 99)}.{word()}.{rng.integers(0, 99)}", lambda: f"{word()}.{word()}.{rng.integers(100, 9999)}",
+                 long_word, lambda: long_word().capitalize(), lambda: long_word().upper(), lambda: "-".join(said(4)), lambda: "_".join(said(4)),
+                 lambda: "/".join(said(4)), lambda: "".join(x.capitalize() for x in said(4)), lambda: ".".join(said(3)) + "...", lambda: str(rng.choice([*"-=_."])) * size)
         label = i % 2
         value = (secret if label else plain)[int(rng.integers(len(secret if label else plain)))]()
         lead = (word() + " ") * 3
@@ -168,9 +172,8 @@ def made_findings(n: int = 1500, seed: int = 11) -> list[tuple[bytes, int, int,
             lead += str(rng.choice(["key", "auth", "credential", "token", "pwd", "bearer"])) + str(rng.choice([" = ", ": ", "=", ' = "', " "]))
         text = lead + value
         data = (text + str(rng.choice([" ", '"', "\n", "."])) + word()).encode()
-        # the candidate of an address is its longest run
         buf = np.frombuffer(data, np.uint8)
-        s, e, _ = long_runs(buf, np.array([0, len(buf)]), RUN, 12)
+        s, e, _ = candidates(buf, np.array([0, len(buf)]))
         for a, b in zip(s.tolist(), e.tolist()):
             if b > len(lead.encode()):
                 out.append((data, a, b, label))
@@ -178,7 +181,7 @@ def made_findings(n: int = 1500, seed: int = 11) -> list[tuple[bytes, int, int,
     return out
 
 
-def fit(docs: DataFrame, sample: int = 4000, recall: float = 0.99) -> dict:
+def fit(docs: DataFrame, sample: int = 4000, recall: float = 0.99, most: int = 20_000) -> dict:
     """Network, calibration and threshold from a bounded sample of documents and made findings."""
     ids = smallest(docs.where("doc_id IS NOT NULL").select("doc_id"), sample, F.xxhash64("doc_id"), docs.count()).distinct()
 
@@ -199,9 +202,35 @@ def fit(docs: DataFrame, sample: int = 4000, recall: float = 0.99) -> dict:
                                              ["data", "start", "end", "label"])
 
     found = (docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text").mapInArrow(label, "data binary, start long, end long, label long")
-                 .dropDuplicates().orderBy(F.xxhash64("data", "start"), "data", "start").limit(20_000))
-    rows = [(bytes(r["data"]), r["start"], r["end"], r["label"]) for r in found.collect()] + made_findings()
-    x = np.concatenate([windows(np.frombuffer(d, np.uint8), np.array([0]), np.array([len(d)]), np.array([a]), np.array([b])) for d, a, b, _ in rows])
+                 .dropDuplicates().orderBy(F.xxhash64("data", "start"), "data", "start").limit(most))
+    return fit_rows([(bytes(r["data"]), r["start"], r["end"], r["label"]) for r in found.collect()], recall)
+
+
+def fit_rows(found: list, recall: float = 0.99) -> dict:
+    """The model of sample findings (text, start, end, label) and made ones.
+
+    A candidate without a rule finding may be a secret all the same: those that a network of the made findings
+    alone is ``SURE`` of are left out.
+    """
+    made = made_findings()
+    if found:
+        sure = _fit(made, recall)
+        p = probabilities(sure, _windows_of(found))
+        found = [r for r, q in zip(found, p) if r[3] or q < SURE]
+    return _fit(found + made, recall)
+
+
+def probabilities(model: dict, x: np.ndarray) -> np.ndarray:
+    logit = np.concatenate([np.zeros(0), *(forward(model["net"], x[lo:lo + 512])[0] for lo in range(0, len(x), 512))])
+    return 1 / (1 + np.exp(-np.clip(model["a"] * logit + model["b"], -30, 30)))
+
+
+def _windows_of(rows: list) -> np.ndarray:
+    return np.concatenate([windows(np.frombuffer(d, np.uint8), np.array([0]), np.array([len(d)]), np.array([a]), np.array([b])) for d, a, b, _ in rows])
+
+
+def _fit(rows: list, recall: float) -> dict:
+    x = _windows_of(rows)
     y = np.array([r[3] for r in rows])
     order = np.random.default_rng(3).permutation(len(y))
     learn, hold = order[::2], order[1::2]
@@ -234,7 +263,7 @@ def scan_batch(buf: np.ndarray, offs: np.ndarray, model: dict) -> list[list[tupl
     for lo in range(0, len(s), 512):
         cs, ce, cr = s[lo:lo + 512], e[lo:lo + 512], r[lo:lo + 512]
         x = windows(buf, offs[cr], offs[cr + 1], cs, ce)
-        prob = 1 / (1 + np.exp(-np.clip(model["a"] * forward(model["net"], x)[0] + model["b"], -30, 30)))
+        prob = probabilities(model, x)
         for i in np.flatnonzero(prob >= model["threshold"]):
             a, b, row = int(cs[i]), int(ce[i]), int(cr[i])
             if not any(k < 3 and p < b and q > a for p, k, q, _ in out[row]):

@@ -284,6 +284,18 @@ def test_secret_edges_and_redaction(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_secrets_with_few_digits_are_found(spark):
+    rng = np.random.default_rng(21)
+    made = ["".join(rng.choice([*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"], 20)) for _ in range(100)]
+    keys = made + [k[:9] + "7" + k[10:] for k in made]
+    plain = ["internationalization", "Zusammenarbeitsvereinbarung", "responsabilidades", "well-established-practice", "getUserNameFromList", "----------------"]
+    docs = spark.createDataFrame([(i, f"please use {x} for it") for i, x in enumerate(keys + plain)], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["secret_spans"]] for r in secret_scan.scan(docs, secret_scan.fit(docs.where("false"))).collect()}
+    for part in (range(100), range(100, 200)):
+        assert sum(got[i] == [(11, 31)] for i in part) >= 90
+    assert not any(got[i] for i in range(200, 200 + len(plain)))
+
+
 # ---------------------------------------------------------------- 6
 def test_links_match_brute_force_with_bad_vectors(spark):
     rng = np.random.default_rng(5)
