@@ -2,8 +2,9 @@
 
 Base rules (always reported): ``assign`` (a key word, ``:`` or ``=``, a value of 12 or more
 characters), ``access`` (``AKIA`` and 14 or more capitals and digits), ``hex`` (16 or more of
-0-9a-f).  Candidates are all runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters.  The network reads a candidate and the text around it as character classes: one
-convolution, ReLU, maxima over the candidate and over its context, one logistic unit.  It is
+0-9a-f).  Candidates are all runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters.  The network reads a window of ``INSIDE`` characters and the text around it as character classes: one
+convolution, ReLU, maxima over the window and over its context, one logistic unit.  It slides over a longer
+candidate, whose score is the greatest of its windows.  It is
 trained in numpy on labelled findings: rule findings of a bounded sample of documents (positive),
 the sample's other candidates (negative, but for those like made secrets), and findings of both kinds made by rule from
 a fixed seed, so that it is defined for any table.  Half of them calibrate it (Platt scaling) and set the
@@ -11,7 +12,7 @@ threshold: the largest one that keeps ``recall`` of the held-out positives.  Can
 it that touch no base finding are added as ``cnn`` spans.
 
 Scale: one scan, no shuffle; training reads at most ``sample`` documents (smallest id hash) and at most
-``most`` different findings of them (smallest hash).
+``most`` different findings of them (smallest hash), ``FIT_LONG`` characters of each.
 
 Defined results: null or empty text: no spans.  Repeated rows: the same spans each.  Spans are code
 point offsets, end exclusive, ordered by start, then kind.  Extra columns pass through.
@@ -50,6 +51,10 @@ N_CLASSES = 22
 BEFORE, INSIDE, AFTER, WIDTH, FILTERS = 20, 44, 8, 5, 16
 LENGTH = BEFORE + INSIDE + AFTER
 SURE = 0.99
+# positions of the convolution over a candidate, and over what stands before and after it
+WITHIN = np.arange(BEFORE - 2, BEFORE + INSIDE - 2)
+AROUND = np.r_[0:BEFORE - 2, BEFORE + INSIDE - 2:LENGTH - WIDTH + 1]
+FIT_LONG, FIT_STEP = 256, 4  # the fit reads so many characters of a long candidate, and every fourth window
 
 
 # ------------------------------------------------------------------ rules and candidates
@@ -92,32 +97,74 @@ def forward(p: dict, x: np.ndarray):
     z = np.broadcast_to(p["b"], (n, steps, FILTERS)).copy()
     for k in range(WIDTH):
         z += p["w"][k][x[:, k:k + steps]]
-    parts = (slice(BEFORE - 2, BEFORE + INSIDE - 2), slice(0, BEFORE - 2))
-    where = [z[:, s].argmax(axis=1) + s.start for s in parts]
+    where = [at[z[:, at].argmax(axis=1)] for at in (WITHIN, AROUND)]
     top = [np.maximum(np.take_along_axis(z, w[:, None], axis=1)[:, 0], 0) for w in where]
     h = np.concatenate(top, axis=1)
     return h @ p["v"] + p["c"], h, where
 
 
-def train_network(x: np.ndarray, y: np.ndarray, seed: int = 7, epochs: int = 30, rate: float = 0.01) -> dict:
+def running_max(z: np.ndarray, width: int) -> np.ndarray:
+    """Maxima over every ``width`` rows."""
+    n, span = len(z) - width + 1, 1
+    while 2 * span <= width:
+        z, span = np.maximum(z[:-span], z[span:]), 2 * span
+    return np.maximum(z[:n], z[width - span:width - span + n])
+
+
+def slid(p: dict, buf: np.ndarray, lo: int, hi: int, start: int, end: int, size: int = 1 << 15) -> float:
+    """The greatest score of all windows of a candidate longer than ``INSIDE``, ``size`` of them at a time."""
+    best = -np.inf
+    for first in range(start, end - INSIDE + 1, size):
+        last = min(first + size, end - INSIDE + 1)  # windows begin at first..last-1
+        at = np.arange(first - BEFORE, last - 1 + INSIDE + AFTER)
+        x = np.where((at >= lo) & (at < hi), CLASS[buf[np.clip(at, 0, len(buf) - 1)]], 0)
+        steps = len(x) - WIDTH + 1
+        z = p["b"] + sum(p["w"][k][x[k:k + steps]] for k in range(WIDTH))
+        n = last - first
+        around = np.maximum(running_max(z[:n + BEFORE - 3], BEFORE - 2), running_max(z[BEFORE + INSIDE - 2:], len(AROUND) - BEFORE + 2))
+        within = running_max(z[BEFORE - 2:n + BEFORE + INSIDE - 3], INSIDE)
+        h = np.maximum(np.concatenate([within, around], axis=1), 0)
+        best = max(best, float((h @ p["v"] + p["c"]).max()))
+    return best
+
+
+def scores(p: dict, buf: np.ndarray, lo: np.ndarray, hi: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Scores (logits) of candidates: the greatest of a window that slides over them."""
+    out = np.zeros(len(starts))
+    short = np.flatnonzero(ends - starts <= INSIDE)
+    for i in range(0, len(short), 512):
+        j = short[i:i + 512]
+        out[j] = forward(p, windows(buf, lo[j], hi[j], starts[j], ends[j]))[0]
+    for j in np.flatnonzero(ends - starts > INSIDE):
+        out[j] = slid(p, buf, int(lo[j]), int(hi[j]), int(starts[j]), int(ends[j]))
+    return out
+
+
+def train_network(x: np.ndarray, first: np.ndarray, y: np.ndarray, seed: int = 7, epochs: int = 30, rate: float = 0.01) -> dict:
+    """``x``: windows, ``first[i]:first[i + 1]`` of candidate ``i``; the one with the greatest score is learnt from."""
     rng = np.random.default_rng(seed)
     p = {"w": rng.normal(0, 0.3, (WIDTH, N_CLASSES, FILTERS)), "b": np.zeros(FILTERS), "v": rng.normal(0, 0.3, 2 * FILTERS), "c": np.zeros(1)}
     m, s, t = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6))
     for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for i in range(0, len(x), 64):
+        order = rng.permutation(len(y))
+        for i in range(0, len(y), 64):
             j = order[i:i + 64]
-            logit, h, where = forward(p, x[j])
+            n = first[j + 1] - first[j]
+            ends = np.cumsum(n)
+            xj = x[np.repeat(first[j] - ends + n, n) + np.arange(ends[-1])]
+            logit, h, where = forward(p, xj)
+            best = np.array([b - k + logit[b - k:b].argmax() for b, k in zip(ends, n)])
+            xj, logit, h, where = xj[best], logit[best], h[best], [w[best] for w in where]
             err = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[j]) * weight[j] / len(j)
             g = {k: np.zeros_like(a) for k, a in p.items()}
             g["v"], g["c"] = h.T @ err, np.array([err.sum()])
             back = err[:, None] * p["v"] * (h > 0)
-            for part, at in enumerate(where):
+            for part, top in enumerate(where):
                 d = back[:, part * FILTERS:(part + 1) * FILTERS]
                 g["b"] += d.sum(axis=0)
                 for k in range(WIDTH):
-                    np.add.at(g["w"][k], (x[j][np.arange(len(j))[:, None], at + k], np.arange(FILTERS)[None]), d)
+                    np.add.at(g["w"][k], (xj[np.arange(len(j))[:, None], top + k], np.arange(FILTERS)[None]), d)
             t += 1
             for k in p:  # Adam
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -167,11 +214,15 @@ def made_findings(n: int = 3000, seed: int = 11) -> list[tuple[bytes, int, int,
                  lambda: "/".join(said(4)), lambda: "".join(x.capitalize() for x in said(4)), lambda: ".".join(said(3)) + "...", lambda: str(rng.choice([*"-=_."])) * size)
         label = i % 2
         value = (secret if label else plain)[int(rng.integers(len(secret if label else plain)))]()
-        lead = (word() + " ") * 3
-        if label and rng.random() < 0.5:
+        if rng.random() < 0.25:  # a long run, with the secret somewhere in it
+            path = lambda: "/".join([str(rng.choice(["http", "", "www.home", "data"])), *said(int(rng.integers(2, 8)))])
+            tail = str(rng.choice(["", "", "/", ".", "-"]))
+            value = path() + str(rng.choice(["/", "=", "/key=", ".", "/id="])) + value + (tail and tail + "/".join(said(int(rng.integers(1, 5)))))
+        lead = " ".join(said(3)) + " "
+        if rng.random() < (0.5 if label else 0.25):
             lead += str(rng.choice(["key", "auth", "credential", "token", "pwd", "bearer"])) + str(rng.choice([" = ", ": ", "=", ' = "', " "]))
         text = lead + value
-        data = (text + str(rng.choice([" ", '"', "\n", "."])) + word()).encode()
+        data = (text + str(rng.choice([" ", '"', "\n", ", "])) + " ".join(said(2))).encode()
         buf = np.frombuffer(data, np.uint8)
         s, e, _ = candidates(buf, np.array([0, len(buf)]))
         for a, b in zip(s.tolist(), e.tolist()):
@@ -196,7 +247,11 @@ def fit(docs: DataFrame, sample: int = 4000, recall: float = 0.99, most: int = 2
                 spans = all_base(buf[a:b])
                 for i in np.flatnonzero(r == row):
                     x, y = int(s[i]) - a, int(e[i]) - a
-                    hit = any(p < y and q > x for p, _, q in spans)
+                    hits = [p for p, _, q in spans if p < y and q > x]
+                    if y - x > FIT_LONG:  # the piece with its first rule finding
+                        x = max(x, min(hits, default=x) - BEFORE)
+                        y = min(y, x + FIT_LONG)
+                    hit = bool(hits)
                     got.append((buf[a + max(0, x - BEFORE):min(b, a + y + AFTER)].tobytes(), min(x, BEFORE), min(x, BEFORE) + y - x, int(hit)))
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), *(pa.array([g[j] for g in got], pa.int64()) for j in (1, 2, 3))],
                                              ["data", "start", "end", "label"])
@@ -215,27 +270,33 @@ def fit_rows(found: list, recall: float = 0.99) -> dict:
     made = made_findings()
     if found:
         sure = _fit(made, recall)
-        p = probabilities(sure, _windows_of(found))
+        p = probabilities(sure, _scores_of(sure["net"], found))
         found = [r for r, q in zip(found, p) if r[3] or q < SURE]
     return _fit(found + made, recall)
 
 
-def probabilities(model: dict, x: np.ndarray) -> np.ndarray:
-    logit = np.concatenate([np.zeros(0), *(forward(model["net"], x[lo:lo + 512])[0] for lo in range(0, len(x), 512))])
+def probabilities(model: dict, logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model["a"] * logit + model["b"], -30, 30)))
 
 
-def _windows_of(rows: list) -> np.ndarray:
-    return np.concatenate([windows(np.frombuffer(d, np.uint8), np.array([0]), np.array([len(d)]), np.array([a]), np.array([b])) for d, a, b, _ in rows])
+def _scores_of(p: dict, rows: list) -> np.ndarray:
+    """Scores of findings, whose texts are laid end to end."""
+    buf, ends = np.frombuffer(b"".join(r[0] for r in rows), np.uint8), np.cumsum([len(r[0]) for r in rows])
+    lo = ends - [len(r[0]) for r in rows]
+    return scores(p, buf, lo, ends, lo + [r[1] for r in rows], lo + [r[2] for r in rows])
 
 
 def _fit(rows: list, recall: float) -> dict:
-    x = _windows_of(rows)
     y = np.array([r[3] for r in rows])
     order = np.random.default_rng(3).permutation(len(y))
     learn, hold = order[::2], order[1::2]
-    net = train_network(x[learn], y[learn])
-    a, b, threshold = calibrate(forward(net, x[hold])[0], y[hold], recall)
+    x = []
+    for d, a, b, _ in (rows[i] for i in learn):
+        at = np.unique([*range(a, b - INSIDE, FIT_STEP), max(a, b - INSIDE)])
+        n = np.ones(len(at), np.int64)
+        x.append(windows(np.frombuffer(d, np.uint8), 0 * n, len(d) * n, at, np.minimum(at + INSIDE, b)))
+    net = train_network(np.concatenate(x), np.cumsum([0, *map(len, x)]), y[learn])
+    a, b, threshold = calibrate(_scores_of(net, [rows[i] for i in hold]), y[hold], recall)
     return {"net": net, "a": a, "b": b, "threshold": threshold}
 
 
@@ -260,14 +321,11 @@ def scan_batch(buf: np.ndarray, offs: np.ndarray, model: dict) -> list[list[tupl
         a, b = int(offs[r]), int(offs[r + 1])
         out[r] += [(a + x, k, a + y, 1.0) for x, k, y in base_spans(whole[a:b], buf[a:b], lower[a:b])]
     s, e, r = candidates(buf, offs)
-    for lo in range(0, len(s), 512):
-        cs, ce, cr = s[lo:lo + 512], e[lo:lo + 512], r[lo:lo + 512]
-        x = windows(buf, offs[cr], offs[cr + 1], cs, ce)
-        prob = probabilities(model, x)
-        for i in np.flatnonzero(prob >= model["threshold"]):
-            a, b, row = int(cs[i]), int(ce[i]), int(cr[i])
-            if not any(k < 3 and p < b and q > a for p, k, q, _ in out[row]):
-                out[row].append((a, 3, b, float(prob[i])))
+    prob = probabilities(model, scores(model["net"], buf, offs[r], offs[r + 1], s, e))
+    for i in np.flatnonzero(prob >= model["threshold"]):
+        a, b, row = int(s[i]), int(e[i]), int(r[i])
+        if not any(k < 3 and p < b and q > a for p, k, q, _ in out[row]):
+            out[row].append((a, 3, b, float(prob[i])))
     for row in range(n):
         if out[row]:
             lo = int(offs[row])

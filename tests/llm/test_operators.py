@@ -296,6 +296,40 @@ def test_secrets_with_few_digits_are_found(spark):
     assert not any(got[i] for i in range(200, 200 + len(plain)))
 
 
+def test_keys_anywhere_in_long_runs_are_found():
+    rng = np.random.default_rng(22)
+    model = secret_scan.fit_rows([])
+    path = "/usr/share/documents/archive/reports/annual/summary/general"
+    keys = ["".join(rng.choice([*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"], 24)) for _ in range(60)]
+    for make in (lambda k: f"{path}/{k}", lambda k: f"{path}/{k}{path}", lambda k: k + path):
+        buf, offs = tk.utf8(pa.array([f"see {make(k)} for it" for k in keys] + [f"see {path}{path} for it"]))
+        got = secret_scan.scan_batch(buf, offs, model)
+        assert sum(len(x) == 1 for x in got[:-1]) >= 54 and not got[-1]
+
+
+def test_window_slides_over_every_place():
+    rng = np.random.default_rng(23)
+    net = {"w": rng.normal(size=(secret_scan.WIDTH, secret_scan.N_CLASSES, secret_scan.FILTERS)), "b": rng.normal(size=secret_scan.FILTERS),
+           "v": rng.normal(size=2 * secret_scan.FILTERS), "c": np.ones(1)}
+    buf = np.frombuffer("".join(rng.choice([*"abcXYZ019/=. "], 400)).encode(), np.uint8)
+    for a, b, size in ((0, 400, 1 << 15), (5, 390, 50), (30, 75, 7), (100, 145, 1), (10, 54, 9), (20, 40, 9)):
+        at = np.arange(a, max(a, b - secret_scan.INSIDE) + 1)
+        lo, hi = np.zeros(len(at), np.int64), np.full(len(at), 400)
+        want = secret_scan.forward(net, secret_scan.windows(buf, lo, hi, at, np.minimum(at + secret_scan.INSIDE, b)))[0].max()
+        assert np.isclose(secret_scan.scores(net, buf, lo[:1], hi[:1], at[:1], np.array([b]))[0], want)
+        if b - a > secret_scan.INSIDE:
+            assert np.isclose(secret_scan.slid(net, buf, 0, 400, a, b, size), want)
+
+
+def test_context_after_a_candidate_is_read():
+    x = np.zeros((1, secret_scan.LENGTH), np.int64)
+    net = {"w": np.zeros((secret_scan.WIDTH, secret_scan.N_CLASSES, secret_scan.FILTERS)), "b": np.zeros(secret_scan.FILTERS),
+           "v": np.ones(2 * secret_scan.FILTERS), "c": np.zeros(1)}
+    net["w"][-1][5] = 1
+    x[0, -1] = 5
+    assert secret_scan.forward(net, x)[0][0] == secret_scan.FILTERS
+
+
 # ---------------------------------------------------------------- 6
 def test_links_match_brute_force_with_bad_vectors(spark):
     rng = np.random.default_rng(5)
