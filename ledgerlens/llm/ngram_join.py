@@ -8,7 +8,7 @@ somewhere and others part by a factor J / threshold per level.  Every run goes `
 buckets above ``SPLIT`` sets are split further, to ``DEEPEST`` levels; then buckets are compared by
 brute force on the sketches.  The number of runs follows from the target recall: a pair at the
 threshold survives a level with probability q' = 1 - (1 - q p)^shared, and runs repeat until
-1 - (1 - q)^runs reaches it.
+1 - (1 - q)^runs reaches it at ``DEEPEST`` levels.
 
 Verification is exact: sketch links (estimate of ``LOOSE`` or more) form candidate groups, and inside a
 group all sets are compared by their true shingle sets, in blocks.
@@ -46,7 +46,7 @@ _ODD = tk.mix64(_SEED) | np.uint64(1)
 _COORD = np.arange(SKETCH, dtype=np.uint64) << np.uint64(32)
 
 
-def runs_for(recall: float, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
+def runs_for(recall: float, threshold: float = THRESHOLD, depth: int = DEEPEST) -> int:
     """Runs until a pair at the threshold has met with probability ``recall``."""
     shared, p, q = math.floor(threshold * SKETCH), 1 / (threshold * SKETCH), 1.0
     for _ in range(depth):

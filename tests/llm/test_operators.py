@@ -63,6 +63,13 @@ def test_join_edges(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 8]
 
 
+def test_runs_reach_the_recall_where_large_buckets_are_split():
+    shared, q = math.floor(0.8 * ngram_join.SKETCH), 1.0
+    for _ in range(ngram_join.DEEPEST):
+        q = 1 - (1 - q / (0.8 * ngram_join.SKETCH)) ** shared
+    assert 1 - (1 - q) ** ngram_join.runs_for(ngram_join.RECALL) >= ngram_join.RECALL
+
+
 def test_blocks_compare_a_large_group_whole(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
     monkeypatch.setattr(ngram_join, "SPLIT", 16)
