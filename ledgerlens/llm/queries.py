@@ -12,7 +12,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontam, langid, lm_score, near_embed, ngram_join, quality, secret_scan, sp_sample, token_codes, warc
+from ledgerlens.llm import (conversation_repair, decontam, langid, lm_score, near_embed, ngram_join, periodic_runs, quality, secret_scan, sp_sample,
+                            token_codes, token_counts, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -161,3 +162,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two distinct sampled segmentations of every whole document, with ids and inclusion scores."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sp_sample.sample(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all whole documents, a tenth of them with planted repeats."""
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.plant(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repairs of all conversations after planted damage."""
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damage(conversations), conversations)
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document under the byte-level vocabulary."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
