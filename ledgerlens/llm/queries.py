@@ -106,7 +106,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and decision of every document under the model of trusted text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return quality.classify(docs, table(spark, sf_dir, "labels")).drop("text")
+    return quality.judge(docs, table(spark, sf_dir, "labels"))
 
 
 @query("op7_langid")

@@ -307,3 +307,46 @@ def test_counts_edges(spark, tokenizer):
     assert tc.count_tokens(df.where("false"), tokenizer_path("byte_bpe_50k.json")).count() == 0
     with pytest.raises(ValueError):
         tc.Counter(tokenizer_path("word_bpe_49k.json"))
+
+
+# ---------------------------------------------------------------- 2
+def test_quality_keeps_clashing_columns(spark):
+    from ledgerlens.llm import quality
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").selectExpr("*", "'x' AS perplexity", "1 AS accepted", "doc_id AS file", "'r' AS row", "2 AS _bucket", "3 AS _lang",
+                                                                       "4 AS _metadata", "5 AS repeated", "'d' AS doc")
+    labels = spark.read.parquet(f"{SMOKE}/labels.parquet")
+    kept = quality.keep_good(docs, labels)
+    assert kept.dtypes == docs.dtypes
+    rows = kept.collect()
+    assert {(r["perplexity"], r["accepted"], r["row"], r["_bucket"], r["_lang"], r["doc"]) for r in rows} == {("x", 1, "r", 2, 3, "d")}
+    judged = {r["doc_id"]: r["accepted"] for r in QUERIES["op2_quality"](spark, SMOKE).collect()}
+    assert {r["doc_id"] for r in rows} == {d for d, ok in judged.items() if ok} and 0 < len(rows) < len(judged)
+    assert {r["doc_id"]: r["accepted"] for r in quality.classify(docs, labels).collect()} == judged
+
+
+def test_quality_does_not_depend_on_regions(spark, monkeypatch):
+    from ledgerlens.llm import quality
+    docs, labels = (spark.read.parquet(f"{SMOKE}/{t}.parquet") for t in ("documents", "labels"))
+    rows = lambda: sorted((r["doc_id"], round(r["perplexity"] or 0, 6), r["accepted"]) for r in quality.judge(docs, labels).collect())
+    whole = rows()
+    monkeypatch.setattr(quality, "REGION_ROWS", 60)
+    monkeypatch.setattr(quality, "BUCKETS", ((4 << 10, 16), (64 << 10, 4)))
+    monkeypatch.setattr(quality, "SHARD_KEYS", 300)
+    assert rows() == whole
+
+
+def test_quality_limits_of_rare_languages(spark):
+    from ledgerlens.llm import quality
+    rows = [("en", 2.0 + i % 7 / 100, 100 + i) for i in range(200)] + [("de", 2.5, 100)]
+    held = spark.createDataFrame(rows, "lang string, p double, n long")
+    own, pooled = quality.limits(held, "p", 0.99)
+    got = {r["_l"]: r["own"] for r in own.collect()}
+    assert set(got) == {"en", "de"} and got["en"]["mu"] == pytest.approx(2.03, abs=0.01) and got["de"]["m"] == 1 and pooled.count() == 1
+    own, pooled = quality.limits(held.where("false"), "p", 0.99)
+    assert own.count() == pooled.count() == 0
+    # a language that nothing calibrates is judged by the limit of all languages, not kept whole
+    docs, labels = (spark.read.parquet(f"{SMOKE}/{t}.parquet") for t in ("documents", "labels"))
+    from pyspark.sql import functions as F
+    new = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "new").otherwise(F.col("lang")))
+    judged = quality.judge(new, labels.where("doc_id % 3 <> 0")).where("lang = 'new'")
+    assert judged.where("threshold IS NULL").count() == 0 and judged.where("NOT accepted").count() > 0
