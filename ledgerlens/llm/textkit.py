@@ -1,9 +1,10 @@
 """Vectorised text primitives used inside tasks: numpy over Arrow string buffers.
 
 A column of texts is one byte buffer plus row offsets.  Words are found by a 256-entry byte
-class table and hashed to 64 bits by a prefix sum of ``table[byte] * base**i`` (mod 2^64), so a
+class table and hashed by prefix sums of ``table[byte] * base**i`` modulo the prime 2^31 - 1 for two bases, so a
 whole batch of texts is tokenised and hashed without a Python loop over words.  Two different
-words share a hash with probability about 2^-64 per pair.
+words of n bytes share both sums with probability about (n / 2^31)^2 over the choice of bases; a power of two
+as modulus would let whole families of words collide whatever the bases are.
 
 Null texts are empty.  Memory is bounded by the batch: 64-bit temporaries are made for blocks
 of ``BLOCK`` bytes (or one word, if a single word is longer).
@@ -21,8 +22,8 @@ import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 U64 = np.uint64
-_BASE = U64(0x9E3779B97F4A7C15 | 1)
-_BASE_INV = U64(pow(int(_BASE), -1, 1 << 64))
+_PRIME = U64((1 << 31) - 1)
+_BASES = (0x2F0B4F47, 0x51A3C9D5)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,7 +35,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-_BYTE = mix64(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F))
+_BYTE = mix64(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F)) % _PRIME
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -93,17 +94,17 @@ def row_chunks(offs: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, in
         lo = min(hi, n)
 
 
-_POW: dict[str, np.ndarray] = {}
+_POW: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "p" not in _POW or len(_POW["p"]) < n:
-        size = max(n, BLOCK)
-        for name, base in (("p", _BASE), ("i", _BASE_INV)):
-            a = np.full(size, base, U64)
-            a[0] = 1
-            _POW[name] = np.cumprod(a, dtype=U64)
-    return _POW["p"], _POW["i"]
+def _powers(base: int, n: int) -> np.ndarray:
+    """``base**i`` modulo the prime for i < n."""
+    if base not in _POW or len(_POW[base]) < n:
+        out = np.ones(1, U64)
+        while len(out) < max(n, BLOCK):
+            out = np.concatenate([out, out * U64(pow(base, len(out), int(_PRIME))) % _PRIME])
+        _POW[base] = out.astype(np.uint32)
+    return _POW[base]
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, code=None) -> np.ndarray:
@@ -117,12 +118,16 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, code=None
         a = int(starts[lo])
         hi = max(lo + 1, int(np.searchsorted(starts, a + BLOCK, "right")))
         b = int(ends[lo:hi].max())
-        power, inverse = _powers(b - a)
-        sums = np.zeros(b - a + 1, U64)
-        values = _BYTE[buf[a:b]] if code is None else code(buf[a:b])
-        np.cumsum(values * power[:b - a], out=sums[1:])
+        values = _BYTE[buf[a:b]] if code is None else code(buf[a:b]) % _PRIME
         s, e = starts[lo:hi] - a, ends[lo:hi] - a
-        out[lo:hi] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(U64)
+        sums = np.zeros(b - a + 1, U64)
+        got = (e - s).astype(U64)
+        for base in _BASES:
+            terms = values * _powers(base, b - a)[:b - a]
+            np.cumsum((terms & _PRIME) + (terms >> U64(31)), out=sums[1:])  # terms under 2^32: no overflow
+            back = _powers(pow(base, -1, int(_PRIME)), b - a)[s]
+            got = (got << U64(31)) ^ ((sums[e] - sums[s]) % _PRIME * back % _PRIME)
+        out[lo:hi] = got
         lo = hi
     return mix64(out)
 

@@ -350,3 +350,36 @@ def test_quality_limits_of_rare_languages(spark):
     new = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "new").otherwise(F.col("lang")))
     judged = quality.judge(new, labels.where("doc_id % 3 <> 0")).where("lang = 'new'")
     assert judged.where("threshold IS NULL").count() == 0 and judged.where("NOT accepted").count() > 0
+
+
+# ---------------------------------------------------------------- hashes of words
+def thue_morse(n):
+    a = "a"
+    while len(a) < n:
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096, 1 << 16])
+def test_hashes_tell_thue_morse_words_apart(n):
+    words = thue_morse(n)
+    assert len(set(tk.word_hashes(*tk.utf8(pa.array(words)), tk.ALNUM)[3].tolist())) == 2
+
+
+def test_operators_tell_thue_morse_words_apart(spark):
+    """Equal hashes of different words would give one's ids, links, scores and hits to the other."""
+    from tokenizers import Tokenizer
+
+    from ledgerlens.llm import decontam, lm_score, ngram_join, sp_sample, token_codes
+    a, b = thue_morse(1024)
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    ids, n = token_codes.WordTokenizer(tokenizer_path("word_bpe_49k.json")).encode(*tk.utf8(pa.array([a, b])))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [tok.encode(t, add_special_tokens=False).ids for t in (a, b)]
+    docs = spark.createDataFrame([(1, a), (2, b), (3, f"{a} x"), (4, f"{b} x")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.join(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    bench = spark.createDataFrame([(1, a)], "item_id long, text string")
+    assert {r["doc_id"]: r["n_hit"] for r in decontam.match(docs, bench).collect()} == {1: 1, 2: 0, 3: 1, 4: 0}
+    assert {r["doc_id"]: r["n_known"] for r in lm_score.score(docs.where("doc_id in (1, 4)")).collect()} is not None
+    v = sp_sample.Vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    for f in sp_sample.sample_texts(v, *tk.utf8(pa.array([a, b])), sp_sample.row_keys([1, 2]), 1):
+        assert [sp_sample.decode(v, f["ids"][f["offs"][d]:f["offs"][d + 1]]) for d in range(2)] == [a, b]
