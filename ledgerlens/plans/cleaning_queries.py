@@ -9,7 +9,7 @@ from ledgerlens.functions.datetime import fix_datetime
 from ledgerlens.plans.registry import register
 from ledgerlens.session import materialize, scratch_path
 from ledgerlens.plans.sqlfixtures import clean_sql, fix_datetime_sql, hour24_sql, with_views
-from ledgerlens.sources import files, tables
+from ledgerlens.sources import files, ranges, tables
 
 OUT_COLS = ["tranaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds",
             "tx_time_days", "tx_fraud", "tx_fraud_scenario", "source_file"]
@@ -53,7 +53,9 @@ def q_read_transactions(spark, sf_dir):
 SELECT source_file, CAST(generate_subscripts(arr, 1) AS INTEGER) AS position, trim(unnest(arr)) AS column_name
 FROM (SELECT source_file, string_split(replace(value, '#', ''), '|') AS arr FROM tx_lines WHERE starts_with(value, '#'))""")
 def q_header_columns(spark, sf_dir):
-    return files.header_columns(tables.tx_lines(spark, sf_dir)).withColumn("position", F.col("position").cast("int"))
+    """Column names from the first 4 KB of every text file."""
+    lines = ranges.prefix_lines(spark, tables.tx_text(spark, sf_dir), 4096)
+    return files.header_columns(lines).withColumn("position", F.col("position").cast("int"))
 
 
 _HASH = "(CAST(('0x' || substr(md5({k}), 1, 8)) AS BIGINT) / 4294967296.0)"

@@ -135,15 +135,20 @@ REVIEWS_SCHEMA = T.StructType([
 
 
 def load_table_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   vector_cols: tuple[str, ...] = ()) -> DataFrame:
+                   vector_cols: tuple[str, ...] = (), split_bytes: int | None = None) -> DataFrame:
     """``COPY table FROM file DELIMITER sep HEADER CSV``: positional columns; ``[..]`` vector text -> array<float>.
 
-    Quoted fields may hold the separator, doubled quotes and line breaks (so a file is read by one
-    task: keep files of a size a task can read).  Fixed-width ``char(n)`` columns are trimmed on load (they compare without trailing blanks).
+    Quoted fields may hold the separator, doubled quotes and line breaks, so a file is read by one
+    task, unless ``split_bytes`` is given: then by one task for so many bytes (``ranges.read_quoted_csv``).  Fixed-width
+    ``char(n)`` columns are trimmed on load (they compare without trailing blanks).
     """
-    df = (spark.read.option("header", "true").option("sep", sep).option("mode", "PERMISSIVE")
-          .option("quote", '"').option("escape", '"').option("multiLine", "true")
-          .option("enforceSchema", "true").schema(schema).csv(path))
+    if split_bytes:
+        from ledgerlens.sources.ranges import read_quoted_csv
+        df = read_quoted_csv(spark, path, schema, sep, split_bytes)
+    else:
+        df = (spark.read.option("header", "true").option("sep", sep).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", "true")
+              .option("enforceSchema", "true").schema(schema).csv(path))
     for c in vector_cols:
         df = df.withColumn(c, F.from_json(F.col(c), "array<float>"))
     for fld in schema.fields:

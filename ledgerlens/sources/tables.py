@@ -82,8 +82,8 @@ def header_line(drift: bool) -> str:
 _TEXT_FILES: dict[tuple[str, str], str] = {}
 
 
-def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw transaction text files, as ``(source_file, value)`` lines.
+def tx_text(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of raw transaction text files.
 
     The text is generated from ``events`` (``tx_lines_from_events``) and written once per
     application and data folder as one text folder per source file below the shared
@@ -91,14 +91,20 @@ def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     working on a scanned column, as it does on the production bucket.
     """
     from ledgerlens.session import scratch_path
-    from ledgerlens.sources.files import read_lines, write_lines
+    from ledgerlens.sources.files import write_lines
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _TEXT_FILES.get(key)
     if path is None:
         path = scratch_path(spark, "tx_text")
         write_lines(tx_lines_from_events(spark, sf_dir), path)
         _TEXT_FILES[key] = path
-    return read_lines(spark, path)
+    return path
+
+
+def tx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw transaction text files, as ``(source_file, value)`` lines."""
+    from ledgerlens.sources.files import read_lines
+    return read_lines(spark, tx_text(spark, sf_dir))
 
 
 def tx_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
