@@ -7,31 +7,35 @@ the window, the words of the window are hit.  An item shorter than a window coun
 as a whole.
 
 Scale: documents are only scanned (no shuffle, no per-document join).  Items are dealt into
-blocks of at most about ``block_bytes``; each block is collected, built and broadcast by itself,
-and the documents carry their partial hits from block to block, so neither the driver nor a task
-holds more than one block of items at a time.  Only runs of words whose neighbouring pairs occur
+blocks of at most about ``block_bytes``; each block is collected, built on the driver and broadcast by itself.
+The documents carry their partial hits from block to block and are staged after every ``GROUP`` blocks, so a
+stage holds ``GROUP`` blocks of items at most.  Only runs of words whose neighbouring pairs occur
 in items are walked; this is exact, since no match can extend past a pair no item has.
 
 Defined results: null or empty text: no words, no hits.  Null item text: no windows.  Null item id:
 the empty string.  Repeated item ids count once.  Repeated documents are judged each by itself.
-Empty benchmark: nothing is hit.  Extra document columns pass through; a column with the name of
-an output column is replaced.
+Empty benchmark: nothing is hit.  Very long texts are walked whole; there are no ties.  Extra document columns pass
+through, whatever their names, in ``decontaminate``; in ``match`` one with the name of an output column is replaced.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import textkit as tk
+from ledgerlens.session import materialize
 
 WINDOW = 10
-STATE = T.StructType([T.StructField("starts", T.BinaryType()), T.StructField("ends", T.BinaryType()),
-                      T.StructField("items", T.ArrayType(T.StringType())), T.StructField("longest", T.LongType()),
-                      T.StructField("n_words", T.LongType())])
+GROUP = 4  # blocks of items that documents pass in one stage
+SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+STATE = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
+                      T.StructField("longest_match", T.LongType()), T.StructField("hit_words", T.ArrayType(SPAN))])
+OUTPUTS = ("n_words", "n_hit", "n_items", "items", "longest_match", "hit_words")
 
 
 class SuffixAutomaton:
@@ -183,27 +187,25 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
         yield [(r["item"], r["text"]) for r in part.toLocalIterator()]
 
 
-def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 1 << 20) -> DataFrame:
-    """``docs`` with ``n_words, n_hit, n_items, items, longest_match, hit_words`` (hit word spans).
-
-    ``items`` is sorted as strings; ``hit_words`` holds disjoint [start, end) word positions.
-    """
+def _matched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
+    """``doc`` (all columns) and ``state`` (n_words, items, longest_match, hit_words) of every document."""
     spark = docs.sparkSession
-    out = docs.drop("n_words", "n_hit", "n_items", "items", "longest_match", "hit_words", "_state")
-    plain = T.StructType(list(out.schema.fields))
-    schema = T.StructType([*plain.fields, T.StructField("_state", STATE)])
-    arrow_state = pa.struct([("starts", pa.binary()), ("ends", pa.binary()), ("items", pa.list_(pa.string())),
-                             ("longest", pa.int64()), ("n_words", pa.int64())])
-
-    for rows in _blocks(benchmark, block_bytes):
+    out = docs.select(F.struct("*").alias("doc"))
+    schema = T.StructType([out.schema["doc"], T.StructField("state", STATE)])
+    arrow_state = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("longest_match", pa.int64()),
+                             ("hit_words", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+
+    for at, rows in enumerate(_blocks(benchmark, block_bytes)):
+        if at and at % GROUP == 0:  # the blocks before are not held any longer
+            out = materialize(out, "decontam")
         block = spark.sparkContext.broadcast(build_block(rows, window))
 
         @tk.tidy
         def step(batches, block=block):
             b = block.value
             for batch in batches:
-                buf, offs = tk.utf8(batch.column(batch.schema.get_field_index("text")))
-                prior = batch.column(batch.schema.get_field_index("_state")).to_pylist() if "_state" in batch.schema.names else None
+                buf, offs = tk.utf8(pc.struct_field(batch.column(0), "text"))
+                prior = batch.column(1).to_pylist() if batch.num_columns > 1 else None
                 state = []
                 for lo, hi in tk.row_chunks(offs):
                     _, _, r, h = tk.word_hashes(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], tk.ALNUM)
@@ -211,40 +213,29 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byt
                     for i, (s, e, found, best) in enumerate(match_rows(b, r, h, hi - lo)):
                         if prior:
                             p = prior[lo + i]
-                            s = s + np.frombuffer(p["starts"], np.int64).tolist()
-                            e = e + np.frombuffer(p["ends"], np.int64).tolist()
-                            found, best = found | set(p["items"]), max(best, p["longest"])
-                        spans = _merge_spans(s, e)
-                        state.append({"starts": np.array([x for x, _ in spans], np.int64).tobytes(),
-                                      "ends": np.array([x for _, x in spans], np.int64).tobytes(),
-                                      "items": sorted(found), "longest": best, "n_words": int(count[i])})
-                keep = [i for i, n in enumerate(batch.schema.names) if n != "_state"]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(state, arrow_state)],
-                                                 [*(batch.schema.names[i] for i in keep), "_state"])
+                            s = s + [x["start"] for x in p["hit_words"]]
+                            e = e + [x["end"] for x in p["hit_words"]]
+                            found, best = found | set(p["items"]), max(best, p["longest_match"])
+                        state.append({"n_words": int(count[i]), "items": sorted(found), "longest_match": best,
+                                      "hit_words": [{"start": x, "end": y} for x, y in _merge_spans(s, e)]})
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(state, arrow_state)], ["doc", "state"])
 
         out = out.mapInArrow(step, schema)
+    return out
 
-    @tk.tidy
-    def expand(batches):
-        for batch in batches:
-            st = batch.column(batch.schema.get_field_index("_state")).to_pylist()
-            keep = [i for i, n in enumerate(batch.schema.names) if n != "_state"]
-            spans = [list(zip(np.frombuffer(s["starts"], np.int64).tolist(), np.frombuffer(s["ends"], np.int64).tolist())) for s in st]
-            cols = {"n_words": pa.array([s["n_words"] for s in st], pa.int64()),
-                    "n_hit": pa.array([sum(b - a for a, b in x) for x in spans], pa.int64()),
-                    "n_items": pa.array([len(s["items"]) for s in st], pa.int64()),
-                    "items": pa.array([s["items"] for s in st], pa.list_(pa.string())),
-                    "longest_match": pa.array([s["longest"] for s in st], pa.int64()),
-                    "hit_words": pa.array([[{"start": a, "end": b} for a, b in x] for x in spans],
-                                          pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *cols.values()],
-                                             [*(batch.schema.names[i] for i in keep), *cols])
-
-    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    return out.mapInArrow(expand, T.StructType([
-        *plain.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-        T.StructField("n_items", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
-        T.StructField("longest_match", T.LongType()), T.StructField("hit_words", T.ArrayType(span))]))
+
+def _n_hit():
+    return F.aggregate("state.hit_words", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+
+
+def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 1 << 20) -> DataFrame:
+    """``docs`` with ``n_words, n_hit, n_items, items, longest_match, hit_words`` (hit word spans).
+
+    ``items`` is sorted as strings; ``hit_words`` holds disjoint [start, end) word positions.
+    """
+    found = _matched(docs.drop(*OUTPUTS), benchmark, window, block_bytes)
+    return found.select("doc.*", "state.n_words", _n_hit().alias("n_hit"), F.size("state.items").cast("long").alias("n_items"), "state.items",
+                        "state.longest_match", "state.hit_words")
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -259,29 +250,28 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join(out).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.8) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.8, block_bytes: int = 1 << 20) -> DataFrame:
     """Remove matched spans from the texts; documents whose words are hit beyond ``max_coverage`` go.
 
     Returns the columns of ``docs`` (``n_chars``, when present, follows the new text).
     """
-    names = docs.columns
-    found = match(docs, benchmark, window)
-    found = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    schema = T.StructType([f for f in found.schema.fields if f.name in names])
+    found = _matched(docs, benchmark, window, block_bytes)
+    found = found.where(_n_hit() <= max_coverage * F.col("state.n_words"))
 
     @tk.tidy
     def cut(batches):
         for batch in batches:
-            t, spans = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "hit_words"))
-            texts = t.to_pylist()
-            for i in np.flatnonzero(np.array([len(x) for x in spans.to_pylist()], np.int64)):
-                texts[i] = cut_words(texts[i], [(s["start"], s["end"]) for s in spans[int(i)].as_py()])
-            cols = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
-            cols["text"] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-
-    out = found.mapInArrow(cut, schema)
-    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)).select(*names) if "n_chars" in names else out.select(*names)
+            texts, spans = pc.struct_field(batch.column(0), "text").to_pylist(), batch.column(1).to_pylist()
+            for i, some in enumerate(spans):
+                if some:
+                    texts[i] = cut_words(texts[i], [(s["start"], s["end"]) for s in some])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc", "text"])
+
+    out = found.select("doc", "state.hit_words").mapInArrow(cut, T.StructType([found.schema["doc"], T.StructField("text", T.StringType())]))
+    fresh = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(fresh.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -383,3 +383,27 @@ def test_operators_tell_thue_morse_words_apart(spark):
     v = sp_sample.Vocabulary(tokenizer_path("piece_bpe_32k.model"))
     for f in sp_sample.sample_texts(v, *tk.utf8(pa.array([a, b])), sp_sample.row_keys([1, 2]), 1):
         assert [sp_sample.decode(v, f["ids"][f["offs"][d]:f["offs"][d + 1]]) for d in range(2)] == [a, b]
+
+
+# ---------------------------------------------------------------- 8
+def test_decontamination_of_many_blocks_and_clashing_columns(spark):
+    from ledgerlens.llm import decontam
+    rng = random.Random(6)
+    items = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(14))) for i in range(50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(60)}" for _ in range(60)]
+        if i % 2:
+            words[20:34] = items[i][1].split()
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 AS items", "'s' AS state", "octet_length(text) AS n_chars", "1 AS doc", "2 AS n_hit")
+    one = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["longest_match"], [tuple(h) for h in r["hit_words"]]) for r in decontam.match(docs, bench).collect()}
+    many = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["longest_match"], [tuple(h) for h in r["hit_words"]])
+            for r in decontam.match(docs, bench, block_bytes=200).collect()}  # about 20 blocks, staged after every four
+    assert one == many and all((n[1] >= 14) == bool(i % 2) for i, n in one.items())
+    out = decontam.decontaminate(docs, bench, max_coverage=0.9)
+    assert out.dtypes == docs.dtypes and out.count() == 40
+    for r in out.collect():
+        assert (r["items"], r["state"], r["doc"], r["n_hit"]) == (7, "s", 1, 2) and r["n_chars"] == len(r["text"])
+        assert (r["text"] == dict(rows)[r["doc_id"]]) == (r["doc_id"] % 2 == 0)
