@@ -339,10 +339,10 @@ def test_quality_limits_of_rare_languages(spark):
     from ledgerlens.llm import quality
     rows = [("en", 2.0 + i % 7 / 100, 100 + i) for i in range(200)] + [("de", 2.5, 100)]
     held = spark.createDataFrame(rows, "lang string, p double, n long")
-    own, pooled = quality.limits(held, "p", 0.99)
+    own, pooled = quality.limits(held, {"p": 0.99})
     got = {r["_l"]: r["own"] for r in own.collect()}
     assert set(got) == {"en", "de"} and got["en"]["mu"] == pytest.approx(2.03, abs=0.01) and got["de"]["m"] == 1 and pooled.count() == 1
-    own, pooled = quality.limits(held.where("false"), "p", 0.99)
+    own, pooled = quality.limits(held.where("false"), {"p": 0.99, "n": 0.9})
     assert own.count() == pooled.count() == 0
     # a language that nothing calibrates is judged by the limit of all languages, not kept whole
     docs, labels = (spark.read.parquet(f"{SMOKE}/{t}.parquet") for t in ("documents", "labels"))
