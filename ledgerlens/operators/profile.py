@@ -117,26 +117,24 @@ def datetime_bad_values(lines: DataFrame) -> DataFrame:
                  .groupBy("source_file", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
-BINS = 1024
+BINS = 128
 
 
 def _quartiles(counts: DataFrame, col: str, by: str) -> DataFrame:
     """Exact quartiles (linear interpolation) of each group of a ``(by, value, n)`` table.
 
-    Ranks are running totals in two steps, within ``BINS`` equal parts of the group's range and over the parts,
-    so that a group with very many distinct values is many tasks.
+    Ranks are running totals in two steps, within the parts between ``BINS`` approximate percentiles of the group's
+    distinct values and over the parts, so that a group with very many distinct values is many tasks of like size, whatever
+    its outliers.
     """
-    finite = ~F.isnan(col) & (F.abs(col) < float("inf"))
-    rng = counts.groupBy(by).agg(F.min(F.when(finite, F.col(col))).alias("_lo"), F.max(F.when(finite, F.col(col))).alias("_hi"),
-                                 F.sum("n").alias("_all"))
-    part = F.floor(F.least(F.try_divide(F.col(col) - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(1.0)) * (BINS - 1))
-    placed = join_stats(counts, rng, [by]).withColumn(
-        "_part", F.when(finite, F.coalesce(part, F.lit(0))).when(F.col(col) < 0, F.lit(-1)).otherwise(F.lit(BINS)))
+    cuts = counts.groupBy(by).agg(F.percentile_approx(col, [i / BINS for i in range(1, BINS)], 4 * BINS).alias("_cuts"), F.sum("n").alias("_all"))
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(col)))
+    placed = join_stats(counts, cuts, [by]).withColumn("_part", below).drop("_cuts")
     parts = placed.groupBy(by, "_part").agg(F.sum("n").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(by).orderBy("_part")) - F.col("_n")  # at most BINS + 2 rows a group
-    parts = parts.select(by, "_part", before.alias("_before"))
+    before = F.sum("_n").over(Window.partitionBy(by).orderBy("_part")) - F.col("_n")  # at most BINS rows a group
+    parts = parts.select(F.col(by).alias("_by"), F.col("_part").alias("_p"), before.alias("_before"))
     run = Window.partitionBy(by, "_part").orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = placed.join(parts, [by, "_part"]).withColumn("_to", F.col("_before") + F.sum("n").over(run))
+    ranked = placed.join(parts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_p"))).withColumn("_to", F.col("_before") + F.sum("n").over(run))
     at = {}
     for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
         at[name] = (F.col("_all") - 1) * F.lit(share)
@@ -155,7 +153,7 @@ def box_stats(df: DataFrame, col: str = "tx_amount", by: str = "source_file") ->
 
     Everything after the first aggregate works on counts per (file, value).
     """
-    counts = materialize(df.filter(F.col(col).isNotNull() & F.col(by).isNotNull()).groupBy(by, F.col(col).cast("double").alias(col))
+    counts = materialize(df.filter(F.col(col).isNotNull()).groupBy(by, F.col(col).cast("double").alias(col))
                            .agg(F.count(F.lit(1)).alias("n")), "value_counts")
     q = materialize(_quartiles(counts, col, by), "quartiles")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
@@ -176,7 +174,7 @@ def histogram(df: DataFrame, ts: str = "tx_datetime", bins: int = 99, by: str =
     """Equal-width bins of the epoch seconds between each file's min and max (the last bin holds the max)."""
     d = df.select(by, epoch_seconds(ts).alias("_s")).filter(F.col("_s").isNotNull())
     rng = d.groupBy(by).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    d = join_stats(d.filter(F.col(by).isNotNull()), rng, [by])
+    d = join_stats(d, rng, [by])
     span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1))
     b = F.least(F.floor((F.col("_s") - F.col("_lo")) * bins / span) + 1, F.lit(bins)).cast("int")
     h = d.groupBy(by, b.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))

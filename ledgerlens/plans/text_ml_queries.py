@@ -366,6 +366,27 @@ def q_bootstrap_ci(spark, sf_dir):
     return b.select(*[F.round(c, 6).alias(c) for c in b.columns])
 
 
+def _unit_sql(at: int) -> str:
+    return f"((CAST(('0x' || substr(h, {at}, 8)) AS BIGINT) + 0.5) / 4294967296.0)"
+
+
+@register("bootstrap_ci_cells", "2.8", sql=with_views("tx") + f""",
+n AS (SELECT y, p, CAST(count(*) AS DOUBLE) AS n FROM (SELECT tx_fraud AS y, {_RULE} AS p FROM tx) WHERE y IN (0, 1) AND p IN (0, 1) GROUP BY y, p),
+d AS (SELECT *, md5('1|' || rep || '|' || y || '|' || p) AS h FROM n, range(0, {REPLICATES}) r(rep)),
+f AS (SELECT y, p, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY y, p ORDER BY k) AS c FROM n, range(0, 241) t(k) WHERE n <= 60),
+w AS (SELECT rep, y AS tx_fraud, p AS prediction,
+             CASE WHEN n <= 60 THEN (SELECT count(*) FROM f WHERE f.y = d.y AND f.p = d.p AND {_unit_sql(1)} >= f.c)
+                  ELSE greatest(round(n + sqrt(n) * sqrt(-2 * ln({_unit_sql(9)})) * cos(2 * pi() * {_unit_sql(17)})), 0) END AS w FROM d),
+c AS (SELECT rep, {_CELLS_SQL.format(w='w')} FROM w GROUP BY rep),
+r AS (SELECT fn / CASE WHEN fn + tp > 0 THEN fn + tp END AS fnr, fp / CASE WHEN fp + tn > 0 THEN fp + tn END AS fpr FROM c)
+SELECT round(quantile_cont(fnr, 0.025), 6) AS fnr_lo, round(quantile_cont(fnr, 0.975), 6) AS fnr_hi,
+       round(quantile_cont(fpr, 0.025), 6) AS fpr_lo, round(quantile_cont(fpr, 0.975), 6) AS fpr_hi FROM r""")
+def q_bootstrap_ci_cells(spark, sf_dir):
+    """The bootstrap interval from one draw per confusion cell and replicate."""
+    b = EV.bootstrap_ci_cells(_ruled(spark, sf_dir), replicates=REPLICATES)
+    return b.select(*[F.round(c, 6).alias(c) for c in b.columns])
+
+
 @register("best_run", "2.8", sql=with_views("tx") + f""",
 runs AS (SELECT CAST(tx_datetime AS DATE) AS started,
                 round(sum(CASE WHEN tx_fraud = 1 AND {_RULE} = 1 THEN 1 ELSE 0 END) / sum(tx_fraud), 6) AS metric

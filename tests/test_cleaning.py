@@ -165,3 +165,12 @@ def test_many_groups_are_joined_by_salt_with_the_same_result(spark):
     many = join_stats(df, stats, ["g"], broadcast_groups=3)
     assert many.count() == 3000 and few.exceptAll(many.select(few.columns)).count() == 0
     assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stats_join_with_maps_and_null_groups(spark):
+    from ledgerlens.operators.statsjoin import join_stats
+    df = spark.range(40).selectExpr("nullif(id % 5, 0) AS g", "map('a', id) AS m", "id AS x", "array(map(1, id)) AS am")
+    stats = df.groupBy("g").agg(F.sum("x").alias("total"))
+    key = lambda d: sorted((str(r["g"]), r["x"], r["total"]) for r in d.collect())
+    few, many = join_stats(df, stats, ["g"]), join_stats(df, stats, ["g"], broadcast_groups=3)
+    assert key(few) == key(many) and few.columns == many.columns and few.where("total IS NULL").count() == 0

@@ -45,3 +45,23 @@ def test_quoted_fields_keep_quotes_separators_and_line_breaks(spark, tmp_path):
                            T.StructField("dates", T.DateType()), T.StructField("count", T.IntegerType())])
     got = files.load_table_csv(spark, str(tmp_path), schema).collect()
     assert len(got) == 1 and got[0]["source"] == 'a "b", c\nd' and got[0]["count"] == 3
+
+
+def test_poisson_draws_have_their_mean_and_variance(spark):
+    from pyspark.sql import functions as F
+    for mean in (0.7, 12.0, 60.0, 5000.0):
+        u = (F.col("id") + 0.5) / 4000
+        normal = F.sqrt(-2 * F.log(u)) * F.cos(6.283185307179586 * ((F.col("id") * 2503 % 4000) + 0.5) / 4000)
+        r = spark.range(4000).select(EV.poisson_of(F.lit(mean), u, normal).alias("k")).agg(F.avg("k"), F.var_samp("k"), F.min("k")).first()
+        assert r[0] == pytest.approx(mean, rel=0.02) and r[1] == pytest.approx(mean, rel=0.1) and r[2] >= 0
+
+
+def test_cell_bootstrap_agrees_with_the_row_bootstrap(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(4000).select("id", (F.col("id") % 10 == 0).cast("int").alias("tx_fraud"), (F.col("id") % 13 == 0).cast("int").alias("prediction"))
+    rows, cells = (EV.bootstrap_ci(df, "id", 300).first(), EV.bootstrap_ci_cells(df, 300).first())
+    assert all(abs(rows[c] - cells[c]) < 0.012 for c in rows.asDict()), (rows, cells)
+    # the draws do not depend on how many rows there are: four cells a replicate
+    more = df.unionAll(df).unionAll(df.withColumn("tx_fraud", F.lit(None).cast("int")))
+    assert EV.bootstrap_cells(more, 50).count() == 50
+    assert EV.bootstrap_ci_cells(df.where("false")).first()["fnr_lo"] is None

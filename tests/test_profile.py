@@ -4,6 +4,8 @@ datetime domain, value shares and percentiles (numpy's linear interpolation)."""
 import datetime as dt
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import profile as P
 
@@ -78,3 +80,37 @@ def test_box_stats_equals_numpy_on_odd_shapes(spark):
         lo, hi = q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0])
         inside = [v for v in vs if lo <= v <= hi]
         assert (got[k].whisker_low, got[k].whisker_high, got[k].n_outliers) == (min(inside), max(inside), len(vs) - len(inside))
+
+
+def test_null_file_is_a_file(spark):
+    rows = [(None, float(i), i) for i in range(9)] + [("a", float(i % 4), i) for i in range(8)] + [(None, None, 3)]
+    df = spark.createDataFrame(rows, "source_file string, tx_amount double, s int").selectExpr(
+        "*", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) AS tx_datetime")
+    got = {r["source_file"]: tuple(r)[1:] for r in P.box_stats(df).collect()}
+    assert got == {None: (2.0, 4.0, 6.0, 0.0, 8.0, 0), "a": (0.75, 1.5, 2.25, 0.0, 3.0, 0)}
+    bins = {}
+    for r in P.histogram(df, bins=3).collect():
+        bins.setdefault(r["source_file"], {})[r["bin"]] = r["n"]
+    assert sum(bins[None].values()) == 10 and sum(bins["a"].values()) == 8
+
+
+def test_an_outlier_does_not_put_all_others_in_one_part(spark):
+    """Quartiles of one file with many values and one far outlier: the parts hold like shares, and the result is exact."""
+    x = np.random.default_rng(2).normal(size=20_000).round(4)
+    x[0] = 1e9
+    df = spark.createDataFrame([("a", float(v)) for v in x], "source_file string, tx_amount double")
+    r = P.box_stats(df).first()
+    assert [r["q1"], r["median"], r["q3"]] == pytest.approx(np.percentile(x, [25, 50, 75]).tolist(), abs=1e-12)
+    seen = []
+    join = P.join_stats
+    def watched(a, b, by, **kw):
+        out = join(a, b, by, **kw)
+        if "_cuts" in out.columns:
+            seen.append(out.select(F.size(F.filter("_cuts", lambda c: c < F.col("tx_amount"))).alias("p")).groupBy("p").count().agg(F.max("count"), F.count("*")).first())
+        return out
+    P.join_stats = watched
+    try:
+        P.box_stats(df).count()
+    finally:
+        P.join_stats = join
+    assert seen[0][0] < 0.03 * len(np.unique(x)) and seen[0][1] > 100
