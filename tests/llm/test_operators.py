@@ -236,18 +236,28 @@ def brute_scores(docs, mu):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     toks = {d: re.findall(r"[^\x20\x09-\x0D]+", t.translate(low)) + [None] for d, t in docs.items()}
     held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d in docs}
-    c, pairs = Counter(), Counter()
+    c, seen, total = Counter(), Counter(), Counter()
     for d, w in toks.items():
         if not held[d]:
             c.update(w)
-            pairs.update(zip([0, *w[:-1]], w))
+            line = [0, *w]  # 0 starts a document
+            for k in (1, 2):
+                for i in range(k, len(line)):
+                    total[tuple(line[i - k:i])] += 1
+                    seen[tuple(line[i - k:i + 1])] += 1
     n, v = sum(c.values()), len(c)
+
+    def prob(x, past):
+        if not past:
+            return (c[x] + 0.5) / (n + 0.5 * (v + 1))
+        m = mu[len(past) - 1]
+        return (seen[(*past, x)] + m * prob(x, past[1:])) / (total[past] + m)
+
     out = {}
     for d, w in toks.items():
-        p = [(c[x] + 0.5) / (n + 0.5 * (v + 1)) for x in w]
-        past = [c[None], *(c[x] for x in w[:-1])]
-        score = sum(math.log10((pairs[h, x] + mu * q) / (k + mu)) for h, x, q, k in zip([0, *w[:-1]], w, p, past))
-        out[d] = (held[d], len(w), sum(c[x] > 0 for x in w), n, sum(map(math.log10, p)), score)
+        line = [0, *w]
+        score = sum(math.log10(prob(line[i], tuple(line[max(0, i - 2):i]))) for i in range(1, len(line)))
+        out[d] = (held[d], len(w), sum(c[x] > 0 for x in w), n, sum(math.log10(prob(x, ())) for x in w), score)
     return out
 
 
@@ -261,6 +271,24 @@ def test_lm_scores_match_brute_force(spark):
         assert r["base_score"] == pytest.approx(w[4], rel=1e-9) and r["score"] == pytest.approx(w[5], rel=1e-9)
 
 
+def test_lanes_of_any_length_read_the_same():
+    rows = pa.array([" ".join(np.random.default_rng(i).choice(WORDS, 40 + 13 * i)) for i in range(6)] + ["", "new words here"])
+    words, _ = lm_score.token_stream(*tk.utf8(rows))
+    pairs, triples, deep = lm_score.grams(words)
+    (known, _, word), (_, pair_at, pair), (_, triple_at, triple) = (np.unique(x, return_index=True, return_inverse=True) for x in (words, pairs, triples))
+    counts = [np.random.default_rng(9).integers(0, 4, len(x)) for x in (known, pair_at, triple_at)]
+    counts[0] += 8
+    counts[1] = np.maximum(counts[1], np.bincount(pair[deep], minlength=len(counts[1])) > 0)
+    end = int(np.searchsorted(known, lm_score.END))
+    before, triple_at = np.concatenate([[end], word[:-1]]), deep[triple_at]
+    auto = lm_score.build(counts, word[pair_at], before[pair_at], pair[triple_at], pair[triple_at - 1], end, 999, 99, lm_score.MU)
+    third = np.full(len(words), -1)
+    third[deep] = triple
+    whole = lm_score.walk(auto, [word, pair, third], end, lane=len(words))
+    for lane in (1, 2, 3, 17, 256):
+        assert np.array_equal(whole, lm_score.walk(auto, [word, pair, third], end, lane=lane))
+
+
 def test_lm_score_edges(spark):
     got = [(r["doc_id"], r["n_tokens"]) for r in lm_score.score(edge(spark).withColumnRenamed("source", "score")).collect()]
     assert sorted(x for x in got if x[0] in (1, 2, 3, 5, 8)) == [(1, 1), (2, 1), (3, 3), (5, 13), (5, 13), (8, 1)]
