@@ -9,9 +9,9 @@ that language were (the ``reject`` quantile of their cosines).
 
 Learning: document frequencies (for idf) are counted over every training document; each task adds
 its own ``DIMS`` counters first.  The centroids are clustered from at most ``sample`` documents of
-every language (smallest id hash), the documented bound of the fit; they reach the driver as
-vectors of ``DIMS`` floats.  What tasks get is ``DIMS`` idf weights and languages x clusters
-centroids.
+every language (smallest id hash), the documented bound of the fit, drawn for all languages in one
+scan and clustered in one task per language; the centroids reach the driver.  What tasks get is
+``DIMS`` idf weights and languages x clusters centroids.
 
 Defined results: a null text or one without a letter: ``und``, score 0.  No training document: all
 ``und``.  Training uses documents with a language and a letter only.  Ties go to the language that
@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerlens.llm import textkit as tk
-from ledgerlens.llm.sampling import smallest
 
 DIMS = 4096
 _CLASS = np.full(256, 32, np.uint8)
@@ -107,27 +107,37 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 600, reject: float =
     """idf, centroids, their languages, and the smallest cosine each language accepts."""
     df, n = document_frequencies(train)
     idf = np.log((1 + n) / (1 + df)) + 1
-    sizes = sorted((r["lang"], r["count"]) for r in train.groupBy("lang").count().collect())  # a row per language
-    names, centres, floors = [], [], []
-    for lang, size in sizes:
-        some = smallest(train.where(F.col("lang") == lang).select("doc_id", "text"), sample, F.xxhash64("doc_id", F.lit("langid")), size)
-
-        @tk.tidy
-        def featurise(batches):
-            for batch in batches:
-                use = has_letter(batch.column(batch.schema.get_field_index("text")).to_pylist())
-                for a, b, buf, offs in _chunks(batch):
-                    v = vectors(profile(buf, offs), idf)[use[a:b]].astype(np.float32)
-                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in v], pa.binary())], ["v"])
-
-        got = some.mapInArrow(featurise, "v binary").collect()  # ``sample`` vectors
-        if not got:
-            continue
-        x = np.stack([np.frombuffer(r["v"], np.float32) for r in got]).astype(np.float64)
+    h = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 31))
+    # a row per language; the model broadcast later holds ``clusters`` centroids for each of them
+    share = train.groupBy(F.col("lang").alias("_l")).agg((F.lit(2.0 * sample) / F.count(F.lit(1))).alias("_share"))
+    some = (train.join(F.broadcast(share), F.col("lang") == F.col("_l")).select("lang", h.alias("h"), "text", "_share")
+                 .where(F.col("h") < F.col("_share") * (1 << 31))
+                 .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("_n") <= sample))
+
+    @tk.tidy
+    def featurise(batches):
+        for batch in batches:
+            use = has_letter(batch.column(batch.schema.get_field_index("text")).to_pylist())
+            for a, b, buf, offs in _chunks(batch):
+                v = vectors(profile(buf, offs), idf)[use[a:b]].astype(np.float32)
+                keep = pa.array(a + np.flatnonzero(use[a:b]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep),
+                                                  pa.array([x.tobytes() for x in v], pa.binary())], ["lang", "h", "v"])
+
+    def centroids(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table["h"].to_pylist(), table["v"].to_pylist()))  # ``sample`` vectors at most
+        x = np.stack([np.frombuffer(v, np.float32) for _, v in rows]).astype(np.float64)
         c = cluster(x, clusters)
-        names += [lang] * len(c)
-        centres.append(c)
-        floors += [float(np.quantile((x @ c.T).max(axis=1), reject))] * len(c)
+        return pa.table({"lang": table["lang"].slice(0, 1), "k": pa.array([len(c)], pa.int32()), "centres": pa.array([c.tobytes()], pa.binary()),
+                         "floor": pa.array([float(np.quantile((x @ c.T).max(axis=1), reject))])})
+
+    fitted = (some.select("lang", "h", "text").mapInArrow(featurise, "lang string, h long, v binary")
+                  .groupBy("lang").applyInArrow(centroids, "lang string, k int, centres binary, floor double").collect())
+    names, centres, floors = [], [], []
+    for r in sorted(fitted, key=lambda r: r["lang"]):
+        names += [r["lang"]] * r["k"]
+        centres.append(np.frombuffer(r["centres"]).reshape(r["k"], -1))
+        floors += [r["floor"]] * r["k"]
     return {"idf": idf, "names": names, "floors": np.array(floors),
             "centres": np.concatenate(centres) if centres else np.zeros((0, DIMS))}
 

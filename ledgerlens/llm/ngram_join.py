@@ -215,7 +215,7 @@ def _exact(threshold: float):
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cid, grp, w, grams of one document of every wanted class (first, cid, grp, w)."""
+    """cid (the key), grp, w, grams of one document of every wanted class (first, cid, key, grp, w)."""
     @tk.tidy
     def step(batches):
         for batch in batches:
@@ -227,15 +227,25 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 ok = key == batch.column(1).to_numpy()[lo + own]
                 ends = np.append(first[1:], len(g))
                 keep = pa.array(lo + own[ok])
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(keep) for i in (1, 2, 3)),
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(keep) for i in (2, 3, 4)),
                                                   pa.array([g[a:b].tobytes() for a, b in zip(first[ok], ends[ok])], pa.binary())], ["cid", "grp", "w", "grams"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    return (text.join(wanted, F.col("_id").eqNullSafe(F.col("first"))).select("text", "cid", "grp", "w")
+    return (text.join(wanted, F.col("_id").eqNullSafe(F.col("first"))).select("text", "cid", "key", "grp", "w")
                 .mapInArrow(step, "cid long, grp long, w long, grams binary")
                 .groupBy("cid").agg(F.first("grp").alias("grp"), F.first("w").alias("w"), F.first("grams").alias("grams")))
 
 
+def keyed(classes: DataFrame) -> DataFrame:
+    """``classes`` (cid, cid2) with ``key``, a long that no two of them share: half of their hash, or a
+    hash of both halves where two classes share that half (a few times in 10^10 classes)."""
+    key, salt = F.col("cid"), 0
+    while not classes.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        salt += 1
+        key = F.xxhash64("cid", "cid2", F.lit(salt))
+    return classes.withColumn("key", key)
+
+
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (smallest id of the group), n_links (other documents linked directly), kept.
 
@@ -244,18 +254,20 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     sig = materialize(signatures(docs), "signatures")
     classes = materialize(sig.where("cid IS NOT NULL").groupBy("cid", "cid2")
                              .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("w"), F.first("sketch").alias("sketch")), "set_classes")
-    met = materialize(buckets(classes, runs_for(recall, threshold), threshold).join(classes.select("cid", "sketch"), "cid"), "met")
+    classes = keyed(classes)
+    drawn = classes.select(F.col("key").alias("cid"), "sketch")
+    met = materialize(buckets(drawn, runs_for(recall, threshold), threshold).join(drawn, "cid"), "met")
     loose = graph.components(graph.in_units(met, "path", "cid", BLOCK, _sketch_stars(LOOSE), "a long, b long"), "loose")
-    wanted = classes.select("cid", "first", "w").join(loose.select(F.col("node").alias("cid"), F.col("component").alias("grp")), "cid")
+    wanted = classes.select("cid", "key", "first", "w").join(loose.select(F.col("node").alias("key"), F.col("component").alias("grp")), "key")
     sets = materialize(candidate_sets(docs, wanted), "candidate_sets")
     exact = materialize(graph.in_units(sets, "grp", "cid", BLOCK, _exact(threshold), "cid long, n long, root long"), "exact")
     comp = graph.components(exact.select(F.col("cid").alias("a"), F.col("root").alias("b")), "exact")
     counts = exact.groupBy("cid").agg(F.sum("n").alias("n")).where("n > 0")
-    named = classes.select("cid", "first").join(comp.withColumnRenamed("node", "cid"), "cid")
+    named = classes.select(F.col("key").alias("cid"), "first").join(comp.withColumnRenamed("node", "cid"), "cid")
     least = named.groupBy("component").agg(F.min("first").alias("class_id"))
     linked = named.select("cid", "component").join(least, "component").join(counts, "cid").select("cid", "class_id", "n")
-    table = classes.select("cid", "first", "w").join(linked, "cid", "left")
-    return (sig.select("doc_id", "cid").join(table, "cid", "left")
+    table = classes.select("cid", "cid2", "key", "first", "w").join(linked.withColumnRenamed("cid", "key"), "key", "left")
+    return (sig.select("doc_id", "cid", "cid2").join(table, ["cid", "cid2"], "left")
                .select("doc_id", F.coalesce("class_id", "first", "doc_id").alias("class_id"),
                        F.coalesce(F.col("w") - 1 + F.coalesce("n", F.lit(0)), F.lit(0)).cast("long").alias("n_links"))
                .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
@@ -266,7 +278,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
     Rows that repeat an id and its text count as copies of each other.
     """
-    kept = join(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    once = F.coalesce(F.xxhash64("text"), F.lit(0))
-    return (docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-                .withColumn("_once", once).dropDuplicates(["doc_id", "_once"]).select(*docs.columns))
+    kept, once = tk.fresh(docs, "_kept"), tk.fresh(docs, "_once")
+    ids = join(docs).where("kept").select(F.col("doc_id").alias(kept)).distinct()
+    return (docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(kept)), "left_semi")
+                .withColumn(once, F.coalesce(F.xxhash64("text"), F.lit(0))).dropDuplicates(["doc_id", once]).select(*docs.columns))

@@ -372,6 +372,9 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark`` (``n_chars``, when present, follows)."""
+    # a column of ``docs`` named like the spans keeps its values under another name meanwhile
+    asked, own = docs.columns, tk.fresh(docs, "secret_spans_")
+    docs = docs.withColumnsRenamed({c: own for c in asked if c.lower() == "secret_spans"})
     names = docs.columns
     found = scan(docs)
     schema = T.StructType([f for f in found.schema.fields if f.name in names])
@@ -393,4 +396,4 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     out = found.mapInArrow(cut, schema)
-    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)).select(*names) if "n_chars" in names else out.select(*names)
+    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)).toDF(*asked) if "n_chars" in names else out.toDF(*asked)

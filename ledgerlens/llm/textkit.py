@@ -68,6 +68,14 @@ def tidy(fn):
     return run
 
 
+def fresh(df, name: str) -> str:
+    """``name``, or the name with underscores added until ``df`` has no such column (in either case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (int64, n + 1) of an Arrow string column; null is empty."""
     if isinstance(col, pa.ChunkedArray):

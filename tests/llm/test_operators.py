@@ -16,6 +16,7 @@ from ledgerlens.llm import decontam, langid, lm_score, near_embed, ngram_join, q
 from ledgerlens.llm import textkit as tk
 from ledgerlens.llm.queries import QUERIES, SQL, tokenizer_path
 from ledgerlens.plans.compare import compare, duckdb_connection
+from ledgerlens.session import materialize
 
 SMOKE = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -63,6 +64,26 @@ def test_join_edges(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 8]
 
 
+def test_classes_with_half_a_hash_in_common_stay_apart(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, " ".join(WORDS)), (2, " ".join(WORDS)), (3, " ".join(reversed(WORDS))), (4, " ".join(sorted(WORDS))),
+                                  (5, " ".join(WORDS) * 3), (6, " ".join(WORDS) * 3 + " nu")], "doc_id long, text string")
+    real = ngram_join.signatures
+    want = sorted(map(tuple, ngram_join.join(docs).collect()))
+    assert [r[1:3] for r in want] == [(1, 1), (1, 1), (3, 0), (4, 0), (5, 1), (5, 1)]
+    # the check of candidate texts needs the true half, so only texts without near copies take the forced one
+    monkeypatch.setattr(ngram_join, "signatures", lambda d: real(d).selectExpr("doc_id", "if(doc_id in (3, 4), 7, cid) cid", "cid2", "sketch"))
+    assert sorted(map(tuple, ngram_join.join(docs).collect())) == want
+    classes = spark.createDataFrame([(7, 1), (7, 2), (8, 1)], "cid long, cid2 long")
+    assert ngram_join.keyed(classes).select("key").distinct().count() == 3
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    docs = edge(spark).selectExpr("*", "'mine' secret_spans", "7 _once", "8 _kept")
+    for out in (secret_scan.redact(docs), ngram_join.drop_near_copies(docs)):
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select("secret_spans", "_once", "_kept").collect()} == {("mine", 7, 8)}
+
+
 def test_runs_reach_the_recall_where_large_buckets_are_split():
     shared, q = math.floor(0.8 * ngram_join.SKETCH), 1.0
     for _ in range(ngram_join.DEEPEST):
@@ -407,6 +428,23 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert langid.identify(empty(spark)).count() == 0
 
 
+def test_languages_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").where("text IS NOT NULL").select("doc_id", "lang", "text").limit(200)
+    # a column of many values, one of them written in both cases
+    docs = materialize(docs.selectExpr("doc_id", "if(doc_id % 3 = 0, concat('x', doc_id % 40), lang) lang", "text"), "langs")
+    model = langid.fit(docs, sample=20)
+    names = [r["lang"] for r in docs.where("lang IS NOT NULL").groupBy("lang").count().collect()]
+    assert sorted(set(model["names"])) == sorted(names) and model["names"] == sorted(model["names"])
+    rows = langid.predict(docs, model).collect()
+    for r in rows:
+        buf, offs = tk.utf8(pa.array([r["text"]]))
+        v = langid.vectors(langid.profile(buf, offs), model["idf"])[0]
+        cos = [float(v @ c) for c in model["centres"]]
+        best = max(cos)
+        assert r["score"] == pytest.approx(min(1, max(0, best)), abs=1e-9)
+        assert r["lang_pred"] in {n for n, c in zip(model["names"], cos) if c >= best - 1e-9}
+
+
 # ---------------------------------------------------------------- 8
 def test_decontamination_blocks_and_edges(spark):
     items = [(1, " ".join(WORDS)), (2, "One, two"), (3, None), (None, "zeta eta theta"), (2, "one two")]
