@@ -60,13 +60,14 @@ def trailing_stats(df: DataFrame, key: str, ts: str, specs: Sequence[WindowSpec]
     vcols = [*values, *(f"_odd_{v}" for v in floating)]
     shifts = sorted({a for _, a, _ in specs} | {b for _, _, b in specs if b > 0})
 
-    orig = base.withColumn("_role", F.lit(0))
-    slim = base.filter(F.col("_t").isNotNull()).select(key, "_bkt", "_t", *vcols)
-    copies = [slim.select(key, (F.col("_bkt") + s * k).alias("_bkt"), (F.col("_t") + F.lit(s * DAY_MICROS)).alias("_t"),
-                          F.lit(s).alias("_role"), *vcols) for s in shifts]
-    u = orig
-    for c in copies:
-        u = u.unionByName(c, allowMissingColumns=True)
+    slim = base.select(key, "_bkt", "_t", *vcols)
+    # every row once for its own bucket and once for each shift, from one reading of the source; the
+    # shifted copies carry the key, the time and the values only
+    role = F.explode(F.array(*[F.lit(s).cast("long") for s in (0, *shifts)]))
+    moved = base.withColumn("_role", role)
+    needed = {key, "_bkt", "_t", "_role", *vcols}
+    u = moved.select(key, "_role", *vcols, (F.col("_bkt") + F.col("_role") * k).alias("_bkt"), (F.col("_t") + F.col("_role") * DAY_MICROS).alias("_t"),
+                     *(F.when(F.col("_role") == 0, F.col(c)).alias(c) for c in base.columns if c not in needed)).select(*base.columns, "_role")
 
     # an empty frame sums to NULL: every windowed sum is coalesced to 0
     w_before = Window.partitionBy(key, "_bkt").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
