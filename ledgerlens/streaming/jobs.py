@@ -171,12 +171,47 @@ def stream_train_then_score(spark: SparkSession, sf_dir: str, test_fraction: flo
     return model, json_sink(spark, scored, "predict", kafka_out, f"{root}/predict")
 
 
+FOLD = 20  # micro-batches between two folded states
+SUMS_SCHEMA = "dt date, score bigint, n_scores bigint, neg bigint, n_reviews bigint"
+
+
+def _states(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """Numbers of the complete folded states and of the batches below ``path``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath() for f in fs.listStatus(root)] if fs.exists(root) else []
+    done = [p.getName() for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    numbers = lambda kind: sorted(int(n.split("=")[1]) for n in done if n.startswith(f"{kind}="))
+    return numbers("upto_id"), numbers("batch_id")
+
+
+def read_daily_sums(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """Rows of sums below ``path``: the newest folded state and the batches after it, ``FOLD`` folders at most."""
+    folded, batches = _states(spark, path)
+    last = max((n for n in folded if before is None or n < before), default=-1)
+    parts = [f"{path}/upto_id={last}"] if last >= 0 else []
+    parts += [f"{path}/batch_id={n}" for n in batches if n > last and (before is None or n < before)]
+    return spark.read.schema(SUMS_SCHEMA).parquet(*parts) if parts else None
+
+
 def daily_sums(path: str):
-    """``foreachBatch`` writer of mergeable per-day sums; batch n overwrites ``path/batch_id=n``."""
+    """``foreachBatch`` writer of mergeable per-day sums; batch n overwrites ``path/batch_id=n``.
+
+    Every ``FOLD``-th batch adds all earlier sums to its own and writes them to ``path/upto_id=n``
+    instead.  It reads the state before its own number only, and leaves that in place, so a replay after a failure
+    gives the same rows; a state counts once its write is complete.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("dt").agg(F.sum("score").alias("score"), F.count("score").alias("n_scores"), F.sum("neg").alias("neg"),
-                                 F.count(F.lit(1)).alias("n_reviews"))
-              .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        own = batch.groupBy("dt").agg(F.sum("score").alias("score"), F.count("score").alias("n_scores"), F.sum("neg").alias("neg"),
+                                      F.count(F.lit(1)).alias("n_reviews"))
+        if (batch_id + 1) % FOLD:
+            own.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            return
+        past = read_daily_sums(batch.sparkSession, path, before=batch_id)
+        if past is not None:
+            own = own.unionByName(past).groupBy("dt").agg(*[F.sum(c).alias(c) for c in ("score", "n_scores", "neg", "n_reviews")])
+        own.write.mode("overwrite").parquet(f"{path}/upto_id={batch_id}")
     return write
 
 
@@ -184,7 +219,8 @@ def stream_daily_kpi(spark: SparkSession, sf_dir: str, max_files: int | None = N
                      root: str | None = None) -> DataFrame:
     """Daily mean score and negative share of a review stream, every day included.
 
-    Each micro-batch leaves one row of sums per day; reading adds them up.  Late reviews and the
+    Each micro-batch leaves one row of sums per day, folded every ``FOLD`` batches; reading adds up the newest
+    folded state and the batches after it, ``FOLD`` folders at most after any number of batches.  Late reviews and the
     newest day count, and the result does not depend on how the stream is cut into batches.
     ``root`` holds sums and checkpoint; a later call with it adds what is new.
     """
@@ -194,7 +230,10 @@ def stream_daily_kpi(spark: SparkSession, sf_dir: str, max_files: int | None = N
                   F.to_date("o_orderdate").alias("dt"))
     root = root or scratch_path(spark, "daily_kpi")
     run_to_end(rv, f"daily_kpi_{root[-12:]}", f"{root}/_checkpoint", sink=daily_sums(f"{root}/data"))
-    return (spark.read.parquet(f"{root}/data").groupBy("dt")
+    sums = read_daily_sums(spark, f"{root}/data")
+    if sums is None:
+        sums = spark.createDataFrame([], SUMS_SCHEMA)
+    return (sums.groupBy("dt")
                  .agg((F.sum("score") / F.sum("n_scores")).alias("avg_score"), (F.sum("neg") / F.sum("n_reviews")).alias("neg_share"),
                       F.sum("n_reviews").alias("n_reviews")))
 

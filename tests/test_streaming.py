@@ -43,6 +43,31 @@ def test_daily_kpi_is_the_same_from_one_batch_or_many_and_after_a_restart(spark)
     assert all(abs(first[d][1] - want[d][1]) < 1e-9 for d in want)
 
 
+def test_daily_sums_are_folded_and_a_replayed_fold_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(S, "FOLD", 4)
+    path = scratch_path(spark, "sums")
+    write = S.daily_sums(path)
+    rows = [[("2024-01-0%d" % (1 + (i + j) % 5), 1 + (i * j) % 5 if j else None, (i + j) % 2) for j in range(4)] for i in range(11)]
+    frames = [spark.createDataFrame(r, "d string, score int, neg int").selectExpr("cast(d as date) dt", "score", "neg") for r in rows]
+    for n, f in enumerate(frames[:8]):
+        write(f, n)
+    write(frames[7], 7)  # the folding batch once more, as after a failure
+    write(frames[7], 7)
+    for n, f in enumerate(frames[8:], 8):
+        write(f, n)
+    write(frames[10], 10)
+    got = S.read_daily_sums(spark, path)
+    folders = {f.rsplit("/", 2)[1] for f in got.inputFiles()}
+    assert folders == {"upto_id=7", "batch_id=8", "batch_id=9", "batch_id=10"}
+    total = {}
+    for d, score, neg in (r for batch in rows for r in batch):
+        s, n, g, m = total.get(d, (0, 0, 0, 0))
+        total[d] = (s + (score or 0), n + (score is not None), g + neg, m + 1)
+    sums = got.groupBy("dt").agg(*[F.sum(c) for c in ("score", "n_scores", "neg", "n_reviews")]).collect()
+    assert {str(r[0]): tuple(r[1:]) for r in sums} == total
+    assert S.read_daily_sums(spark, path, before=0) is None
+
+
 def test_train_then_score_holds_out(spark):
     model, out = S.stream_train_then_score(spark, SMOKE)
     preds = spark.read.text(out)
