@@ -50,7 +50,9 @@ def in_units(df: DataFrame, group: str, member: str, block: int, fn, schema: str
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
-                yield from whole(False)
+                unit = batch.column(batch.schema.get_field_index("_unit"))
+                if unit[len(unit) - 1] != held[0].column(batch.schema.get_field_index("_unit"))[0]:  # a unit has ended
+                    yield from whole(False)
         if held:
             yield from whole(True)
 

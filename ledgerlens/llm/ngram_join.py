@@ -251,6 +251,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
 
     One row per row of ``docs`` (doc_id, text).
     """
+    with tk.small_batches(docs.sparkSession):  # all that runs in Python is staged in here
+        return _join(docs, threshold, recall)
+
+
+def _join(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     sig = materialize(signatures(docs), "signatures")
     classes = materialize(sig.where("cid IS NOT NULL").groupBy("cid", "cid2")
                              .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("w"), F.first("sketch").alias("sketch")), "set_classes")

@@ -12,6 +12,7 @@ of ``BLOCK`` bytes (or one word, if a single word is longer).
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 from collections.abc import Iterator
@@ -68,6 +69,21 @@ def tidy(fn):
     return run
 
 
+@contextlib.contextmanager
+def small_batches(spark, size: str = "8m"):
+    """Arrow batches of ``size`` in the jobs run meanwhile, whose rows hold whole texts or sets; then the session's own again.
+
+    Every concurrent task holds a batch on both sides of the pipe, in and out.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+
+
 def fresh(df, name: str) -> str:
     """``name``, or the name with underscores added until ``df`` has no such column (in either case)."""
     taken = {c.lower() for c in df.columns}
