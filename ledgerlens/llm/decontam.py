@@ -178,30 +178,34 @@ def _merge_spans(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
-    """Blocks of (item id, text), one at a time on the driver; each near ``block_bytes``."""
+    """Blocks of (item id, text), one at a time on the driver, each near ``block_bytes``; and whether it is the last."""
     b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").alias("text"))
     size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + size // block_bytes
     for i in range(n):
         part = b.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) if n > 1 else b
-        yield [(r["item"], r["text"]) for r in part.toLocalIterator()]
+        yield [(r["item"], r["text"]) for r in part.toLocalIterator()], i == n - 1
 
 
-def _matched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
-    """``doc`` (all columns) and ``state`` (n_words, items, longest_match, hit_words) of every document."""
+def _matched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, cut: bool = False) -> DataFrame:
+    """``doc`` (all columns) and ``state`` (n_words, items, longest_match, hit_words) of every document.
+
+    With ``cut`` also ``text``, without the hit words, from the step of the last block.
+    """
     spark = docs.sparkSession
     out = docs.select(F.struct("*").alias("doc"))
     schema = T.StructType([out.schema["doc"], T.StructField("state", STATE)])
+    with_text = T.StructType([*schema.fields, T.StructField("text", T.StringType())])
     arrow_state = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("longest_match", pa.int64()),
                              ("hit_words", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
-    for at, rows in enumerate(_blocks(benchmark, block_bytes)):
+    for at, (rows, last) in enumerate(_blocks(benchmark, block_bytes)):
         if at and at % GROUP == 0:  # the blocks before are not held any longer
             out = materialize(out, "decontam")
         block = spark.sparkContext.broadcast(build_block(rows, window))
 
         @tk.tidy
-        def step(batches, block=block):
+        def step(batches, block=block, ends=cut and last):
             b = block.value
             for batch in batches:
                 buf, offs = tk.utf8(pc.struct_field(batch.column(0), "text"))
@@ -218,9 +222,16 @@ def _matched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: in
                             found, best = found | set(p["items"]), max(best, p["longest_match"])
                         state.append({"n_words": int(count[i]), "items": sorted(found), "longest_match": best,
                                       "hit_words": [{"start": x, "end": y} for x, y in _merge_spans(s, e)]})
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(state, arrow_state)], ["doc", "state"])
-
-        out = out.mapInArrow(step, schema)
+                cols = [batch.column(0), pa.array(state, arrow_state)]
+                if ends:
+                    texts = pc.struct_field(batch.column(0), "text").to_pylist()
+                    for i, s in enumerate(state):
+                        if s["hit_words"]:
+                            texts[i] = cut_words(texts[i], [(x["start"], x["end"]) for x in s["hit_words"]])
+                    cols.append(pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, ["doc", "state", "text"][:len(cols)])
+
+        out = out.mapInArrow(step, with_text if cut and last else schema)
     return out
 
 
@@ -255,19 +266,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
     Returns the columns of ``docs`` (``n_chars``, when present, follows the new text).
     """
-    found = _matched(docs, benchmark, window, block_bytes)
-    found = found.where(_n_hit() <= max_coverage * F.col("state.n_words"))
-
-    @tk.tidy
-    def cut(batches):
-        for batch in batches:
-            texts, spans = pc.struct_field(batch.column(0), "text").to_pylist(), batch.column(1).to_pylist()
-            for i, some in enumerate(spans):
-                if some:
-                    texts[i] = cut_words(texts[i], [(s["start"], s["end"]) for s in some])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc", "text"])
-
-    out = found.select("doc", "state.hit_words").mapInArrow(cut, T.StructType([found.schema["doc"], T.StructField("text", T.StringType())]))
+    found = _matched(docs, benchmark, window, block_bytes, cut=True)
+    out = found.where(_n_hit() <= max_coverage * F.col("state.n_words"))
     fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)

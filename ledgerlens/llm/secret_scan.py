@@ -339,6 +339,13 @@ SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struct
 _ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
 
+def _span_rows(texts, model: dict) -> list[list[dict]]:
+    """The spans of a column of texts, a few megabytes at a time."""
+    buf, offs = tk.utf8(texts)
+    return [[{"kind": KINDS[k], "start": a, "end": b, "probability": p} for a, k, b, p in x]
+            for lo, hi in tk.row_chunks(offs) for x in scan_batch(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], model)]
+
+
 def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``docs`` with ``secret_spans`` (kind, start, end, probability)."""
     plain = docs.drop("secret_spans")
@@ -348,11 +355,7 @@ def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
     @tk.tidy
     def step(batches):
         for batch in batches:
-            buf, offs = tk.utf8(batch.column(batch.schema.get_field_index("text")))
-            spans = []
-            for lo, hi in tk.row_chunks(offs):
-                spans += scan_batch(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], held.value)
-            got = [[{"kind": KINDS[k], "start": a, "end": b, "probability": p} for a, k, b, p in x] for x in spans]
+            got = _span_rows(batch.column(batch.schema.get_field_index("text")), held.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, _ARROW_SPAN)], [*batch.schema.names, "secret_spans"])
 
     return plain.mapInArrow(step, schema)
@@ -372,18 +375,14 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark`` (``n_chars``, when present, follows)."""
-    # a column of ``docs`` named like the spans keeps its values under another name meanwhile
-    asked, own = docs.columns, tk.fresh(docs, "secret_spans_")
-    docs = docs.withColumnsRenamed({c: own for c in asked if c.lower() == "secret_spans"})
-    names = docs.columns
-    found = scan(docs)
-    schema = T.StructType([f for f in found.schema.fields if f.name in names])
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs))  # a few thousand weights
 
     @tk.tidy
     def cut(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            for i, spans in enumerate(batch.column(batch.schema.get_field_index("secret_spans")).to_pylist()):
+            where = batch.schema.get_field_index("text")
+            texts = batch.column(where).to_pylist()
+            for i, spans in enumerate(_span_rows(batch.column(where), held.value)):
                 if spans:
                     out, at, text = [], 0, texts[i]
                     for s in spans:
@@ -391,9 +390,8 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                             out += [text[at:s["start"]], mark]
                         at = max(at, s["end"])
                     texts[i] = "".join([*out, text[at:]])
-            cols = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
-            cols["text"] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+            cols = [pa.array(texts, pa.string()) if i == where else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
 
-    out = found.mapInArrow(cut, schema)
-    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)).toDF(*asked) if "n_chars" in names else out.toDF(*asked)
+    out = docs.mapInArrow(cut, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
