@@ -13,13 +13,13 @@ Sharded count joins: each bucket of documents asks hash shards for its distinct
 order, the shards join them with the model's n-grams and answer with the two numbers an n-gram has
 (its discounted probability, and its backoff weight as a context); then the bucket's documents
 are scored.  See ``shards``; the model is never broadcast.  A group is one shard of the model and the buckets of one
-region of ``REGION_ROWS`` documents, so groups keep their size and rows exchanged are linear in the documents; the
-model (bounded by the training sample) is repeated per region.  Only a document's place, id and scores come out of the
+region of documents (``REGION_ROWS``, and in proportion more where a larger model has more than ``SHARDS`` shards), so
+groups keep their size and rows exchanged are linear in the documents; the model (at most all byte n-grams) is repeated
+per region.  Only a document's place, id and scores come out of the
 groups; ``keep_good`` and ``classify`` join them to the documents by file and row.
 
-Bounds: training uses about ``max_train`` trusted documents of every language (those with the smallest id
-hash), so only that many ids are broadcast.  Everything else covers all documents: thresholds come from every
-held-out trusted document.
+Nothing is drawn by chance: the model counts every trusted document of the training fold, and thresholds come from every
+held-out trusted document.  Their ids are staged and joined, so no task or driver has to hold them.
 
 Defined results: null or empty text: perplexity null, kept.  A null language is a language of its
 own.  A language's limit is raised towards that of all languages, where that is higher, with the
@@ -49,7 +49,7 @@ NEAR = 64  # bytes in which a 4-gram comes again in repeated words
 PRIOR = 5.0  # calibration documents that the limit of all languages weighs as many as
 SHARDS = 128  # at least; a shard holds SHARD_KEYS n-grams of the model at most
 SHARD_KEYS = 1 << 19
-REGION_ROWS = 1 << 18
+REGION_ROWS = 1 << 18  # documents of a region when the model has SHARDS shards
 #: rows of a file that share a bucket, by the size of their texts (a bucket's texts are scored in pieces of 24 MB)
 BUCKETS = ((64 << 10, 2048), (1 << 20, 64))
 
@@ -65,7 +65,7 @@ def keys_of(codes: np.ndarray, k: int, lang: np.uint64) -> np.ndarray:
 
 
 def _trusted(docs: DataFrame, labels: DataFrame, fold: str, limit: int | None = None) -> DataFrame:
-    """Labelled good documents of one fold: all, or about ``limit`` of every language, whose ids are then broadcast.
+    """Labelled good documents of one fold: all (as training and calibration use them), or about ``limit`` of every language.
 
     The fold goes by the id alone, so only its documents meet the labels.
     """
@@ -73,8 +73,8 @@ def _trusted(docs: DataFrame, labels: DataFrame, fold: str, limit: int | None =
     own = F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")  # the hash depends on the type
     good = fold_of(labels.select(own, "quality", "toxic")).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     ids = good.where((F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id")
-    if limit is None:
-        return fold_of(docs).join(ids, "doc_id", "left_semi")
+    if limit is None:  # staged ids have a known size: few are broadcast, many are joined by sorting
+        return fold_of(docs).join(materialize(ids, f"kn_{fold}_ids"), "doc_id", "left_semi")
     named = materialize(fold_of(docs).select("doc_id", "lang").join(ids, "doc_id", "left_semi").distinct(), f"kn_{fold}_ids")
     share = named.groupBy(F.col("lang").alias("l")).agg((F.lit(limit) / F.count(F.lit(1))).alias("share"))
     held = F.pmod(F.xxhash64("doc_id", F.lit(fold)), F.lit(1 << 31)) < F.col("share") * (1 << 31)
@@ -219,7 +219,7 @@ def scores(placed: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame
     Perplexity and repeated are null for empty texts.
     """
     shards = max(SHARDS, 1 << (-(-model.count() // SHARD_KEYS) - 1).bit_length())
-    regions = -(-placed.count() // REGION_ROWS) or 1
+    regions = -(-placed.count() // (REGION_ROWS * shards // SHARDS)) or 1
     size, rows = F.coalesce(F.octet_length("doc.text"), F.lit(0)), F.lit(1)
     for most, n in reversed(BUCKETS):
         rows = F.when(size <= most, n).otherwise(rows)
@@ -313,9 +313,9 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataF
     return scores(with_place(docs), model, order).drop("file", "row")
 
 
-def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_train: int = 20_000) -> DataFrame:
-    """The staged model table of trusted documents."""
-    return materialize(kneser_ney(count_grams(_trusted(docs, labels, "train", max_train), order), order), "kn_model")
+def train(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
+    """The staged model table of all trusted documents of the training fold."""
+    return materialize(kneser_ney(count_grams(_trusted(docs, labels, "train"), order), order), "kn_model")
 
 
 def limits(held: DataFrame, quantiles: dict[str, float]) -> tuple[DataFrame, DataFrame]:
