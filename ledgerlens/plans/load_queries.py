@@ -13,7 +13,7 @@ from ledgerlens.plans.cleaning_queries import VEC_SUM_SQL, vec_sum
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sqlfixtures import with_views
 from ledgerlens.plans.text_ml_queries import _DIST_SQL, _WORDS_SQL, _labelled
-from ledgerlens.session import materialize, scratch_path
+from ledgerlens.session import materialize, scratch_path, spread
 from ledgerlens.sources import files, ranges, serial, tables
 
 # ------------------------------------------------------------------ 2.1 sources
@@ -128,7 +128,7 @@ def q_embed_subwords_vectors(spark, sf_dir):
 
 
 def _subword_vectors(spark, sf_dir):
-    docs = tables.docs(spark, sf_dir).select("id", "content")
+    docs = materialize(spread(tables.docs(spark, sf_dir).select("id", "content")), "subword_docs")
     return S.embed_subwords(docs, S.fit_subwords(docs, dim=32, buckets=1 << 13, steps=2))
 
 
