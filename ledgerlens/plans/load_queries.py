@@ -12,7 +12,7 @@ from ledgerlens.operators import vector as V
 from ledgerlens.plans.cleaning_queries import VEC_SUM_SQL, vec_sum
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sqlfixtures import with_views
-from ledgerlens.plans.text_ml_queries import _DIST_SQL, _WORDS_SQL, _labelled
+from ledgerlens.plans.text_ml_queries import _DIST_SQL, _WORDS_SQL, sentiment_model
 from ledgerlens.session import materialize, scratch_path, spread
 from ledgerlens.sources import files, ranges, serial, tables
 
@@ -94,7 +94,7 @@ def q_ingest_reviews(spark, sf_dir):
     """Three days of reviews loaded day by day, the second of them twice: copies within and across days stored once, each with
     its sentiment and its vector."""
     docs = tables.docs(spark, sf_dir)
-    model = ML.sentiment_pipeline().fit(_labelled(spark, sf_dir).filter(F.col("split") == "train"))
+    model = sentiment_model(spark, sf_dir)
     parameters = S.fit_subwords(docs, dim=16, buckets=1 << 12, steps=1)
     rows = docs.select("id", "content", F.expr(f"timestamp_ntz'{INGEST_START} 06:00:00' + make_dt_interval(cast(id % 3 as int))").alias("created_time"),
                        (F.col("id") % 2).cast("int").alias("source_rank"))

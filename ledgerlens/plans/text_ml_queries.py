@@ -16,7 +16,7 @@ from ledgerlens.operators import text as T
 from ledgerlens.operators import vector as V
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sqlfixtures import with_views
-from ledgerlens.session import materialize
+from ledgerlens.session import materialize, spread
 from ledgerlens.sources import files, tables
 from ledgerlens.sources.tables import TX_EPOCH
 from ledgerlens.streaming import jobs as S
@@ -200,12 +200,19 @@ def _labelled(spark, sf_dir):
     return EV.train_test_split(tables.docs(spark, sf_dir).join(lab, "id"), "id")
 
 
+def sentiment_model(spark, sf_dir):
+    """The sentiment model of the labelled training reviews, which are staged in even parts: a fit passes over them many times."""
+    train = _labelled(spark, sf_dir).filter(F.col("split") == "train").select("content", "label")
+    return ML.sentiment_pipeline().fit(materialize(spread(train), "sentiment_train"))
+
+
 @register("score_sentiment", "2.8")
 def q_score_sentiment(spark, sf_dir):
     """TF-IDF + logistic regression trained on labelled reviews, scoring every review, ids mapped to names."""
     from ledgerlens.operators.cleaning import map_labels
-    model = ML.sentiment_pipeline().fit(_labelled(spark, sf_dir).filter(F.col("split") == "train"))
-    return map_labels(ML.score_sentiment(model, tables.docs(spark, sf_dir)), "sentiment_id").select("id", "sentiment_id", "sentiment")
+    model = sentiment_model(spark, sf_dir)
+    docs = spread(tables.docs(spark, sf_dir).select("id", "content"))
+    return map_labels(ML.score_sentiment(model, docs), "sentiment_id").select("id", "sentiment_id", "sentiment")
 
 
 @register("sentiment_holdout", "2.8", sql="""
