@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from ledgerlens.session import materialize
 
 MAX_TASKS = 100_000
+_LEAST_TASKS, _TASK = 64, 32 << 20  # with more ranges than that many, a task reads ranges of so many bytes
 _OUT = 16 << 20  # bytes of records sent to the JVM at once
 _PARTITION_VALUE = r"=([^/]+)/[^/]*$"
 _FILE_NAME = r"([^/]+)$"
@@ -160,12 +161,18 @@ def _records(header: bool):
     return run
 
 
+def tasks_for(spark: SparkSession, n_ranges: int | None, n_bytes: int | None) -> int:
+    """Tasks that read so many ranges: one a range while they are few, else several ranges a task, ``_TASK`` bytes or more."""
+    enough = max(_LEAST_TASKS, 4 * spark.sparkContext.defaultParallelism, (n_bytes or 0) // _TASK)
+    return min(MAX_TASKS, max(1, n_ranges or 0), enough)
+
+
 def csv_records(spark: SparkSession, path: str, split_bytes: int = 128 << 20, header: bool = True) -> DataFrame:
     """file, at (byte) and text of every record of the quoted CSV files below ``path``; a header record per file is left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where("length > 0")  # no content
     ranges = (files.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))))
                    .select("path", "start", F.least(F.col("start") + split_bytes, F.col("length")).alias("end"), "length"))
-    width = min(MAX_TASKS, max(1, files.agg(F.sum(F.ceil(F.col("length") / split_bytes))).first()[0] or 0))
+    width = tasks_for(spark, *files.agg(F.sum(F.ceil(F.col("length") / split_bytes)), F.sum("length")).first())
     scanned = materialize(ranges.repartition(width, "path", "start").mapInArrow(
         _scan, "path string, start long, end long, length long, parity int, outside long, inside long"), "csv_ranges")
     w = Window.partitionBy("path").orderBy("start")  # one small row per range

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ledgerlens.session import scratch_path
+from ledgerlens.session import materialize, scratch_path
 
 _PART = r"part-(\d+)[^/]*?(?:-c(\d+))?\.[^/]*$"
 
@@ -20,7 +20,8 @@ def with_serial_ids(df: DataFrame, order: list[str], start: int = 0, id_col: str
     """``df`` with ``id_col`` = ``start`` + 1, ``start`` + 2, ... in the order of the columns ``order`` (nulls first)."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "serial")
     keys = [F.col(c).asc_nulls_first() for c in order]
-    df.drop(id_col).repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+    rows = materialize(df.drop(id_col), "serial_rows")  # the range shuffle reads its rows twice: once for the bounds
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
     stored = spark.read.parquet(path)
     place = F.col("_metadata.file_path")
     counts = (stored.groupBy(place.alias("_file")).agg(F.count(F.lit(1)).alias("n"))
