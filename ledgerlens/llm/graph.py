@@ -3,10 +3,15 @@
 ``in_units`` deals the rows of each group into blocks and sends every pair of blocks to one unit of
 work, so a group of any size is compared whole without a row per pair and without one task
 holding the group: a group of n rows becomes n * ceil(n / block) rows.
+
+``stars`` finds what links connect, not the links: rows of a large group that link with the same few
+pivots are connected and need no pairs, so only those go to ``in_units`` that the pivots leave open.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,20 +21,29 @@ from ledgerlens.llm import textkit as tk
 from ledgerlens.llm.shards import runs
 from ledgerlens.session import materialize
 
+PIVOTS = 4
+
+def deal(df: DataFrame, group: str, member: str, block: int) -> DataFrame:
+    """``df`` with a row per unit of every row: its block ``_b``, the unit's blocks ``_lo`` and ``_hi``, and ``_unit``.
+
+    Rows that a column ``_closed`` marks go in blocks of their own, after those of the open rows, and meet only the open ones.
+    """
+    closed = F.col("_closed") if "_closed" in df.columns else F.lit(False)
+    sizes = df.groupBy(group).agg(F.count_if(~closed).alias("_n"), F.count_if(closed).alias("_c")).where("_n > 0")
+    opened, shut = F.ceil(F.col("_n") / block), F.ceil(F.col("_c") / block)
+    place = F.when(closed, opened + F.pmod(F.xxhash64(member), F.greatest(shut, F.lit(1)))).otherwise(F.pmod(F.xxhash64(member), opened))
+    return (df.join(sizes, group).withColumn("_b", place.cast("int"))
+              .withColumn("_o", F.explode(F.sequence(F.lit(0), (F.when(closed, opened).otherwise(opened + shut) - 1).cast("int"))))
+              .withColumn("_lo", F.least("_b", "_o")).withColumn("_hi", F.greatest("_b", "_o"))
+              .withColumn("_unit", F.xxhash64(group, "_lo", "_hi")).drop("_o", "_n", "_c", "_closed"))
+
 
 def in_units(df: DataFrame, group: str, member: str, block: int, fn, schema: str) -> DataFrame:
-    """Apply ``fn(table, lo, hi)`` to every unit; ``table`` has the unit's rows and their block ``_b``.
+    """Apply ``fn(table, lo, hi)`` to every unit of ``deal``; ``table`` has the unit's rows and their block ``_b``.
 
     ``fn`` gets whole units: for ``lo == hi`` one block (compare all its rows), else two blocks
     (compare across).  It returns a record batch of ``schema`` or None.  ``df`` is read twice.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    blocks = F.ceil(F.col("_n") / block)
-    dealt = (df.join(sizes, group).withColumn("_b", F.pmod(F.xxhash64(member), blocks).cast("int"))
-               .withColumn("_o", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
-               .withColumn("_lo", F.least("_b", "_o")).withColumn("_hi", F.greatest("_b", "_o"))
-               .withColumn("_unit", F.xxhash64(group, "_lo", "_hi")).drop("_o", "_n"))
-
     @tk.tidy
     def step(batches):
         held: list = []
@@ -56,7 +70,132 @@ def in_units(df: DataFrame, group: str, member: str, block: int, fn, schema: str
         if held:
             yield from whole(True)
 
-    return dealt.repartition("_unit").sortWithinPartitions("_unit").mapInArrow(_merged(step), schema)
+    return deal(df, group, member, block).repartition("_unit").sortWithinPartitions("_unit").mapInArrow(_merged(step), schema)
+
+
+def stars(df: DataFrame, group: str, member: str, value: str, block: int, near, limit: float, fn) -> DataFrame:
+    """Edges (a, b) of members that connect, in every group, all that links connect there.
+
+    Groups of up to ``block`` rows are compared whole by ``fn`` (``in_units``).  Larger ones go through rounds: every
+    row is compared with ``PIVOTS`` open rows, and rows that link with one pivot, or with pivots that a row
+    links, are one cluster.  The largest cluster is closed: its rows need no pairs among themselves.  A
+    row that links with no row of another cluster leaves: at some pivot its distance is further than ``limit`` from those
+    of that cluster's rows.  A round follows while more than a block is open and a quarter less than before;
+    then ``fn`` compares the open rows with each other and with the closed ones, so a group of n rows costs
+    rows in proportion to n, but for groups whose rows hardly link.
+
+    ``near(values, pivots)`` returns links and distances (rows x pivots) of two Arrow arrays of ``value``; the
+    distance is a metric and no link is longer than ``limit``.
+    """
+    rows = df.select(group, member, value, F.lit(False).alias("_closed"))
+    direct, edges, pivots = [], [], None
+    while True:
+        pivots = _pivots(rows, group, member, value, block, PIVOTS * len(edges), pivots)
+        if pivots.isEmpty():
+            break
+        direct.append(rows.join(pivots.select(group), group, "left_anti"))
+        placed, links = _pivot_round(rows, pivots, group, member, value, near)
+        edges.append(links)
+        rows = _open_rows(placed, group, member, value, limit)
+    direct = functools.reduce(DataFrame.unionByName, [*direct, rows])
+    return functools.reduce(DataFrame.unionByName, [in_units(direct, group, member, block, fn, "a long, b long"), *edges])
+
+
+def _pivots(rows: DataFrame, group: str, member: str, value: str, block: int, salt: int, last: DataFrame | None) -> DataFrame:
+    """Pivots (members and values) of the groups that go through a round, and the number of their open rows."""
+    drawn = (F.when(~F.col("_closed"), F.xxhash64(member, F.lit(salt + k))) for k in range(PIVOTS))
+    chosen = (rows.groupBy(group).agg(F.count_if(~F.col("_closed")).alias("_n"), *(F.min_by(member, h).alias(f"_{k}") for k, h in enumerate(drawn)))
+                  .where(F.col("_n") > block))
+    if last is not None:
+        chosen = chosen.join(last.select(group, F.col("_n").alias("_was")), group).where("_n <= 0.75 * _was")
+    chosen = chosen.select(group, "_n", F.posexplode(F.array(*(f"_{k}" for k in range(PIVOTS)))).alias("_k", member))
+    return materialize(rows.join(chosen, [group, member]).groupBy(group, "_k").agg(F.first("_n").alias("_n"), F.first(member).alias("_m"), F.first(value).alias("_v"))
+                           .groupBy(group).agg(F.first("_n").alias("_n"), F.sort_array(F.collect_list(F.struct("_k", "_m", "_v"))).alias("_p"))
+                           .select(group, "_n", F.col("_p._m").alias("_pivots"), F.col("_p._v").alias("_values")), "pivots")
+
+
+def _pivot_round(rows: DataFrame, pivots: DataFrame, group: str, member: str, value: str, near) -> tuple[DataFrame, DataFrame]:
+    """The rows of groups with pivots, with those they link with (``_mask``: a bit each, and one for closed rows; ``_to``: the first),
+    their distances to them and whether they are a pivot; and the edges to pivots."""
+    @tk.tidy
+    def step(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, members = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.argsort(ids, kind="stable")
+            mask = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int32) << PIVOTS
+            far, own, to = np.zeros((len(ids), PIVOTS)), np.zeros(len(ids), bool), members.copy()
+            for a, b in runs(ids[order]):
+                at = order[a:b]
+                links, far[at] = near(batch.column(2).take(pa.array(at)), batch.column(5)[int(at[0])].values)
+                mask[at] |= (links @ (1 << np.arange(PIVOTS))).astype(np.int32)
+                names = batch.column(4)[int(at[0])].values.to_numpy()
+                own[at] = np.isin(members[at], names)
+                to[at] = np.where(links.any(axis=1), names[links.argmax(axis=1)], members[at])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(mask), pa.array(own),
+                                              *(pa.array(far[:, k].copy()) for k in range(PIVOTS)), pa.array(to)],
+                                             [group, member, value, "_mask", "_own", *(f"_d{k}" for k in range(PIVOTS)), "_to"])
+
+    kind = rows.schema[value].dataType.simpleString()
+    schema = f"{group} long, {member} long, {value} {kind}, _mask int, _own boolean, " + ", ".join(f"_d{k} double" for k in range(PIVOTS)) + ", _to long"
+    with tk.small_batches(rows.sparkSession):
+        placed = materialize(rows.join(pivots, group).select(group, member, value, "_closed", "_pivots", "_values").mapInArrow(step, schema), "pivot_rows")
+    met = F.expr("filter(_pivots, (p, i) -> shiftright(_mask, i) % 2 = 1)")
+    met = placed.select(group, "_mask").distinct().join(pivots.select(group, "_pivots"), group).select(met.alias("_met"))
+    links = placed.select(F.col(member).alias("a"), F.col("_to").alias("b")).unionByName(met.select(F.explode("_met").alias("a"), F.get("_met", F.lit(0)).alias("b")))
+    return placed, links.where("a <> b")
+
+
+def _open_rows(placed: DataFrame, group: str, member: str, value: str, limit: float) -> DataFrame:
+    """The rows of ``_pivot_round`` that are no pivot and may link with another cluster, or have none; ``_closed`` in the largest cluster."""
+    low, high = ([f(f"_d{k}").alias(f"{name}{k}") for k in range(PIVOTS)] for name, f in (("_lo", F.min), ("_hi", F.max)))
+    seen = placed.groupBy(group, "_mask", "_own").agg(F.count(F.lit(1)).alias("n"), *low, *high)
+    seen = seen.groupBy(group).agg(F.collect_list(F.struct(F.col("_mask").alias("mask"), F.col("_own").alias("own"), "n",
+                                                           F.array(*(f"_lo{k}" for k in range(PIVOTS))).alias("lo"),
+                                                           F.array(*(f"_hi{k}" for k in range(PIVOTS))).alias("hi"))).alias("_seen"))
+
+    @tk.tidy
+    def step(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, mask = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            far = np.stack([batch.column(5 + k).to_numpy() for k in range(PIVOTS)], axis=1)
+            order = np.argsort(ids, kind="stable")
+            left, closed = mask == 0, np.zeros(len(ids), bool)
+            for a, b in runs(ids[order]):
+                at = order[a:b]
+                some = batch.column(6 + PIVOTS)[int(at[0])].as_py()
+                cluster = clusters([s["mask"] for s in some])
+                count: dict[int, int] = {}
+                for s in some:
+                    count[cluster[s["mask"]]] = count.get(cluster[s["mask"]], 0) + s["n"]
+                largest = max((c for c in count if c), key=lambda c: (count[c], c))
+                own = np.array([cluster[m] for m in mask[at].tolist()])
+                closed[at] = own == largest
+                for s in some:
+                    if not s["own"]:
+                        may = ((far[at] >= np.array(s["lo"]) - limit) & (far[at] <= np.array(s["hi"]) + limit)).all(axis=1)
+                        left[at] |= may & (own != cluster[s["mask"]])
+            keep = np.flatnonzero(left & ~batch.column(4).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(keep)) for i in range(3)), pa.array(closed[keep])], [group, member, value, "_closed"])
+
+    kind = placed.schema[value].dataType.simpleString()
+    with tk.small_batches(placed.sparkSession):
+        return materialize(placed.join(seen, group).mapInArrow(step, f"{group} long, {member} long, {value} {kind}, _closed boolean"), "open_rows")
+
+
+def clusters(masks: list[int]) -> dict[int, int]:
+    """Every mask's cluster: the union of the masks that shared bits connect with it; 0 for none."""
+    out: list[int] = []
+    for m in masks:
+        if m:
+            for c in [c for c in out if c & m]:
+                out.remove(c)
+                m |= c
+            out.append(m)
+    return {m: next((c for c in out if c & m), 0) for m in masks}
 
 
 def _merged(step, rows: int = 4096):

@@ -9,9 +9,9 @@ cosine in double precision.  At the threshold (0.93) one table finds a pair with
 
 Scale: identical vectors are one class first (a vector that fills a third of the table is one row).
 Only (cell, class) pairs are counted; classes alone in their cells go no further, and cells with
-the same members are verified once.  Cells of any size are compared in blocks (``graph.in_units``);
-what leaves a cell is a star of verified links, not its pairs.  Components come from those stars, and
-links are counted exactly among all members of a component, again in blocks.
+the same members are verified once.  What leaves a cell is a star of verified links, not its pairs; in large
+cells, vectors that link with the same pivots need no pairs (``graph.stars``).  Components come from those
+stars, and links are counted exactly among all members of a component, in blocks (``graph.in_units``).
 
 Defined results: a null, zero-length or zero vector, or one with null or non-finite components, or
 a null label, links with nothing (0 links, its own component, kept).  Vectors of different lengths
@@ -116,6 +116,13 @@ def _verify(threshold: float):
     return fn
 
 
+def _near(threshold: float):
+    def near(values: pa.Array, pivots: pa.Array):
+        c = unit_vectors(values) @ unit_vectors(pivots).T
+        return c >= threshold, np.arccos(np.clip(c, -1, 1))  # angles are a metric, cosines are not
+    return near
+
+
 def _count(threshold: float):
     def fn(t: pa.Table, lo: int, hi: int):
         x, b, w = unit_vectors(t["embedding"]), t["_b"].to_numpy(), t["w"].to_numpy()
@@ -155,7 +162,7 @@ def link(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     shared = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("who"))
                     .where("m > 1").groupBy("m", "who").agg(F.min("cell").alias("cell")).select("cell"))
     met = placed.join(shared, "cell").join(classes.select("cid", "embedding"), "cid")
-    stars = graph.in_units(materialize(met, "vec_met"), "cell", "cid", BLOCK, _verify(threshold), "a long, b long")
+    stars = graph.stars(materialize(met, "vec_met"), "cell", "cid", "embedding", BLOCK, _near(threshold), float(np.arccos(threshold)) + 1e-6, _verify(threshold))
     comp = graph.components(stars, "vec")
     member = materialize(classes.join(comp.withColumnRenamed("node", "cid"), "cid").select("cid", "component", "embedding", "w", "first"), "vec_members")
     counts = (graph.in_units(member.select("cid", "component", "embedding", "w"), "component", "cid", BLOCK, _count(threshold), "cid long, n long")

@@ -16,8 +16,9 @@ group all sets are compared by their true shingle sets, in blocks.
 Scale: texts with equal shingle sets are one class first, by partial aggregation.  The paths of a
 set follow from its sketch alone, so the levels of all runs are one scan; what is shuffled are
 (path, class) pairs.  Buckets with one class end there, and of buckets with the same classes one is
-compared.  Buckets and groups of any size go in blocks (``graph.in_units``); what leaves them
-are stars and sums, never their pairs.
+compared.  Buckets are needed for what they connect only: in large ones, rows that link with the same pivots
+need no pairs (``graph.stars``).  Groups of any size go in blocks (``graph.in_units``): exact link counts
+need all their pairs.  What leaves buckets and groups are stars and sums, never their pairs.
 
 Words: runs of digits, letters (A-Z lowered) and non-ASCII characters.  Defined results: a text
 with words but fewer than five is one shingle of all its words; a null text or one without words links
@@ -176,6 +177,14 @@ def _sketch_stars(loose: float):
     return fn
 
 
+def _sketch_near(loose: float):
+    def near(values: pa.Array, pivots: pa.Array):
+        v, p = (np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(-1, SKETCH) for x in (values, pivots))
+        same = (v[:, None, :] == p[None, :, :]).sum(axis=2)
+        return same >= loose * SKETCH, (SKETCH - same).astype(np.float64)
+    return near
+
+
 # ------------------------------------------------------------------ exact verification
 def intersections(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     """Sizes of all pairwise intersections of sorted distinct arrays."""
@@ -262,7 +271,8 @@ def _join(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     classes = keyed(classes)
     drawn = classes.select(F.col("key").alias("cid"), "sketch")
     met = materialize(buckets(drawn, runs_for(recall, threshold), threshold).join(drawn, "cid"), "met")
-    loose = graph.components(graph.in_units(met, "path", "cid", BLOCK, _sketch_stars(LOOSE), "a long, b long"), "loose")
+    stars = graph.stars(met, "path", "cid", "sketch", BLOCK, _sketch_near(LOOSE), SKETCH * (1 - LOOSE) + 1e-6, _sketch_stars(LOOSE))
+    loose = graph.components(stars, "loose")
     wanted = classes.select("cid", "key", "first", "w").join(loose.select(F.col("node").alias("key"), F.col("component").alias("grp")), "key")
     sets = materialize(candidate_sets(docs, wanted), "candidate_sets")
     exact = materialize(graph.in_units(sets, "grp", "cid", BLOCK, _exact(threshold), "cid long, n long, root long"), "exact")
