@@ -155,35 +155,41 @@ def _open_rows(placed: DataFrame, group: str, member: str, value: str, limit: fl
                                                            F.array(*(f"_lo{k}" for k in range(PIVOTS))).alias("lo"),
                                                            F.array(*(f"_hi{k}" for k in range(PIVOTS))).alias("hi"))).alias("_seen"))
 
+    @tk.tidy
+    def decide(batches):  # per group and mask: whether it is in the largest cluster, and the distances of the other clusters' rows
+        for batch in batches:
+            for g, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                cluster, count = clusters([s["mask"] for s in some]), {}
+                for s in some:
+                    count[cluster[s["mask"]]] = count.get(cluster[s["mask"]], 0) + s["n"]
+                largest = max((c for c in count if c), key=lambda c: (count[c], c))
+                others = [[x for s in some if not s["own"] and cluster[s["mask"]] != c for x in s["lo"] + s["hi"]] for c in cluster.values()]
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(cluster), pa.int64()), pa.array(list(cluster), pa.int32()),
+                                                  pa.array([c == largest for c in cluster.values()]), pa.array(others, pa.list_(pa.float64()))],
+                                                 [group, "_mask", "_closed", "_others"])
+
     @tk.tidy
     def step(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, mask = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            mask = batch.column(3).to_numpy()
             far = np.stack([batch.column(5 + k).to_numpy() for k in range(PIVOTS)], axis=1)
-            order = np.argsort(ids, kind="stable")
-            left, closed = mask == 0, np.zeros(len(ids), bool)
-            for a, b in runs(ids[order]):
+            _, kind = np.unique(np.stack([batch.column(0).to_numpy(), mask], axis=1), axis=0, return_inverse=True)
+            kind = kind.reshape(-1)
+            order, left = np.argsort(kind, kind="stable"), mask == 0
+            for a, b in runs(kind[order]):
                 at = order[a:b]
-                some = batch.column(6 + PIVOTS)[int(at[0])].as_py()
-                cluster = clusters([s["mask"] for s in some])
-                count: dict[int, int] = {}
-                for s in some:
-                    count[cluster[s["mask"]]] = count.get(cluster[s["mask"]], 0) + s["n"]
-                largest = max((c for c in count if c), key=lambda c: (count[c], c))
-                own = np.array([cluster[m] for m in mask[at].tolist()])
-                closed[at] = own == largest
-                for s in some:
-                    if not s["own"]:
-                        may = ((far[at] >= np.array(s["lo"]) - limit) & (far[at] <= np.array(s["hi"]) + limit)).all(axis=1)
-                        left[at] |= may & (own != cluster[s["mask"]])
-            keep = np.flatnonzero(left & ~batch.column(4).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(keep)) for i in range(3)), pa.array(closed[keep])], [group, member, value, "_closed"])
+                for box in batch.column(6 + PIVOTS)[int(at[0])].values.to_numpy().reshape(-1, 2, PIVOTS):
+                    left[at] |= ((far[at] >= box[0] - limit) & (far[at] <= box[1] + limit)).all(axis=1)
+            keep = pa.array(np.flatnonzero(left & ~batch.column(4).to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([batch.column(i).take(keep) for i in (0, 1, 2, 5 + PIVOTS)], [group, member, value, "_closed"])
 
+    seen = materialize(seen.mapInArrow(decide, f"{group} long, _mask int, _closed boolean, _others array<double>"), "clusters")
+    told = placed.join(seen, [group, "_mask"]).select(group, member, value, "_mask", "_own", *(f"_d{k}" for k in range(PIVOTS)), "_closed", "_others")
     kind = placed.schema[value].dataType.simpleString()
     with tk.small_batches(placed.sparkSession):
-        return materialize(placed.join(seen, group).mapInArrow(step, f"{group} long, {member} long, {value} {kind}, _closed boolean"), "open_rows")
+        return materialize(told.mapInArrow(step, f"{group} long, {member} long, {value} {kind}, _closed boolean"), "open_rows")
 
 
 def clusters(masks: list[int]) -> dict[int, int]:
