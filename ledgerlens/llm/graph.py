@@ -27,12 +27,14 @@ def deal(df: DataFrame, group: str, member: str, block: int) -> DataFrame:
     """``df`` with a row per unit of every row: its block ``_b``, the unit's blocks ``_lo`` and ``_hi``, and ``_unit``.
 
     Rows that a column ``_closed`` marks go in blocks of their own, after those of the open rows, and meet only the open ones.
+    Columns ``_n`` and ``_c`` are the group's open and closed rows; without them the groups are counted and joined here.
     """
     closed = F.col("_closed") if "_closed" in df.columns else F.lit(False)
-    sizes = df.groupBy(group).agg(F.count_if(~closed).alias("_n"), F.count_if(closed).alias("_c")).where("_n > 0")
+    if "_n" not in df.columns:
+        df = df.join(df.groupBy(group).agg(F.count_if(~closed).alias("_n"), F.count_if(closed).alias("_c")).where("_n > 0"), group)
     opened, shut = F.ceil(F.col("_n") / block), F.ceil(F.col("_c") / block)
     place = F.when(closed, opened + F.pmod(F.xxhash64(member), F.greatest(shut, F.lit(1)))).otherwise(F.pmod(F.xxhash64(member), opened))
-    return (df.join(sizes, group).withColumn("_b", place.cast("int"))
+    return (df.withColumn("_b", place.cast("int"))
               .withColumn("_o", F.explode(F.sequence(F.lit(0), (F.when(closed, opened).otherwise(opened + shut) - 1).cast("int"))))
               .withColumn("_lo", F.least("_b", "_o")).withColumn("_hi", F.greatest("_b", "_o"))
               .withColumn("_unit", F.xxhash64(group, "_lo", "_hi")).drop("_o", "_n", "_c", "_closed"))
@@ -42,7 +44,7 @@ def in_units(df: DataFrame, group: str, member: str, block: int, fn, schema: str
     """Apply ``fn(table, lo, hi)`` to every unit of ``deal``; ``table`` has the unit's rows and their block ``_b``.
 
     ``fn`` gets whole units: for ``lo == hi`` one block (compare all its rows), else two blocks
-    (compare across).  It returns a record batch of ``schema`` or None.  ``df`` is read twice.
+    (compare across).  It returns a record batch of ``schema`` or None.  ``df`` is read twice if it has no counts.
     """
     @tk.tidy
     def step(batches):
@@ -84,11 +86,16 @@ def stars(df: DataFrame, group: str, member: str, value: str, block: int, near,
     then ``fn`` compares the open rows with each other and with the closed ones, so a group of n rows costs
     rows in proportion to n, but for groups whose rows hardly link.
 
+    ``df`` may have the columns ``_closed``, ``_n`` and ``_c`` of ``deal``; its closed rows are of one component that is known.
+
     ``near(values, pivots)`` returns links and distances (rows x pivots) of two Arrow arrays of ``value``; the
     distance is a metric and no link is longer than ``limit``.
     """
-    rows = df.select(group, member, value, F.lit(False).alias("_closed"))
-    direct, edges, pivots = [], [], None
+    out, direct, edges, pivots, rows, schema = [], [], [], None, df, "a long, b long"
+    if "_n" in df.columns:
+        out = [in_units(df.where(F.col("_n") <= block).select(group, member, value, "_closed", "_n", "_c"), group, member, block, fn, schema)]
+        rows = df.where(F.col("_n") > block)
+    rows = rows.select(group, member, value, F.col("_closed") if "_closed" in df.columns else F.lit(False).alias("_closed"))
     while True:
         pivots = _pivots(rows, group, member, value, block, PIVOTS * len(edges), pivots)
         if pivots.isEmpty():
@@ -97,8 +104,10 @@ def stars(df: DataFrame, group: str, member: str, value: str, block: int, near,
         placed, links = _pivot_round(rows, pivots, group, member, value, near)
         edges.append(links)
         rows = _open_rows(placed, group, member, value, limit)
-    direct = functools.reduce(DataFrame.unionByName, [*direct, rows])
-    return functools.reduce(DataFrame.unionByName, [in_units(direct, group, member, block, fn, "a long, b long"), *edges])
+    if edges or not out:
+        direct = functools.reduce(DataFrame.unionByName, [*direct, rows])
+        out.append(in_units(direct, group, member, block, fn, schema))
+    return functools.reduce(DataFrame.unionByName, [*out, *edges])
 
 
 def _pivots(rows: DataFrame, group: str, member: str, value: str, block: int, salt: int, last: DataFrame | None) -> DataFrame:

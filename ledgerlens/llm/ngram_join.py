@@ -16,9 +16,11 @@ group all sets are compared by their true shingle sets, in blocks.
 Scale: texts with equal shingle sets are one class first, by partial aggregation.  The paths of a
 set follow from its sketch alone, so the levels of all runs are one scan; what is shuffled are
 (path, class) pairs.  Buckets with one class end there, and of buckets with the same classes one is
-compared.  Buckets are needed for what they connect only: in large ones, rows that link with the same pivots
-need no pairs (``graph.stars``).  Groups of any size go in blocks (``graph.in_units``): exact link counts
-need all their pairs.  What leaves buckets and groups are stars and sums, never their pairs.
+compared.  Buckets are needed for what they connect only: the first ``FIRST`` runs connect most of every large
+group, and of the other runs only those buckets are taken whose classes are not yet all connected
+(``connected``); in large ones, rows that link with the same pivots need no pairs (``graph.stars``).
+Groups of any size go in blocks (``graph.in_units``): exact link counts need all their pairs.  What
+leaves buckets and groups are stars and sums, never their pairs.
 
 Words: runs of digits, letters (A-Z lowered) and non-ASCII characters.  Defined results: a text
 with words but fewer than five is one shingle of all its words; a null text or one without words links
@@ -40,7 +42,7 @@ from ledgerlens.llm import textkit as tk
 from ledgerlens.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9995
-SKETCH, DEPTH, DEEPEST, SPLIT, BLOCK, LOOSE = 64, 3, 5, 1024, 512, 0.6
+SKETCH, DEPTH, DEEPEST, SPLIT, BLOCK, LOOSE, FIRST = 64, 3, 5, 1024, 512, 0.6, 4
 
 _SEED = tk.mix64(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
 _ODD = tk.mix64(_SEED) | np.uint64(1)
@@ -114,20 +116,21 @@ def tokens_of(blobs: list) -> np.ndarray:
     return tk.mix64(v.astype(np.uint64) | _COORD)
 
 
-def start_paths(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
-    """(path, cid) of every class after ``DEPTH`` levels of every run."""
+def start_paths(classes: DataFrame, runs: range, threshold: float) -> DataFrame:
+    """(path, cid, comp, size) of every class after ``DEPTH`` levels of every one of ``runs``."""
     @tk.tidy
     def step(batches):
         for batch in batches:
             cid, tokens = batch.column(0).to_numpy(), tokens_of(batch.column(1).to_pylist())
             for lo in range(0, len(cid), 2048):
                 t = tokens[lo:lo + 2048]
-                for run in range(runs):
+                for run in runs:
                     seed = tk.mix64(np.full(len(t), run + 1, np.uint64))
                     r, p = follow(t, np.arange(len(t)), seed, DEPTH, threshold)
-                    yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(cid[lo:lo + 2048][r])], ["path", "cid"])
+                    at = pa.array(lo + r)
+                    yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), *(batch.column(i).take(at) for i in (0, 2, 3))], ["path", "cid", "comp", "size"])
 
-    return classes.select("cid", "sketch").mapInArrow(graph._merged(step, 1 << 16), "path long, cid long")
+    return classes.select("cid", "sketch", "comp", "size").mapInArrow(graph._merged(step, 1 << 16), "path long, cid long, comp long, size long")
 
 
 def split_paths(held: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -135,30 +138,63 @@ def split_paths(held: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     @tk.tidy
     def step(batches):
         for batch in batches:
-            cid, path = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            r, p = follow(tokens_of(batch.column(2).to_pylist()), np.arange(len(cid)), path, 1, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(cid[r])], ["path", "cid"])
+            path = batch.column(3).to_numpy().view(np.uint64)
+            r, p = follow(tokens_of(batch.column(4).to_pylist()), np.arange(len(path)), path, 1, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), *(batch.column(i).take(pa.array(r)) for i in range(3))], ["path", "cid", "comp", "size"])
 
-    return (held.join(classes.select("cid", "sketch"), "cid").select("cid", "path", "sketch").mapInArrow(step, "path long, cid long"))
+    return (held.join(classes.select("cid", "sketch"), "cid").select("cid", "comp", "size", "path", "sketch")
+                .mapInArrow(step, "path long, cid long, comp long, size long"))
 
 
-def buckets(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
-    """(path, cid) of all buckets to compare: two classes or more, each set of classes once."""
+def buckets(classes: DataFrame, runs: range, threshold: float) -> DataFrame:
+    """(path, cid, _closed, _n, _c) of the buckets of ``runs`` to compare: each set of classes once, none whose classes are connected.
+
+    ``classes`` (cid, sketch, comp, size) names the component of those that are known to connect with others, and its size; else nulls.
+    ``_closed`` marks the rows of a large bucket's one large component, which need no pairs among themselves; ``_n`` and
+    ``_c`` count the bucket's open and closed rows.
+    """
     done, paths = None, materialize(start_paths(classes, runs, threshold), "paths")
+    comp, large = F.coalesce("comp", "cid"), F.when(F.col("size") > BLOCK, F.col("comp"))
+    closed = F.when((F.col("m") > BLOCK) & (F.col("one") == F.col("last")), F.col("in_large")).otherwise(0)
     for depth in range(DEPTH, DEEPEST + 1):
-        sizes = materialize(paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("who"))
-                                 .where("m > 1"), "path_sizes")
-        ready = sizes if depth == DEEPEST else sizes.where(F.col("m") <= SPLIT)
-        once = ready.groupBy("m", "who").agg(F.min("path").alias("path")).select("path")
-        part = paths.join(once, "path").select("path", "cid")
+        sizes = materialize(paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("who"),
+                                                      F.min(comp).alias("least"), F.max(comp).alias("most"),
+                                                      F.min(large).alias("one"), F.max(large).alias("last"), F.count(large).alias("in_large"))
+                                 .where("least < most").select("path", "m", "who", "one", closed.alias("_c")), "path_sizes")
+        ready = sizes if depth == DEEPEST else sizes.where(F.col("m") - F.col("_c") <= SPLIT)
+        once = (ready.groupBy("m", "who").agg(F.min("path").alias("path"), F.first("one").alias("one"), F.first("_c").alias("_c"))
+                     .select("path", "one", "_c", (F.col("m") - F.col("_c")).alias("_n")))
+        part = paths.join(once, "path").select("path", "cid", F.coalesce((F.col("_c") > 0) & (F.col("comp") == F.col("one")), F.lit(False)).alias("_closed"), "_n", "_c")
         done = part if done is None else done.unionByName(part)
-        large = sizes.where(F.col("m") > SPLIT).select("path")
-        if depth == DEEPEST or large.isEmpty():
+        split = sizes.where(F.col("m") - F.col("_c") > SPLIT).select("path")
+        if depth == DEEPEST or split.isEmpty():
             return done
-        paths = materialize(split_paths(paths.join(large, "path"), classes, threshold), "paths")
+        paths = materialize(split_paths(paths.join(split, "path"), classes, threshold), "paths")
     return done
 
 
+def connected(drawn: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(node, component) of the classes (cid, sketch) that sketch links connect in the buckets of all runs.
+
+    The first runs' components come first: a bucket of the others whose classes are in one of them connects nothing more.
+    """
+    runs, none = runs_for(recall, threshold), F.lit(None).cast("long")
+    first = _bucket_stars(drawn.select("cid", "sketch", none.alias("comp"), none.alias("size")), range(min(FIRST, runs)), threshold)
+    known = graph.components(first, "loose_first")
+    if runs <= FIRST:
+        return known
+    sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    named = known.join(sizes, "component").select(F.col("node").alias("cid"), F.col("component").alias("comp"), "size")
+    more = _bucket_stars(materialize(drawn.join(named, "cid", "left"), "loose_known"), range(FIRST, runs), threshold)
+    return graph.components(more.unionByName(known.toDF("a", "b")), "loose")
+
+
+def _bucket_stars(classes: DataFrame, runs: range, threshold: float) -> DataFrame:
+    """Edges (a, b) that connect what sketch links connect in the buckets of ``runs``, beyond what ``classes`` names."""
+    met = materialize(buckets(classes, runs, threshold).join(classes.select("cid", "sketch"), "cid"), "met")
+    return graph.stars(met, "path", "cid", "sketch", BLOCK, _sketch_near(LOOSE), SKETCH * (1 - LOOSE) + 1e-6, _sketch_stars(LOOSE))
+
+
 def _sketch_stars(loose: float):
     def fn(t: pa.Table, lo: int, hi: int):
         if t.num_rows < 2:
@@ -270,9 +306,7 @@ def _join(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
                              .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("w"), F.first("sketch").alias("sketch")), "set_classes")
     classes = keyed(classes)
     drawn = classes.select(F.col("key").alias("cid"), "sketch")
-    met = materialize(buckets(drawn, runs_for(recall, threshold), threshold).join(drawn, "cid"), "met")
-    stars = graph.stars(met, "path", "cid", "sketch", BLOCK, _sketch_near(LOOSE), SKETCH * (1 - LOOSE) + 1e-6, _sketch_stars(LOOSE))
-    loose = graph.components(stars, "loose")
+    loose = connected(drawn, threshold, recall)
     wanted = classes.select("cid", "key", "first", "w").join(loose.select(F.col("node").alias("key"), F.col("component").alias("grp")), "key")
     sets = materialize(candidate_sets(docs, wanted), "candidate_sets")
     exact = materialize(graph.in_units(sets, "grp", "cid", BLOCK, _exact(threshold), "cid long, n long, root long"), "exact")

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import decontam, graph, langid, lm_score, near_embed, ngram_join, quality, secret_scan, sp_sample, token_codes, warc
@@ -189,6 +190,45 @@ def test_rows_of_a_large_bucket_grow_with_its_size(spark, monkeypatch):
     assert dealt[1] <= 6 * max(dealt[0], 160)
 
 
+def test_buckets_of_connected_classes_are_not_taken_again(spark, monkeypatch):
+    """Near copies of one text: every run brought all of them to the joins by path (round 3, near_copies)."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    real, taken = graph.stars, []
+
+    def counted(df, group, *args):
+        if group == "path":
+            taken.append(df.count())
+            if "_n" in df.columns:
+                for r in df.groupBy("path", "_n", "_c").agg(F.count_if("_closed").alias("c"), F.count_if(~F.col("_closed")).alias("n")).collect():
+                    assert (r["n"], r["c"]) == (r["_n"], r["_c"])
+        return real(df, group, *args)
+    monkeypatch.setattr(graph, "stars", counted)
+    n, rng = 100, np.random.default_rng(5)
+    copies = [" ".join(f"w{j}" if j != 2 * i else "x" for j in range(200)) for i in range(n)]
+    part = [" ".join([f"w{j}" for j in range(100)] + [f"z{int(x)}" for x in rng.integers(0, 10**6, 60)]) for _ in range(12)]  # met in buckets, no links
+    near = [" ".join([*part[0].split()[:-4], "a", "b", "c", "d"]), " ".join([*copies[3].split()[:-12], *"abcdefghijkl"])]
+    docs = dict(enumerate(copies + part + near))
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in docs.items()}
+    links = np.array([[i != j and 10 * len(a & b) >= 8 * len(a | b) for j, b in sets.items()] for i, a in sets.items()])
+    rows = ngram_join.join(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+    assert [(r["class_id"], r["n_links"]) for r in sorted(rows)] == list(zip(graph.local_roots(links).tolist(), links.sum(axis=1).tolist()))
+    assert sum(taken) < 0.5 * sum(taken_by_all_runs(spark, docs))
+
+
+def taken_by_all_runs(spark, docs):
+    """Rows of the buckets of every run, when nothing is known to connect."""
+    sig = ngram_join.signatures(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+    tokens, cid = ngram_join.tokens_of([bytes(r["sketch"]) for r in sig]), [r["cid"] for r in sig]
+    seen = set()
+    for run in range(ngram_join.runs_for(ngram_join.RECALL)):
+        r, p = ngram_join.follow(tokens, np.arange(len(cid)), tk.mix64(np.full(len(cid), run + 1, np.uint64)), ngram_join.DEPTH, ngram_join.THRESHOLD)
+        by = {}
+        for i, path in zip(r.tolist(), p.tolist()):
+            by.setdefault(path, set()).add(i)
+        seen |= {frozenset(b) for b in by.values() if len(b) > 1}
+    return [len(b) for b in seen]
+
+
 def test_kneser_ney_matches_brute_force(spark):
     train = ["the cat sat on the mat and the dog sat too", "a cat and a dog were on a mat", "the end of the matter"]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(train)], "doc_id long, text string, lang string")
