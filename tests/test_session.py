@@ -2,7 +2,8 @@
 
 import pytest
 
-from ledgerlens.session import checkpoint_root, cluster_conf, remove_path, scratch_path
+from ledgerlens import session
+from ledgerlens.session import checkpoint_root, cluster_conf, materialize, remove_path, scratch_path
 
 
 def test_scratch_is_under_the_checkpoint_root_and_fresh(spark):
@@ -27,3 +28,14 @@ def test_only_own_scratch_is_removed(spark, tmp_path):
         spark.read.parquet(path)
     with pytest.raises(ValueError):
         remove_path(spark, str(tmp_path))
+
+
+def test_staging_collects_the_drivers_garbage_once_its_heap_has_grown(spark, monkeypatch):
+    jvm = spark._jvm
+    kinds = jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    ran = lambda: sum(b.getCollectionCount() for b in kinds if not any(x in b.getName() for x in ("Young", "Concurrent")))
+    for share, collects in ((0.0, True), (1.0, False)):
+        monkeypatch.setattr(session, "HEAP_SHARE", share, raising=False)
+        before = ran()
+        assert sorted(r["id"] for r in materialize(spark.range(3), "kept").collect()) == [0, 1, 2]
+        assert (ran() > before) == collects
