@@ -95,7 +95,7 @@ def q_ingest_reviews(spark, sf_dir):
     its sentiment and its vector."""
     docs = tables.docs(spark, sf_dir)
     model = sentiment_model(spark, sf_dir)
-    parameters = S.fit_subwords(docs, dim=16, buckets=1 << 12, steps=1)
+    parameters = S.fit_subwords(docs, dim=16, buckets=1 << 12, steps=2)  # one step moves contexts only
     rows = docs.select("id", "content", F.expr(f"timestamp_ntz'{INGEST_START} 06:00:00' + make_dt_interval(cast(id % 3 as int))").alias("created_time"),
                        (F.col("id") % 2).cast("int").alias("source_rank"))
     frames = [(rows.where(F.col("source_rank") == i), {"source": s}) for i, s in enumerate(tables.SOURCES)]

@@ -71,3 +71,28 @@ def test_steps_see_only_kept_texts_and_empty_days(spark):
     for d in [*DAYS, "2024-04-01"]:
         I.ingest_day(spark, [(frame(spark), {"country": "ru"})], store, d, [step], bits=1 << 16)
     assert seen == [3, 2, 1, 0] and stored(spark, store) == WANT
+
+
+def test_training_moves_the_stored_vectors(spark, monkeypatch):
+    """Contexts begin at zero: with one step of training the ingest's vectors were those of untrained parameters."""
+    from conftest import SMOKE
+    from ledgerlens.operators import subwords as S
+    from ledgerlens.plans import load_queries as Q
+
+    class Seen(Exception):
+        pass
+
+    def first_day(spark, frames, store, day, steps):
+        rows = frames[0][0].limit(20).select("id", "content")
+        untrained = S.embed_subwords(rows, S.initial_parameters(spark, 1 << 12, 16, 42))
+        vectors = [{r["id"]: r["embeddings"] for r in df.collect()} for df in (steps[1](rows), untrained)]
+        assert len(vectors[0]) == 20 and all(vectors[0][i] != v for i, v in vectors[1].items())
+        raise Seen
+
+    monkeypatch.setattr(Q, "sentiment_model", lambda *_: None)
+    monkeypatch.setattr(I, "ingest_day", first_day)
+    try:
+        Q.q_ingest_reviews(spark, SMOKE)
+        raise AssertionError("no day was loaded")
+    except Seen:
+        pass
