@@ -128,8 +128,9 @@ def q_embed_subwords_vectors(spark, sf_dir):
 
 
 def _subword_vectors(spark, sf_dir):
-    docs = materialize(spread(tables.docs(spark, sf_dir).select("id", "content")), "subword_docs")
-    return S.embed_subwords(docs, S.fit_subwords(docs, dim=32, buckets=1 << 13, steps=2))
+    docs = spread(tables.docs(spark, sf_dir).select("id", "content"))
+    docs = materialize(docs.withColumn("words", S.words_of("content")), "subword_docs")
+    return S.embed_subwords(docs, S.fit_subwords(docs, "words", dim=32, buckets=1 << 13, steps=2), "words")
 
 
 def _asked(emb):
