@@ -51,8 +51,7 @@ def sentiment_pipeline(text_col: str = "content", label_col: str = "label", num_
         return "'" + pattern.replace("\\", "\\\\") + "'"
 
     tok = SQLTransformer(statement=(
-        f"SELECT *, filter(split(regexp_replace(regexp_replace(lower({text_col}), {lit(T.NON_WORD)}, ' '), "
-        f"{lit(r'\s{2,}')}, ' '), ' '), w -> w != '') AS _tokens FROM __THIS__"))
+        f"SELECT *, filter(split(lower({text_col}), {lit(T.NON_WORD + '+')}), w -> w != '') AS _tokens FROM __THIS__"))
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="_tfidf")
     lr = LogisticRegression(featuresCol="_tfidf", labelCol=label_col, family="multinomial", maxIter=50, regParam=0.01)

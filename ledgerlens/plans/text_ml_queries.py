@@ -201,9 +201,13 @@ def _labelled(spark, sf_dir):
 
 
 def sentiment_model(spark, sf_dir):
-    """The sentiment model of the labelled training reviews, which are staged in even parts: a fit passes over them many times."""
+    """The sentiment model of the labelled training reviews, which are staged in even parts: a fit passes over them many times.
+
+    Every part of a pass sends a gradient as large as the model (three classes of 262,144 terms), so there is a part a core, not
+    one for every few MB of text.
+    """
     train = _labelled(spark, sf_dir).filter(F.col("split") == "train").select("content", "label")
-    return ML.sentiment_pipeline().fit(materialize(spread(train), "sentiment_train"))
+    return ML.sentiment_pipeline().fit(materialize(spread(train), "sentiment_train").coalesce(spark.sparkContext.defaultParallelism))
 
 
 @register("score_sentiment", "2.8")

@@ -45,3 +45,33 @@ def test_pieces_of_a_batch_are_bounded(spark, monkeypatch):
     assert sum(len(p[3]) for p in pieces) == 61 and max(int(p[3].sum()) for p in pieces) <= 200 and len(pieces) >= 15
     assert [p[1][k] for p in pieces for k in p[2]] == [w for t in column.to_pylist() if t for w in t]
     assert S.embed_subwords(df, parameters).count() == 61
+
+
+def test_a_pass_of_the_fit_has_a_part_a_core(spark, monkeypatch):
+    """Each part sends a gradient of the model's size, so their number must not follow the text's."""
+    from ledgerlens.operators import ml as ML
+    from ledgerlens.plans import text_ml_queries as Q
+
+    class Fit:
+        def fit(self, df):
+            return df.rdd.getNumPartitions(), df.count()
+
+    train = spark.range(400).select(F.col("id").cast("string").alias("content"), (F.col("id") % 3).cast("double").alias("label"), F.lit("train").alias("split"))
+    monkeypatch.setattr(Q, "_labelled", lambda *_: train)
+    monkeypatch.setattr(Q, "spread", lambda df: df.repartition(40))
+    monkeypatch.setattr(ML, "sentiment_pipeline", Fit)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        parts, rows = Q.sentiment_model(spark, "")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts <= spark.sparkContext.defaultParallelism and rows == 400
+
+
+def test_sentiment_words_equal_the_stepwise_form(spark):
+    from ledgerlens.functions import text as T
+    from ledgerlens.operators import ml as ML
+
+    df = spark.createDataFrame([("The  Cat,cat-dog\tA\n b_c",), ("İstanbul ΣΑΣ №5 ½",), ("",), (" ,;",), ("a\u00a0b  𝒳𝔸 e\u0301",)], "content string")
+    got = ML.sentiment_pipeline().getStages()[0].transform(df).select("_tokens", T.tokens(T.normalize_text("content")).alias("w")).collect()
+    assert len(got) == 5 and all(r["_tokens"] == r["w"] for r in got)
